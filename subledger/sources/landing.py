@@ -22,9 +22,16 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame
     return reader.load(path)
 
 
+# An empty JSON array is short; only bodies under this length are parsed to
+# test for emptiness, every other page is decided by its status alone.
+_EMPTY_BODY_MAX_LEN = 64
+
+
 def _bad_page() -> "F.Column":
-    return ((F.col("http_status") != 200) | F.col("http_status").isNull() | F.col("body").isNull()
-            | (F.coalesce(F.json_array_length(F.col("body")), F.lit(0)) == 0))
+    body = F.col("body")
+    maybe_empty = F.length(body) < _EMPTY_BODY_MAX_LEN
+    return ((F.col("http_status") != 200) | F.col("http_status").isNull() | body.isNull()
+            | (maybe_empty & (F.coalesce(F.json_array_length(body), F.lit(0)) == 0)))
 
 
 def contiguous_prefix(pages: DataFrame) -> DataFrame:

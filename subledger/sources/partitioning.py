@@ -1,0 +1,27 @@
+"""Input parallelism guard.
+
+A source whose files hold fewer splits than the cluster has cores (one small
+file, one row group) would run every narrow operator after the scan in a few
+tasks. ``spread`` hash-partitions such an input across the cores; an input
+that is already split wider than that (any large table) is returned as is, so
+at scale it never adds a shuffle. Hash partitioning on a key column keeps the
+row-to-task mapping deterministic, so a recomputed task after an executor
+loss sees the same rows. Filters and column pruning still reach the scan
+below the repartition.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    spark = df.sparkSession
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a remote session without RDD access
+        return df
+    if splits >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
