@@ -72,3 +72,28 @@ def observe_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Row count collected as a side metric of whatever action runs ``df`` next."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+class EmptySourceError(RuntimeError):
+    """Q3: a mandatory source (plans, user subscriptions) has no rows."""
+
+
+def require_non_empty(df: DataFrame, name: str) -> None:
+    """Q3: abort the run when a mandatory source is empty (a LIMIT 1 probe)."""
+    if df.isEmpty():
+        raise EmptySourceError(f"no {name} records: the report cannot be built")
+
+
+def check_gaps(gaps: DataFrame, on_gap: str = "warn") -> list:
+    """Surface pages a scan dropped. ``on_gap``: 'ignore', 'warn' or 'fail'.
+
+    ``gaps`` has one row per source (see ``sources.landing.page_gaps``), so the
+    collect is bounded by the number of sources.
+    """
+    import warnings
+    rows = [r for r in gaps.collect() if r["dropped_pages"]]
+    if rows and on_gap == "fail":
+        raise RuntimeError(f"pages dropped by failed or empty pages: {rows}")
+    if rows and on_gap == "warn":
+        warnings.warn(f"pages dropped by failed or empty pages: {rows}", stacklevel=2)
+    return rows

@@ -79,6 +79,10 @@ class ReportParams:
     window_month2: int = 8
     window_year: int = 2025
     window_yearly_start_year: int = 2024
+    # explicit two-month window (D5): overrides window_month1/2 + window_year for
+    # monthly plans, e.g. a December-January window across the year boundary
+    window_start: dt.date | None = None
+    window_end: dt.date | None = None
     # month of the last paid invoice
     current_year: int = 2025
     last_yearly_start_year: int = 2024
@@ -116,6 +120,8 @@ class ReportParams:
 
     def window_monthly_range(self) -> tuple[dt.date, dt.date]:
         """Inclusive [year/month1/1, year/month2/end-day]; empty when month1 > month2."""
+        if self.window_start is not None and self.window_end is not None:
+            return self.window_start, self.window_end
         return (dt.date(self.window_year, self.window_month1, 1),
                 _clamped(self.window_year, self.window_month2, self.window_end_day))
 

@@ -34,26 +34,37 @@ def _bad_page() -> "F.Column":
             | (maybe_empty & (F.coalesce(F.json_array_length(body), F.lit(0)) == 0)))
 
 
-def contiguous_prefix(pages: DataFrame) -> DataFrame:
-    """Keep pages before the first failed or empty page of the source.
+def _failed_page() -> "F.Column":
+    return (F.col("http_status") != 200) | F.col("http_status").isNull() | F.col("body").isNull()
+
+
+def contiguous_prefix(pages: DataFrame, stop_on_empty: bool = True) -> DataFrame:
+    """Keep pages before the first failed (or, by default, empty) page of the source.
 
     The first bad page number is a one-row scalar subquery (no cross join,
     nothing collected); later pages never contribute, earlier ones are kept.
+    The CRM task listing stops on failures only (``stop_on_empty=False``).
     """
-    first_bad = pages.filter(_bad_page()).select(F.min("page_no")).scalar()
+    bad = _bad_page() if stop_on_empty else _failed_page()
+    first_bad = pages.filter(bad).select(F.min("page_no")).scalar()
     return pages.filter(F.col("page_no") < F.coalesce(first_bad, F.lit(2 ** 31 - 1)))
 
 
 def scan_pages(landing: DataFrame, source: str, record_schema: T.StructType,
-               prefix_rule: bool = True) -> DataFrame:
+               prefix_rule: bool = True, max_pages: int | None = None,
+               first_page: int = 1, stop_on_empty: bool = True) -> DataFrame:
     """S1 (+S2): concatenate the record arrays of a source's pages in page order.
 
     Adds ``page_no``, ``pos`` and ``seq`` (arrival order: page, then position),
-    which later operators use as "first in arrival order".
+    which later operators use as "first in arrival order". ``max_pages``
+    reproduces a page cap (pages past it were never fetched); the filter is
+    on a plain column, so a partitioned landing table prunes by it.
     """
     pages = landing.filter(F.col("source") == source)
+    if max_pages is not None:
+        pages = pages.filter(F.col("page_no") < F.lit(first_page + max_pages))
     if prefix_rule:
-        pages = contiguous_prefix(pages)
+        pages = contiguous_prefix(pages, stop_on_empty)
     recs = pages.select(
         "page_no",
         F.posexplode(F.from_json(F.col("body"), T.ArrayType(record_schema))).alias("pos", "rec"))
@@ -68,3 +79,29 @@ def newest_n(records: DataFrame, n: int, key: str = "id") -> DataFrame:
     at most n rows per partition. The limit is the feature here.
     """
     return records.orderBy(F.col(key).desc()).limit(n)
+
+
+def scan_task_pages(landing: DataFrame, source: str, record_schema: T.StructType) -> DataFrame:
+    """CRM task listing. Pages are numbered from 0 and read up to and
+    including the announced page count (one page past the end, as the CRM
+    client does); only a failed page stops the listing, an empty one does not.
+    A page delivered twice yields its tasks twice (dedupe downstream, D13).
+    """
+    pages = landing.filter(F.col("source") == source)
+    pages = pages.filter(F.col("page_no") <= F.coalesce(F.col("last_page"), F.lit(1)))
+    return scan_pages(pages, source, record_schema, prefix_rule=True, first_page=0,
+                      stop_on_empty=False)
+
+
+def page_gaps(landing: DataFrame, source: str) -> DataFrame:
+    """Pages the scan silently dropped: failed/empty pages and everything after them.
+
+    One row ``(source, first_bad_page, announced_last_page, dropped_pages)``.
+    """
+    pages = landing.filter(F.col("source") == source)
+    first_bad = pages.filter(_bad_page()).select(F.min("page_no")).scalar()
+    return pages.agg(
+        F.lit(source).alias("source"),
+        first_bad.alias("first_bad_page"),
+        F.max("last_page").alias("announced_last_page"),
+        F.count_if(F.col("page_no") >= F.coalesce(first_bad, F.lit(2 ** 31 - 1))).alias("dropped_pages"))

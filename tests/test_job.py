@@ -1,0 +1,113 @@
+"""End to end: landed pages on disk -> job -> written report and meta row."""
+
+import datetime as dt
+import json
+
+import pytest
+
+from subledger.operators.quality import EmptySourceError
+from subledger.params import Labels, ReportParams
+from subledger.plans.job import JobConfig, run_report
+
+LB = Labels()
+UTC = dt.timezone.utc
+
+
+def _epoch(d, hour=10):
+    return int(dt.datetime(d.year, d.month, d.day, hour, tzinfo=UTC).timestamp())
+
+
+def _user(uid, surname="Doe"):
+    return {"id": uid, "name": "Ann", "surname": surname, "email": f"u{uid}@example.com",
+            "default_phone": {"e164": "+48111222333"},
+            "default_address": {"name": "Firm", "tax_number": "123-456-78-90"}}
+
+
+def _sub(i, plan, status, billing, uid, ends=None):
+    return {"id": i, "subscription_id": plan, "status": status, "created_at": "2025-01-10T08:00:00Z",
+            "ends_at": ends, "canceled_at": None, "stripe_subscription_id": billing,
+            "subscription": {"name": "Gold"}, "user": _user(uid)}
+
+
+def _inv(i, sub, d, status):
+    return {"id": i, "amount_due": 1000, "amount_paid": 1000 if status == "paid" else 0,
+            "amount_remaining": 0 if status == "paid" else 1000, "created": _epoch(d),
+            "customer": "c", "subscription": sub, "status": status, "paid": status == "paid",
+            "lines": {"data": [{"description": "Gold", "plan": {"active": True, "interval": "month"}}]}}
+
+
+D = dt.date
+
+
+def _pages(source, pages, first=1, statuses=None, total=None):
+    out = []
+    for n, recs in enumerate(pages, start=first):
+        st = (statuses or {}).get(n, 200)
+        out.append({"source": source, "page_no": n, "http_status": st, "total": total,
+                    "last_page": first + len(pages) - 1,
+                    "body": None if st != 200 else json.dumps(recs)})
+    return out
+
+
+def _landing(tmp_path, extra_plan_status=None):
+    rows = []
+    rows += _pages("plans", [[{"id": 1, "name": "m", "price": {"recurring_interval": "month"}},
+                              {"id": 2, "name": "y", "price": {"recurring_interval": "year"}}],
+                             [{"id": 3, "name": "w", "price": {"recurring_interval": "week"}}]],
+                   statuses=extra_plan_status)
+    rows += _pages("usersubs", [[_sub(101, 1, "active", "b1", 10), _sub(102, 2, "active", "b2", 11,
+                                                                        ends="2025-09-01T00:00:00Z")],
+                                [_sub(103, 3, "canceled", "b3", 12, ends="2025-08-01T00:00:00Z"),
+                                 _sub(107, 1, "trialing", "b7", 15)]])
+    rows += _pages("invoices", [[_inv("i1", "b1", D(2025, 8, 2), "paid"), _inv("i2", "b1", D(2025, 7, 20), "open"),
+                                 _inv("i3", "b1", D(2025, 7, 5), "paid")],
+                                [_inv("i4", "b2", D(2025, 7, 31), "paid"), _inv("i5", "b2", D(2024, 7, 1), "void")]])
+    rows += [{"source": "crm_project", "page_no": 1, "http_status": 200, "total": None, "last_page": 1,
+              "body": json.dumps({"_id": "p", "statuses": [{"_id": "s1", "name": "Other"},
+                                                           {"_id": "s2", "name": " Contracts "}]})}]
+    rows += _pages("crm_tasks/s2", [[{"_id": "t1"}, {"_id": "t2"}], [], [{"_id": "t3"}]], first=0)
+    rows += _pages("crm_task_details", [[{"_id": "t1", "client": {"company": {"nip": 987654321}}},
+                                         {"_id": "t2", "client": {"company": {"nip": ""}}},
+                                         {"_id": "t3", "client": {"company": {"nip": "PL-1"}}}]])
+    path = tmp_path / "landing"
+    path.mkdir()
+    (path / "pages.json").write_text("\n".join(json.dumps(r) for r in rows))
+    return str(path)
+
+
+PARAMS = ReportParams(as_of=dt.datetime(2025, 8, 15, 12), crm_target_status="Contracts")
+
+
+def test_job_writes_report_and_meta(spark, tmp_path):
+    out = str(tmp_path / "out")
+    n = run_report(spark, JobConfig(_landing(tmp_path), out, write_invoices=True), PARAMS)
+    rows = spark.read.parquet(f"{out}/report").collect()
+    rep = {r["client_sub_id"]: r for r in rows if r["client_sub_id"]}
+    meta = spark.read.parquet(f"{out}/report_meta").collect()
+    assert n == 5 and meta[0]["row_count"] == 5 and str(meta[0]["as_of_date"]) == "2025-08-15"
+    assert rep[101]["status_chosen_month"] == "open" and rep[101]["last_invoice_month"] == LB.month_names[7]
+    assert rep[102]["status_chosen_month"] == "void" and rep[102]["paid_last_2_months"] == "paid"
+    assert rep[103]["package_type"] == "week" and rep[103]["lifecycle_status"] == LB.lifecycle_cancelled
+    assert rep[101]["tax_id"] == "123-456-78-90"
+    crm = sorted(r["tax_id"] for r in rows if r["package"] == LB.crm_package)
+    # t3 comes after an empty task page: the CRM listing does not stop on empty pages
+    assert crm == ["0987654321", "PL-1"]
+    assert spark.read.parquet(f"{out}/invoices").count() == 5
+
+
+def test_failed_page_fails_when_asked(spark, tmp_path):
+    with pytest.raises(RuntimeError, match="pages dropped"):
+        run_report(spark, JobConfig(_landing(tmp_path, {2: 503}), str(tmp_path / "o"), on_gap="fail"),
+                   PARAMS)
+
+
+def test_empty_plans_abort(spark, tmp_path):
+    with pytest.raises(EmptySourceError):
+        run_report(spark, JobConfig(_landing(tmp_path, {1: 500}), str(tmp_path / "o"), on_gap="ignore"),
+                   PARAMS)
+
+
+def test_page_cap(spark, tmp_path):
+    out = str(tmp_path / "capped")
+    n = run_report(spark, JobConfig(_landing(tmp_path), out, max_pages=1, with_crm=False), PARAMS)
+    assert n == 2   # only the first user-subscription page (101, 102)
