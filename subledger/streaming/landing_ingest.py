@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 from subledger.schemas import LANDING_PAGE
@@ -22,7 +24,9 @@ def ingest_pages(spark: SparkSession, inbox: str, landing_path: str,
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             raise ValueError("no checkpoint given and spark.checkpoint.dir is unset")
-        checkpoint = f"{base.rstrip('/')}/landing_ingest"
+        # one stream state per landing table: stable across runs, distinct across tables
+        tag = hashlib.sha1(landing_path.rstrip("/").encode()).hexdigest()[:16]
+        checkpoint = f"{base.rstrip('/')}/landing_ingest/{tag}"
     reader = spark.readStream.schema(LANDING_PAGE).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

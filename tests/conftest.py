@@ -12,6 +12,7 @@ from subledger.session import build_session, checkpoint_dir  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", app="subledger-tests", shuffle_partitions=4)
-    checkpoint_dir(s, tempfile.mkdtemp(prefix="subledger-ckpt-", dir="/tmp"))
+    if not s.conf.get("spark.checkpoint.dir", None):  # the cluster's folder wins when set
+        checkpoint_dir(s, tempfile.mkdtemp(prefix="subledger-ckpt-", dir="/tmp"))
     yield s
     s.stop()
