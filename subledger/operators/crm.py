@@ -44,12 +44,17 @@ def tasks_with_details(tasks: DataFrame, details: DataFrame, status_ids: DataFra
 
 def crm_tax_ids(tasks: DataFrame) -> DataFrame:
     """P13 + F10: extract the tax id of each detailed task, drop empty ones."""
-    return (tasks.select("_id", crm_tax_id(F.col("detail")).alias("tax_id"))
+    keep = [F.col("seq")] if "seq" in tasks.columns else []
+    return (tasks.select("_id", crm_tax_id(F.col("detail")).alias("tax_id"), *keep)
             .filter(F.col("tax_id") != ""))
 
 
-def crm_rows(tax_ids: DataFrame, params: ReportParams, tax_col: str = "tax_id") -> DataFrame:
-    """One 19-column report row per CRM tax id; only the tax id varies."""
+def crm_rows(tax_ids: DataFrame, params: ReportParams, tax_col: str = "tax_id",
+             keep_order: bool = False) -> DataFrame:
+    """One 19-column report row per CRM tax id; only the tax id varies.
+
+    ``keep_order`` adds ``_source_rank`` = 1 and ``_seq`` (task listing order).
+    """
     lb = params.labels
     zero, empty = F.lit(0).cast("bigint"), F.lit("")
     null_ts = F.lit(None).cast("timestamp_ntz")
@@ -61,4 +66,8 @@ def crm_rows(tax_ids: DataFrame, params: ReportParams, tax_col: str = "tax_id")
         "phone": empty, "status_chosen_month": empty, "paid_last_2_months": empty,
         "last_invoice_month": empty, "lifecycle_status": F.lit(lb.lifecycle_unspecified),
     }
-    return tax_ids.select(*[values[c].alias(c) for c in REPORT_COLUMNS])
+    extra = []
+    if keep_order:
+        seq = F.col("seq") if "seq" in tax_ids.columns else F.lit(0)
+        extra = [F.lit(1).alias("_source_rank"), seq.cast("bigint").alias("_seq")]
+    return tax_ids.select(*[values[c].alias(c) for c in REPORT_COLUMNS], *extra)

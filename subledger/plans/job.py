@@ -45,6 +45,8 @@ class JobConfig:
     on_gap: str = "warn"                 # 'ignore' | 'warn' | 'fail'
     write_invoices: bool = False         # K3 (archived jobs only)
     with_crm: bool = True
+    # sheet order: subscriptions in arrival order, then CRM rows (a range sort)
+    ordered: bool = False
 
 
 @dataclass
@@ -65,7 +67,7 @@ def _crm_tax_ids(land: DataFrame, params: ReportParams) -> DataFrame | None:
         return None
     source = f"crm_tasks/{row['status_id']}"
     tasks = scan_task_pages(land, source, CRM_TASK).select(
-        "_id", F.lit(row["status_id"]).alias("status_id"))
+        "_id", "seq", F.lit(row["status_id"]).alias("status_id"))
     details = (land.filter(F.col("source") == "crm_task_details")
                .select(F.explode(F.variant_get(F.parse_json("body"), "$", "array<variant>")).alias("d"))
                .select(F.variant_get("d", "$._id", "string").alias("_id"), F.to_json("d").alias("body")))
@@ -89,7 +91,7 @@ def load_inputs(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> In
             crm = _crm_tax_ids(land, params)
         except Exception as exc:  # noqa: BLE001
             warnings.warn(f"CRM branch skipped: {exc}", stacklevel=2)
-    return Inputs(subs.drop("page_no", "pos", "seq"), plans.drop("page_no", "pos", "seq"),
+    return Inputs(subs.drop("page_no", "pos"), plans.drop("page_no", "pos", "seq"),
                   invoices_raw.drop("page_no", "pos"), crm)
 
 
@@ -97,10 +99,11 @@ def run_report(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> int
     """Build and write the report; returns the number of report rows written."""
     inp = load_inputs(spark, cfg, params)
     report = reports.subscription_report(inp.subs, inp.plans, inp.invoices_raw, params,
-                                         crm_tax_ids=inp.crm_tax_ids)
+                                         crm_tax_ids=inp.crm_tax_ids, keep_order=cfg.ordered)
     as_of = (params.as_of or dt.datetime.now()).date()
     rows = write_report(report, f"{cfg.output_path}/report", f"{cfg.output_path}/report_meta",
-                        as_of, fmt=cfg.report_format)
+                        as_of, fmt=cfg.report_format,
+                        order_by=list(reports.ORDER_COLUMNS) if cfg.ordered else None)
     if cfg.write_invoices:
         write_invoice_fact(invoice_fact(inp.invoices_raw, params), f"{cfg.output_path}/invoices",
                            fmt=cfg.report_format)

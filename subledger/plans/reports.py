@@ -29,9 +29,23 @@ def retained_subscriptions(subs: DataFrame, plans: DataFrame, params: ReportPara
     return retain(join_plans(subs, plans), params)
 
 
+# Sink-order helper columns: subscriptions first (rank 0) in arrival order, then CRM rows.
+ORDER_COLUMNS = ("_source_rank", "_seq")
+
+
+def _order_cols(df: DataFrame, rank: int) -> list:
+    """Arrival order of the source: landed ``seq`` if present, else id descending
+    (the booking API is read with order_by=id, ascending=0)."""
+    seq = F.col("seq") if "seq" in df.columns else -F.col("id")
+    return [F.lit(rank).alias("_source_rank"), seq.cast("bigint").alias("_seq")]
+
+
 def report_base(subs: DataFrame, plans: DataFrame, params: ReportParams,
-                normalise_tax_id: bool = True) -> DataFrame:
-    """R4 / the 15 base columns: flatten, relabel, parse dates, back-fill, tax id."""
+                normalise_tax_id: bool = True, keep_order: bool = False) -> DataFrame:
+    """R4 / the 15 base columns: flatten, relabel, parse dates, back-fill, tax id.
+
+    ``keep_order`` adds ``_source_rank``/``_seq`` for an ordered export.
+    """
     lb = params.labels
     shift = params.clock_shift_hours
     j = retained_subscriptions(subs, plans, params)
@@ -56,28 +70,31 @@ def report_base(subs: DataFrame, plans: DataFrame, params: ReportParams,
         "company_name": blank_fill("user.default_address.name"),
         "phone": blank_fill("user.default_phone.e164"),
     }
-    return j.select(*[cols[c].alias(c) for c in REPORT_BASE_COLUMNS])
+    extra = _order_cols(j, 0) if keep_order else []
+    return j.select(*[cols[c].alias(c) for c in REPORT_BASE_COLUMNS], *extra)
 
 
 def report_no_crm(subs: DataFrame, plans: DataFrame, invoices_raw: DataFrame,
-                  params: ReportParams) -> DataFrame:
+                  params: ReportParams, keep_order: bool = False) -> DataFrame:
     """Base columns + the three invoice-derived columns (18 columns)."""
-    base = report_base(subs, plans, params)
+    base = report_base(subs, plans, params, keep_order=keep_order)
     inv = invoice_fact(invoices_raw, params, keep_helpers=True)
     return with_invoice_columns(base, inv, params)
 
 
 def report_with_lifecycle(subs: DataFrame, plans: DataFrame, invoices_raw: DataFrame,
-                          params: ReportParams) -> DataFrame:
-    r = report_no_crm(subs, plans, invoices_raw, params)
+                          params: ReportParams, keep_order: bool = False) -> DataFrame:
+    r = report_no_crm(subs, plans, invoices_raw, params, keep_order=keep_order)
     return r.withColumn("lifecycle_status", lifecycle_status("client_sub_id", "expires_at", params))
 
 
 def subscription_report(subs: DataFrame, plans: DataFrame, invoices_raw: DataFrame,
-                        params: ReportParams, crm_tax_ids: DataFrame | None = None) -> DataFrame:
+                        params: ReportParams, crm_tax_ids: DataFrame | None = None,
+                        keep_order: bool = False) -> DataFrame:
     """The 19-column report; CRM-only contracts appended when given (Q4: the
     CRM branch is optional, its absence never stops the report)."""
-    r = report_with_lifecycle(subs, plans, invoices_raw, params).select(*REPORT_COLUMNS)
+    cols = REPORT_COLUMNS + (ORDER_COLUMNS if keep_order else ())
+    r = report_with_lifecycle(subs, plans, invoices_raw, params, keep_order).select(*cols)
     if crm_tax_ids is not None:
-        r = r.unionByName(crm_rows(crm_tax_ids, params))
+        r = r.unionByName(crm_rows(crm_tax_ids, params, keep_order=keep_order))
     return r

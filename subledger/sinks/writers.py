@@ -93,7 +93,9 @@ def write_report(report: DataFrame, path: str, meta_path: str, as_of: dt.date,
     """
     out = report
     if order_by:
-        out = out.orderBy(*order_by)
+        # range-partitioned global sort; helper columns are dropped after it
+        helpers = [c for c in order_by if c.startswith("_")]
+        out = out.orderBy(*order_by).drop(*helpers)
     out = format_for_export(out, headings) if fmt == "csv" else out
     out, obs = observe_count(out, "report_rows")
     writer = out.write.mode("overwrite").format(fmt)

@@ -111,3 +111,15 @@ def test_page_cap(spark, tmp_path):
     out = str(tmp_path / "capped")
     n = run_report(spark, JobConfig(_landing(tmp_path), out, max_pages=1, with_crm=False), PARAMS)
     assert n == 2   # only the first user-subscription page (101, 102)
+
+
+def test_ordered_csv_export(spark, tmp_path):
+    out = str(tmp_path / "ordered")
+    cfg = JobConfig(_landing(tmp_path), out, report_format="csv", ordered=True)
+    run_report(spark, cfg, PARAMS)
+    rows = spark.read.option("header", True).csv(f"{out}/report").collect()
+    ids = [r["client_sub_id"] for r in rows]
+    assert ids[:3] == ["101", "102", "103"] and ids[3:] == ["0", "0"]
+    assert [r["tax_id"] for r in rows[3:]] == ["0987654321", "PL-1"]
+    assert rows[0]["purchased_at"] == "2025-01-10 10:00:00"
+    assert "_seq" not in rows[0].asDict()
