@@ -10,7 +10,12 @@ the shuffle, and one left join:
 
 Cost is O(subscriptions + invoices) instead of O(subscriptions x invoices).
 A hot subscription collapses to one row per map task in the partial
-aggregation; a hot billing id on the report side is split by AQE's skew join.
+aggregation. A hot billing id on the report side (many report rows, one
+aggregate row) is salted: hot keys are found on a deterministic sample,
+capped in number (so their broadcast is bounded), their report rows spread
+over ``salt_buckets`` by record id and their aggregate row replicated per
+bucket. Every other key joins as before, and because both join inputs are
+plain shuffles, AQE's skew join can split whatever skew remains.
 """
 
 from __future__ import annotations
@@ -27,6 +32,57 @@ from subledger.params import INVOICE_PAID, ReportParams
 # single partition a NULL join key would land in.
 _BLANK_KEY_PREFIX = "\u0000blank:"
 
+# Hot billing ids: found on a deterministic 1 % sample; a key needs >= 200
+# sampled rows (about 20 000 report rows) to count; at most 1 000 keys are
+# salted (the LIMIT proves the broadcast bound), each over 32 buckets.
+HOT_SAMPLE_FRACTION = 0.01
+HOT_MIN_SAMPLED = 200
+MAX_HOT_KEYS = 1000
+SALT_BUCKETS = 32
+_SAMPLE_SEED = 17
+
+
+def invoice_join_key(billing_col: str = "billing_id", id_col: str = "client_sub_id") -> Column:
+    """Join key of a report row: its billing id, or for a blank billing id a
+    key no invoice can carry, made from the row's own id (deterministic, so a
+    recomputed task after an executor loss routes the row the same way)."""
+    salted = F.concat(F.lit(_BLANK_KEY_PREFIX),
+                      F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    return F.when(is_blank(billing_col), salted).otherwise(F.col(billing_col))
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float | None = None,
+             min_sampled: int | None = None, max_keys: int | None = None) -> DataFrame:
+    """Keys holding an outsized share of ``df``'s rows, as ``_hot_key``.
+
+    Detected on a seeded Bernoulli sample (detection only: no row is dropped
+    from any result) and capped at ``max_keys`` rows, so the result is safe
+    to broadcast.
+    """
+    fraction = HOT_SAMPLE_FRACTION if fraction is None else fraction
+    min_sampled = HOT_MIN_SAMPLED if min_sampled is None else min_sampled
+    max_keys = MAX_HOT_KEYS if max_keys is None else max_keys
+    return (df.select(F.col(key)).sample(fraction=fraction, seed=_SAMPLE_SEED)
+            .groupBy(key).count().filter(F.col("count") >= min_sampled)
+            .orderBy(F.col("count").desc(), F.col(key)).limit(max_keys)
+            .select(F.col(key).alias("_hot_key")))
+
+
+def salted(keyed: DataFrame, agg: DataFrame, id_col: str, buckets: int):
+    """Salt hot keys: report rows spread by record id, aggregate rows replicated."""
+    hot = F.broadcast(hot_keys(keyed, "_inv_key"))
+    keyed = (keyed.join(hot, keyed["_inv_key"] == hot["_hot_key"], "left")
+             .withColumn("_salt", F.when(F.col("_hot_key").isNotNull(),
+                                         F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)))
+                         .otherwise(F.lit(0).cast("bigint")))
+             .drop("_hot_key"))
+    salts = F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0).cast("bigint"),
+                                                             F.lit(buckets - 1).cast("bigint"))) \
+        .otherwise(F.array(F.lit(0).cast("bigint")))
+    agg = (agg.join(hot, agg["subscription"] == hot["_hot_key"], "left")
+           .withColumn("_salt", F.explode(salts)).drop("_hot_key"))
+    return keyed, agg
+
 
 def _first_where(cond: Column) -> Column:
     """First (lowest ``seq``) invoice meeting ``cond``, as struct(seq, status); NULL if none."""
@@ -63,21 +119,26 @@ def invoice_aggregates(invoices: DataFrame, params: ReportParams) -> DataFrame:
 
 def with_invoice_columns(report: DataFrame, invoices: DataFrame, params: ReportParams,
                          billing_col: str = "billing_id", type_col: str = "package_type",
-                         id_col: str = "client_sub_id") -> DataFrame:
+                         id_col: str = "client_sub_id",
+                         salt_buckets: int | None = SALT_BUCKETS) -> DataFrame:
     """Add ``status_chosen_month``, ``paid_last_2_months``, ``last_invoice_month``.
 
     Blank billing id -> "cannot determine" / "cannot determine" / ''.
     Package type other than monthly/yearly -> '' / '' / month of any paid invoice.
     No invoices at all -> '' in all three columns for every row (an EXISTS
-    subquery, so the plan stays lazy).
+    subquery, so the plan stays lazy). ``salt_buckets=None`` turns hot-key
+    salting off (for inputs whose billing ids are known to be unique).
     """
     lb = params.labels
     agg = invoice_aggregates(invoices, params)
     blank = is_blank(billing_col)
-    salted = F.concat(F.lit(_BLANK_KEY_PREFIX),
-                      F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    keyed = report.withColumn("_inv_key", F.when(blank, salted).otherwise(F.col(billing_col)))
-    j = keyed.join(agg, keyed["_inv_key"] == agg["subscription"], "left")
+    keyed = report.withColumn("_inv_key", invoice_join_key(billing_col, id_col))
+    if salt_buckets and salt_buckets > 1:
+        keyed, agg = salted(keyed, agg, id_col, salt_buckets)
+        cond = (keyed["_inv_key"] == agg["subscription"]) & (keyed["_salt"] == agg["_salt"])
+    else:
+        cond = keyed["_inv_key"] == agg["subscription"]
+    j = keyed.join(agg, cond, "left")
 
     typ = F.col(type_col)
     monthly, yearly = typ == F.lit(lb.interval_month), typ == F.lit(lb.interval_year)
