@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subledger.functions.tax_id import crm_tax_id
+from subledger.operators.joins import broadcast_if_bounded
 from subledger.params import ReportParams
 from subledger.schemas import CRM_PROJECT, REPORT_COLUMNS
 
 
+MAX_WANTED_STATUSES = 100_000
+
+
 def project_statuses(projects: DataFrame) -> DataFrame:
     """Project documents (``project_id, body`` JSON) -> one row per status with its position."""
     doc = F.from_json(F.col("body"), CRM_PROJECT)
@@ -35,7 +39,11 @@ def tasks_with_details(tasks: DataFrame, details: DataFrame, status_ids: DataFra
     Tasks whose detail is missing are dropped (inner join). ``dedupe`` removes
     tasks listed twice (a task-list page delivered again).
     """
+    # Every listed task carries the wanted status, so a shuffle on status_id
+    # would put all tasks in one partition: the wanted statuses (one per
+    # project) are broadcast instead, behind a bounded count.
     wanted = status_ids.filter(F.col("status_id").isNotNull()).select("status_id").distinct()
+    wanted = broadcast_if_bounded(wanted, MAX_WANTED_STATUSES)
     t = tasks.join(wanted, "status_id", "left_semi")
     if dedupe:
         t = t.dropDuplicates(["_id"])
