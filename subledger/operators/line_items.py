@@ -96,3 +96,48 @@ def invoice_fact(raw: DataFrame, params: ReportParams, keep_helpers: bool = Fals
     out = inv.select(*cols)
     assert tuple(out.columns[:14]) == INVOICE_FACT_COLUMNS
     return out
+
+
+def _with_default(v: Column, default: Column, typ: str) -> Column:
+    """``dict.get(key, default)``: missing key -> default, explicit null -> NULL."""
+    return (F.when(v.isNull(), default)
+            .when(F.is_variant_null(v), F.lit(None).cast(typ))
+            .otherwise(F.try_variant_get(v, "$", typ)))
+
+
+def invoice_fact_variant(docs: DataFrame, params: ReportParams, json_col: str = "json") -> DataFrame:
+    """R5 over raw invoice JSON: the 14-column invoice table with exact key semantics.
+
+    Top-level defaults (``attempt_count`` -> 0, ``payment_intent`` ->
+    placeholder, ``paid`` -> false) apply to missing keys only; an explicit
+    null stays NULL. The JSON text is parsed once per row.
+    """
+    lb = params.labels
+    parsed = docs.select(F.parse_json(F.col(json_col)).alias("_doc"))
+    v = F.col("_doc")
+
+    def get(path: str, typ: str) -> Column:
+        return F.variant_get(v, path, typ)
+
+    desc, active, interval = first_line_item_variant(v, lb)
+    created = get("$.created", "bigint")
+    return (parsed
+            .filter(created >= F.lit(params.invoice_since_epoch()))
+            .select(
+                get("$.id", "string").alias("id"),
+                (get("$.amount_due", "bigint") / 100).alias("amount_due"),
+                (get("$.amount_paid", "bigint") / 100).alias("amount_paid"),
+                (get("$.amount_remaining", "bigint") / 100).alias("amount_remaining"),
+                epoch_to_local_date(created, params.local_timezone).alias("created"),
+                get("$.customer", "string").alias("customer"),
+                desc.alias("lines_data_description"),
+                active.alias("plan_active"),
+                interval.alias("plan_interval"),
+                get("$.subscription", "string").alias("subscription"),
+                _with_default(F.variant_get(v, "$.attempt_count", "variant"), F.lit(0), "int")
+                .alias("attempt_count"),
+                _with_default(F.variant_get(v, "$.payment_intent", "variant"),
+                              F.lit(lb.no_payment_intent), "string").alias("payment_intent"),
+                get("$.status", "string").alias("status"),
+                _with_default(F.variant_get(v, "$.paid", "variant"), F.lit(False), "boolean")
+                .alias("paid")))

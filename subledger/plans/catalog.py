@@ -20,10 +20,11 @@ from subledger.functions.tax_id import normalize_tax_id, tax_id_number
 from subledger.functions.text import full_name, relabel
 from subledger.operators import crm as crm_ops
 from subledger.operators.flatten import flatten_struct
-from subledger.operators.invoice_lookup import with_invoice_columns
 from subledger.operators.joins import join_plans, retain, retention_predicates
 from subledger.operators.lifecycle import lifecycle_status
-from subledger.operators.line_items import first_line_item_variant, invoice_fact, invoices_since
+from subledger.operators.line_items import (
+    first_line_item_variant, invoice_fact, invoice_fact_variant, invoices_since,
+)
 from subledger.operators.quality import completeness, duplicate_ids, required_fields, stage_counts
 from subledger.params import (
     RAW_INTERVAL_MONTH, RAW_INTERVAL_YEAR, RAW_STATUS_ACTIVE, RAW_STATUS_CANCELED, UTC, ReportParams,
@@ -190,6 +191,10 @@ def first_line_item(spark, d):
                     interval.alias("plan_interval"))
 
 
+def invoice_json_fact(spark, d):
+    return invoice_fact_variant(px.invoices_json(spark, d), P())
+
+
 def invoice_since(spark, d):
     return invoices_since(px.invoices_raw(spark, d), P()).select(
         "id", "subscription", F.col("created").alias("created_epoch"))
@@ -304,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "last_invoice_month": last_invoice_month,
     "lifecycle_status": lifecycle_status_q,
     "first_line_item": first_line_item,
+    "invoice_json_fact": invoice_json_fact,
     "invoice_since": invoice_since,
     "newest_n": newest_n,
     "paged_scan": paged_scan,

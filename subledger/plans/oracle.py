@@ -121,7 +121,8 @@ def invs_cte(since_epoch: int) -> str:
     CAST(l_linenumber % 3 AS INTEGER) AS attempt_count,
     CASE WHEN l_linenumber = 1 THEN NULL
       ELSE 'pi_' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) END AS payment_intent,
-    l_linenumber AS ln, l_partkey AS pk, l_linestatus AS lstat
+    l_linenumber AS ln, l_partkey AS pk, l_linestatus AS lstat, l_suppkey AS sk,
+    l_orderkey AS subscription_key
   FROM lineitem
   WHERE CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) * 86400
       + (CAST(l_linenumber AS BIGINT) - 1) * 3 * 3600 >= {since_epoch})"""
@@ -316,6 +317,24 @@ SELECT 'in_' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCH
   CASE l_linenumber % 7 WHEN 1 THEN CASE WHEN l_partkey % 2 = 0 THEN 'month' ELSE 'year' END
     WHEN 4 THEN {_q(LB.no_plan_interval)} WHEN 5 THEN NULL ELSE {_q(LB.no_plan_interval)} END AS plan_interval
 FROM lineitem"""
+    o["invoice_json_fact"] = with_ctes(invs_cte(since)) + f"""
+SELECT id, due_minor / 100 AS amount_due,
+  CASE WHEN status = 'paid' THEN due_minor ELSE 0 END / 100 AS amount_paid,
+  CASE WHEN status = 'paid' THEN 0 ELSE due_minor END / 100 AS amount_remaining,
+  created, customer,
+  CASE ln % 7 WHEN 0 THEN {_q(LB.no_description)} WHEN 2 THEN {_q(LB.no_description)}
+    WHEN 3 THEN NULL ELSE 'Item ' || CAST(pk AS VARCHAR) END AS lines_data_description,
+  CASE ln % 7 WHEN 1 THEN CASE WHEN lstat = 'O' THEN 'true' ELSE 'false' END
+    WHEN 4 THEN 'false' WHEN 5 THEN NULL ELSE {_q(LB.no_plan_active)} END AS plan_active,
+  CASE ln % 7 WHEN 1 THEN CASE WHEN pk % 2 = 0 THEN 'month' ELSE 'year' END
+    WHEN 5 THEN NULL ELSE {_q(LB.no_plan_interval)} END AS plan_interval,
+  subscription,
+  CAST(CASE ln % 3 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE ln END AS INTEGER) AS attempt_count,
+  CASE pk % 3 WHEN 0 THEN {_q(LB.no_payment_intent)} WHEN 1 THEN NULL
+    ELSE 'pi_' || CAST(subscription_key AS VARCHAR) || '_' || CAST(ln AS VARCHAR) END AS payment_intent,
+  status,
+  CASE sk % 3 WHEN 0 THEN FALSE WHEN 1 THEN NULL ELSE status = 'paid' END AS paid
+FROM invs"""
     o["invoice_since"] = with_ctes(invs_cte(since)) + "SELECT id, subscription, created_epoch FROM invs"
     o["newest_n"] = f"""
 SELECT o_orderkey AS id,

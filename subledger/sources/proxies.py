@@ -127,7 +127,7 @@ def _line_items(ln: Column, pk: Column, line_status: Column) -> Column:
                                     F.struct(a.alias("active"), i.alias("interval")).alias("plan"))
     desc = F.concat(F.lit("Item "), _s(pk))
     interval = F.when(pk % 2 == 0, F.lit("month")).otherwise(F.lit("year"))
-    null_s, null_b = F.lit(None).cast("string"), F.lit(None).cast("boolean")
+    null_s = F.lit(None).cast("string")
     m = ln % 4
     return (F.when(m == 0, F.array().cast("array<struct<description:string,"
                                           "plan:struct<active:boolean,interval:string>>>"))
@@ -189,7 +189,30 @@ def invoices_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat(F.lit('[{"description":'), desc,
                                 F.lit('},{"description":"Second","plan":{"active":true,'
                                       '"interval":"week"}}]'))))
-    body = F.concat(F.lit('{"id":"'), inv_id, F.lit('","lines":{"data":'), data, F.lit("}}"))
+    due = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    paid = F.col("l_returnflag") == "A"
+    status = (F.when(paid, F.lit("paid")).when(F.col("l_returnflag") == "R", F.lit("void"))
+              .otherwise(F.lit("open")))
+    paid_amt = F.when(paid, due).otherwise(F.lit(0).cast("bigint"))
+    sub = F.when(k % 41 == 0, F.lit("null")).otherwise(F.concat(F.lit('"'), _s(k), F.lit('"')))
+
+    def optional(key: str, selector: Column, value: Column) -> Column:
+        """selector 0: key missing; 1: explicit null; 2: value."""
+        return (F.when(selector == 0, F.lit(""))
+                .when(selector == 1, F.lit(f',"{key}":null'))
+                .otherwise(F.concat(F.lit(f',"{key}":'), value)))
+
+    body = F.concat(
+        F.lit('{"id":"'), inv_id, F.lit('","amount_due":'), _s(due),
+        F.lit(',"amount_paid":'), _s(paid_amt), F.lit(',"amount_remaining":'), _s(due - paid_amt),
+        F.lit(',"created":'), _s(created_epoch(ln, F.col("l_shipdate"))),
+        F.lit(',"customer":"cus_'), _s("l_suppkey"), F.lit('","subscription":'), sub,
+        F.lit(',"status":"'), status, F.lit('"'),
+        optional("attempt_count", ln % 3, _s(ln)),
+        optional("payment_intent", pk % 3,
+                 F.concat(F.lit('"pi_'), _s(k), F.lit("_"), _s(ln), F.lit('"'))),
+        optional("paid", F.col("l_suppkey") % 3, F.when(paid, F.lit("true")).otherwise(F.lit("false"))),
+        F.lit(',"lines":{"data":'), data, F.lit("}}"))
     return li.select(inv_id.alias("id"), body.alias("json"))
 
 

@@ -40,3 +40,21 @@ def test_typed_path_and_fact(spark):
     d, a, i = first_line_item(F.col("lines.data"), LB)
     assert [tuple(r) for r in raw.filter(F.col("id") == "i3").select(d, a, i).collect()] == \
         [("Z", "false", "month")]
+
+
+def test_variant_invoice_fact_top_level_defaults(spark):
+    from subledger.operators.line_items import invoice_fact_variant
+    base = '"id":"%s","amount_due":250,"amount_paid":0,"amount_remaining":250,"created":1751320800,' \
+           '"customer":"c","subscription":"s","status":"open","lines":{"data":[]}'
+    docs = ["{" + base % "a" + "}",
+            "{" + base % "b" + ',"attempt_count":null,"payment_intent":null,"paid":null}',
+            "{" + base % "c" + ',"attempt_count":3,"payment_intent":"pi","paid":true}',
+            "{" + (base % "d").replace("1751320800", "1600000000") + "}"]
+    df = spark.createDataFrame([(d,) for d in docs], "json string")
+    got = {r["id"]: r for r in invoice_fact_variant(df, ReportParams()).collect()}
+    assert set(got) == {"a", "b", "c"}          # d is before the lower bound
+    assert (got["a"]["attempt_count"], got["a"]["payment_intent"], got["a"]["paid"]) == \
+        (0, LB.no_payment_intent, False)
+    assert (got["b"]["attempt_count"], got["b"]["payment_intent"], got["b"]["paid"]) == (None, None, None)
+    assert (got["c"]["attempt_count"], got["c"]["payment_intent"], got["c"]["paid"]) == (3, "pi", True)
+    assert got["a"]["amount_due"] == 2.5 and got["a"]["lines_data_description"] == LB.no_description

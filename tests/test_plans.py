@@ -2,7 +2,6 @@
 
 import re
 
-import pytest
 
 import __spark_entry__ as E
 from subledger.params import ReportParams

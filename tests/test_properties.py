@@ -6,7 +6,6 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subledger.operators.invoice_lookup import with_invoice_columns
