@@ -34,6 +34,25 @@ def required_fields(df: DataFrame, fields: Sequence[str], source: str) -> DataFr
         .select("source", "field", "records", "missing")
 
 
+def required_keys(records: DataFrame, fields: Sequence[str], source: str,
+                  doc_col: str = "doc") -> DataFrame:
+    """Q1 on raw records (VARIANT): per (dotted) key, how many records lack it.
+
+    A key present with a JSON null counts as present, as ``key in record``
+    does. One aggregation pass over every record.
+    """
+    doc = F.col(doc_col)
+    aggs = [F.count(F.lit(1)).alias("records")]
+    for i, f in enumerate(fields):
+        aggs.append(F.count_if(F.variant_get(doc, "$." + f, "variant").isNull()).alias(f"m{i}"))
+    wide = records.agg(*aggs)
+    stacked = F.stack(F.lit(len(fields)), *[x for i, f in enumerate(fields)
+                                            for x in (F.lit(f), F.col(f"m{i}"))])
+    return wide.select(F.lit(source).alias("source"), F.col("records"),
+                       stacked.alias("field", "missing")) \
+        .select("source", "field", "records", "missing")
+
+
 def completeness(pages: DataFrame, records: DataFrame, source: str) -> DataFrame:
     """Q2: announced total vs rows received; significant when missing > 10 % of received."""
     announced = pages.select(F.max("total")).scalar()

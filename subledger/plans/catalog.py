@@ -25,7 +25,9 @@ from subledger.operators.lifecycle import lifecycle_status
 from subledger.operators.line_items import (
     first_line_item_variant, invoice_fact, invoice_fact_variant, invoices_since,
 )
-from subledger.operators.quality import completeness, duplicate_ids, required_fields, stage_counts
+from subledger.operators.quality import (
+    completeness, duplicate_ids, required_fields, required_keys, stage_counts,
+)
 from subledger.params import (
     RAW_INTERVAL_MONTH, RAW_INTERVAL_YEAR, RAW_STATUS_ACTIVE, RAW_STATUS_CANCELED, UTC, ReportParams,
 )
@@ -248,6 +250,13 @@ def required_fields_q(spark, d):
             .unionByName(required_fields(px.plans(spark, d), PLAN_REQUIRED, "plans")))
 
 
+def required_keys_q(spark, d):
+    land = px.landing_pages(spark, d)
+    return (required_keys(landing_src.scan_pages_variant(land, "usersubs"), USERSUB_REQUIRED, "usersubs")
+            .unionByName(required_keys(landing_src.scan_pages_variant(land, "plans"), PLAN_REQUIRED,
+                                       "plans")))
+
+
 def stage_counts_q(spark, d):
     us, pl, _ = _sources(spark, d)
     preds = retention_predicates(P())
@@ -319,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "crm_tax_id": crm_tax_id,
     "crm_rows": crm_rows_q,
     "required_fields": required_fields_q,
+    "required_keys": required_keys_q,
     "completeness": completeness_q,
     "dup_ids": dup_ids,
     "stage_counts": stage_counts_q,

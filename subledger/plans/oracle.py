@@ -250,6 +250,12 @@ def _required(src: str, fields: list[tuple[str, str]]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _required_from(src: str, table: str, fields: list[tuple[str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {_q(src)} AS source, {_q(name)} AS field, count(*) AS records, "
+        f"count_if({cond}) AS missing FROM {table}" for name, cond in fields)
+
+
 def _oracles() -> dict[str, str]:
     p = PRM
     since = _since_epoch(p)
@@ -365,6 +371,18 @@ SELECT 'plans', count(*), count(DISTINCT id), count_if(id IS NULL),
         + "\nUNION ALL\n"
         + _required("plans", [("id", "id IS NULL"), ("name", "name IS NULL"), ("price", "FALSE"),
                               ("price.recurring_interval", "recurring_interval IS NULL")]))
+    o["required_keys"] = (
+        with_ctes(PLANS, USUBS, US_RECS, US_SCAN, PL_RECS, PL_SCAN,
+                  f"usersubs_keys AS (SELECT s.id, u.user_id, u.billing_id FROM us_scan s JOIN usubs u ON s.id = u.id)",
+                  "plans_keys AS (SELECT * FROM pl_scan)")
+        + _required_from("usersubs", "usersubs_keys",
+                         [("id", "FALSE"), ("subscription_id", "FALSE"), ("user", "FALSE"),
+                          ("status", "FALSE"), ("user.id", "user_id IS NULL"),
+                          ("stripe_subscription_id", "billing_id IS NULL")])
+        + "\nUNION ALL\n"
+        + _required_from("plans", "plans_keys",
+                         [("id", "FALSE"), ("name", "FALSE"), ("price", "FALSE"),
+                          ("price.recurring_interval", "recurring_interval IS NULL")]))
     o["stage_counts"] = with_ctes(PLANS, USUBS) + f"""
 SELECT count(*) AS joined, count_if({F1}) AS after_plan_filter, count_if({F1} AND {F2}) AS after_status_filter,
   count_if({F1} AND {F2} AND {F3}) AS after_user_filter

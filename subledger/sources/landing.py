@@ -105,3 +105,19 @@ def page_gaps(landing: DataFrame, source: str) -> DataFrame:
         first_bad.alias("first_bad_page"),
         F.max("last_page").alias("announced_last_page"),
         F.count_if(F.col("page_no") >= F.coalesce(first_bad, F.lit(2 ** 31 - 1))).alias("dropped_pages"))
+
+
+def scan_pages_variant(landing: DataFrame, source: str, prefix_rule: bool = True) -> DataFrame:
+    """S1 without a schema: each record as VARIANT (``doc``), keeping missing vs null keys.
+
+    Same paging rules and ``seq`` as ``scan_pages``; used by key-presence checks
+    and by sources whose records vary in shape.
+    """
+    pages = landing.filter(F.col("source") == source)
+    if prefix_rule:
+        pages = contiguous_prefix(pages)
+    recs = pages.select(
+        "page_no",
+        F.posexplode(F.variant_get(F.parse_json(F.col("body")), "$", "array<variant>")).alias("pos", "doc"))
+    seq = F.shiftleft(F.col("page_no").cast("bigint"), 32) + F.col("pos")
+    return recs.select("page_no", "pos", seq.alias("seq"), "doc")

@@ -36,3 +36,11 @@ def test_observe_count_no_extra_job(spark):
     df, obs = observe_count(spark.range(10).filter(F.col("id") > 2), "n")
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 7
+
+
+def test_required_keys_null_counts_as_present(spark):
+    from subledger.operators.quality import required_keys
+    docs = ['{"id":1,"user":{"id":null}}', '{"id":2,"user":{}}', '{"user":null}']
+    df = spark.createDataFrame([(d,) for d in docs], "j string").select(F.parse_json("j").alias("doc"))
+    out = {r["field"]: r["missing"] for r in required_keys(df, ["id", "user", "user.id"], "s").collect()}
+    assert out == {"id": 1, "user": 0, "user.id": 2}
