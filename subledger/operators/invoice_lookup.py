@@ -32,7 +32,7 @@ from subledger.params import INVOICE_PAID, ReportParams
 # single partition a NULL join key would land in.
 _BLANK_KEY_PREFIX = "\u0000blank:"
 
-# Hot billing ids: found on a deterministic 1 % sample; a key needs >= 200
+# Hot billing ids: found on a 1 % row-hash sample; a key needs >= 200
 # sampled rows (about 20 000 report rows) to count; at most 1 000 keys are
 # salted (the LIMIT proves the broadcast bound), each over 32 buckets.
 HOT_SAMPLE_FRACTION = 0.01
@@ -51,26 +51,29 @@ def invoice_join_key(billing_col: str = "billing_id", id_col: str = "client_sub_
     return F.when(is_blank(billing_col), salted).otherwise(F.col(billing_col))
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float | None = None,
+def hot_keys(df: DataFrame, key: str, row_id: str, fraction: float | None = None,
              min_sampled: int | None = None, max_keys: int | None = None) -> DataFrame:
     """Keys holding an outsized share of ``df``'s rows, as ``_hot_key``.
 
-    Detected on a seeded Bernoulli sample (detection only: no row is dropped
-    from any result) and capped at ``max_keys`` rows, so the result is safe
-    to broadcast.
+    Detected on a sample (detection only: no row is dropped from any result)
+    and capped at ``max_keys`` rows, so the result is safe to broadcast. The
+    sample is a hash of each row's (id, key), not a random draw: the hot set
+    is a pure function of the data, so both sides of the salted join see the
+    same set even if it is computed twice or recomputed after a lost task.
     """
     fraction = HOT_SAMPLE_FRACTION if fraction is None else fraction
     min_sampled = HOT_MIN_SAMPLED if min_sampled is None else min_sampled
     max_keys = MAX_HOT_KEYS if max_keys is None else max_keys
-    return (df.select(F.col(key)).sample(fraction=fraction, seed=_SAMPLE_SEED)
-            .groupBy(key).count().filter(F.col("count") >= min_sampled)
+    in_sample = F.pmod(F.xxhash64(F.col(row_id), F.col(key), F.lit(_SAMPLE_SEED)),
+                       F.lit(1_000_000)) < F.lit(int(fraction * 1_000_000))
+    return (df.filter(in_sample).groupBy(key).count().filter(F.col("count") >= min_sampled)
             .orderBy(F.col("count").desc(), F.col(key)).limit(max_keys)
             .select(F.col(key).alias("_hot_key")))
 
 
 def salted(keyed: DataFrame, agg: DataFrame, id_col: str, buckets: int):
     """Salt hot keys: report rows spread by record id, aggregate rows replicated."""
-    hot = F.broadcast(hot_keys(keyed, "_inv_key"))
+    hot = F.broadcast(hot_keys(keyed, "_inv_key", id_col))
     keyed = (keyed.join(hot, keyed["_inv_key"] == hot["_hot_key"], "left")
              .withColumn("_salt", F.when(F.col("_hot_key").isNotNull(),
                                          F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)))

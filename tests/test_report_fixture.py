@@ -125,3 +125,35 @@ def test_arrival_order_decides_first(frames, spark):
     inv2 = spark.createDataFrame([("b1", D(2025, 7, 5), "paid", 9), ("b1", D(2025, 7, 20), "open", 5)],
                                  INVOICE_SCHEMA)
     assert _report(frames, inv2)[101]["status_chosen_month"] == "open"
+
+
+def test_plan_join_fans_out_and_matches_null_keys(spark):
+    from subledger.operators.joins import join_plans
+    subs = spark.createDataFrame([(1, 7), (2, None), (3, 8)], "id bigint, subscription_id bigint")
+    plans = spark.createDataFrame([(7, "a", ("month",)), (7, "b", ("year",)), (None, "n", ("week",))], PLAN)
+    got = sorted((r["id"], r["plan_id"], r["recurring_interval"]) for r in join_plans(subs, plans).collect())
+    assert got == [(1, 7, "month"), (1, 7, "year"), (2, None, "week"), (3, None, None)]
+
+
+def test_crm_task_dedupe(spark):
+    from subledger.operators.crm import crm_tax_ids, tasks_with_details
+    tasks = spark.createDataFrame([("s", "t1"), ("s", "t1"), ("s", "t2"), ("x", "t3")], "status_id string, _id string")
+    details = spark.createDataFrame([("t1", '{"client":{"company":{"nip":5}}}'), ("t3", '{}')], "_id string, body string")
+    ids = spark.createDataFrame([("p", "s")], "project_id string, status_id string")
+    kept = crm_tax_ids(tasks_with_details(tasks, details, ids))
+    assert [r["tax_id"] for r in kept.collect()] == ["0000000005", "0000000005"]   # parity: listed twice
+    assert kept.count() == 2 and crm_tax_ids(tasks_with_details(tasks, details, ids, dedupe=True)).count() == 1
+
+
+def test_empty_report_overwrites_to_empty_table(spark, tmp_path):
+    from subledger.sinks.writers import write_report
+    from subledger.schemas import REPORT_COLUMNS
+    out = str(tmp_path / "r")
+    full = spark.createDataFrame([(1,)], "client_sub_id bigint")
+    assert write_report(full, out, out + "_meta", dt.date(2025, 8, 15)) == 1
+    empty = full.filter("client_sub_id < 0")
+    assert write_report(empty, out, out + "_meta", dt.date(2025, 8, 16)) == 0
+    assert spark.read.parquet(out).count() == 0
+    meta = spark.read.parquet(out + "_meta").collect()[0]
+    assert (meta["row_count"], str(meta["as_of_date"])) == (0, "2025-08-16")
+    assert len(REPORT_COLUMNS) == 19

@@ -60,10 +60,10 @@ def _patch_detection(monkeypatch):
 def test_hot_key_detection(spark, monkeypatch):
     _patch_detection(monkeypatch)
     keyed = _report(spark).withColumn("_inv_key", invoice_join_key())
-    assert [r[0] for r in il.hot_keys(keyed, "_inv_key").collect()] == ["hot"]
+    assert [r[0] for r in il.hot_keys(keyed, "_inv_key", "client_sub_id").collect()] == ["hot"]
     # defaults: a 1 % sample needs ~20 000 rows per key; this fixture has none that hot
     monkeypatch.undo()
-    assert il.hot_keys(keyed, "_inv_key").count() == 0
+    assert il.hot_keys(keyed, "_inv_key", "client_sub_id").count() == 0
 
 
 def test_salting_spreads_hot_rows_and_keeps_results(spark, monkeypatch):
@@ -80,3 +80,12 @@ def test_salting_spreads_hot_rows_and_keeps_results(spark, monkeypatch):
     plan = re.sub(r"#\d+L?", "", out._sc._jvm.PythonSQLUtils.explainString(
         out._jdf.queryExecution(), "simple"))
     assert "[_inv_key, _salt], [subscription, _salt], LeftOuter" in plan
+
+
+def test_hot_set_is_a_function_of_the_data(spark, monkeypatch):
+    _patch_detection(monkeypatch)
+    keyed = _report(spark).withColumn("_inv_key", invoice_join_key())
+    a = il.hot_keys(keyed, "_inv_key", "client_sub_id").collect()
+    b = il.hot_keys(keyed.repartition(7).sortWithinPartitions(F.rand(3)), "_inv_key",
+                    "client_sub_id").collect()
+    assert a == b
