@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from subledger.functions.blank import blank_fill
 from subledger.functions.dates import parse_ts_lenient, parse_ts_strict
-from subledger.functions.tax_id import normalize_tax_id, tax_id_number
+from subledger.functions.tax_id import normalize_tax_id, tax_id10, tax_id_number
 from subledger.functions.text import full_name, relabel
 from subledger.operators import crm as crm_ops
 from subledger.operators.flatten import flatten_struct
@@ -158,7 +158,8 @@ def tax_id_norm(spark, d):
     raw = F.col("user.default_address.tax_number")
     return px.usersubs(spark, d).select(F.col("id").alias("client_sub_id"), raw.alias("tax_id_raw"),
                                         normalize_tax_id(raw).alias("tax_id"),
-                                        tax_id_number(raw).alias("tax_id_num"))
+                                        tax_id_number(raw).alias("tax_id_num"),
+                                        tax_id10(raw).alias("tax_id10"))
 
 
 # ---- derived invoice columns --------------------------------------------------------

@@ -308,7 +308,12 @@ SELECT id AS client_sub_id, purchased_at, expires_at, cancelled_raw AS cancelled
     o["cancel_backfill"] = shift_rows + """
 SELECT id AS client_sub_id, COALESCE(cancelled_raw, expires_at) AS cancelled_at FROM usubs"""
     o["tax_id_norm"] = shift_rows + """
-SELECT id AS client_sub_id, tax_raw AS tax_id_raw, tax_norm AS tax_id, tax_num AS tax_id_num FROM usubs"""
+SELECT id AS client_sub_id, tax_raw AS tax_id_raw, tax_norm AS tax_id, tax_num AS tax_id_num,
+  CASE WHEN regexp_replace(tax_raw, '[^0-9]', '', 'g') = '' THEN NULL
+    WHEN length(regexp_replace(tax_raw, '[^0-9]', '', 'g')) < 10
+      THEN lpad(regexp_replace(tax_raw, '[^0-9]', '', 'g'), 10, '0')
+    ELSE regexp_replace(tax_raw, '[^0-9]', '', 'g') END AS tax_id10
+FROM usubs"""
     for name in ("status_chosen_month", "paid_last_2_months", "last_invoice_month"):
         o[{"status_chosen_month": "chosen_month_status"}.get(name, name)] = (
             f"SELECT client_sub_id, billing_id, package_type, {name} FROM ({report18(p)})")
