@@ -11,11 +11,11 @@ the shuffle, and one left join:
 Cost is O(subscriptions + invoices) instead of O(subscriptions x invoices).
 A hot subscription collapses to one row per map task in the partial
 aggregation. A hot billing id on the report side (many report rows, one
-aggregate row) is salted: hot keys are found on a deterministic sample,
-capped in number (so their broadcast is bounded), their report rows spread
-over ``salt_buckets`` by record id and their aggregate row replicated per
+aggregate row) is salted: hot keys are found by one small job on a row-hash
+sample, capped in number (a bounded list), their report rows spread over
+``salt_buckets`` by record id and their aggregate row replicated per
 bucket. Every other key joins as before, and because both join inputs are
-plain shuffles, AQE's skew join can split whatever skew remains.
+then plain shuffles, AQE's skew join can split whatever skew remains.
 """
 
 from __future__ import annotations
@@ -71,20 +71,21 @@ def hot_keys(df: DataFrame, key: str, row_id: str, fraction: float | None = None
             .select(F.col(key).alias("_hot_key")))
 
 
-def salted(keyed: DataFrame, agg: DataFrame, id_col: str, buckets: int):
-    """Salt hot keys: report rows spread by record id, aggregate rows replicated."""
-    hot = F.broadcast(hot_keys(keyed, "_inv_key", id_col))
-    keyed = (keyed.join(hot, keyed["_inv_key"] == hot["_hot_key"], "left")
-             .withColumn("_salt", F.when(F.col("_hot_key").isNotNull(),
-                                         F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)))
-                         .otherwise(F.lit(0).cast("bigint")))
-             .drop("_hot_key"))
-    salts = F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0).cast("bigint"),
-                                                             F.lit(buckets - 1).cast("bigint"))) \
-        .otherwise(F.array(F.lit(0).cast("bigint")))
-    agg = (agg.join(hot, agg["subscription"] == hot["_hot_key"], "left")
-           .withColumn("_salt", F.explode(salts)).drop("_hot_key"))
-    return keyed, agg
+def hot_key_list(df: DataFrame, key: str, row_id: str) -> list[str]:
+    """The hot keys as a Python list: at most MAX_HOT_KEYS values (bounded collect)."""
+    return [r["_hot_key"] for r in hot_keys(df, key, row_id).collect()]
+
+
+def salted(keyed: DataFrame, agg: DataFrame, id_col: str, buckets: int, hot: list[str]):
+    """Salt the given hot keys: report rows spread over ``buckets`` by record id,
+    each hot key's aggregate row replicated once per bucket; other keys get salt 0."""
+    zero = F.lit(0).cast("bigint")
+    keyed = keyed.withColumn("_salt", F.when(F.col("_inv_key").isin(*hot),
+                                             F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)))
+                             .otherwise(zero))
+    salts = F.when(F.col("subscription").isin(*hot),
+                   F.sequence(zero, F.lit(buckets - 1).cast("bigint"))).otherwise(F.array(zero))
+    return keyed, agg.withColumn("_salt", F.explode(salts))
 
 
 def _first_where(cond: Column) -> Column:
@@ -129,15 +130,19 @@ def with_invoice_columns(report: DataFrame, invoices: DataFrame, params: ReportP
     Blank billing id -> "cannot determine" / "cannot determine" / ''.
     Package type other than monthly/yearly -> '' / '' / month of any paid invoice.
     No invoices at all -> '' in all three columns for every row (an EXISTS
-    subquery, so the plan stays lazy). ``salt_buckets=None`` turns hot-key
-    salting off (for inputs whose billing ids are known to be unique).
+    subquery, so the plan stays lazy). Hot billing ids are detected first by
+    one small job (a 1 % row-hash sample of the join keys, at most
+    MAX_HOT_KEYS returned); without hot keys the plan is the plain one-shuffle-
+    per-side join. ``salt_buckets=None`` skips the detection (for inputs whose
+    billing ids are known to be unique).
     """
     lb = params.labels
     agg = invoice_aggregates(invoices, params)
     blank = is_blank(billing_col)
     keyed = report.withColumn("_inv_key", invoice_join_key(billing_col, id_col))
-    if salt_buckets and salt_buckets > 1:
-        keyed, agg = salted(keyed, agg, id_col, salt_buckets)
+    hot = hot_key_list(keyed, "_inv_key", id_col) if salt_buckets and salt_buckets > 1 else []
+    if hot:
+        keyed, agg = salted(keyed, agg, id_col, salt_buckets, hot)
         cond = (keyed["_inv_key"] == agg["subscription"]) & (keyed["_salt"] == agg["_salt"])
     else:
         cond = keyed["_inv_key"] == agg["subscription"]

@@ -70,7 +70,9 @@ def test_salting_spreads_hot_rows_and_keeps_results(spark, monkeypatch):
     _patch_detection(monkeypatch)
     keyed = _report(spark).withColumn("_inv_key", invoice_join_key())
     agg = il.invoice_aggregates(_invoices(spark), P)
-    k2, a2 = il.salted(keyed, agg, "client_sub_id", il.SALT_BUCKETS)
+    hot = il.hot_key_list(keyed, "_inv_key", "client_sub_id")
+    assert hot == ["hot"]
+    k2, a2 = il.salted(keyed, agg, "client_sub_id", il.SALT_BUCKETS, hot)
     sizes = [r["count"] for r in k2.filter(F.col("_inv_key") == "hot").groupBy("_salt").count().collect()]
     assert len(sizes) == il.SALT_BUCKETS and max(sizes) < 2 * (N // 3) / il.SALT_BUCKETS
     assert a2.filter(F.col("subscription") == "hot").count() == il.SALT_BUCKETS
