@@ -42,9 +42,16 @@ def date_literal(value: dt.date) -> Column:
 
 
 def epoch_to_local_date(epoch: Column | str, timezone: str = "UTC") -> Column:
-    """Unix seconds -> calendar date in ``timezone`` (independent of the session zone)."""
-    ts = F.timestamp_seconds(_col(epoch))
-    return F.to_date(F.from_utc_timestamp(ts, timezone)) if timezone != "UTC" else F.to_date(ts)
+    """Unix seconds -> calendar date in ``timezone``.
+
+    Built as a UTC wall clock (TIMESTAMP_NTZ arithmetic) and converted with
+    ``convert_timezone``, so the result never depends on the session zone.
+    """
+    epoch_ntz = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc_wall = epoch_ntz + F.make_dt_interval(secs=_col(epoch).cast("decimal(18,0)"))
+    if timezone == "UTC":
+        return F.to_date(utc_wall)
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc_wall))
 
 
 def month_name(d: Column, names: Sequence[str]) -> Column:

@@ -74,3 +74,19 @@ def test_month_end_clamping():
     assert ReportParams(window_month2=8).window_monthly_range()[1] == dt.date(2025, 8, 31)
     assert ReportParams(chosen_month=12).chosen_monthly_range() == (dt.date(2025, 12, 1), dt.date(2026, 1, 1))
     assert ReportParams().invoice_since_epoch() == 1719792000
+
+
+def test_epoch_date_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        # 2025-06-30 22:00 UTC: still 30 June in UTC, already 1 July in Warsaw, whatever the session says
+        assert _one_col(spark, [1751320800], lambda c: epoch_to_local_date(c, "UTC"), "bigint") == \
+            [dt.date(2025, 6, 30)]
+        assert _one_col(spark, [1751320800], lambda c: epoch_to_local_date(c, "Europe/Warsaw"),
+                        "bigint") == [dt.date(2025, 7, 1)]
+        # winter: UTC+1
+        assert _one_col(spark, [1735686000], lambda c: epoch_to_local_date(c, "Europe/Warsaw"),
+                        "bigint") == [dt.date(2025, 1, 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
