@@ -54,8 +54,10 @@ def required_keys(records: DataFrame, fields: Sequence[str], source: str,
 
 
 def completeness(pages: DataFrame, records: DataFrame, source: str) -> DataFrame:
-    """Q2: announced total vs rows received; significant when missing > 10 % of received."""
-    announced = pages.select(F.max("total")).scalar()
+    """Q2: announced total (as given by the first answered page) vs rows received;
+    significant when missing > 10 % of received."""
+    announced = (pages.filter(F.col("http_status") == 200)
+                 .select(F.min_by("total", "page_no")).scalar())
     received = records.agg(F.count(F.lit(1)).alias("received"))
     return received.select(
         F.lit(source).alias("source"),
@@ -66,14 +68,15 @@ def completeness(pages: DataFrame, records: DataFrame, source: str) -> DataFrame
 
 
 def duplicate_ids(records: DataFrame, id_col: str, source: str) -> DataFrame:
-    """A4: rows minus distinct ids (NULL ids counted apart)."""
+    """A4: rows minus distinct ids, NULL counting as one id value (as a set of ids does)."""
     c = F.col(id_col)
     return records.agg(
         F.lit(source).alias("source"),
         F.count(F.lit(1)).alias("records"),
         F.count_distinct(c).alias("distinct_ids"),
         F.count_if(c.isNull()).alias("null_ids"),
-    ).withColumn("duplicates", F.col("records") - F.col("distinct_ids") - F.col("null_ids"))
+    ).withColumn("duplicates", F.col("records") - F.col("distinct_ids")
+                 - F.when(F.col("null_ids") > 0, F.lit(1)).otherwise(F.lit(0)))
 
 
 def stage_counts(joined: DataFrame, predicates: Sequence[Column],

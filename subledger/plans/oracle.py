@@ -363,10 +363,12 @@ SELECT 'plans', (SELECT count(*) FROM plans), count(*), (SELECT count(*) FROM pl
   ((SELECT count(*) FROM plans) - count(*)) > count(*) * 0.1 FROM pl_scan"""
     o["dup_ids"] = with_ctes(PLANS, USUBS, US_RECS, US_SCAN, PL_RECS, PL_SCAN) + """
 SELECT 'usersubs' AS source, count(*) AS records, count(DISTINCT id) AS distinct_ids,
-  count_if(id IS NULL) AS null_ids, count(*) - count(DISTINCT id) - count_if(id IS NULL) AS duplicates FROM us_scan
+  count_if(id IS NULL) AS null_ids,
+  count(*) - count(DISTINCT id) - CASE WHEN count_if(id IS NULL) > 0 THEN 1 ELSE 0 END AS duplicates
+FROM us_scan
 UNION ALL
 SELECT 'plans', count(*), count(DISTINCT id), count_if(id IS NULL),
-  count(*) - count(DISTINCT id) - count_if(id IS NULL) FROM pl_scan"""
+  count(*) - count(DISTINCT id) - CASE WHEN count_if(id IS NULL) > 0 THEN 1 ELSE 0 END FROM pl_scan"""
     o["required_fields"] = (
         with_ctes(PLANS, USUBS, "usersubs_req AS (SELECT * FROM usubs)", "plans_req AS (SELECT * FROM plans)")
         + _required("usersubs", [("id", "id IS NULL"), ("subscription_id", "subscription_id IS NULL"),

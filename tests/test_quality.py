@@ -21,6 +21,9 @@ def test_duplicate_ids(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "id bigint")
     r = duplicate_ids(df, "id", "s").collect()[0]
     assert (r["records"], r["distinct_ids"], r["null_ids"], r["duplicates"]) == (4, 2, 1, 1)
+    # ids [1, None, None]: a set holds {1, None}, so one duplicate
+    two_null = spark.createDataFrame([(1,), (None,), (None,)], "id bigint")
+    assert duplicate_ids(two_null, "id", "s").collect()[0]["duplicates"] == 1
 
 
 def test_required_fields_counts_all_rows(spark):
