@@ -76,6 +76,12 @@ def report_base(spark, d):
     return reports.report_base(us, pl, P())
 
 
+def subscriptions_only(spark, d):
+    """The subscriptions-only table; tax ids exactly as given."""
+    us, pl, _ = _sources(spark, d)
+    return reports.report_base(us, pl, P(), normalise_tax_id=False)
+
+
 def report_no_crm(spark, d):
     us, pl, inv = _sources(spark, d)
     return reports.report_no_crm(us, pl, inv, P())
@@ -301,6 +307,7 @@ def report_meta_q(spark, d):
 QUERIES: dict[str, Query] = {
     "subscription_report": subscription_report,
     "report_base": report_base,
+    "subscriptions_only": subscriptions_only,
     "report_no_crm": report_no_crm,
     "report_with_crm": report_with_crm,
     "report_no_invoices": report_no_invoices,

@@ -263,6 +263,8 @@ def _oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     o["subscription_report"] = full_report(p)
     o["report_base"] = with_ctes(PLANS, USUBS, RB) + f"SELECT {BASE_COLS} FROM rb"
+    o["subscriptions_only"] = (with_ctes(PLANS, USUBS, RB.replace("u.tax_norm AS tax_id", "u.tax_raw AS tax_id"))
+                               + f"SELECT {BASE_COLS} FROM rb")
     o["report_no_crm"] = report18(p)
     o["report_with_crm"] = (
         with_ctes(PLANS, USUBS, RB, invs_cte(since), CRM)
