@@ -21,9 +21,26 @@ REQUIRED_CONF = {
 }
 
 
+# Shuffle sizing, applied only when the cluster did not choose: AQE starts
+# from many partitions and merges them to ~128 MB each; it never splits an
+# oversized one (outside skew joins), so the starting number must be high.
+ADVISORY_PARTITION_BYTES = "128m"
+PARTITIONS_PER_CORE = 4
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    if not spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", ADVISORY_PARTITION_BYTES)
+    if not spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None):
+        try:
+            cores = spark.sparkContext.defaultParallelism
+        except Exception:  # remote session: leave the cluster's settings alone
+            return spark
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                       str(max(shuffle, PARTITIONS_PER_CORE * cores)))
     return spark
 
 
