@@ -34,7 +34,7 @@ _BLANK_KEY_PREFIX = "\u0000blank:"
 
 # Hot billing ids: found on a 1 % row-hash sample; a key needs >= 200
 # sampled rows (about 20 000 report rows) to count; at most 1 000 keys are
-# salted (the LIMIT proves the broadcast bound), each over 32 buckets.
+# salted (the LIMIT bounds what the driver collects), each over 32 buckets.
 HOT_SAMPLE_FRACTION = 0.01
 HOT_MIN_SAMPLED = 200
 MAX_HOT_KEYS = 1000
@@ -77,11 +77,13 @@ def hot_key_list(df: DataFrame, key: str, row_id: str) -> list[str]:
 
 
 def salted(keyed: DataFrame, agg: DataFrame, id_col: str, buckets: int, hot: list[str]):
-    """Salt the given hot keys: report rows spread over ``buckets`` by record id,
-    each hot key's aggregate row replicated once per bucket; other keys get salt 0."""
+    """Salt the given hot keys: report rows spread over ``buckets`` by a hash of
+    the whole row (record id first, so rows sharing an id still spread), each
+    hot key's aggregate row replicated once per bucket; other keys get salt 0."""
     zero = F.lit(0).cast("bigint")
+    row_hash = F.xxhash64(F.col(id_col), *[F.col(f"`{c}`") for c in keyed.columns if c != id_col])
     keyed = keyed.withColumn("_salt", F.when(F.col("_inv_key").isin(*hot),
-                                             F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)))
+                                             F.pmod(row_hash, F.lit(buckets)))
                              .otherwise(zero))
     salts = F.when(F.col("subscription").isin(*hot),
                    F.sequence(zero, F.lit(buckets - 1).cast("bigint"))).otherwise(F.array(zero))
