@@ -107,6 +107,37 @@ class ReportParams:
     crm_target_status: str | None = None
     dedupe_crm_tasks: bool = False
 
+    # ---- construction from a settings file ------------------------------------
+    @classmethod
+    def from_config(cls, cfg: dict, **overrides) -> "ReportParams":
+        """Build from the settings-file layout used by the reference's job.
+
+        ``date_settings`` gives the three date windows, ``stripe_fetch_settings
+        .filter_date`` the invoice lower bound (UTC midnight). Tenant values
+        (exclusions, CRM status) come in as ``overrides``.
+        """
+        ds = cfg.get("date_settings", {})
+        chosen = ds.get("invoice_status_chosen_month", {})
+        window = ds.get("invoice_status_last_2_months", {})
+        last = ds.get("last_invoice_month", {})
+        since = cfg.get("stripe_fetch_settings", {}).get("filter_date")
+        kw: dict = {}
+        pairs = [(chosen, "month", "chosen_month"), (chosen, "year", "chosen_year"),
+                 (chosen, "yearly_subscription_start_year", "chosen_yearly_start_year"),
+                 (window, "month1", "window_month1"), (window, "month2", "window_month2"),
+                 (window, "year", "window_year"),
+                 (window, "yearly_subscription_start_year", "window_yearly_start_year"),
+                 (last, "current_year", "current_year"),
+                 (last, "yearly_subscription_start_year", "last_yearly_start_year")]
+        for section, key, name in pairs:
+            if key in section:
+                kw[name] = int(section[key])
+        if since:
+            kw["invoice_since"] = dt.datetime(int(since["year"]), int(since["month"]),
+                                              int(since["day"]), tzinfo=UTC)
+        kw.update(overrides)
+        return cls(**kw)
+
     # ---- derived date bounds -------------------------------------------------
     def chosen_monthly_range(self) -> tuple[dt.date, dt.date]:
         """Half-open [first day, first day of next month) of the chosen month."""

@@ -108,3 +108,47 @@ def run_report(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> int
         write_invoice_fact(invoice_fact(inp.invoices_raw, params), f"{cfg.output_path}/invoices",
                            fmt=cfg.report_format)
     return rows
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``python -m subledger.plans.job --landing L --output O [--config settings.json] ...``"""
+    import argparse
+    import json
+
+    ap = argparse.ArgumentParser(prog="subledger-report", description=main.__doc__)
+    ap.add_argument("--landing", required=True, help="landing table path (pages)")
+    ap.add_argument("--output", required=True, help="output folder (report, report_meta, invoices)")
+    ap.add_argument("--landing-format", default="json")
+    ap.add_argument("--report-format", default="parquet")
+    ap.add_argument("--config", help="settings file with date_settings / stripe_fetch_settings")
+    ap.add_argument("--exclude-plans", default="", help="comma-separated plan ids")
+    ap.add_argument("--exclude-users", default="", help="comma-separated user ids")
+    ap.add_argument("--crm-status", help="CRM status name whose contracts are appended")
+    ap.add_argument("--as-of", help="'YYYY-MM-DD HH:MM:SS' for the lifecycle status (default: now)")
+    ap.add_argument("--local-timezone", default="UTC", help="zone of invoice calendar dates")
+    ap.add_argument("--max-pages", type=int, help="page cap per source")
+    ap.add_argument("--on-gap", default="warn", choices=["ignore", "warn", "fail"])
+    ap.add_argument("--write-invoices", action="store_true")
+    ap.add_argument("--ordered", action="store_true", help="sheet order (a global sort)")
+    a = ap.parse_args(argv)
+
+    ids = lambda s: tuple(int(x) for x in s.split(",") if x.strip())
+    cfg = {}
+    if a.config:
+        with open(a.config, encoding="utf-8") as fh:
+            cfg = json.load(fh)
+    params = ReportParams.from_config(
+        cfg, excluded_plan_ids=ids(a.exclude_plans), excluded_user_ids=ids(a.exclude_users),
+        crm_target_status=a.crm_status, local_timezone=a.local_timezone,
+        as_of=dt.datetime.strptime(a.as_of, "%Y-%m-%d %H:%M:%S") if a.as_of else None)
+    from subledger.session import configure
+    spark = configure(SparkSession.builder.appName("subledger-report").getOrCreate())
+    rows = run_report(spark, JobConfig(a.landing, a.output, a.landing_format, a.report_format,
+                                       a.max_pages, a.on_gap, a.write_invoices,
+                                       with_crm=bool(a.crm_status), ordered=a.ordered), params)
+    print(json.dumps({"report_rows": rows, "output": a.output}))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

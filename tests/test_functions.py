@@ -90,3 +90,18 @@ def test_epoch_date_ignores_session_zone(spark):
                         "bigint") == [dt.date(2025, 1, 1)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_params_from_settings_file_layout():
+    cfg = {"date_settings": {
+        "invoice_status_chosen_month": {"month": 3, "year": 2026, "yearly_subscription_start_year": 2025},
+        "invoice_status_last_2_months": {"month1": 2, "month2": 3, "year": 2026,
+                                         "yearly_subscription_start_year": 2025},
+        "last_invoice_month": {"current_year": 2026, "yearly_subscription_start_year": 2025}},
+        "stripe_fetch_settings": {"filter_date": {"year": 2025, "month": 3, "day": 1}}}
+    p = ReportParams.from_config(cfg, excluded_plan_ids=(5,))
+    assert (p.chosen_month, p.chosen_year, p.chosen_yearly_start_year) == (3, 2026, 2025)
+    assert p.window_monthly_range() == (dt.date(2026, 2, 1), dt.date(2026, 3, 31))
+    assert p.chosen_yearly_range() == (dt.date(2025, 3, 1), dt.date(2026, 3, 30))
+    assert p.last_yearly_start() == dt.date(2025, 1, 1) and p.excluded_plan_ids == (5,)
+    assert p.invoice_since_epoch() == int(dt.datetime(2025, 3, 1, tzinfo=dt.timezone.utc).timestamp())

@@ -78,6 +78,16 @@ def _landing(tmp_path, extra_plan_status=None):
 PARAMS = ReportParams(as_of=dt.datetime(2025, 8, 15, 12), crm_target_status="Contracts")
 
 
+def _read_in_file_order(spark, path, fmt):
+    """Rows of an ordered export, part file by part file in name order."""
+    import glob
+    rows = []
+    for f in sorted(glob.glob(f"{path}/part-*")):
+        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+        rows += reader.format(fmt).load(f).collect()
+    return rows
+
+
 def test_job_writes_report_and_meta(spark, tmp_path):
     out = str(tmp_path / "out")
     n = run_report(spark, JobConfig(_landing(tmp_path), out, write_invoices=True), PARAMS)
@@ -117,9 +127,24 @@ def test_ordered_csv_export(spark, tmp_path):
     out = str(tmp_path / "ordered")
     cfg = JobConfig(_landing(tmp_path), out, report_format="csv", ordered=True)
     run_report(spark, cfg, PARAMS)
-    rows = spark.read.option("header", True).csv(f"{out}/report").collect()
+    rows = _read_in_file_order(spark, f"{out}/report", "csv")
     ids = [r["client_sub_id"] for r in rows]
     assert ids[:3] == ["101", "102", "103"] and ids[3:] == ["0", "0"]
     assert [r["tax_id"] for r in rows[3:]] == ["0987654321", "PL-1"]
     assert rows[0]["purchased_at"] == "2025-01-10 10:00:00"
     assert "_seq" not in rows[0].asDict()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from subledger.plans.job import main
+    settings = tmp_path / "settings.json"
+    settings.write_text(json.dumps({
+        "date_settings": {"invoice_status_chosen_month": {"month": 7, "year": 2025,
+                                                          "yearly_subscription_start_year": 2024}},
+        "stripe_fetch_settings": {"filter_date": {"year": 2024, "month": 7, "day": 1}}}))
+    out = str(tmp_path / "cli")
+    assert main(["--landing", _landing(tmp_path), "--output", out, "--config", str(settings),
+                 "--crm-status", "Contracts", "--as-of", "2025-08-15 12:00:00", "--ordered"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["report_rows"] == 5
+    rows = _read_in_file_order(spark, f"{out}/report", "parquet")
+    assert [r["client_sub_id"] for r in rows] == [101, 102, 103, 0, 0]
