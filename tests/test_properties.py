@@ -86,3 +86,94 @@ def test_later_as_of_never_revives_cancelled(spark, days, a, b):
     for early, late in zip(statuses(a), statuses(b)):
         if early == LB.lifecycle_cancelled:
             assert late == LB.lifecycle_cancelled
+
+
+def _report_tax_model(v):
+    """P12 in plain Python: blanks unchanged, strip, all digits -> integer text."""
+    if v is None or v == "":
+        return v
+    t = v.strip()
+    return str(int(t)) if t.isdigit() and t.isascii() else t
+
+
+@settings(max_examples=8, deadline=None)
+@given(vals=st.lists(st.one_of(st.none(), st.text(alphabet=" \t0123456789-PLx", max_size=14)),
+                     min_size=1, max_size=40))
+def test_report_tax_id_matches_model(spark, vals):
+    from subledger.functions.tax_id import normalize_tax_id
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    got = [r[0] for r in df.orderBy("i").select(normalize_tax_id(F.col("v"))).collect()]
+    assert got == [_report_tax_model(v) for v in vals]
+
+
+_MISSING = object()
+
+
+def _crm_tax_model(nip):
+    """P13 in plain Python over a decoded JSON value."""
+    if nip is _MISSING:
+        nip = ""
+    if isinstance(nip, (int, float)) and nip > 0:
+        s = str(int(nip))
+        return s.zfill(10) if len(s) < 10 else s
+    if isinstance(nip, str) and nip:
+        return nip
+    return ""
+
+
+nip_values = st.one_of(
+    st.just(_MISSING), st.none(), st.booleans(), st.integers(-10**3, 10**12),
+    st.floats(min_value=-1e6, max_value=1e11, allow_nan=False, allow_infinity=False).map(lambda f: round(f, 2)),
+    st.text(alphabet="PL-0123 ", max_size=8))
+
+
+@settings(max_examples=8, deadline=None)
+@given(nips=st.lists(nip_values, min_size=1, max_size=30))
+def test_crm_tax_id_matches_model(spark, nips):
+    from subledger.functions.tax_id import crm_tax_id
+    from pyspark.sql import functions as F
+    docs = []
+    for n in nips:
+        company = {} if n is _MISSING else {"nip": n}
+        docs.append(json.dumps({"client": {"company": company}}))
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, d string")
+    got = [r[0] for r in df.orderBy("i").select(crm_tax_id(F.parse_json("d"))).collect()]
+    assert got == [_crm_tax_model(n) for n in nips]
+
+
+def _line_item_model(data):
+    """P14/P15 in plain Python over the decoded ``lines.data`` list."""
+    if not data:
+        return (LB.no_description, LB.no_plan_active, LB.no_plan_interval)
+    first = data[0]
+    desc = first.get("description", LB.no_description)
+    plan = first.get("plan", {})
+    active = plan.get("active", LB.no_plan_active) if plan else LB.no_plan_active
+    interval = plan.get("interval", LB.no_plan_interval) if plan else LB.no_plan_interval
+    as_text = lambda x: x if x is None or isinstance(x, str) else str(x).lower()
+    return (desc, as_text(active), interval)
+
+
+def _optional(key, values):
+    return st.one_of(st.just({}), values.map(lambda v: {key: v}))
+
+
+plan_st = st.one_of(st.none(), st.builds(lambda a, b: {**a, **b},
+                                         _optional("active", st.one_of(st.none(), st.booleans())),
+                                         _optional("interval", st.one_of(st.none(), st.sampled_from(["month", "year"])))))
+item_st = st.builds(lambda a, b: {**a, **b},
+                    _optional("description", st.one_of(st.none(), st.sampled_from(["A", "B c"]))),
+                    _optional("plan", plan_st))
+
+
+@settings(max_examples=8, deadline=None)
+@given(invoices=st.lists(st.lists(item_st, max_size=3), min_size=1, max_size=25))
+def test_first_line_item_matches_model(spark, invoices):
+    from subledger.operators.line_items import first_line_item_variant
+    from pyspark.sql import functions as F
+    docs = [(i, json.dumps({"lines": {"data": d}})) for i, d in enumerate(invoices)]
+    df = spark.createDataFrame(docs, "i int, j string")
+    cols = first_line_item_variant(F.parse_json("j"), LB)
+    got = [tuple(r) for r in df.orderBy("i").select(*cols).collect()]
+    assert got == [_line_item_model(d) for d in invoices]
