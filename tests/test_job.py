@@ -148,3 +148,37 @@ def test_command_line(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["report_rows"] == 5
     rows = _read_in_file_order(spark, f"{out}/report", "parquet")
     assert [r["client_sub_id"] for r in rows] == [101, 102, 103, 0, 0]
+
+
+def test_crm_status_missing_keeps_report(spark, tmp_path):
+    out = str(tmp_path / "nocrm")
+    params = ReportParams(as_of=dt.datetime(2025, 8, 15, 12), crm_target_status="No Such Status")
+    with pytest.warns(UserWarning, match="not found"):
+        n = run_report(spark, JobConfig(_landing(tmp_path), out), params)
+    assert n == 3
+    assert all(r["package"] != LB.crm_package for r in spark.read.parquet(f"{out}/report").collect())
+
+
+def test_missing_nested_keys_and_empty_filter_result(spark, tmp_path):
+    from subledger.plans import reports
+    from subledger.schemas import PLAN as PLAN_SCHEMA, USER_SUBSCRIPTION
+    from subledger.sources.landing import scan_pages
+    from subledger.schemas import LANDING_PAGE
+    rec = {"id": 1, "subscription_id": 1, "status": "active", "created_at": "2025-01-10T08:00:00Z",
+           "stripe_subscription_id": "b1", "user": {"id": 3, "name": "A", "surname": "B"}}
+    land = spark.createDataFrame(
+        [("usersubs", 1, 200, 1, 1, json.dumps([rec])),
+         ("plans", 1, 200, 1, 1, json.dumps([{"id": 1, "price": {"recurring_interval": "month"}}]))],
+        LANDING_PAGE)
+    subs = scan_pages(land, "usersubs", USER_SUBSCRIPTION)
+    plans = scan_pages(land, "plans", PLAN_SCHEMA)
+    row = reports.report_base(subs, plans, PARAMS).collect()[0]
+    # no record carries phone, address, subscription name or dates: NULL/'' instead of a failure
+    assert (row["phone"], row["company_name"], row["tax_id"], row["package"]) == ("", "", None, None)
+    assert row["expires_at"] is None and row["cancelled_at"] is None
+    none_left = ReportParams(excluded_user_ids=(3,), as_of=PARAMS.as_of)
+    out = str(tmp_path / "empty")
+    from subledger.sinks.writers import write_report
+    from subledger.schemas import INVOICE_RAW
+    empty = reports.subscription_report(subs, plans, spark.createDataFrame([], INVOICE_RAW), none_left)
+    assert write_report(empty, out, out + "_meta", dt.date(2025, 8, 15)) == 0
