@@ -32,6 +32,7 @@ from subledger.plans import reports
 from subledger.schemas import CRM_TASK, INVOICE_RAW, PLAN, USER_SUBSCRIPTION
 from subledger.sinks.writers import write_invoice_fact, write_report
 from subledger.sources.landing import page_gaps, read_landing, scan_pages, scan_task_pages
+from subledger.sources.records import read_invoices, read_records, write_records
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,9 @@ class JobConfig:
     with_crm: bool = True
     # sheet order: subscriptions in arrival order, then CRM rows (a range sort)
     ordered: bool = False
+    # write typed record tables under <output>/records first and build the
+    # report from them (pruning, pushdown, lineage cut at a written table)
+    typed_records: bool = False
 
 
 @dataclass
@@ -80,9 +84,16 @@ def load_inputs(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> In
     land = read_landing(spark, cfg.landing_path, cfg.landing_format)
     check_gaps(page_gaps(land, "plans").unionByName(page_gaps(land, "usersubs"))
                .unionByName(page_gaps(land, "invoices")), cfg.on_gap)
-    plans = scan_pages(land, "plans", PLAN, max_pages=cfg.max_pages)
-    subs = scan_pages(land, "usersubs", USER_SUBSCRIPTION, max_pages=cfg.max_pages)
-    invoices_raw = scan_pages(land, "invoices", INVOICE_RAW, max_pages=cfg.max_pages)
+    if cfg.typed_records:
+        rec_path = f"{cfg.output_path}/records"
+        write_records(land, rec_path, max_pages=cfg.max_pages)
+        plans = read_records(spark, rec_path, "plans")
+        subs = read_records(spark, rec_path, "usersubs")
+        invoices_raw = read_invoices(spark, rec_path, params)
+    else:
+        plans = scan_pages(land, "plans", PLAN, max_pages=cfg.max_pages).drop("page_no", "pos")
+        subs = scan_pages(land, "usersubs", USER_SUBSCRIPTION, max_pages=cfg.max_pages).drop("page_no", "pos")
+        invoices_raw = scan_pages(land, "invoices", INVOICE_RAW, max_pages=cfg.max_pages).drop("page_no", "pos")
     require_non_empty(plans, "plan")
     require_non_empty(subs, "user subscription")
     crm = None
@@ -91,8 +102,7 @@ def load_inputs(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> In
             crm = _crm_tax_ids(land, params)
         except Exception as exc:  # noqa: BLE001
             warnings.warn(f"CRM branch skipped: {exc}", stacklevel=2)
-    return Inputs(subs.drop("page_no", "pos"), plans.drop("page_no", "pos", "seq"),
-                  invoices_raw.drop("page_no", "pos"), crm)
+    return Inputs(subs, plans.drop("seq"), invoices_raw, crm)
 
 
 def run_report(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> int:
@@ -130,6 +140,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--on-gap", default="warn", choices=["ignore", "warn", "fail"])
     ap.add_argument("--write-invoices", action="store_true")
     ap.add_argument("--ordered", action="store_true", help="sheet order (a global sort)")
+    ap.add_argument("--typed-records", action="store_true",
+                    help="write typed record tables first and report from them")
     a = ap.parse_args(argv)
 
     ids = lambda s: tuple(int(x) for x in s.split(",") if x.strip())
@@ -145,7 +157,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = configure(SparkSession.builder.appName("subledger-report").getOrCreate())
     rows = run_report(spark, JobConfig(a.landing, a.output, a.landing_format, a.report_format,
                                        a.max_pages, a.on_gap, a.write_invoices,
-                                       with_crm=bool(a.crm_status), ordered=a.ordered), params)
+                                       with_crm=bool(a.crm_status), ordered=a.ordered,
+                                       typed_records=a.typed_records), params)
     print(json.dumps({"report_rows": rows, "output": a.output}))
     return 0
 

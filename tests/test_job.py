@@ -182,3 +182,20 @@ def test_missing_nested_keys_and_empty_filter_result(spark, tmp_path):
     from subledger.schemas import INVOICE_RAW
     empty = reports.subscription_report(subs, plans, spark.createDataFrame([], INVOICE_RAW), none_left)
     assert write_report(empty, out, out + "_meta", dt.date(2025, 8, 15)) == 0
+
+
+def test_typed_records_same_report_and_pruned_invoice_scan(spark, tmp_path):
+    import re
+    from subledger.sources.records import read_invoices
+    base, typed = str(tmp_path / "b"), str(tmp_path / "t")
+    land = _landing(tmp_path)
+    run_report(spark, JobConfig(land, base), PARAMS)
+    run_report(spark, JobConfig(land, typed, typed_records=True), PARAMS)
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(key, spark.read.parquet(f"{base}/report").collect())) == \
+        sorted(map(key, spark.read.parquet(f"{typed}/report").collect()))
+    inv = read_invoices(spark, f"{typed}/records", PARAMS).select("id")
+    plan = re.sub(r"#\d+L?", "", inv._sc._jvm.PythonSQLUtils.explainString(inv._jdf.queryExecution(), "simple"))
+    assert "PartitionFilters: [isnotnull(created_date), (created_date >= " in plan
+    assert "GreaterThanOrEqual(created," in plan
+    assert inv.count() == 5
