@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _leaves(schema: T.StructType, path: tuple[str, ...] = ()):
+def leaf_paths(schema: T.StructType, path: tuple[str, ...] = ()):
     for f in schema.fields:
         here = path + (f.name,)
         if isinstance(f.dataType, T.StructType) and f.dataType.fields:
-            yield from _leaves(f.dataType, here)
+            yield from leaf_paths(f.dataType, here)
         else:
             yield here
 
 
-def _path_col(path: tuple[str, ...]) -> Column:
+def path_col(path: tuple[str, ...]) -> Column:
     c = F.col(f"`{path[0]}`")
     for part in path[1:]:
         c = c.getField(part)
@@ -28,4 +28,4 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
 
     Arrays stay values (like ``json_normalize``). Narrow: a projection only.
     """
-    return df.select(*[_path_col(p).alias(sep.join(p)) for p in _leaves(df.schema)])
+    return df.select(*[path_col(p).alias(sep.join(p)) for p in leaf_paths(df.schema)])

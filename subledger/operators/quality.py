@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from subledger.operators.flatten import _path_col
+from subledger.operators.flatten import leaf_paths, path_col
 
 
 def required_fields(df: DataFrame, fields: Sequence[str], source: str) -> DataFrame:
@@ -17,13 +18,12 @@ def required_fields(df: DataFrame, fields: Sequence[str], source: str) -> DataFr
     schema counts every row as missing instead of failing.
     """
     present = set()
-    from subledger.operators.flatten import _leaves
-    for path in _leaves(df.schema):
+    for path in leaf_paths(df.schema):
         for i in range(1, len(path) + 1):
             present.add(".".join(path[:i]))
     aggs = [F.count(F.lit(1)).alias("records")]
     for i, f in enumerate(fields):
-        miss = (F.count_if(_path_col(tuple(f.split("."))).isNull()) if f in present
+        miss = (F.count_if(path_col(tuple(f.split("."))).isNull()) if f in present
                 else F.count(F.lit(1)))
         aggs.append(miss.alias(f"m{i}"))
     wide = df.agg(*aggs)
@@ -112,7 +112,6 @@ def check_gaps(gaps: DataFrame, on_gap: str = "warn") -> list:
     ``gaps`` has one row per source (see ``sources.landing.page_gaps``), so the
     collect is bounded by the number of sources.
     """
-    import warnings
     rows = [r for r in gaps.collect() if r["dropped_pages"]]
     if rows and on_gap == "fail":
         raise RuntimeError(f"pages dropped by failed or empty pages: {rows}")
