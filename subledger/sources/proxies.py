@@ -12,6 +12,8 @@ Every rule below is mirrored in ``subledger.plans.oracle`` as DuckDB SQL.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,24 @@ CRM_PAGE_KEYS = 10
 _KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
 
 
+# Source views are defined once per session and directory, like temp views:
+# only the lazy DataFrame definitions are kept (no data is cached), so every
+# query still reads and computes everything from the tables. Entries go away
+# with their session.
+_VIEWS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _view(fn):
+    @functools.wraps(fn)
+    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+        views = _VIEWS.setdefault(spark, {})
+        key = (fn.__name__, sf_dir.rstrip("/"))
+        if key not in views:
+            views[key] = fn(spark, sf_dir)
+        return views[key]
+    return get
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return spread(df, _KEYS[name]) if name in _KEYS else df
@@ -57,6 +77,7 @@ def _s(c: Column | str) -> Column:
 
 
 # ---- plans ------------------------------------------------------------------
+@_view
 def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plan catalogue: every customer not divisible by 10 is a plan."""
     c = table(spark, sf_dir, "customer")
@@ -82,6 +103,7 @@ def _tax_number(k: Column, cust: Column) -> Column:
             .otherwise(F.concat(F.lit("PL"), padded)))
 
 
+@_view
 def usersubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One user subscription per order, nested like the booking API's records."""
     o = table(spark, sf_dir, "orders")
@@ -145,6 +167,7 @@ def created_epoch(ln: Column, ship: Column) -> Column:
             + (ln.cast("bigint") - 1) * 3 * 3600)
 
 
+@_view
 def invoices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One invoice per line item, typed like the billing API's invoice object."""
     li = table(spark, sf_dir, "lineitem")
@@ -168,6 +191,7 @@ def invoices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def invoices_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices as raw JSON text, where a key may be missing or explicitly null."""
     li = table(spark, sf_dir, "lineitem")
@@ -248,6 +272,7 @@ def _pages(records: DataFrame, source: str, key: str, failed_page: int | None =
     return out
 
 
+@_view
 def landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing table of paged API answers for two sources.
 
@@ -262,6 +287,7 @@ def landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- CRM ----------------------------------------------------------------------
+@_view
 def crm_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CRM project document per region; its statuses are that region's nations.
 
@@ -279,6 +305,7 @@ def crm_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.col("statuses"))).alias("body")))
 
 
+@_view
 def crm_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task list pages by status: supplier s is task 't<s>' in status 'st<nation>'."""
     s = table(spark, sf_dir, "supplier")
@@ -288,6 +315,7 @@ def crm_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("t"), _s("s_suppkey")).alias("_id"))
 
 
+@_view
 def crm_task_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task detail documents (JSON text); every 13th task has no detail."""
     s = table(spark, sf_dir, "supplier")
