@@ -334,3 +334,58 @@ def crm_task_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(',"client":{"company":'), company, F.lit("}")))
     body = F.concat(F.lit('{"_id":"t'), _s(k), F.lit('"'), client, F.lit("}"))
     return s.filter(k % 13 != 0).select(F.concat(F.lit("t"), _s(k)).alias("_id"), body.alias("body"))
+
+
+# ---- a complete, clean landing table (for the end-to-end job) --------------------
+def _paged(records: DataFrame, source: Column | str, page_of: Column, sort_key: Column,
+           helpers: tuple[str, ...] = ()) -> DataFrame:
+    """Pages of JSON-array bodies; records ordered by ``sort_key`` inside a page.
+
+    ``source`` may be a column (one landing source per value); ``helpers``
+    are columns used for paging only, left out of the records. Groups are
+    bounded by the page size.
+    """
+    src = F.lit(source) if isinstance(source, str) else source
+    rec = F.struct(*[F.col(c) for c in records.columns if c not in helpers])
+    pages = (records.select(src.alias("source"), page_of.alias("page_no"),
+                            F.struct(sort_key.alias("k"), rec.alias("r")).alias("kr"))
+             .groupBy("source", "page_no")
+             .agg(F.to_json(F.array_sort(F.collect_list("kr")).getField("r")).alias("body"),
+                  F.count(F.lit(1)).alias("n")))
+    stats = pages.groupBy("source").agg(F.sum("n").alias("total"), F.max("page_no").alias("last_page"))
+    return (pages.join(stats, "source")
+            .select("source", "page_no", F.lit(200).alias("http_status"), "total", "last_page", "body"))
+
+
+def complete_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source the report job reads, landed cleanly (no failed or repeated page).
+
+    Invoice pages hold whole orders, newest invoice first, so the landed
+    arrival order equals the proxy invoices' order. The job over this landing
+    must reproduce the ``subscription_report`` query row for row.
+    """
+    page = lambda c: ((c / PAGE_KEYS).cast("bigint") + 1).cast("int")
+    # the order key is the middle part of the invoice id ('in_<order>_<line>')
+    inv = invoices_raw(spark, sf_dir).withColumn(
+        "_order", F.split(F.col("id"), "_").getItem(1).cast("bigint"))
+    invoices = _paged(inv, "invoices", page(F.col("_order")),
+                      F.struct(F.col("_order"), -F.col("created")), helpers=("_order",))
+    us, pl = usersubs(spark, sf_dir), plans(spark, sf_dir)
+    project = (crm_projects(spark, sf_dir)
+               .select(F.lit("crm_project").alias("source"), F.lit(1).alias("page_no"),
+                       F.lit(200).alias("http_status"), F.lit(1).cast("bigint").alias("total"),
+                       F.lit(1).alias("last_page"), "body")
+               .filter(F.col("body").contains('"_id":"pr3"')))
+    tasks = crm_tasks(spark, sf_dir)
+    task_pages = _paged(tasks, F.concat(F.lit("crm_tasks/"), F.col("status_id")), F.col("page_no"),
+                        F.col("_id"), helpers=("status_id", "page_no"))
+    det = crm_task_details(spark, sf_dir)
+    details = (det.groupBy(page(F.substring("_id", 2, 20).cast("bigint")).alias("page_no"))
+               .agg(F.concat(F.lit("["), F.concat_ws(",", F.array_sort(F.collect_list("body"))), F.lit("]"))
+                    .alias("body"))
+               .select(F.lit("crm_task_details").alias("source"), "page_no",
+                       F.lit(200).alias("http_status"), F.lit(None).cast("bigint").alias("total"),
+                       F.lit(None).cast("int").alias("last_page"), "body"))
+    return (_paged(us, "usersubs", page(F.col("id")), F.col("id"))
+            .unionByName(_paged(pl, "plans", page(F.col("id")), F.col("id")))
+            .unionByName(invoices).unionByName(project).unionByName(task_pages).unionByName(details))
