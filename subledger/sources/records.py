@@ -22,7 +22,8 @@ from subledger.schemas import INVOICE_RAW, PLAN, USER_SUBSCRIPTION
 from subledger.sources.landing import scan_pages
 
 RECORD_SOURCES = {"plans": PLAN, "usersubs": USER_SUBSCRIPTION, "invoices": INVOICE_RAW}
-INVOICE_PARTITION = "created_date"
+# first day of the UTC creation month: coarse enough for few, large files
+INVOICE_PARTITION = "created_month"
 
 
 def write_records(landing: DataFrame, path: str, max_pages: int | None = None) -> None:
@@ -31,8 +32,12 @@ def write_records(landing: DataFrame, path: str, max_pages: int | None = None) -
         recs = scan_pages(landing, source, schema, max_pages=max_pages).drop("page_no", "pos")
         parts = []
         if source == "invoices":
-            # UTC calendar date of the creation instant: a coarse, prunable copy of `created`
-            recs = recs.withColumn(INVOICE_PARTITION, epoch_to_local_date(F.col("created"), "UTC"))
+            # a coarse, prunable copy of `created`; the rebalance hint lets AQE
+            # shuffle by month and cut each month into ~advisory-size files
+            # (a large month is split over many tasks, small ones are merged)
+            recs = (recs.withColumn(INVOICE_PARTITION,
+                                    F.trunc(epoch_to_local_date(F.col("created"), "UTC"), "month"))
+                    .hint("rebalance", INVOICE_PARTITION))
             parts = [INVOICE_PARTITION]
         recs.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{source}")
 
@@ -47,6 +52,6 @@ def read_invoices(spark: SparkSession, path: str, params: ReportParams) -> DataF
     since_epoch = params.invoice_since_epoch()
     since_day = dt.date(1970, 1, 1) + dt.timedelta(days=since_epoch // 86400)  # UTC date
     df = read_records(spark, path, "invoices")
-    return (df.filter(F.col(INVOICE_PARTITION) >= date_literal(since_day))
+    return (df.filter(F.col(INVOICE_PARTITION) >= date_literal(since_day.replace(day=1)))
             .filter(F.col("created") >= F.lit(since_epoch))
             .drop(INVOICE_PARTITION))

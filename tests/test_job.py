@@ -196,6 +196,6 @@ def test_typed_records_same_report_and_pruned_invoice_scan(spark, tmp_path):
         sorted(map(key, spark.read.parquet(f"{typed}/report").collect()))
     inv = read_invoices(spark, f"{typed}/records", PARAMS).select("id")
     plan = re.sub(r"#\d+L?", "", inv._sc._jvm.PythonSQLUtils.explainString(inv._jdf.queryExecution(), "simple"))
-    assert "PartitionFilters: [isnotnull(created_date), (created_date >= " in plan
+    assert "PartitionFilters: [isnotnull(created_month), (created_month >= " in plan
     assert "GreaterThanOrEqual(created," in plan
     assert inv.count() == 5
