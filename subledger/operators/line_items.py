@@ -30,18 +30,25 @@ def _present(v: Column) -> Column:
     return v.isNotNull() & ~F.is_variant_null(v)
 
 
-def first_line_item_variant(doc: Column, labels: Labels) -> tuple[Column, Column, Column]:
+_ITEM = "struct<description variant, plan variant>"
+_PLAN = "struct<active variant, interval variant>"
+
+
+def first_line_item_variant(doc: Column, labels: Labels, lines_path: str = "$.lines"
+                            ) -> tuple[Column, Column, Column]:
     """VARIANT path with exact key semantics of ``dict.get(key, default)``.
 
     missing key -> placeholder; explicit null -> NULL; plan missing, null or
     ``{}`` -> plan placeholders; empty ``lines.data`` -> all placeholders.
+    ``doc`` holds the invoice (``lines_path='$.lines'``) or its ``lines``
+    object (``'$'``). Each object is cast once to a struct of VARIANT fields:
+    an absent key becomes NULL, a JSON null stays a VARIANT null.
     """
-    first = F.variant_get(doc, "$.lines.data[0]", "variant")
-    desc_v = F.variant_get(first, "$.description", "variant")
-    plan = F.variant_get(first, "$.plan", "variant")
+    first = F.variant_get(doc, f"{lines_path}.data[0]", "variant")
+    item = F.try_variant_get(first, "$", _ITEM)
+    plan = item.getField("plan")
     plan_truthy = _present(plan) & (F.schema_of_variant(plan) != F.lit("OBJECT<>"))
-    active_v = F.variant_get(plan, "$.active", "variant")
-    interval_v = F.variant_get(plan, "$.interval", "variant")
+    plan_fields = F.try_variant_get(plan, "$", _PLAN)
 
     def leaf(v: Column, placeholder: str) -> Column:
         return (F.when(v.isNull(), F.lit(placeholder))
@@ -49,10 +56,10 @@ def first_line_item_variant(doc: Column, labels: Labels) -> tuple[Column, Column
                 .otherwise(F.try_variant_get(v, "$", "string")))
 
     desc = F.when(first.isNull(), F.lit(labels.no_description)) \
-        .otherwise(leaf(desc_v, labels.no_description))
-    active = F.when(plan_truthy, leaf(active_v, labels.no_plan_active)) \
+        .otherwise(leaf(item.getField("description"), labels.no_description))
+    active = F.when(plan_truthy, leaf(plan_fields.getField("active"), labels.no_plan_active)) \
         .otherwise(F.lit(labels.no_plan_active))
-    interval = F.when(plan_truthy, leaf(interval_v, labels.no_plan_interval)) \
+    interval = F.when(plan_truthy, leaf(plan_fields.getField("interval"), labels.no_plan_interval)) \
         .otherwise(F.lit(labels.no_plan_interval))
     return desc, active, interval
 
@@ -105,42 +112,40 @@ def _with_default(v: Column, default: Column, typ: str) -> Column:
             .otherwise(F.try_variant_get(v, "$", typ)))
 
 
+_INVOICE_TOP = ("struct<id string, amount_due bigint, amount_paid bigint, amount_remaining bigint, "
+                "created bigint, customer string, subscription string, attempt_count variant, "
+                "payment_intent variant, status string, paid variant, lines variant>")
+
+
 def invoice_fact_variant(docs: DataFrame, params: ReportParams, json_col: str = "json") -> DataFrame:
     """R5 over raw invoice JSON: the 14-column invoice table with exact key semantics.
 
     Top-level defaults (``attempt_count`` -> 0, ``payment_intent`` ->
     placeholder, ``paid`` -> false) apply to missing keys only; an explicit
-    null stays NULL. The JSON text is parsed once per row.
+    null stays NULL. The JSON text is parsed once per row and the invoice
+    object read in one traversal (a cast to a struct with VARIANT fields for
+    the keys whose absence matters).
     """
     lb = params.labels
     # The lower bound reads one path of the raw text (a streaming scan, no
     # full parse); the full parse then runs once per kept row.
     since = F.get_json_object(F.col(json_col), "$.created").try_cast("bigint")
-    parsed = (docs.filter(since >= F.lit(params.invoice_since_epoch()))
-              .select(F.parse_json(F.col(json_col)).alias("_doc")))
-    v = F.col("_doc")
-
-    def get(path: str, typ: str) -> Column:
-        return F.variant_get(v, path, typ)
-
-    desc, active, interval = first_line_item_variant(v, lb)
-    created = get("$.created", "bigint")
-    return (parsed
-            .select(
-                get("$.id", "string").alias("id"),
-                (get("$.amount_due", "bigint") / 100).alias("amount_due"),
-                (get("$.amount_paid", "bigint") / 100).alias("amount_paid"),
-                (get("$.amount_remaining", "bigint") / 100).alias("amount_remaining"),
-                epoch_to_local_date(created, params.local_timezone).alias("created"),
-                get("$.customer", "string").alias("customer"),
-                desc.alias("lines_data_description"),
-                active.alias("plan_active"),
-                interval.alias("plan_interval"),
-                get("$.subscription", "string").alias("subscription"),
-                _with_default(F.variant_get(v, "$.attempt_count", "variant"), F.lit(0), "int")
-                .alias("attempt_count"),
-                _with_default(F.variant_get(v, "$.payment_intent", "variant"),
-                              F.lit(lb.no_payment_intent), "string").alias("payment_intent"),
-                get("$.status", "string").alias("status"),
-                _with_default(F.variant_get(v, "$.paid", "variant"), F.lit(False), "boolean")
-                .alias("paid")))
+    inv = (docs.filter(since >= F.lit(params.invoice_since_epoch()))
+           .select(F.variant_get(F.parse_json(F.col(json_col)), "$", _INVOICE_TOP).alias("_inv")))
+    f = lambda name: F.col("_inv").getField(name)
+    desc, active, interval = first_line_item_variant(f("lines"), lb, lines_path="$")
+    return inv.select(
+        f("id").alias("id"),
+        (f("amount_due") / 100).alias("amount_due"),
+        (f("amount_paid") / 100).alias("amount_paid"),
+        (f("amount_remaining") / 100).alias("amount_remaining"),
+        epoch_to_local_date(f("created"), params.local_timezone).alias("created"),
+        f("customer").alias("customer"),
+        desc.alias("lines_data_description"),
+        active.alias("plan_active"),
+        interval.alias("plan_interval"),
+        f("subscription").alias("subscription"),
+        _with_default(f("attempt_count"), F.lit(0), "int").alias("attempt_count"),
+        _with_default(f("payment_intent"), F.lit(lb.no_payment_intent), "string").alias("payment_intent"),
+        f("status").alias("status"),
+        _with_default(f("paid"), F.lit(False), "boolean").alias("paid"))
