@@ -38,3 +38,24 @@ def test_checkpoint_defaults_to_cluster_folder(spark, tmp_path):
     assert spark.conf.get("spark.checkpoint.dir")
     assert ingest_pages(spark, str(inbox), str(tmp_path / "l")) == 1
     assert spark.read.parquet(str(tmp_path / "l")).filter(F.col("source") == "plans").count() == 1
+
+
+def test_ingested_landing_feeds_the_job(spark, tmp_path):
+    """Pages landed through the stream give the job the same report as the raw files."""
+    from test_job import PARAMS, _landing
+    from subledger.plans.job import JobConfig, run_report
+    raw = _landing(tmp_path)                       # one JSON-lines file of page rows
+    lines = open(f"{raw}/pages.json", encoding="utf-8").read().splitlines()
+    inbox = tmp_path / "inbox2"
+    inbox.mkdir()
+    half = len(lines) // 2
+    (inbox / "a.json").write_text("\n".join(lines[:half]))
+    land, ckpt = str(tmp_path / "landed"), str(tmp_path / "ck2")
+    assert ingest_pages(spark, str(inbox), land, ckpt) == half
+    (inbox / "b.json").write_text("\n".join(lines[half:]))   # a later fetch run's files
+    assert ingest_pages(spark, str(inbox), land, ckpt) == len(lines) - half
+    a, b = str(tmp_path / "from_raw"), str(tmp_path / "from_stream")
+    assert run_report(spark, JobConfig(raw, a), PARAMS) == \
+        run_report(spark, JobConfig(land, b, landing_format="parquet"), PARAMS)
+    rows = lambda p: sorted(str(tuple(r)) for r in spark.read.parquet(f"{p}/report").collect())
+    assert rows(a) == rows(b)
