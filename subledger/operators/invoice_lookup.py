@@ -90,16 +90,51 @@ def salted(keyed: DataFrame, agg: DataFrame, id_col: str, buckets: int, hot: lis
     return keyed, agg.withColumn("_salt", F.explode(salts))
 
 
-def _first_where(cond: Column) -> Column:
-    """First (lowest ``seq``) invoice meeting ``cond``, as struct(seq, status); NULL if none."""
+# Invoice statuses form a small set; up to this many distinct values the
+# "first status" aggregate works on integer codes (a hash aggregate), beyond
+# it on struct(seq, status) (a sort aggregate). Both are exact.
+MAX_STATUS_CODES = 64
+_NUMERIC = ("tinyint", "smallint", "int", "bigint")
+
+
+def status_codes(invoices: DataFrame) -> list[str] | None:
+    """The distinct non-NULL statuses, sorted, when there are at most
+    MAX_STATUS_CODES of them (a bounded collect); else None."""
+    if dict(invoices.dtypes).get("seq") not in _NUMERIC:
+        return None
+    vals = [r[0] for r in invoices.select("status").where(F.col("status").isNotNull())
+            .distinct().limit(MAX_STATUS_CODES + 1).collect()]
+    return sorted(vals) if 0 < len(vals) <= MAX_STATUS_CODES else None
+
+
+def _first_where(cond: Column, statuses: list[str] | None) -> Column:
+    """First (lowest ``seq``) invoice meeting ``cond``; NULL if none.
+
+    With a status list: the status's 1-based code (0 = NULL status) via
+    ``min_by``, whose buffer is fixed-width, so Spark hash-aggregates.
+    Without: struct(seq, status) via ``min`` (sort aggregate).
+    """
+    if statuses:
+        code = F.coalesce(F.array_position(F.array(*[F.lit(v) for v in statuses]), F.col("status")),
+                          F.lit(0)).cast("int")
+        return F.min_by(code, F.when(cond, F.col("seq")))
     return F.min(F.when(cond, F.struct(F.col("seq"), F.col("status"))))
 
 
-def invoice_aggregates(invoices: DataFrame, params: ReportParams) -> DataFrame:
+def first_status(first: Column, statuses: list[str] | None) -> Column:
+    """Decode what ``_first_where`` produced back to the status (NULL stays NULL)."""
+    if statuses:
+        return F.when(first != 0, F.element_at(F.array(*[F.lit(v) for v in statuses]), first))
+    return first.getField("status")
+
+
+def invoice_aggregates(invoices: DataFrame, params: ReportParams,
+                       statuses: list[str] | None = None) -> DataFrame:
     """One row per billing subscription id with every lookup the report needs.
 
     ``invoices`` needs ``subscription STRING, created DATE, status STRING, seq``
-    (``seq`` = arrival order of the billing source, lower first).
+    (``seq`` = arrival order of the billing source, lower first). ``statuses``
+    (see ``status_codes``) switches the first-status aggregates to codes.
     """
     d = F.col("created")
     paid = F.col("status") == F.lit(INVOICE_PAID)
@@ -114,8 +149,8 @@ def invoice_aggregates(invoices: DataFrame, params: ReportParams) -> DataFrame:
     return (invoices
             .filter(key.isNotNull() & (key != "") & ~key.startswith(_BLANK_KEY_PREFIX))
             .groupBy("subscription")
-            .agg(_first_where((d >= L(cm0)) & (d < L(cm1))).alias("first_m"),
-                 _first_where(d.between(L(cy0), L(cy1))).alias("first_y"),
+            .agg(_first_where((d >= L(cm0)) & (d < L(cm1)), statuses).alias("first_m"),
+                 _first_where(d.between(L(cy0), L(cy1)), statuses).alias("first_y"),
                  F.max(F.when(paid & d.between(L(wm0), L(wm1)), F.lit(True))).alias("paid2_m"),
                  F.max(F.when(paid & d.between(L(wy0), L(wy1)), F.lit(True))).alias("paid2_y"),
                  F.max(F.when(paid & d.between(L(lm0), L(lm1)), d)).alias("last_m"),
@@ -139,7 +174,8 @@ def with_invoice_columns(report: DataFrame, invoices: DataFrame, params: ReportP
     billing ids are known to be unique).
     """
     lb = params.labels
-    agg = invoice_aggregates(invoices, params)
+    statuses = status_codes(invoices)
+    agg = invoice_aggregates(invoices, params, statuses)
     blank = is_blank(billing_col)
     keyed = report.withColumn("_inv_key", invoice_join_key(billing_col, id_col))
     hot = hot_key_list(keyed, "_inv_key", id_col) if salt_buckets and salt_buckets > 1 else []
@@ -154,8 +190,8 @@ def with_invoice_columns(report: DataFrame, invoices: DataFrame, params: ReportP
     monthly, yearly = typ == F.lit(lb.interval_month), typ == F.lit(lb.interval_year)
     cannot, empty = F.lit(lb.cannot_determine), F.lit("")
     chosen = (F.when(blank, cannot)
-              .when(monthly & F.col("first_m").isNotNull(), F.col("first_m.status"))
-              .when(yearly & F.col("first_y").isNotNull(), F.col("first_y.status"))
+              .when(monthly & F.col("first_m").isNotNull(), first_status(F.col("first_m"), statuses))
+              .when(yearly & F.col("first_y").isNotNull(), first_status(F.col("first_y"), statuses))
               .otherwise(empty))
     paid2 = (F.when(blank, cannot)
              .when(monthly & F.coalesce(F.col("paid2_m"), F.lit(False)), F.lit(lb.paid_flag))
