@@ -91,3 +91,28 @@ def test_hot_set_is_a_function_of_the_data(spark, monkeypatch):
     b = il.hot_keys(keyed.repartition(7).sortWithinPartitions(F.rand(3)), "_inv_key",
                     "client_sub_id").collect()
     assert a == b
+
+
+def test_status_codes_and_fallback_agree(spark):
+    """Coded (hash) and struct (sort) first-status paths give the same answers;
+    more than MAX_STATUS_CODES distinct statuses switch to the struct path."""
+    i = F.col("id")
+    many = spark.range(3000).select(
+        F.concat(F.lit("s"), (i % 40).cast("string")).alias("subscription"),
+        F.date_add(F.lit(dt.date(2025, 7, 1)), (i % 25).cast("int")).alias("created"),
+        F.when(i % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("st"), (i % 90).cast("string"))).alias("status"),
+        (-i).alias("seq"))
+    few = many.withColumn("status", F.when(F.col("status").isNull(), F.lit(None))
+                          .otherwise(F.substring("status", 1, 3)))
+    assert il.status_codes(many) is None                       # 90 distinct > 64
+    codes = il.status_codes(few)
+    assert codes is not None and len(codes) <= il.MAX_STATUS_CODES
+    for inv in (many, few):
+        coded = il.status_codes(inv)
+        a = il.invoice_aggregates(inv, P, coded).select(
+            "subscription", il.first_status(F.col("first_m"), coded).alias("s"), F.col("first_m").isNull().alias("n"))
+        b = il.invoice_aggregates(inv, P, None).select(
+            "subscription", il.first_status(F.col("first_m"), None).alias("s"), F.col("first_m").isNull().alias("n"))
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    plan = il.invoice_aggregates(few, P, codes)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
