@@ -28,9 +28,20 @@ ADVISORY_PARTITION_BYTES = "128m"
 PARTITIONS_PER_CORE = 4
 
 
+# Broadcasts chosen by the planner should rest on measured sizes: when the
+# cluster leaves it unset, the estimate-based threshold is turned off and AQE
+# broadcasts a join side only after its shuffle output measured under 10 MB.
+# (Explicit broadcasts in this package sit behind their own bounded counts.)
+RUNTIME_BROADCAST_BYTES = "10MB"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    if not spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None):
+        if not spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None):
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", RUNTIME_BROADCAST_BYTES)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     if not spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", ADVISORY_PARTITION_BYTES)
     if not spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None):
