@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from subledger.llm.bpe import op6_bpe
+from subledger.llm.langid import op7_language_id
 from subledger.llm.licenses import op1_license_scan
+from subledger.llm.nbsvm import op4_quality_classifier
+from subledger.llm.sharding import op5_sharding
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
+    "op7_language_id": op7_language_id,
 }
 
 ORACLES: dict[str, str] = {}
