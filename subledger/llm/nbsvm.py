@@ -1,7 +1,8 @@
 """Quality classifier: naive Bayes support vectors.
 
-Indicators of hashed byte n-grams are scaled by the classes' log-count
-ratios; a linear hinge-loss model is fitted on them by dual coordinate
+Indicators of hashed byte n-grams, of n-grams of the words' distances to their
+last occurrence (which show repetition whatever the words are) and of the
+text's length and share of repeated words are scaled by the classes' log-count ratios; a linear hinge-loss model is fitted on them by dual coordinate
 descent, in one task over a bounded sample (at most ``PER_CLASS`` labelled
 rows of each class, chosen by a hash of their keys; a row of it is one bit a
 feature, so the sample's bytes are bounded too). A fifth of the sample is
@@ -34,6 +35,8 @@ ORDERS = 3
 PER_CLASS = 2000
 COST, EPOCHS, SMOOTHING = 1.0, 12, 1.0
 PIECE = 1 << 20
+#: Distances to a word's last occurrence: 0 none, then 1, 2, 3-4, 5-8, ... up to NEAR words back.
+NEAR, WORD_ORDERS = 64, 3
 
 SCHEMA = "doc_id long, score double, predicted int"
 
@@ -53,10 +56,29 @@ class Marker:
                 mixed = (mixed[order > 0:] + codes[:len(codes) - order] + np.uint32(1)) * np.uint32(0x9E3779B1)
                 spread = mixed ^ (mixed >> np.uint32(15))
                 self.flags[(spread * np.uint32(0xC2B2AE35) + np.uint32(order * 0x27D4EB2F)) >> np.uint32(32 - BITS)] = True
+        self.flags[self._shape(text)] = True
         found = np.flatnonzero(self.flags)
         self.flags[found] = False
         return found
 
+    @staticmethod
+    def _shape(text: bytes) -> np.ndarray:
+        """Features of the repetition and the length of a text."""
+        last: dict[bytes, int] = {}
+        back = []
+        for i, word in enumerate(text.split()):
+            back.append(i - last.get(word, -NEAR - 1))
+            last[word] = i
+        steps = np.array(back, np.int64)
+        kinds = np.where(steps <= NEAR, np.ceil(np.log2(np.maximum(steps, 1))).astype(np.int64) + 1, 0)
+        share = int(10 * np.count_nonzero(kinds) / max(1, len(kinds)))
+        codes = [np.array([share, 16 + len(text).bit_length()])]
+        mixed = np.zeros(len(kinds), np.int64)
+        for order in range(min(WORD_ORDERS, len(kinds))):
+            mixed = mixed[order > 0:] * 16 + kinds[order:]
+            codes.append(mixed + (64 << 4 * (order + 1)))
+        return (np.concatenate(codes).astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+
 
 @dataclass
 class Model:
