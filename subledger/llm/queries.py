@@ -6,14 +6,19 @@ from subledger.llm.bpe import op6_bpe
 from subledger.llm.langid import op7_language_id
 from subledger.llm.licenses import op1_license_scan
 from subledger.llm.nbsvm import op4_quality_classifier
+from subledger.llm.quality_rules import ORACLE as QUALITY_RULES_SQL
+from subledger.llm.quality_rules import op2_quality_rules
 from subledger.llm.sharding import op5_sharding
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_quality_rules": op2_quality_rules,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": QUALITY_RULES_SQL,
+}
