@@ -9,6 +9,7 @@ from subledger.llm.nbsvm import op4_quality_classifier
 from subledger.llm.quality_rules import ORACLE as QUALITY_RULES_SQL
 from subledger.llm.quality_rules import op2_quality_rules
 from subledger.llm.sharding import op5_sharding
+from subledger.llm.simhash import op8_simhash
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLES: dict[str, str] = {
