@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from subledger.llm.bpe import op6_bpe
+from subledger.llm.decontaminate import op10_decontaminate
 from subledger.llm.langid import op7_language_id
 from subledger.llm.licenses import op1_license_scan
 from subledger.llm.nbsvm import op4_quality_classifier
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
