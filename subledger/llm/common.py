@@ -55,3 +55,8 @@ def byte_rows(batch: pa.RecordBatch, text: str = "text", most: int = 8 << 20) ->
     step = max(1, min(rows, int(rows * most / max(1, sizes))))
     for at in range(0, rows, step):
         yield at, column.slice(at, step).to_pylist()
+
+
+def bind(value: Column, use) -> Column:
+    """``use`` of a value that is computed once (a lambda's variable), however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -7,6 +7,8 @@ from subledger.llm.decontaminate import op10_decontaminate
 from subledger.llm.langid import op7_language_id
 from subledger.llm.licenses import op1_license_scan
 from subledger.llm.nbsvm import op4_quality_classifier
+from subledger.llm.preferences import ORACLE as PREFERENCES_SQL
+from subledger.llm.preferences import op9_chat_preferences
 from subledger.llm.quality_rules import ORACLE as QUALITY_RULES_SQL
 from subledger.llm.quality_rules import op2_quality_rules
 from subledger.llm.sharding import op5_sharding
@@ -20,9 +22,11 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
+    "op9_chat_preferences": op9_chat_preferences,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": QUALITY_RULES_SQL,
+    "op9_chat_preferences": PREFERENCES_SQL,
 }
