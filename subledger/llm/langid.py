@@ -84,17 +84,17 @@ class Model:
             return labels, scores
         sums = np.tile(self.prior, (len(known), 1))
         wide = max(1, len(self.langs))
+        step = max(1, (1 << 22) // len(self.langs))
         for owners, parts in pieces([texts[i].lower() for i in known]):
             ends, starts = features(parts)
-            step = max(1, (1 << 22) // wide)
-            for order in range(ORDERS):
-                if ends.shape[1] <= step:
-                    part = np.add.reduceat(self.matrix[ends[order]], starts, axis=0, dtype=np.float64)
-                    np.add.at(sums, owners, part)
-                    continue
-                for at in range(0, ends.shape[1], step):  # many languages: fewer characters at a time
-                    own = np.searchsorted(starts, np.arange(at, min(at + step, ends.shape[1])), "right") - 1
-                    np.add.at(sums, np.asarray(owners)[own], self.matrix[ends[order, at:at + step]])
+            for at in range(0, ends.shape[1], step):
+                stop = min(at + step, ends.shape[1])
+                block = np.take(self.matrix, ends[0, at:stop], axis=0, mode="clip")
+                for order in range(1, ORDERS):
+                    block += np.take(self.matrix, ends[order, at:stop], axis=0, mode="clip")
+                first = int(np.searchsorted(starts, at, "right")) - 1
+                cuts = np.append(at, starts[first + 1:np.searchsorted(starts, stop)]) - at
+                np.add.at(sums, owners[first:first + len(cuts)], np.add.reduceat(block, cuts, axis=0))
         best = sums.argmax(axis=1)
         odds = np.exp(sums - sums[np.arange(len(known)), best][:, None]).sum(axis=1)
         for k, i in enumerate(known):
@@ -131,7 +131,7 @@ def fit(df: DataFrame) -> Model:
     """Train on all rows of ``df``; what reaches the driver is the matrix: FEATURES numbers a language."""
     counts = count_ngrams(df).toPandas()
     langs = sorted(counts["lang"].unique())
-    matrix, prior = np.zeros((FEATURES + 1, len(langs)), np.float32), np.zeros(len(langs))
+    matrix, prior = np.zeros((FEATURES + 1, len(langs))), np.zeros(len(langs))
     for k, lang in enumerate(langs):
         own = counts[counts["lang"] == lang]
         docs = own.loc[own["feature"] < 0, "n"].sum()
