@@ -6,6 +6,7 @@ from subledger.llm.bpe import op6_bpe
 from subledger.llm.decontaminate import op10_decontaminate
 from subledger.llm.langid import op7_language_id
 from subledger.llm.licenses import op1_license_scan
+from subledger.llm.lm import op3_lm_score
 from subledger.llm.nbsvm import op4_quality_classifier
 from subledger.llm.preferences import ORACLE as PREFERENCES_SQL
 from subledger.llm.preferences import op9_chat_preferences
@@ -17,6 +18,7 @@ from subledger.llm.simhash import op8_simhash
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op3_lm_score": op3_lm_score,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
