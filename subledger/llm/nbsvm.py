@@ -219,6 +219,19 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def keep(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the classifier predicts to be good, with all their columns; texts are not shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        marker = Marker()
+        for batch in batches:
+            good = [shared.value.score(marker.features(text)) >= 0.5 for _, raw in byte_rows(batch) for text in raw]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(key: Column) -> Column:
     return crc_fold(key, 3) == 1
 

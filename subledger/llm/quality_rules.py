@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import checkpointed, table
+from subledger.llm.common import bind, checkpointed, table
 
 RISK, ALPHA = 0.05, 0.05
 
@@ -43,11 +43,6 @@ SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def _with(value: Column, use) -> Column:
-    """``use`` of a value that is computed once (a lambda's variable), however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _without(text: Column, characters: str) -> Column:
     return F.length(F.translate(text, characters, "")).cast("long")
 
@@ -64,29 +59,38 @@ def repeated_words(words: Column) -> Column:
 
     def repeats(grams: Column) -> Column:
         starts = F.transform(grams, lambda x, k: F.when((F.get(grams, k - 1)["h"] == x["h"]) | (F.get(grams, k + 1)["h"] == x["h"]), x["i"]))
-        return _with(F.sort_array(F.filter(starts, lambda x: x.isNotNull())), covered)
+        return bind(F.sort_array(F.filter(starts, lambda x: x.isNotNull())), covered)
 
     places = F.sequence(F.lit(0), F.greatest(F.size(words) - 3, F.lit(0)))
     grams = F.transform(places, lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
-    return F.when(F.size(words) < 3, F.lit(0)).otherwise(_with(F.sort_array(grams), repeats)).cast("long")
+    return F.when(F.size(words) < 3, F.lit(0)).otherwise(bind(F.sort_array(grams), repeats)).cast("long")
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """doc_id, stratum, the base counts and the rules' rates of every row's whole text."""
-    text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: _without(x, SPACE) > 0)
-    counted = docs.select(
-        "doc_id", F.when(F.col("lang").rlike("^[a-z]{2,3}$"), F.col("lang")).otherwise("other").alias("stratum"),
-        _with(F.filter(F.split(text, "[ \\t-\\r]+"), lambda x: x != ""), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("r"))).alias("_w"),
-        _without(text, SPACE).alias("word_chars"), (F.length(text) - _without(text, SYMBOLS)).alias("n_symbols"), (F.length(text) - _without(text, CAPITALS)).alias("_upper"),
-        _with(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("d"))).alias("_l"))
+def measures(text: Column, lang: Column) -> Column:
+    """A struct of stratum, base counts, the rules' rates and base_failed of a whole text."""
+    text = F.coalesce(text, F.lit(""))
     rate = lambda part, whole: F.coalesce(F.try_divide(part, whole), F.lit(0.0))
-    return counted.select(
-        "doc_id", "stratum", F.col("_w.n").alias("n_words"), "word_chars", "n_symbols", F.col("_l.d").alias("n_dup_lines"), F.col("_w.r").alias("n_repeat_words"),
-        rate(F.col("n_symbols"), F.col("word_chars")).alias("symbol_rate"), rate(F.col("_l.d"), F.col("_l.n")).alias("dup_line_rate"),
-        rate(F.col("_w.r"), F.col("_w.n")).alias("repeat_rate"), rate(F.col("_upper"), F.col("word_chars")).alias("upper_rate"),
-        rate(F.col("word_chars"), F.col("_w.n")).alias("chars_per_word"),
-        ((F.col("_w.n") < 50) | (100 * F.col("_w.r") > 50 * F.col("_w.n"))).alias("base_failed"))
+    words = F.filter(F.split(text, "[ \\t-\\r]+"), lambda x: x != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: _without(x, SPACE) > 0)
+    counted = F.struct(
+        bind(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("repeats"))).alias("words"),
+        bind(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("repeats"))).alias("lines"),
+        _without(text, SPACE).alias("chars"), (F.length(text) - _without(text, SYMBOLS)).alias("symbols"), (F.length(text) - _without(text, CAPITALS)).alias("capitals"))
+
+    def rated(x: Column) -> Column:
+        n, repeats = x["words"]["n"], x["words"]["repeats"]
+        return F.struct(
+            F.when(lang.rlike("^[a-z]{2,3}$"), lang).otherwise("other").alias("stratum"), n.alias("n_words"), x["chars"].alias("word_chars"), x["symbols"].alias("n_symbols"),
+            x["lines"]["repeats"].alias("n_dup_lines"), repeats.alias("n_repeat_words"), rate(x["symbols"], x["chars"]).alias("symbol_rate"),
+            rate(x["lines"]["repeats"], x["lines"]["n"]).alias("dup_line_rate"), rate(repeats, n).alias("repeat_rate"), rate(x["capitals"], x["chars"]).alias("upper_rate"),
+            rate(x["chars"], n).alias("chars_per_word"), ((n < 50) | (100 * repeats > 50 * n)).alias("base_failed"))
+
+    return bind(counted, rated)
+
+
+def measure(docs: DataFrame) -> DataFrame:
+    """doc_id and the measures of every row's whole text."""
+    return docs.select("doc_id", measures(F.col("text"), F.col("lang")).alias("_m")).select("doc_id", "_m.*")
 
 
 def _log_gamma(x: Column) -> Column:
@@ -124,11 +128,14 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, alpha: f
     fails = {(rule, i): F.count_if(F.col(rule) > cut).alias(f"{rule}_{i}") for rule, grid in GRIDS.items() for i, cut in enumerate(grid)}
     counts = checkpointed(held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *fails.values()))
     share, level = risk / len(GRIDS), alpha / (max(1, counts.count()) * len(GRIDS))
-    chosen = [
-        F.least(F.lit(None).cast("double"), *[
-            F.when(binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), share) <= level, F.lit(cut)) for i, cut in enumerate(grid)]).alias(f"max_{rule}")
-        for rule, grid in GRIDS.items()]
-    return counts.select("stratum", *chosen)
+    tests = [F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cut"), F.col(f"{rule}_{i}").alias("k")) for rule, grid in GRIDS.items() for i, cut in enumerate(grid)]
+    admitted = counts.select("stratum", "n", F.inline(F.array(*tests))).where(binomial_tail(F.col("k"), F.col("n"), share) <= level)
+    return admitted.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"max_{rule}") for rule in GRIDS])
+
+
+def _failed(rate) -> Column:
+    """The rules that a row fails, joined by commas; ``rate`` gives a rule's column."""
+    return F.concat_ws(",", *[F.when(rate(rule) > F.col(f"max_{rule}"), rule) for rule in GRIDS])
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, alpha: float = ALPHA) -> DataFrame:
@@ -139,12 +146,22 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, alpha: float =
     """
     measured = checkpointed(measure(docs))
     limits = F.broadcast(cutoffs(measured, labels.select("doc_id", "quality"), risk, alpha))  # one row a stratum
-    failed = F.concat_ws(",", *[F.when(F.col(rule) > F.col(f"max_{rule}"), rule) for rule in GRIDS])
-    rows = measured.join(limits, "stratum", "left").withColumn("failed_rules", failed)
+    rows = measured.join(limits, "stratum", "left").withColumn("failed_rules", _failed(F.col))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == "")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "stratum", "failed_rules")
 
 
+def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, alpha: float = ALPHA) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    Texts are measured twice, for the cutoffs and to filter, so that they need not be shuffled.
+    """
+    limits = cutoffs(measure(docs), labels.select("doc_id", "quality"), risk, alpha).withColumnRenamed("stratum", "_stratum")
+    judged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), measures(F.col("text"), F.col("lang")).alias("_m"))
+    rows = judged.where(~F.col("_m.base_failed")).join(F.broadcast(limits), F.col("_m.stratum") == F.col("_stratum"), "left")
+    return rows.where(_failed(lambda rule: F.col(f"_m.{rule}")) == "").select("_row.*")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

@@ -28,7 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subledger.llm.common import byte_rows, checkpointed, table
@@ -217,5 +217,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BIT
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which each component keeps that with its
+    smallest doc_id; of rows that repeat the key, the first by hash of the text. Rows without a key stay."""
+    found = components(checkpointed(fingerprints(docs, shingle)), most)
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    rows = docs.join(kept, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), rank.alias("_rank"))
+    return rows.where("_rank = 1").select("_row.*").unionByName(docs.where("doc_id IS NULL"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
