@@ -19,7 +19,6 @@ from __future__ import annotations
 import bisect
 import hashlib
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -84,7 +83,7 @@ def shard_rows(df: DataFrame, shards: int, vnodes: int = VNODES, epsilon: float
     found["base"] = found.groupby("shard")["rows"].cumsum() - found["rows"] - found["first"]
     spark = df.sparkSession
     where = spark.createDataFrame(
-        found[["_cell", "_piece", "shard", "base"]] if len(found) else pd.DataFrame(),
+        found[["_cell", "_piece", "shard", "base"]] if len(found) else [],
         "_cell int, _piece long, shard int, base long")
     placed = cut.join(F.broadcast(where), ["_cell", "_piece"])  # at most CELLS + shards * PIECES + rows over the limit
     return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("_rank")).alias("slot"))
