@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from subledger.functions.blank import _col
+from subledger.functions.blank import _col, is_blank
 
 
 def shift_hours(ts: Column, hours: int) -> Column:
@@ -23,8 +23,9 @@ def shift_hours(ts: Column, hours: int) -> Column:
 
 
 def parse_ts_strict(c: Column | str, shift: int = 0) -> Column:
-    """Parse; an unparseable value fails the job (ANSI cast)."""
-    return shift_hours(_col(c).cast("timestamp_ntz"), shift)
+    """Parse; a blank value is NULL, any other unparseable value fails the job (ANSI cast)."""
+    c = _col(c)
+    return shift_hours(F.when(~is_blank(F.trim(c)), c).cast("timestamp_ntz"), shift)
 
 
 def parse_ts_lenient(c: Column | str, shift: int = 0) -> Column:

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from subledger.functions.blank import _col
 
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+EDGE_SPACE = r"(?U)^\s+|\s+$"
 _DIGITS = r"^[0-9]+$"
 _NUMERIC_VARIANT_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
 
 
 def _stripped(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.regexp_replace(c, EDGE_SPACE, "")
 
 
 def normalize_tax_id(c: Column | str) -> Column:

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subledger.functions.tax_id import crm_tax_id
-from subledger.operators.joins import broadcast_if_bounded
+from subledger.functions.tax_id import EDGE_SPACE, crm_tax_id
 from subledger.params import ReportParams
 from subledger.schemas import CRM_PROJECT, REPORT_COLUMNS
 
 
-MAX_WANTED_STATUSES = 100_000
-
 
 def project_statuses(projects: DataFrame) -> DataFrame:
     """Project documents (``project_id, body`` JSON) -> one row per status with its position."""
@@ -22,32 +19,44 @@ def project_statuses(projects: DataFrame) -> DataFrame:
 
 
 def status_ids_by_name(statuses: DataFrame, name: str) -> DataFrame:
-    """per project, the first status (by position) whose trimmed name equals ``name``.
+    """per project, the first status (by position) whose name, stripped of white space, equals ``name``.
 
     Projects without such a status get NULL. The status list of one project is
     small; the grouping is by project.
     """
-    hit = F.trim(F.col("name")) == F.lit(name.strip())
+    hit = F.regexp_replace("name", EDGE_SPACE, "") == F.lit(name.strip())
     return (statuses.groupBy("project_id")
             .agg(F.min(F.when(hit, F.struct(F.col("pos"), F.col("_id")))).getField("_id").alias("status_id")))
 
 
-def tasks_with_details(tasks: DataFrame, details: DataFrame, status_ids: DataFrame,
+def listed_tasks(tasks: DataFrame, status_ids: DataFrame | None, dedupe: bool = False) -> DataFrame:
+    """Tasks of the wanted statuses (all, for None). ``dedupe`` keeps a task listed twice
+    (a task-list page delivered again) once, at its first place."""
+    if status_ids is not None:
+        wanted = status_ids.filter(F.col("status_id").isNotNull()).select("status_id").distinct()
+        tasks = tasks.join(wanted, "status_id", "left_semi")
+    if dedupe:
+        order = [c for c in ("seq", "page_no", "status_id") if c in tasks.columns]
+        rest = [c for c in tasks.columns if c not in ("_id", *order)]
+        first = F.min(F.struct(*order, *rest)).alias("_first")
+        tasks = tasks.groupBy("_id").agg(first).select("_id", "_first.*").select(*tasks.columns)
+    return tasks
+
+
+def tasks_with_details(tasks: DataFrame, details: DataFrame, status_ids: DataFrame | None = None,
                        dedupe: bool = False) -> DataFrame:
     """S5 + S7 + J5: tasks of the wanted statuses joined to their detail documents.
 
-    Tasks whose detail is missing are dropped (inner join). ``dedupe`` removes
-    tasks listed twice (a task-list page delivered again).
+    Tasks whose detail is missing, was answered with an error or does not parse
+    are dropped. A detail landed more than once counts once: its latest
+    (largest ``seq``, if there is one) readable document.
     """
-    # Every listed task carries the wanted status, so a shuffle on status_id
-    # would put all tasks in one partition: the wanted statuses (one per
-    # project) are broadcast instead, behind a bounded count.
-    wanted = status_ids.filter(F.col("status_id").isNotNull()).select("status_id").distinct()
-    wanted = broadcast_if_bounded(wanted, MAX_WANTED_STATUSES)
-    t = tasks.join(wanted, "status_id", "left_semi")
-    if dedupe:
-        t = t.dropDuplicates(["_id"])
-    return t.join(details.select("_id", F.parse_json(F.col("body")).alias("detail")), "_id", "inner")
+    latest = F.col("seq") if "seq" in details.columns else F.lit(0)
+    docs = (details.select("_id", F.col("body"), latest.alias("_at"))
+            .where(F.try_parse_json("body").isNotNull())
+            .groupBy("_id").agg(F.max(F.struct("_at", "body")).getField("body").alias("body")))
+    return listed_tasks(tasks, status_ids, dedupe).join(
+        docs.select("_id", F.try_parse_json("body").alias("detail")), "_id", "inner")
 
 
 def crm_tax_ids(tasks: DataFrame) -> DataFrame:

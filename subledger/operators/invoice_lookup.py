@@ -5,17 +5,16 @@ of all invoices each). Because every date bound is a constant, they collapse
 into ONE conditional aggregation per billing id, partially aggregated before
 the shuffle, and one left join:
 
-    invoices --filter--> partial agg --shuffle(subscription)--> final agg --+
-    report  --(key: billing id, blanks salted)--shuffle---------------------+--> left join
+    invoices --filter--> partial agg --shuffle--> final agg --shuffle--+
+    report  --(key: billing id, or the row's own id if blank)--shuffle-+--> left join
 
 Cost is O(subscriptions + invoices) instead of O(subscriptions x invoices).
 A hot subscription collapses to one row per map task in the partial
-aggregation. A hot billing id on the report side (many report rows, one
-aggregate row) is salted: hot keys are found by one small job on a row-hash
-sample, capped in number (a bounded list), their report rows spread over
-``salt_buckets`` by record id and their aggregate row replicated per
-bucket. Every other key joins as before, and because both join inputs are
-then plain shuffles, AQE's skew join can split whatever skew remains.
+aggregation. For a hot billing id on the report side, the join also compares
+a hash of the key, which neither side is partitioned by yet: both inputs are
+then plain shuffles, and AQE's skew join splits the report rows of the hot key
+over as many tasks as their measured bytes ask for. Building the plan starts
+no job and needs no list of keys.
 """
 
 from __future__ import annotations
@@ -32,15 +31,6 @@ from subledger.params import INVOICE_PAID, ReportParams
 # single partition a NULL join key would land in.
 _BLANK_KEY_PREFIX = "\u0000blank:"
 
-# Hot billing ids: found on a 1 % row-hash sample; a key needs >= 200
-# sampled rows (about 20 000 report rows) to count; at most 1 000 keys are
-# salted (the LIMIT bounds what the driver collects), each over 32 buckets.
-HOT_SAMPLE_FRACTION = 0.01
-HOT_MIN_SAMPLED = 200
-MAX_HOT_KEYS = 1000
-SALT_BUCKETS = 32
-_SAMPLE_SEED = 17
-
 
 def invoice_join_key(billing_col: str = "billing_id", id_col: str = "client_sub_id") -> Column:
     """Join key of a report row: its billing id, or for a blank billing id a
@@ -51,90 +41,17 @@ def invoice_join_key(billing_col: str = "billing_id", id_col: str = "client_sub_
     return F.when(is_blank(billing_col), salted).otherwise(F.col(billing_col))
 
 
-def hot_keys(df: DataFrame, key: str, row_id: str, fraction: float | None = None,
-             min_sampled: int | None = None, max_keys: int | None = None) -> DataFrame:
-    """Keys holding an outsized share of ``df``'s rows, as ``_hot_key``.
-
-    Detected on a sample (detection only: no row is dropped from any result)
-    and capped at ``max_keys`` rows, so the result is safe to broadcast. The
-    sample is a hash of each row's (id, key), not a random draw: the hot set
-    is a pure function of the data, so both sides of the salted join see the
-    same set even if it is computed twice or recomputed after a lost task.
-    """
-    fraction = HOT_SAMPLE_FRACTION if fraction is None else fraction
-    min_sampled = HOT_MIN_SAMPLED if min_sampled is None else min_sampled
-    max_keys = MAX_HOT_KEYS if max_keys is None else max_keys
-    in_sample = F.pmod(F.xxhash64(F.col(row_id), F.col(key), F.lit(_SAMPLE_SEED)),
-                       F.lit(1_000_000)) < F.lit(int(fraction * 1_000_000))
-    return (df.filter(in_sample).groupBy(key).count().filter(F.col("count") >= min_sampled)
-            .orderBy(F.col("count").desc(), F.col(key)).limit(max_keys)
-            .select(F.col(key).alias("_hot_key")))
-
-
-def hot_key_list(df: DataFrame, key: str, row_id: str) -> list[str]:
-    """The hot keys as a Python list: at most MAX_HOT_KEYS values (bounded collect)."""
-    return [r["_hot_key"] for r in hot_keys(df, key, row_id).collect()]
-
-
-def salted(keyed: DataFrame, agg: DataFrame, id_col: str, buckets: int, hot: list[str]):
-    """Salt the given hot keys: report rows spread over ``buckets`` by a hash of
-    the whole row (record id first, so rows sharing an id still spread), each
-    hot key's aggregate row replicated once per bucket; other keys get salt 0."""
-    zero = F.lit(0).cast("bigint")
-    row_hash = F.xxhash64(F.col(id_col), *[F.col(f"`{c}`") for c in keyed.columns if c != id_col])
-    keyed = keyed.withColumn("_salt", F.when(F.col("_inv_key").isin(*hot),
-                                             F.pmod(row_hash, F.lit(buckets)))
-                             .otherwise(zero))
-    salts = F.when(F.col("subscription").isin(*hot),
-                   F.sequence(zero, F.lit(buckets - 1).cast("bigint"))).otherwise(F.array(zero))
-    return keyed, agg.withColumn("_salt", F.explode(salts))
-
-
-# Invoice statuses form a small set; up to this many distinct values the
-# "first status" aggregate works on integer codes (a hash aggregate), beyond
-# it on struct(seq, status) (a sort aggregate). Both are exact.
-MAX_STATUS_CODES = 64
-_NUMERIC = ("tinyint", "smallint", "int", "bigint")
-
-
-def status_codes(invoices: DataFrame) -> list[str] | None:
-    """The distinct non-NULL statuses, sorted, when there are at most
-    MAX_STATUS_CODES of them (a bounded collect); else None."""
-    if dict(invoices.dtypes).get("seq") not in _NUMERIC:
-        return None
-    vals = [r[0] for r in invoices.select("status").where(F.col("status").isNotNull())
-            .distinct().limit(MAX_STATUS_CODES + 1).collect()]
-    return sorted(vals) if 0 < len(vals) <= MAX_STATUS_CODES else None
-
-
-def _first_where(cond: Column, statuses: list[str] | None) -> Column:
-    """First (lowest ``seq``) invoice meeting ``cond``; NULL if none.
-
-    With a status list: the status's 1-based code (0 = NULL status) via
-    ``min_by``, whose buffer is fixed-width, so Spark hash-aggregates.
-    Without: struct(seq, status) via ``min`` (sort aggregate).
-    """
-    if statuses:
-        code = F.coalesce(F.array_position(F.array(*[F.lit(v) for v in statuses]), F.col("status")),
-                          F.lit(0)).cast("int")
-        return F.min_by(code, F.when(cond, F.col("seq")))
-    return F.min(F.when(cond, F.struct(F.col("seq"), F.col("status"))))
-
-
-def first_status(first: Column, statuses: list[str] | None) -> Column:
-    """Decode what ``_first_where`` produced back to the status (NULL stays NULL)."""
-    if statuses:
-        return F.when(first != 0, F.element_at(F.array(*[F.lit(v) for v in statuses]), first))
-    return first.getField("status")
+def _first_where(cond: Column) -> Column:
+    """Status of the first invoice meeting ``cond`` in the total arrival order
+    (lowest ``seq``, then highest id); a struct, so a NULL status differs from no invoice."""
+    return F.max(F.when(cond, F.struct((-F.col("seq")).alias("o"), F.col("id"), F.col("status"))))
 
 
-def invoice_aggregates(invoices: DataFrame, params: ReportParams,
-                       statuses: list[str] | None = None) -> DataFrame:
+def invoice_aggregates(invoices: DataFrame, params: ReportParams) -> DataFrame:
     """One row per billing subscription id with every lookup the report needs.
 
-    ``invoices`` needs ``subscription STRING, created DATE, status STRING, seq``
-    (``seq`` = arrival order of the billing source, lower first). ``statuses``
-    (see ``status_codes``) switches the first-status aggregates to codes.
+    ``invoices`` needs ``id STRING, subscription STRING, created DATE, status STRING,
+    seq`` (``seq`` = arrival order of the billing source, lower first).
     """
     d = F.col("created")
     paid = F.col("status") == F.lit(INVOICE_PAID)
@@ -149,8 +66,8 @@ def invoice_aggregates(invoices: DataFrame, params: ReportParams,
     return (invoices
             .filter(key.isNotNull() & (key != "") & ~key.startswith(_BLANK_KEY_PREFIX))
             .groupBy("subscription")
-            .agg(_first_where((d >= L(cm0)) & (d < L(cm1)), statuses).alias("first_m"),
-                 _first_where(d.between(L(cy0), L(cy1)), statuses).alias("first_y"),
+            .agg(_first_where((d >= L(cm0)) & (d < L(cm1))).alias("first_m"),
+                 _first_where(d.between(L(cy0), L(cy1))).alias("first_y"),
                  F.max(F.when(paid & d.between(L(wm0), L(wm1)), F.lit(True))).alias("paid2_m"),
                  F.max(F.when(paid & d.between(L(wy0), L(wy1)), F.lit(True))).alias("paid2_y"),
                  F.max(F.when(paid & d.between(L(lm0), L(lm1)), d)).alias("last_m"),
@@ -160,38 +77,27 @@ def invoice_aggregates(invoices: DataFrame, params: ReportParams,
 
 def with_invoice_columns(report: DataFrame, invoices: DataFrame, params: ReportParams,
                          billing_col: str = "billing_id", type_col: str = "package_type",
-                         id_col: str = "client_sub_id",
-                         salt_buckets: int | None = SALT_BUCKETS) -> DataFrame:
+                         id_col: str = "client_sub_id") -> DataFrame:
     """Add ``status_chosen_month``, ``paid_last_2_months``, ``last_invoice_month``.
 
     Blank billing id -> "cannot determine" / "cannot determine" / ''.
     Package type other than monthly/yearly -> '' / '' / month of any paid invoice.
     No invoices at all -> '' in all three columns for every row (an EXISTS
-    subquery, so the plan stays lazy). Hot billing ids are detected first by
-    one small job (a 1 % row-hash sample of the join keys, at most
-    MAX_HOT_KEYS returned); without hot keys the plan is the plain one-shuffle-
-    per-side join. ``salt_buckets=None`` skips the detection (for inputs whose
-    billing ids are known to be unique).
+    subquery, so the plan stays lazy).
     """
     lb = params.labels
-    statuses = status_codes(invoices)
-    agg = invoice_aggregates(invoices, params, statuses)
     blank = is_blank(billing_col)
     keyed = report.withColumn("_inv_key", invoice_join_key(billing_col, id_col))
-    hot = hot_key_list(keyed, "_inv_key", id_col) if salt_buckets and salt_buckets > 1 else []
-    if hot:
-        keyed, agg = salted(keyed, agg, id_col, salt_buckets, hot)
-        cond = (keyed["_inv_key"] == agg["subscription"]) & (keyed["_salt"] == agg["_salt"])
-    else:
-        cond = keyed["_inv_key"] == agg["subscription"]
-    j = keyed.join(agg, cond, "left")
+    keyed = keyed.withColumn("_inv_hash", F.xxhash64("_inv_key"))
+    agg = invoice_aggregates(invoices, params).withColumn("_sub_hash", F.xxhash64("subscription"))
+    j = keyed.join(agg, (keyed["_inv_key"] == agg["subscription"]) & (keyed["_inv_hash"] == agg["_sub_hash"]), "left")
 
     typ = F.col(type_col)
     monthly, yearly = typ == F.lit(lb.interval_month), typ == F.lit(lb.interval_year)
     cannot, empty = F.lit(lb.cannot_determine), F.lit("")
     chosen = (F.when(blank, cannot)
-              .when(monthly & F.col("first_m").isNotNull(), first_status(F.col("first_m"), statuses))
-              .when(yearly & F.col("first_y").isNotNull(), first_status(F.col("first_y"), statuses))
+              .when(monthly & F.col("first_m").isNotNull(), F.col("first_m.status"))
+              .when(yearly & F.col("first_y").isNotNull(), F.col("first_y.status"))
               .otherwise(empty))
     paid2 = (F.when(blank, cannot)
              .when(monthly & F.coalesce(F.col("paid2_m"), F.lit(False)), F.lit(lb.paid_flag))

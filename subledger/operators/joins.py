@@ -7,31 +7,17 @@ from pyspark.sql import functions as F
 
 from subledger.params import ReportParams
 
-# A plan catalogue is small by nature; above this many rows it is shuffled instead.
-PLAN_BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a LIMIT-ed count, so it stops reading after ``max_rows + 1``
-    rows; beyond the bound the join is left to the planner and AQE (shuffle).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def join_plans(subs: DataFrame, plans: DataFrame,
-               max_broadcast_rows: int = PLAN_BROADCAST_MAX_ROWS) -> DataFrame:
+def join_plans(subs: DataFrame, plans: DataFrame) -> DataFrame:
     """Left join user subscriptions to plans on ``subscription_id = plans.id``.
 
     The right side is pruned to the key and the interval; its key becomes
     ``plan_id``. NULL keys match each other (as pandas merge does); duplicate
-    plan ids fan out.
+    plan ids fan out. Both sides are plain shuffles, so at run time AQE
+    broadcasts the catalogue if it measured small, or else splits the rows of a
+    popular plan (or of NULL) over several tasks.
     """
     right = plans.select(F.col("id").alias("plan_id"),
                          F.col("price.recurring_interval").alias("recurring_interval"))
-    right = broadcast_if_bounded(right, max_broadcast_rows)
     return subs.join(right, subs["subscription_id"].eqNullSafe(right["plan_id"]), "left")
 
 

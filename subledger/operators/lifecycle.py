@@ -16,11 +16,13 @@ def lifecycle_status(client_sub_id: Column | str, expires_at: Column | str,
     expiry blank or unparseable -> active; otherwise -> cancelled.
 
     A text expiry is parsed leniently (both 'YYYY-MM-DD HH:MM:SS' and
-    'YYYY-MM-DD' forms). ``params.as_of`` None means the query's local time.
+    'YYYY-MM-DD' forms). ``params.as_of`` None means the query's time in
+    ``params.local_timezone``, the zone of the expiry's wall clock.
     """
     lb = params.labels
     exp = _col(expires_at).try_cast("timestamp_ntz")
-    now = ntz_literal(params.as_of) if params.as_of is not None else F.localtimestamp()
+    now = ntz_literal(params.as_of) if params.as_of is not None else \
+        F.convert_timezone(F.current_timezone(), F.lit(params.local_timezone), F.localtimestamp())
     return (F.when(is_blank(client_sub_id), F.lit(lb.lifecycle_unspecified))
             .when(exp > now, F.lit(lb.lifecycle_cancelled_active))
             .when(exp.isNull(), F.lit(lb.lifecycle_active))

@@ -1,9 +1,8 @@
 """Hot keys: a third of the report rows blank, a third on one billing id, a third of
 the invoices on one subscription. Results stay whole and right; no single task gets
-the blank rows; AQE splits the hot billing id."""
+the blank rows; both join inputs are plain shuffles, so AQE splits the hot billing id."""
 
 import datetime as dt
-import re
 
 from pyspark.sql import functions as F
 
@@ -14,6 +13,13 @@ from subledger.params import Labels, ReportParams
 LB = Labels()
 P = ReportParams(chosen_month=7, chosen_year=2025, chosen_yearly_start_year=2024)
 N = 6000
+# AQE settings under which this small fixture counts as large and skewed
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "12",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+}
 
 
 def _report(spark):
@@ -21,8 +27,9 @@ def _report(spark):
     billing = (F.when(i % 3 == 0, F.lit("hot"))
                .when(i % 3 == 1, F.when(i % 2 == 0, F.lit(None)).otherwise(F.lit("")))
                .otherwise(F.concat(F.lit("s"), (i % 500).cast("string"))))
-    return spark.range(N).select(i.alias("client_sub_id"), billing.alias("billing_id"),
-                                 F.lit(LB.interval_month).alias("package_type"))
+    return spark.range(0, N, 1, 8).select(i.alias("client_sub_id"), billing.alias("billing_id"),
+                                          F.lit(LB.interval_month).alias("package_type"),
+                                          F.sha2(i.cast("string"), 256).alias("note"))
 
 
 def _invoices(spark):
@@ -30,8 +37,17 @@ def _invoices(spark):
     sub = F.when(i % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), (i % 500).cast("string")))
     day = F.date_add(F.lit(dt.date(2025, 7, 1)), (i % 20).cast("int"))
     status = F.when(i % 7 == 0, F.lit("paid")).otherwise(F.lit("open"))
-    return spark.range(30000).select(sub.alias("subscription"), day.alias("created"),
-                                     status.alias("status"), i.alias("seq"))
+    return spark.range(30000).select(F.concat(F.lit("in"), i.cast("string")).alias("id"), sub.alias("subscription"),
+                                     day.alias("created"), status.alias("status"), i.alias("seq"))
+
+
+def _check(out):
+    rows = out.groupBy("billing_id", "status_chosen_month", "paid_last_2_months").count().collect()
+    assert sum(r["count"] for r in rows) == N
+    by = {(r["billing_id"], r["status_chosen_month"]): r["count"] for r in rows}
+    # the hot subscription's first July invoice in arrival order is seq 0: paid
+    assert by[("hot", "paid")] == N // 3
+    assert by[(None, LB.cannot_determine)] + by[("", LB.cannot_determine)] == N // 3
 
 
 def test_blank_rows_spread_over_partitions(spark):
@@ -42,77 +58,52 @@ def test_blank_rows_spread_over_partitions(spark):
 
 
 def test_hot_keys_whole_and_right(spark):
-    out = with_invoice_columns(_report(spark), _invoices(spark), P)
-    rows = out.groupBy("billing_id", "status_chosen_month", "paid_last_2_months").count().collect()
-    assert sum(r["count"] for r in rows) == N
-    by = {(r["billing_id"], r["status_chosen_month"]): r["count"] for r in rows}
-    # the hot subscription's first July invoice in arrival order is seq 0: paid
-    assert by[("hot", "paid")] == N // 3
-    assert by[(None, LB.cannot_determine)] + by[("", LB.cannot_determine)] == N // 3
+    _check(with_invoice_columns(_report(spark), _invoices(spark), P))
+
+
+def _run_split(spark, out):
+    old = {k: spark.conf.get(k, None) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    try:
+        _check(out())
+        df = out()
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_half_of_all_rows_on_one_key_are_split_at_run_time(spark):
+    plan = _run_split(spark, lambda: with_invoice_columns(_report(spark), _invoices(spark), P))
+    assert "SortMergeJoin(skew=true)" in plan
 
 
-def _patch_detection(monkeypatch):
-    # the fixture is small: sample half the rows, 200 sampled rows make a key hot
-    monkeypatch.setattr(il, "HOT_SAMPLE_FRACTION", 0.5)
-    monkeypatch.setattr(il, "HOT_MIN_SAMPLED", 200)
-
-
-def test_hot_key_detection(spark, monkeypatch):
-    _patch_detection(monkeypatch)
-    keyed = _report(spark).withColumn("_inv_key", invoice_join_key())
-    assert [r[0] for r in il.hot_keys(keyed, "_inv_key", "client_sub_id").collect()] == ["hot"]
-    # defaults: a 1 % sample needs ~20 000 rows per key; this fixture has none that hot
-    monkeypatch.undo()
-    assert il.hot_keys(keyed, "_inv_key", "client_sub_id").count() == 0
-
-
-def test_salting_spreads_hot_rows_and_keeps_results(spark, monkeypatch):
-    _patch_detection(monkeypatch)
-    keyed = _report(spark).withColumn("_inv_key", invoice_join_key())
-    agg = il.invoice_aggregates(_invoices(spark), P)
-    hot = il.hot_key_list(keyed, "_inv_key", "client_sub_id")
-    assert hot == ["hot"]
-    k2, a2 = il.salted(keyed, agg, "client_sub_id", il.SALT_BUCKETS, hot)
-    sizes = [r["count"] for r in k2.filter(F.col("_inv_key") == "hot").groupBy("_salt").count().collect()]
-    assert len(sizes) == il.SALT_BUCKETS and max(sizes) < 2 * (N // 3) / il.SALT_BUCKETS
-    assert a2.filter(F.col("subscription") == "hot").count() == il.SALT_BUCKETS
-    assert a2.filter(F.col("subscription") != "hot").count() == agg.count() - 1
-    test_hot_keys_whole_and_right(spark)   # same answers with salting active
-    out = with_invoice_columns(_report(spark), _invoices(spark), P)
-    plan = re.sub(r"#\d+L?", "", out._sc._jvm.PythonSQLUtils.explainString(
-        out._jdf.queryExecution(), "simple"))
-    assert "[_inv_key, _salt], [subscription, _salt], LeftOuter" in plan
-
-
-def test_hot_set_is_a_function_of_the_data(spark, monkeypatch):
-    _patch_detection(monkeypatch)
-    keyed = _report(spark).withColumn("_inv_key", invoice_join_key())
-    a = il.hot_keys(keyed, "_inv_key", "client_sub_id").collect()
-    b = il.hot_keys(keyed.repartition(7).sortWithinPartitions(F.rand(3)), "_inv_key",
-                    "client_sub_id").collect()
-    assert a == b
-
-
-def test_status_codes_and_fallback_agree(spark):
-    """Coded (hash) and struct (sort) first-status paths give the same answers;
-    more than MAX_STATUS_CODES distinct statuses switch to the struct path."""
+def test_many_equally_hot_keys_need_no_list(spark):
     i = F.col("id")
-    many = spark.range(3000).select(
-        F.concat(F.lit("s"), (i % 40).cast("string")).alias("subscription"),
-        F.date_add(F.lit(dt.date(2025, 7, 1)), (i % 25).cast("int")).alias("created"),
-        F.when(i % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("st"), (i % 90).cast("string"))).alias("status"),
-        (-i).alias("seq"))
-    few = many.withColumn("status", F.when(F.col("status").isNull(), F.lit(None))
-                          .otherwise(F.substring("status", 1, 3)))
-    assert il.status_codes(many) is None                       # 90 distinct > 64
-    codes = il.status_codes(few)
-    assert codes is not None and len(codes) <= il.MAX_STATUS_CODES
-    for inv in (many, few):
-        coded = il.status_codes(inv)
-        a = il.invoice_aggregates(inv, P, coded).select(
-            "subscription", il.first_status(F.col("first_m"), coded).alias("s"), F.col("first_m").isNull().alias("n"))
-        b = il.invoice_aggregates(inv, P, None).select(
-            "subscription", il.first_status(F.col("first_m"), None).alias("s"), F.col("first_m").isNull().alias("n"))
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    plan = il.invoice_aggregates(few, P, codes)._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    keys = 1200
+    report = spark.range(0, keys * 10).select(i.alias("client_sub_id"), F.concat(F.lit("s"), (i % keys).cast("string")).alias("billing_id"),
+                                              F.lit(LB.interval_month).alias("package_type"))
+    inv = spark.range(keys).select(F.concat(F.lit("in"), i.cast("string")).alias("id"), F.concat(F.lit("s"), i.cast("string")).alias("subscription"),
+                                   F.lit(dt.date(2025, 7, 3)).alias("created"), F.lit("paid").alias("status"), i.alias("seq"))
+    out = with_invoice_columns(report, inv, P)
+    assert out.where("status_chosen_month = 'paid'").count() == keys * 10
+
+
+def test_first_status_has_a_total_order(spark):
+    """Equal seq: the highest id wins; a NULL status stays NULL; input order never matters."""
+    day = dt.date(2025, 7, 3)
+    rows = [("a1", "x", day, "open", 1), ("a2", "x", day, "void", 1), ("a3", "x", day, "paid", 2),
+            ("b1", "y", day, None, 5), ("b0", "y", day, "paid", 5), ("c1", "z", dt.date(2024, 1, 1), "paid", 0)]
+    schema = "id string, subscription string, created date, status string, seq long"
+    report = spark.createDataFrame([(k, s, LB.interval_month) for k, s in enumerate("xyz")], "client_sub_id long, billing_id string, package_type string")
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        inv = spark.createDataFrame(order, schema).repartition(3)
+        got = {r["billing_id"]: r["status_chosen_month"] for r in with_invoice_columns(report, inv, P).collect()}
+        assert got == {"x": "void", "y": None, "z": ""}
+
+
+def test_aggregates_read_invoices_once(spark):
+    plan = il.invoice_aggregates(_invoices(spark), P)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Range (") == 1 and plan.count("Exchange hashpartitioning") == 1
