@@ -38,13 +38,12 @@ GRIDS = {
     "chars_per_word": (60.0, 40.0, 30.0, 25.0, 20.0, 16.0, 14.0, 12.0),
 }
 
-SPACE = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SPACE, SYMBOLS, CAPITALS = " \\t-\\r", "#*$%&|<>", "A-Z"
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, "")).cast("long")
+def _count(text: Column, characters: str) -> Column:
+    """How many of a text's characters lie in a class."""
+    return F.length(F.regexp_replace(text, f"[^{characters}]+", "")).cast("long")
 
 
 def repeated_words(words: Column) -> Column:
@@ -58,8 +57,8 @@ def repeated_words(words: Column) -> Column:
         return F.aggregate(steps, F.lit(0), lambda total, x: total + x)
 
     def repeats(grams: Column) -> Column:
-        starts = F.transform(grams, lambda x, k: F.when((F.get(grams, k - 1)["h"] == x["h"]) | (F.get(grams, k + 1)["h"] == x["h"]), x["i"]))
-        return bind(F.sort_array(F.filter(starts, lambda x: x.isNotNull())), covered)
+        twins = F.transform(grams, lambda x, k: bind(F.get(grams, k + 1), lambda y: F.when(y["h"] == x["h"], F.array(x["i"], y["i"]))))
+        return bind(F.sort_array(F.flatten(F.filter(twins, lambda x: x.isNotNull()))), covered)
 
     places = F.sequence(F.lit(0), F.greatest(F.size(words) - 3, F.lit(0)))
     grams = F.transform(places, lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
@@ -70,12 +69,12 @@ def measures(text: Column, lang: Column) -> Column:
     """A struct of stratum, base counts, the rules' rates and base_failed of a whole text."""
     text = F.coalesce(text, F.lit(""))
     rate = lambda part, whole: F.coalesce(F.try_divide(part, whole), F.lit(0.0))
-    words = F.filter(F.split(text, "[ \\t-\\r]+"), lambda x: x != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: _without(x, SPACE) > 0)
+    words = F.filter(F.split(text, f"[{SPACE}]+"), lambda x: x != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
     counted = F.struct(
         bind(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("repeats"))).alias("words"),
         bind(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("repeats"))).alias("lines"),
-        _without(text, SPACE).alias("chars"), (F.length(text) - _without(text, SYMBOLS)).alias("symbols"), (F.length(text) - _without(text, CAPITALS)).alias("capitals"))
+        F.length(F.regexp_replace(text, f"[{SPACE}]+", "")).cast("long").alias("chars"), _count(text, SYMBOLS).alias("symbols"), _count(text, CAPITALS).alias("capitals"))
 
     def rated(x: Column) -> Column:
         n, repeats = x["words"]["n"], x["words"]["repeats"]
