@@ -117,23 +117,30 @@ _INVOICE_TOP = ("struct<id string, amount_due bigint, amount_paid bigint, amount
                 "payment_intent variant, status string, paid variant, lines variant>")
 
 
-def invoice_fact_variant(docs: DataFrame, params: ReportParams, json_col: str = "json") -> DataFrame:
-    """R5 over raw invoice JSON: the 14-column invoice table with exact key semantics.
-
-    Top-level defaults (``attempt_count`` -> 0, ``payment_intent`` ->
-    placeholder, ``paid`` -> false) apply to missing keys only; an explicit
-    null stays NULL. The JSON text is parsed once per row and the invoice
-    object read in one traversal (a cast to a struct with VARIANT fields for
-    the keys whose absence matters).
+def invoice_fact_variant(docs: DataFrame, params: ReportParams, json_col: str = "json",
+                         keep_helpers: bool = False) -> DataFrame:
+    """R5 over raw invoices: the 14-column invoice table with exact key semantics.
+
+    ``docs`` holds each invoice as VARIANT (``doc``) or as JSON text
+    (``json_col``). Top-level defaults (``attempt_count`` -> 0,
+    ``payment_intent`` -> placeholder, ``paid`` -> false) apply to missing keys
+    only; an explicit null stays NULL. Text is parsed once per row and the
+    object read in one traversal (a cast to a struct with VARIANT fields for the
+    keys whose absence matters). ``keep_helpers`` adds ``created_epoch`` and
+    ``seq`` (landed, else newest first).
     """
     lb = params.labels
-    # The lower bound reads one path of the raw text (a streaming scan, no
-    # full parse); the full parse then runs once per kept row.
-    since = F.get_json_object(F.col(json_col), "$.created").try_cast("bigint")
-    inv = (docs.filter(since >= F.lit(params.invoice_since_epoch()))
-           .select(F.variant_get(F.parse_json(F.col(json_col)), "$", _INVOICE_TOP).alias("_inv")))
+    seq = [F.col("seq")] if "seq" in docs.columns else []
+    if "doc" in docs.columns:
+        doc, since = F.col("doc"), F.try_variant_get("doc", "$.created", "bigint")
+    else:
+        # The lower bound reads one path of the raw text (a streaming scan, no
+        # full parse); the full parse then runs once per kept row.
+        doc, since = F.parse_json(F.col(json_col)), F.get_json_object(F.col(json_col), "$.created").try_cast("bigint")
+    inv = docs.filter(since >= F.lit(params.invoice_since_epoch())).select(F.try_variant_get(doc, "$", _INVOICE_TOP).alias("_inv"), *seq)
     f = lambda name: F.col("_inv").getField(name)
     desc, active, interval = first_line_item_variant(f("lines"), lb, lines_path="$")
+    helpers = [f("created").alias("created_epoch"), *(seq or [(-f("created")).alias("seq")])] if keep_helpers else []
     return inv.select(
         f("id").alias("id"),
         (f("amount_due") / 100).alias("amount_due"),
@@ -148,4 +155,12 @@ def invoice_fact_variant(docs: DataFrame, params: ReportParams, json_col: str =
         _with_default(f("attempt_count"), F.lit(0), "int").alias("attempt_count"),
         _with_default(f("payment_intent"), F.lit(lb.no_payment_intent), "string").alias("payment_intent"),
         f("status").alias("status"),
-        _with_default(f("paid"), F.lit(False), "boolean").alias("paid"))
+        _with_default(f("paid"), F.lit(False), "boolean").alias("paid"), *helpers)
+
+
+def invoice_table(invoices: DataFrame, params: ReportParams, keep_helpers: bool = False) -> DataFrame:
+    """The invoice table of landed invoices (VARIANT ``doc`` or JSON text ``json``: exact key
+    semantics) or of typed ones (where a NULL stands for an explicit null)."""
+    if {"doc", "json"} & set(invoices.columns):
+        return invoice_fact_variant(invoices, params, keep_helpers=keep_helpers)
+    return invoice_fact(invoices, params, keep_helpers=keep_helpers)

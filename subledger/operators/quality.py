@@ -110,11 +110,12 @@ def check_gaps(gaps: DataFrame, on_gap: str = "warn") -> list:
     """Surface pages a scan dropped. ``on_gap``: 'ignore', 'warn' or 'fail'.
 
     ``gaps`` has one row per source (see ``sources.landing.page_gaps``), so the
-    collect is bounded by the number of sources.
+    collect is bounded by the number of sources; returns all rows.
     """
-    rows = [r for r in gaps.collect() if r["dropped_pages"]]
+    found = gaps.collect()
+    rows = [r for r in found if r["dropped_pages"]]
     if rows and on_gap == "fail":
         raise RuntimeError(f"pages dropped by failed or empty pages: {rows}")
     if rows and on_gap == "warn":
         warnings.warn(f"pages dropped by failed or empty pages: {rows}", stacklevel=2)
-    return rows
+    return found

@@ -32,8 +32,8 @@ from subledger.params import (
     RAW_INTERVAL_MONTH, RAW_INTERVAL_YEAR, RAW_STATUS_ACTIVE, RAW_STATUS_CANCELED, UTC, ReportParams,
 )
 from subledger.plans import reports
-from subledger.sinks.writers import format_for_export, report_meta
-from subledger.schemas import PLAN, USER_SUBSCRIPTION
+from subledger.schemas import CRM_TASK, PLAN, USER_SUBSCRIPTION
+from subledger.sinks.writers import INVOICE_HEADINGS, REPORT_HEADINGS, format_for_export, report_meta
 from subledger.sources import landing as landing_src
 from subledger.sources import proxies as px
 
@@ -55,6 +55,11 @@ def _sources(spark: SparkSession, d: str):
     return px.usersubs(spark, d), px.plans(spark, d), px.invoices_raw(spark, d)
 
 
+def crm_tax_id(spark, d):
+    """P13 over every task with a detail, whatever its status: all value forms."""
+    return crm_ops.crm_tax_ids(crm_ops.tasks_with_details(px.crm_tasks(spark, d), px.crm_task_details(spark, d)))
+
+
 def _crm_tax_ids(spark: SparkSession, d: str, params: ReportParams) -> DataFrame:
     statuses = crm_ops.project_statuses(px.crm_projects(spark, d)
                                         .filter(F.col("project_id") == CRM_PROJECT_ID))
@@ -227,9 +232,17 @@ def page_prefix(spark, d):
                        F.col("price.recurring_interval").alias("recurring_interval"))
 
 
-def _scanned(spark, d):
+def page_status(spark, d):
+    return landing_src.page_status(landing_src.parse_pages(px.odd_pages(spark, d)), "odd")
+
+
+def crm_task_pages(spark, d):
+    return landing_src.scan_task_pages(px.crm_listing(spark, d), "crm_tasks/all", CRM_TASK).select("page_no", "pos", "_id")
+
+
+def _scanned(spark, d, prefix_rule=True):
     land = px.landing_pages(spark, d)
-    return land, {s: landing_src.scan_pages(land, s, sch)
+    return land, {s: landing_src.scan_pages(land, s, sch, prefix_rule=prefix_rule)
                   for s, sch in (("usersubs", USER_SUBSCRIPTION), ("plans", PLAN))}
 
 
@@ -243,7 +256,8 @@ def completeness_q(spark, d):
 
 
 def dup_ids(spark, d):
-    _, recs = _scanned(spark, d)
+    """A4 over every landed record, beyond a failed page too."""
+    _, recs = _scanned(spark, d, prefix_rule=False)
     out = None
     for s, r in recs.items():
         c = duplicate_ids(r, "id", s)
@@ -258,9 +272,10 @@ def required_fields_q(spark, d):
 
 
 def required_keys_q(spark, d):
+    """Q1 over every landed record, beyond a failed page too."""
     land = px.landing_pages(spark, d)
-    return (required_keys(landing_src.scan_pages_variant(land, "usersubs"), USERSUB_REQUIRED, "usersubs")
-            .unionByName(required_keys(landing_src.scan_pages_variant(land, "plans"), PLAN_REQUIRED,
+    return (required_keys(landing_src.scan_pages_variant(land, "usersubs", prefix_rule=False), USERSUB_REQUIRED, "usersubs")
+            .unionByName(required_keys(landing_src.scan_pages_variant(land, "plans", prefix_rule=False), PLAN_REQUIRED,
                                        "plans")))
 
 
@@ -286,10 +301,6 @@ def crm_tasks_q(spark, d):
     return t.select("_id", "status_id", "page_no")
 
 
-def crm_tax_id(spark, d):
-    return _crm_tax_ids(spark, d, P())
-
-
 def crm_rows_q(spark, d):
     p = P()
     return crm_ops.crm_rows(_crm_tax_ids(spark, d, p), p)
@@ -304,6 +315,23 @@ def report_meta_q(spark, d):
     return report_meta(spark, P().as_of.date(), subscription_report(spark, d))
 
 
+def report_headed(spark, d):
+    """The report under its sheet headings."""
+    return format_for_export(subscription_report(spark, d), REPORT_HEADINGS)
+
+
+def invoice_headed(spark, d):
+    """The invoice table under its sheet headings."""
+    return format_for_export(invoice_json_fact(spark, d), INVOICE_HEADINGS)
+
+
+def window_across_years(spark, d):
+    """An explicit two-month window over the turn of the year."""
+    us, pl, inv = _sources(spark, d)
+    p = P(window_start=dt.date(1997, 12, 1), window_end=dt.date(1998, 1, 31))
+    return reports.report_no_crm(us, pl, inv, p).select("client_sub_id", "billing_id", "package_type", "paid_last_2_months")
+
+
 QUERIES: dict[str, Query] = {
     "subscription_report": subscription_report,
     "report_base": report_base,
@@ -342,4 +370,9 @@ QUERIES: dict[str, Query] = {
     "stage_counts": stage_counts_q,
     "report_export": report_export,
     "report_meta": report_meta_q,
+    "page_status": page_status,
+    "crm_task_pages": crm_task_pages,
+    "report_headed": report_headed,
+    "invoice_headed": invoice_headed,
+    "window_across_years": window_across_years,
 }

@@ -9,7 +9,8 @@ supplier`` are the driver's parquet tables.
 
 from __future__ import annotations
 
-from subledger.plans.catalog import CRM_PROJECT_ID, NEWEST_N, NO_INVOICES_SINCE, P
+from subledger.plans.catalog import CRM_PROJECT_ID, NEWEST_N, P
+from subledger.sinks.writers import INVOICE_HEADINGS, REPORT_HEADINGS
 from subledger.sources.proxies import CRM_PAGE_KEYS, FAILED_PAGE, PAGE_KEYS, REPEATED_PAGE
 
 
@@ -17,9 +18,6 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _d(x) -> str:
-    return f"DATE '{x.isoformat()}'"
-
 
 PRM = P()
 LB = PRM.labels
@@ -36,12 +34,13 @@ _ISO = "'%Y-%m-%dT%H:%M:%S'"
 USUBS = f"""usubs AS (
   SELECT o_orderkey AS id, o_custkey AS subscription_id,
     CASE o_orderstatus WHEN 'F' THEN 'active' WHEN 'O' THEN 'canceled' ELSE 'trial' END AS status,
-    strftime(o_orderdate, {_ISO}) || CASE WHEN o_orderkey % 2 = 0 THEN 'Z' ELSE '+02:00' END AS created_at_raw,
+    CASE WHEN o_orderkey % 37 = 0 THEN '' WHEN o_orderkey % 41 = 0 THEN '  ' ELSE
+      strftime(o_orderdate, {_ISO}) || CASE WHEN o_orderkey % 2 = 0 THEN 'Z' ELSE '+02:00' END END AS created_at_raw,
     CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN 'not-a-date'
       ELSE strftime(CAST(CAST(o_orderdate AS DATE) + 365 AS TIMESTAMP), {_ISO}) || 'Z' END AS ends_at_raw,
     CASE WHEN o_orderkey % 4 = 0 THEN strftime(CAST(CAST(o_orderdate AS DATE) + 30 AS TIMESTAMP), {_ISO}) || '+01:00'
       END AS canceled_at_raw,
-    o_orderdate + INTERVAL 2 HOUR AS purchased_at,
+    CASE WHEN o_orderkey % 37 <> 0 AND o_orderkey % 41 <> 0 THEN o_orderdate + INTERVAL 2 HOUR END AS purchased_at,
     CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 29 = 0 THEN NULL
       ELSE CAST(CAST(o_orderdate AS DATE) + 365 AS TIMESTAMP) + INTERVAL 2 HOUR END AS expires_at,
     CASE WHEN o_orderkey % 4 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 30 AS TIMESTAMP) + INTERVAL 2 HOUR
@@ -104,15 +103,22 @@ BASE_COLS = ("client_sub_id, plan_id, status, purchased_at, package, expires_at,
              "client_id, client_name, email, package_type, billing_id, tax_id, company_name, phone")
 
 
-def _since_epoch(params) -> int:
-    return params.invoice_since_epoch()
+# The windows of the proxy run, written out: a wrong bound in the parameters shows here.
+CHOSEN_MONTH = "i.created >= DATE '1998-07-01' AND i.created < DATE '1998-08-01'"
+CHOSEN_YEAR = "i.created BETWEEN DATE '1997-07-01' AND DATE '1998-07-30'"
+WINDOW_MONTHS = "i.created BETWEEN DATE '1998-07-01' AND DATE '1998-08-31'"
+WINDOW_TURN_OF_YEAR = "i.created BETWEEN DATE '1997-12-01' AND DATE '1998-01-31'"
+WINDOW_YEAR = "i.created BETWEEN DATE '1997-08-01' AND DATE '1998-08-31'"
+LAST_MONTHLY = "i.created BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"
+LAST_YEARLY = "i.created >= DATE '1997-01-01'"
+SINCE_1997_07_01, SINCE_2100_01_01 = 867715200, 4102444800
 
 
 def invs_cte(since_epoch: int) -> str:
     return f"""invs AS (
   SELECT 'in_' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS id,
     CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS due_minor,
-    CASE l_returnflag WHEN 'A' THEN 'paid' WHEN 'R' THEN 'void' ELSE 'open' END AS status,
+    CASE WHEN l_partkey % 53 = 0 THEN NULL WHEN l_returnflag = 'A' THEN 'paid' WHEN l_returnflag = 'R' THEN 'void' ELSE 'open' END AS status,
     CAST(l_shipdate AS DATE) AS created,
     CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) * 86400
       + (CAST(l_linenumber AS BIGINT) - 1) * 3 * 3600 AS created_epoch,
@@ -133,40 +139,32 @@ def _month_name(expr: str) -> str:
     return f"COALESCE(CASE month({expr}) {whens} END, '')"
 
 
-def derived_cols(params) -> str:
-    cm0, cm1 = params.chosen_monthly_range()
-    cy0, cy1 = params.chosen_yearly_range()
-    wm0, wm1 = params.window_monthly_range()
-    wy0, wy1 = params.window_yearly_range()
-    lm0, lm1 = params.last_monthly_range()
-    ly0 = params.last_yearly_start()
+def derived_cols(window_months: str = WINDOW_MONTHS) -> str:
     blank = "(rb.billing_id IS NULL OR rb.billing_id = '')"
     none = "NOT EXISTS (SELECT 1 FROM invs)"
     cannot = _q(LB.cannot_determine)
     mon, yr = _q(LB.interval_month), _q(LB.interval_year)
 
-    def first(lo, hi, half_open):
-        rng = (f"i.created >= {_d(lo)} AND i.created < {_d(hi)}" if half_open
-               else f"i.created BETWEEN {_d(lo)} AND {_d(hi)}")
-        return (f"(SELECT i.status FROM invs i WHERE i.subscription = rb.billing_id AND {rng} "
-                f"ORDER BY i.created_epoch DESC LIMIT 1)")
+    def first(rng):
+        """Newest first, then highest id; a NULL status stays NULL, no invoice is ''."""
+        own = f"FROM invs i WHERE i.subscription = rb.billing_id AND {rng}"
+        return (f"CASE WHEN EXISTS (SELECT 1 {own}) THEN "
+                f"(SELECT i.status {own} ORDER BY i.created_epoch DESC, i.id DESC LIMIT 1) ELSE '' END")
 
-    def anypaid(lo, hi):
-        return (f"EXISTS (SELECT 1 FROM invs i WHERE i.subscription = rb.billing_id "
-                f"AND i.status = 'paid' AND i.created BETWEEN {_d(lo)} AND {_d(hi)})")
+    def anypaid(rng):
+        return f"EXISTS (SELECT 1 FROM invs i WHERE i.subscription = rb.billing_id AND i.status = 'paid' AND {rng})"
 
     last = (f"(SELECT max(i.created) FROM invs i WHERE i.subscription = rb.billing_id "
-            f"AND i.status = 'paid' AND (CASE WHEN rb.package_type = {mon} THEN i.created BETWEEN "
-            f"{_d(lm0)} AND {_d(lm1)} WHEN rb.package_type = {yr} THEN i.created >= {_d(ly0)} "
-            f"ELSE TRUE END))")
+            f"AND i.status = 'paid' AND (CASE WHEN rb.package_type = {mon} THEN {LAST_MONTHLY} "
+            f"WHEN rb.package_type = {yr} THEN {LAST_YEARLY} ELSE TRUE END))")
     return f"""
     CASE WHEN {none} THEN '' WHEN {blank} THEN {cannot}
-      WHEN rb.package_type = {mon} THEN COALESCE({first(cm0, cm1, True)}, '')
-      WHEN rb.package_type = {yr} THEN COALESCE({first(cy0, cy1, False)}, '')
+      WHEN rb.package_type = {mon} THEN {first(CHOSEN_MONTH)}
+      WHEN rb.package_type = {yr} THEN {first(CHOSEN_YEAR)}
       ELSE '' END AS status_chosen_month,
     CASE WHEN {none} THEN '' WHEN {blank} THEN {cannot}
-      WHEN rb.package_type = {mon} AND {anypaid(wm0, wm1)} THEN {_q(LB.paid_flag)}
-      WHEN rb.package_type = {yr} AND {anypaid(wy0, wy1)} THEN {_q(LB.paid_flag)}
+      WHEN rb.package_type = {mon} AND {anypaid(window_months)} THEN {_q(LB.paid_flag)}
+      WHEN rb.package_type = {yr} AND {anypaid(WINDOW_YEAR)} THEN {_q(LB.paid_flag)}
       ELSE '' END AS paid_last_2_months,
     CASE WHEN {none} THEN '' WHEN {blank} THEN '' ELSE {_month_name(last)} END AS last_invoice_month"""
 
@@ -183,9 +181,9 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def report18(params) -> str:
-    return (with_ctes(PLANS, USUBS, RB, invs_cte(_since_epoch(params)))
-            + f"SELECT rb.*, {derived_cols(params)} FROM rb")
+def report18(since: int = SINCE_1997_07_01, window_months: str = WINDOW_MONTHS) -> str:
+    return (with_ctes(PLANS, USUBS, RB, invs_cte(since))
+            + f"SELECT rb.*, {derived_cols(window_months)} FROM rb")
 
 
 # ---- CRM ------------------------------------------------------------------------
@@ -193,7 +191,8 @@ _NUM = "(((s_suppkey * 7919 + 1) * 1000003) % 100000000000)"
 _TARGET_KEY = 8
 _TARGET_NAME = PRM.crm_target_status.strip()
 
-CRM = f"""crm AS (
+def _crm(where: str) -> str:
+    return f"""crm AS (
   SELECT 't' || CAST(s_suppkey AS VARCHAR) AS _id, 'st' || CAST(s_nationkey AS VARCHAR) AS status_id,
     CAST(s_suppkey // {CRM_PAGE_KEYS} AS INTEGER) AS page_no,
     CASE WHEN s_suppkey % 5 = 0 THEN ''
@@ -202,10 +201,13 @@ CRM = f"""crm AS (
       WHEN s_suppkey % 8 = 2 THEN 'PL-' || CAST({_NUM} AS VARCHAR)
       ELSE '' END AS tax_id
   FROM supplier
-  WHERE s_suppkey % 13 <> 0
-    AND 'st' || CAST(s_nationkey AS VARCHAR) IN (
+  WHERE s_suppkey % 13 <> 0 {where})"""
+
+
+CRM_ALL = _crm("")
+CRM = _crm(f"""AND 'st' || CAST(s_nationkey AS VARCHAR) IN (
       SELECT 'st' || CAST(n_nationkey AS VARCHAR) FROM nation
-      WHERE trim(n_name) = {_q(_TARGET_NAME)} AND 'pr' || CAST(n_regionkey AS VARCHAR) = {_q(CRM_PROJECT_ID)}))"""
+      WHERE trim(n_name) = {_q(_TARGET_NAME)} AND 'pr' || CAST(n_regionkey AS VARCHAR) = {_q(CRM_PROJECT_ID)})""")
 
 CRM_ROWS_SELECT = f"""SELECT CAST(0 AS BIGINT) AS client_sub_id, CAST(0 AS BIGINT) AS plan_id, '' AS status,
     CAST(NULL AS TIMESTAMP) AS purchased_at, {_q(LB.crm_package)} AS package,
@@ -217,8 +219,8 @@ CRM_ROWS_SELECT = f"""SELECT CAST(0 AS BIGINT) AS client_sub_id, CAST(0 AS BIGIN
 
 
 def full_report(params) -> str:
-    return (with_ctes(PLANS, USUBS, RB, invs_cte(_since_epoch(params)), CRM)
-            + f"SELECT rb.*, {derived_cols(params)}, {lifecycle_expr(params)} AS lifecycle_status FROM rb\n"
+    return (with_ctes(PLANS, USUBS, RB, invs_cte(SINCE_1997_07_01), CRM)
+            + f"SELECT rb.*, {derived_cols()}, {lifecycle_expr(params)} AS lifecycle_status FROM rb\n"
             + "UNION ALL\n" + CRM_ROWS_SELECT)
 
 
@@ -240,6 +242,7 @@ US_SCAN = f"""us_scan AS (
     status, billing_id, user_id FROM us_recs WHERE page_no = {REPEATED_PAGE})"""
 
 PL_SCAN = f"pl_scan AS (SELECT * FROM pl_recs WHERE page_no < {FAILED_PAGE})"
+PL_ALL = f"pl_scan AS (SELECT * FROM pl_recs WHERE page_no <> {FAILED_PAGE})"
 
 
 def _required(src: str, fields: list[tuple[str, str]]) -> str:
@@ -258,19 +261,19 @@ def _required_from(src: str, table: str, fields: list[tuple[str, str]]) -> str:
 
 def _oracles() -> dict[str, str]:
     p = PRM
-    since = _since_epoch(p)
+    since = SINCE_1997_07_01
     shift_rows = with_ctes(PLANS, USUBS)
     o: dict[str, str] = {}
     o["subscription_report"] = full_report(p)
     o["report_base"] = with_ctes(PLANS, USUBS, RB) + f"SELECT {BASE_COLS} FROM rb"
     o["subscriptions_only"] = (with_ctes(PLANS, USUBS, RB.replace("u.tax_norm AS tax_id", "u.tax_raw AS tax_id"))
                                + f"SELECT {BASE_COLS} FROM rb")
-    o["report_no_crm"] = report18(p)
+    o["report_no_crm"] = report18()
     o["report_with_crm"] = (
         with_ctes(PLANS, USUBS, RB, invs_cte(since), CRM)
-        + f"SELECT rb.*, {derived_cols(p)}, CAST(NULL AS VARCHAR) AS lifecycle_status FROM rb\n"
+        + f"SELECT rb.*, {derived_cols()}, CAST(NULL AS VARCHAR) AS lifecycle_status FROM rb\n"
         + "UNION ALL\n" + CRM_ROWS_SELECT)
-    o["report_no_invoices"] = report18(P(invoice_since=NO_INVOICES_SINCE))
+    o["report_no_invoices"] = report18(SINCE_2100_01_01)
     o["invoice_fact"] = with_ctes(invs_cte(since)) + f"""
 SELECT id, due_minor / 100 AS amount_due,
   CASE WHEN status = 'paid' THEN due_minor ELSE 0 END / 100 AS amount_paid,
@@ -318,7 +321,7 @@ SELECT id AS client_sub_id, tax_raw AS tax_id_raw, tax_norm AS tax_id, tax_num A
 FROM usubs"""
     for name in ("status_chosen_month", "paid_last_2_months", "last_invoice_month"):
         o[{"status_chosen_month": "chosen_month_status"}.get(name, name)] = (
-            f"SELECT client_sub_id, billing_id, package_type, {name} FROM ({report18(p)})")
+            f"SELECT client_sub_id, billing_id, package_type, {name} FROM ({report18()})")
     o["lifecycle_status"] = (with_ctes(PLANS, USUBS, RB)
                              + f"SELECT client_sub_id, expires_at, {lifecycle_expr(p)} AS lifecycle_status FROM rb")
     o["first_line_item"] = f"""
@@ -346,7 +349,7 @@ SELECT id, due_minor / 100 AS amount_due,
   CASE pk % 3 WHEN 0 THEN {_q(LB.no_payment_intent)} WHEN 1 THEN NULL
     ELSE 'pi_' || CAST(subscription_key AS VARCHAR) || '_' || CAST(ln AS VARCHAR) END AS payment_intent,
   status,
-  CASE sk % 3 WHEN 0 THEN FALSE WHEN 1 THEN NULL ELSE status = 'paid' END AS paid
+  CASE sk % 3 WHEN 0 THEN FALSE WHEN 1 THEN NULL ELSE coalesce(status = 'paid', FALSE) END AS paid
 FROM invs"""
     o["invoice_since"] = with_ctes(invs_cte(since)) + "SELECT id, subscription, created_epoch FROM invs"
     o["newest_n"] = f"""
@@ -363,7 +366,7 @@ SELECT 'usersubs' AS source, (SELECT count(*) FROM usubs) AS announced, count(*)
 UNION ALL
 SELECT 'plans', (SELECT count(*) FROM plans), count(*), (SELECT count(*) FROM plans) - count(*),
   ((SELECT count(*) FROM plans) - count(*)) > count(*) * 0.1 FROM pl_scan"""
-    o["dup_ids"] = with_ctes(PLANS, USUBS, US_RECS, US_SCAN, PL_RECS, PL_SCAN) + """
+    o["dup_ids"] = with_ctes(PLANS, USUBS, US_RECS, US_SCAN, PL_RECS, PL_ALL) + """
 SELECT 'usersubs' AS source, count(*) AS records, count(DISTINCT id) AS distinct_ids,
   count_if(id IS NULL) AS null_ids,
   count(*) - count(DISTINCT id) - CASE WHEN count_if(id IS NULL) > 0 THEN 1 ELSE 0 END AS duplicates
@@ -381,7 +384,7 @@ SELECT 'plans', count(*), count(DISTINCT id), count_if(id IS NULL),
         + _required("plans", [("id", "id IS NULL"), ("name", "name IS NULL"), ("price", "FALSE"),
                               ("price.recurring_interval", "recurring_interval IS NULL")]))
     o["required_keys"] = (
-        with_ctes(PLANS, USUBS, US_RECS, US_SCAN, PL_RECS, PL_SCAN,
+        with_ctes(PLANS, USUBS, US_RECS, US_SCAN, PL_RECS, PL_ALL,
                   f"usersubs_keys AS (SELECT s.id, u.user_id, u.billing_id FROM us_scan s JOIN usubs u ON s.id = u.id)",
                   "plans_keys AS (SELECT * FROM pl_scan)")
         + _required_from("usersubs", "usersubs_keys",
@@ -402,7 +405,7 @@ SELECT 'pr' || CAST(n_regionkey AS VARCHAR) AS project_id,
           CASE WHEN trim(n_name) = {_q(_TARGET_NAME)} THEN n_nationkey END) AS status_id
 FROM nation GROUP BY n_regionkey"""
     o["crm_tasks"] = with_ctes(CRM) + "SELECT _id, status_id, page_no FROM crm"
-    o["crm_tax_id"] = with_ctes(CRM) + "SELECT _id, tax_id FROM crm WHERE tax_id <> ''"
+    o["crm_tax_id"] = with_ctes(CRM_ALL) + "SELECT _id, tax_id FROM crm WHERE tax_id <> ''"
     o["crm_rows"] = with_ctes(CRM) + CRM_ROWS_SELECT
     ts_cols = ("purchased_at", "expires_at", "cancelled_at")
     sel = ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" if c in ts_cols else c
@@ -411,7 +414,27 @@ FROM nation GROUP BY n_regionkey"""
     o["report_export"] = f"SELECT {sel} FROM ({full_report(p)})"
     o["report_meta"] = (f"SELECT DATE '{p.as_of.date().isoformat()}' AS as_of_date, count(*) AS row_count "
                         f"FROM ({full_report(p)})")
+    o["report_headed"] = _headed(o["report_export"], REPORT_HEADINGS)
+    o["invoice_headed"] = _headed(
+        f"SELECT * REPLACE (strftime(created, '%Y-%m-%d %H:%M:%S') AS created) FROM ({o['invoice_json_fact']})", INVOICE_HEADINGS)
+    o["window_across_years"] = ("SELECT client_sub_id, billing_id, package_type, paid_last_2_months "
+                                f"FROM ({report18(window_months=WINDOW_TURN_OF_YEAR)})")
+    # Pages hold 100 consecutive customer keys. The run: page 2 tried twice, 5 never landed, 7 empty, 8 cut off, 9 an error object.
+    o["page_status"] = with_ctes(PLANS) + """, pg AS (SELECT CAST(id // 100 + 1 AS INTEGER) AS page_no, count(*) AS n FROM plans GROUP BY 1)
+SELECT 'odd' AS source, page_no, CAST(CASE page_no WHEN 2 THEN 1 ELSE 0 END AS INTEGER) AS attempt,
+  CASE WHEN page_no = 7 THEN 'empty' WHEN page_no IN (8, 9) THEN 'invalid' ELSE 'ok' END AS outcome,
+  CAST(CASE WHEN page_no IN (7, 8, 9) THEN 0 ELSE n END AS INTEGER) AS n_records, page_no < 5 AS in_prefix
+FROM pg WHERE page_no <> 5"""
+    # Pages hold ten consecutive supplier keys from 0: page 1 is empty, page 8 failed, one page past the announced one is allowed.
+    o["crm_task_pages"] = """
+SELECT CAST(s_suppkey // 10 AS INTEGER) AS page_no,
+  CAST(row_number() OVER (PARTITION BY s_suppkey // 10 ORDER BY s_suppkey) - 1 AS INTEGER) AS pos, 't' || CAST(s_suppkey AS VARCHAR) AS _id
+FROM supplier WHERE s_suppkey // 10 < 8 AND s_suppkey // 10 <> 1"""
     return o
 
 
+def _headed(sql: str, headings: dict[str, str]) -> str:
+    return "SELECT " + ", ".join(f'{c} AS "{h}"' for c, h in headings.items()) + f" FROM ({sql})"
+
+
 ORACLES = _oracles()

@@ -1,7 +1,6 @@
 """Composite reports R1-R5 as lazy DataFrame plans.
 
-Nothing here runs an action except the bounded plan-size check inside
-``join_plans``; the sinks decide when to execute.
+Nothing here runs an action; the sinks decide when to execute.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from subledger.operators.crm import crm_rows
 from subledger.operators.invoice_lookup import with_invoice_columns
 from subledger.operators.joins import join_plans, retain
 from subledger.operators.lifecycle import lifecycle_status
-from subledger.operators.line_items import invoice_fact
+from subledger.operators.line_items import invoice_table
 from subledger.params import (
     RAW_INTERVAL_MONTH, RAW_INTERVAL_YEAR, RAW_STATUS_ACTIVE, RAW_STATUS_CANCELED, ReportParams,
 )
@@ -78,7 +77,7 @@ def report_no_crm(subs: DataFrame, plans: DataFrame, invoices_raw: DataFrame,
                   params: ReportParams, keep_order: bool = False) -> DataFrame:
     """Base columns + the three invoice-derived columns (18 columns)."""
     base = report_base(subs, plans, params, keep_order=keep_order)
-    inv = invoice_fact(invoices_raw, params, keep_helpers=True)
+    inv = invoice_table(invoices_raw, params, keep_helpers=True)
     return with_invoice_columns(base, inv, params)
 
 

@@ -15,6 +15,9 @@ LANDING_PAGE = T.StructType([
     T.StructField("total", T.LongType()),
     T.StructField("last_page", T.IntegerType()),
     T.StructField("body", T.StringType()),
+    # a fetch run (the latest, in text order, counts) and the try within it; both may be absent
+    T.StructField("run_id", T.StringType()),
+    T.StructField("attempt", T.IntegerType()),
 ])
 
 PLAN = T.StructType([

@@ -15,7 +15,7 @@ import datetime as dt
 import functools
 import weakref
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subledger.params import UTC, ReportParams
@@ -101,7 +101,8 @@ def usersubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k, cust, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
     fmt = lambda ts: F.date_format(ts, ISO)
-    created_at = F.concat(fmt(day), F.when(k % 2 == 0, F.lit("Z")).otherwise(F.lit("+02:00")))
+    created_at = (F.when(k % 37 == 0, F.lit("")).when(k % 41 == 0, F.lit("  "))
+                  .otherwise(F.concat(fmt(day), F.when(k % 2 == 0, F.lit("Z")).otherwise(F.lit("+02:00")))))
     ends_at = (F.when(k % 3 == 0, F.lit(None).cast("string"))
                .when(k % 29 == 0, F.lit("not-a-date"))
                .otherwise(F.concat(fmt(F.date_add(day, 365).cast("timestamp_ntz")), F.lit("Z"))))
@@ -165,7 +166,7 @@ def invoices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     k, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     due = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    status = (F.when(F.col("l_returnflag") == "A", "paid")
+    status = (F.when(pk % 53 == 0, F.lit(None).cast("string")).when(F.col("l_returnflag") == "A", "paid")
               .when(F.col("l_returnflag") == "R", "void").otherwise("open"))
     paid_amt = F.when(status == "paid", due).otherwise(F.lit(0).cast("bigint"))
     return li.select(
@@ -206,9 +207,9 @@ def invoices_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.lit('},{"description":"Second","plan":{"active":true,'
                                       '"interval":"week"}}]'))))
     due = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    paid = F.col("l_returnflag") == "A"
-    status = (F.when(paid, F.lit("paid")).when(F.col("l_returnflag") == "R", F.lit("void"))
-              .otherwise(F.lit("open")))
+    paid = (F.col("l_returnflag") == "A") & (pk % 53 != 0)
+    status = (F.when(pk % 53 == 0, F.lit("null")).when(paid, F.lit('"paid"')).when(F.col("l_returnflag") == "R", F.lit('"void"'))
+              .otherwise(F.lit('"open"')))
     paid_amt = F.when(paid, due).otherwise(F.lit(0).cast("bigint"))
     sub = F.when(k % 41 == 0, F.lit("null")).otherwise(F.concat(F.lit('"'), _s(k), F.lit('"')))
 
@@ -223,7 +224,7 @@ def invoices_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"amount_paid":'), _s(paid_amt), F.lit(',"amount_remaining":'), _s(due - paid_amt),
         F.lit(',"created":'), _s(created_epoch(ln, F.col("l_shipdate"))),
         F.lit(',"customer":"cus_'), _s("l_suppkey"), F.lit('","subscription":'), sub,
-        F.lit(',"status":"'), status, F.lit('"'),
+        F.lit(',"status":'), status,
         optional("attempt_count", ln % 3, _s(ln)),
         optional("payment_intent", pk % 3,
                  F.concat(F.lit('"pi_'), _s(k), F.lit("_"), _s(ln), F.lit('"'))),
@@ -278,15 +279,39 @@ def landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(_pages(pl, "plans", "id", failed_page=FAILED_PAGE)))
 
 
+# Pages of the 'odd' source, by number: retried, never landed, padded but empty, cut off, an error object
+ODD_RETRIED, ODD_ABSENT, ODD_EMPTY, ODD_CUT, ODD_ERROR = 2, 5, 7, 8, 9
+
+
+@_view
+def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plans as pages of a fetch run with every kind of bad page, after an older, complete run.
+
+    Page ODD_RETRIED was answered 500 and then 200; ODD_ABSENT was never landed;
+    the bodies of ODD_EMPTY, ODD_CUT and ODD_ERROR are an empty array between
+    blanks, a truncated array and a long error object, all with status 200.
+    """
+    good = _pages(plans(spark, sf_dir), "odd", "id").withColumn("attempt", F.lit(0))
+    n = F.col("page_no")
+    body = (F.when(n == ODD_EMPTY, F.concat(F.lit("["), F.repeat(F.lit(" "), F.lit(80)), F.lit("]")))
+            .when(n == ODD_CUT, F.substring("body", 1, 200))
+            .when(n == ODD_ERROR, F.concat(F.lit('{"error":"'), F.repeat(F.lit("x"), F.lit(300)), F.lit('"}')))
+            .otherwise(F.col("body")))
+    retried = good.withColumn("attempt", F.when(n == ODD_RETRIED, F.lit(1)).otherwise(F.lit(0)))
+    failed = good.filter(n == ODD_RETRIED).withColumn("http_status", F.lit(500)).withColumn("body", F.lit("<html>busy</html>"))
+    run = retried.unionByName(failed).filter(n != ODD_ABSENT).withColumn("body", body)
+    return run.withColumn("run_id", F.lit("2025-02")).unionByName(good.withColumn("run_id", F.lit("2025-01")))
+
+
 # ---- CRM ----------------------------------------------------------------------
 @_view
 def crm_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CRM project document per region; its statuses are that region's nations.
 
-    Even nation keys carry padded names, so the lookup must trim.
+    Even nation keys carry names between a space and a tab, so the lookup must strip white space.
     """
     n = table(spark, sf_dir, "nation")
-    name = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit(" "), F.col("n_name"), F.lit(" "))) \
+    name = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit(" "), F.col("n_name"), F.lit("\t"))) \
         .otherwise(F.col("n_name"))
     st = F.struct(F.col("n_nationkey").alias("k"),
                   F.struct(F.concat(F.lit("st"), _s("n_nationkey")).alias("_id"), name.alias("name")).alias("s"))
@@ -328,6 +353,21 @@ def crm_task_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.filter(k % 13 != 0).select(F.concat(F.lit("t"), _s(k)).alias("_id"), body.alias("body"))
 
 
+CRM_EMPTY_PAGE, CRM_FAILED_PAGE = 1, 8
+
+
+@_view
+def crm_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One task listing over all tasks, pages from 0: page CRM_EMPTY_PAGE is an empty array
+    (the listing goes on), CRM_FAILED_PAGE answered 503 (the listing ends), and a page beyond
+    the announced count plus one is never asked for."""
+    t = crm_tasks(spark, sf_dir).withColumn("_at", F.substring("_id", 2, 20).cast("bigint"))
+    pages = _paged(t.select("_id", "_at", "page_no"), "crm_tasks/all", F.col("page_no"), F.col("_at"), helpers=("_at", "page_no"))
+    n = F.col("page_no")
+    return (pages.withColumn("http_status", F.when(n == CRM_FAILED_PAGE, F.lit(503)).otherwise(F.lit(200)))
+            .withColumn("body", F.when(n == CRM_EMPTY_PAGE, F.lit(" [ ] ")).when(n != CRM_FAILED_PAGE, F.col("body"))))
+
+
 # ---- a complete, clean landing table (for the end-to-end job) --------------------
 def _paged(records: DataFrame, source: Column | str, page_of: Column, sort_key: Column,
            helpers: tuple[str, ...] = ()) -> DataFrame:
@@ -368,7 +408,8 @@ def complete_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(200).alias("http_status"), F.lit(1).cast("bigint").alias("total"),
                        F.lit(1).alias("last_page"), "body")
                .filter(F.col("body").contains('"_id":"pr3"')))
-    tasks = crm_tasks(spark, sf_dir)
+    rank = F.row_number().over(Window.partitionBy("status_id").orderBy(F.substring("_id", 2, 20).cast("bigint")))
+    tasks = crm_tasks(spark, sf_dir).withColumn("page_no", ((rank - 1) / CRM_PAGE_KEYS).cast("int"))
     task_pages = _paged(tasks, F.concat(F.lit("crm_tasks/"), F.col("status_id")), F.col("page_no"),
                         F.col("_id"), helpers=("status_id", "page_no"))
     det = crm_task_details(spark, sf_dir)

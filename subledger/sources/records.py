@@ -1,57 +1,34 @@
-"""Typed record tables written from the landing pages.
-
-Scanning page bodies means parsing JSON text on every run, and a filter on a
-record field (the invoice lower bound) cannot reach the scan. Writing each
-source's records once as typed Parquet, with the paging rules already
-applied, fixes both: a report run reads only the columns it needs, the
-invoice table is partitioned by creation date so the lower bound prunes
-partitions and pushes into the Parquet scan, and the written tables cut the
-lineage back to the page bodies (a lost executor recomputes from Parquet).
+"""The record table: every landed body parsed once.
+
+One pass over the landing table writes the parsed pages as Parquet, partitioned
+by source: page columns, position, and the record as VARIANT, so absent keys and
+explicit nulls stay apart. The paging rules, the page index and every record
+scan read this table (only the columns they need); the written table also cuts
+the lineage back to the page bodies. ``created`` repeats the records' epoch
+second as a plain column, so the invoices' lower bound reaches the Parquet scan.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subledger.functions.dates import date_literal, epoch_to_local_date
 from subledger.params import ReportParams
-from subledger.schemas import INVOICE_RAW, PLAN, USER_SUBSCRIPTION
-from subledger.sources.landing import scan_pages
-
-RECORD_SOURCES = {"plans": PLAN, "usersubs": USER_SUBSCRIPTION, "invoices": INVOICE_RAW}
-# first day of the UTC creation month: coarse enough for few, large files
-INVOICE_PARTITION = "created_month"
-
-
-def write_records(landing: DataFrame, path: str, max_pages: int | None = None) -> None:
-    """Overwrite ``path/<source>`` with the typed records of each source (seq kept)."""
-    for source, schema in RECORD_SOURCES.items():
-        recs = scan_pages(landing, source, schema, max_pages=max_pages).drop("page_no", "pos")
-        parts = []
-        if source == "invoices":
-            # a coarse, prunable copy of `created`; the rebalance hint lets AQE
-            # shuffle by month and cut each month into ~advisory-size files
-            # (a large month is split over many tasks, small ones are merged)
-            recs = (recs.withColumn(INVOICE_PARTITION,
-                                    F.trunc(epoch_to_local_date(F.col("created"), "UTC"), "month"))
-                    .hint("rebalance", INVOICE_PARTITION))
-            parts = [INVOICE_PARTITION]
-        recs.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{source}")
-
-
-def read_records(spark: SparkSession, path: str, source: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{source}")
-
-
-def read_invoices(spark: SparkSession, path: str, params: ReportParams) -> DataFrame:
-    """Invoice records at or after the lower bound: partition pruning on the date,
-    then the exact bound as a pushed Parquet filter on the epoch column."""
-    since_epoch = params.invoice_since_epoch()
-    since_day = dt.date(1970, 1, 1) + dt.timedelta(days=since_epoch // 86400)  # UTC date
-    df = read_records(spark, path, "invoices")
-    return (df.filter(F.col(INVOICE_PARTITION) >= date_literal(since_day.replace(day=1)))
-            .filter(F.col("created") >= F.lit(since_epoch))
-            .drop(INVOICE_PARTITION))
+from subledger.sources.landing import page_index, parse_pages, scan_records
+
+
+def land_records(landing: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Overwrite ``path`` with all sources' parsed pages (one pass over the bodies) and then
+    their page index (one pass over the page columns); returns both as read back."""
+    spark = landing.sparkSession
+    rows = parse_pages(landing).withColumn("created", F.try_variant_get("doc", "$.created", "bigint"))
+    rows.write.mode("overwrite").partitionBy("source").parquet(f"{path}/records")
+    records = spark.read.parquet(f"{path}/records")
+    page_index(records).write.mode("overwrite").parquet(f"{path}/pages")
+    return records, spark.read.parquet(f"{path}/pages")
+
+
+def read_invoices(records: DataFrame, params: ReportParams, **rules) -> DataFrame:
+    """Invoice records (``doc``, ``seq``) at or after the lower bound; the bound is a pushed Parquet filter."""
+    scanned = scan_records(records, "invoices", **rules)
+    return scanned.filter(F.col("created") >= F.lit(params.invoice_since_epoch())).select("seq", "doc")

@@ -4,10 +4,12 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from subledger.operators.quality import EmptySourceError
 from subledger.params import Labels, ReportParams
 from subledger.plans.job import JobConfig, run_report
+from subledger.sinks.writers import INVOICE_HEADINGS, REPORT_HEADINGS, read_report, write_report
 
 LB = Labels()
 UTC = dt.timezone.utc
@@ -78,11 +80,15 @@ def _landing(tmp_path, extra_plan_status=None):
 PARAMS = ReportParams(as_of=dt.datetime(2025, 8, 15, 12), crm_target_status="Contracts")
 
 
+def _report(spark, out, fmt="parquet"):
+    return read_report(spark, f"{out}/report", f"{out}/report_meta", fmt)
+
+
 def _read_in_file_order(spark, path, fmt):
     """Rows of an ordered export, part file by part file in name order."""
     import glob
     rows = []
-    for f in sorted(glob.glob(f"{path}/part-*")):
+    for f in sorted(glob.glob(f"{path}/run=*/part-*")):
         reader = spark.read.option("header", True) if fmt == "csv" else spark.read
         rows += reader.format(fmt).load(f).collect()
     return rows
@@ -91,7 +97,7 @@ def _read_in_file_order(spark, path, fmt):
 def test_job_writes_report_and_meta(spark, tmp_path):
     out = str(tmp_path / "out")
     n = run_report(spark, JobConfig(_landing(tmp_path), out, write_invoices=True), PARAMS)
-    rows = spark.read.parquet(f"{out}/report").collect()
+    rows = _report(spark, out).collect()
     rep = {r["client_sub_id"]: r for r in rows if r["client_sub_id"]}
     meta = spark.read.parquet(f"{out}/report_meta").collect()
     assert n == 5 and meta[0]["row_count"] == 5 and str(meta[0]["as_of_date"]) == "2025-08-15"
@@ -107,8 +113,9 @@ def test_job_writes_report_and_meta(spark, tmp_path):
 
 def test_failed_page_fails_when_asked(spark, tmp_path):
     with pytest.raises(RuntimeError, match="pages dropped"):
-        run_report(spark, JobConfig(_landing(tmp_path, {2: 503}), str(tmp_path / "o"), on_gap="fail"),
-                   PARAMS)
+        run_report(spark, JobConfig(_landing(tmp_path, {2: 503}), str(tmp_path / "o")), PARAMS)
+    with pytest.warns(UserWarning, match="pages dropped"):  # the prefix, when asked for
+        run_report(spark, JobConfig(str(tmp_path / "landing"), str(tmp_path / "o"), on_gap="warn"), PARAMS)
 
 
 def test_empty_plans_abort(spark, tmp_path):
@@ -156,7 +163,7 @@ def test_crm_status_missing_keeps_report(spark, tmp_path):
     with pytest.warns(UserWarning, match="not found"):
         n = run_report(spark, JobConfig(_landing(tmp_path), out), params)
     assert n == 3
-    assert all(r["package"] != LB.crm_package for r in spark.read.parquet(f"{out}/report").collect())
+    assert all(r["package"] != LB.crm_package for r in _report(spark, out).collect())
 
 
 def test_missing_nested_keys_and_empty_filter_result(spark, tmp_path):
@@ -167,8 +174,8 @@ def test_missing_nested_keys_and_empty_filter_result(spark, tmp_path):
     rec = {"id": 1, "subscription_id": 1, "status": "active", "created_at": "2025-01-10T08:00:00Z",
            "stripe_subscription_id": "b1", "user": {"id": 3, "name": "A", "surname": "B"}}
     land = spark.createDataFrame(
-        [("usersubs", 1, 200, 1, 1, json.dumps([rec])),
-         ("plans", 1, 200, 1, 1, json.dumps([{"id": 1, "price": {"recurring_interval": "month"}}]))],
+        [("usersubs", 1, 200, 1, 1, json.dumps([rec]), None, None),
+         ("plans", 1, 200, 1, 1, json.dumps([{"id": 1, "price": {"recurring_interval": "month"}}]), None, None)],
         LANDING_PAGE)
     subs = scan_pages(land, "usersubs", USER_SUBSCRIPTION)
     plans = scan_pages(land, "plans", PLAN_SCHEMA)
@@ -184,18 +191,100 @@ def test_missing_nested_keys_and_empty_filter_result(spark, tmp_path):
     assert write_report(empty, out, out + "_meta", dt.date(2025, 8, 15)) == 0
 
 
-def test_typed_records_same_report_and_pruned_invoice_scan(spark, tmp_path):
-    import re
-    from subledger.sources.records import read_invoices
-    base, typed = str(tmp_path / "b"), str(tmp_path / "t")
+def _rows_of(landing):
+    return [json.loads(x) for x in open(f"{landing}/pages.json", encoding="utf-8")]
+
+
+def _rewrite(landing, rows):
+    with open(f"{landing}/pages.json", "w", encoding="utf-8") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+
+
+def test_key_defaults_reach_the_invoice_table(spark, tmp_path):
+    """Absent keys get the defaults, explicit nulls stay NULL, an empty plan has placeholders."""
+    land, out = _landing(tmp_path), str(tmp_path / "keys")
+    bare = {"id": "x1", "created": _epoch(D(2025, 7, 1)), "lines": {"data": [{"plan": {}}]}}
+    nulls = {"id": "x2", "created": _epoch(D(2025, 7, 1)), "attempt_count": None, "payment_intent": None, "paid": None,
+             "lines": {"data": [{"description": None, "plan": None}]}}
+    _rewrite(land, [r if r["source"] != "invoices" else {**r, "body": json.dumps([bare, nulls])} if r["page_no"] == 1 else {**r, "body": "[]"} for r in _rows_of(land)])
+    run_report(spark, JobConfig(land, out, mode="invoices", headings=True), PARAMS)
+    rows = {r["ID_Faktury"]: r for r in _report(spark, out).collect()}
+    assert list(_report(spark, out).columns) == list(INVOICE_HEADINGS.values())
+    got = lambda k: tuple(rows[k][INVOICE_HEADINGS[c]] for c in ("lines_data_description", "plan_active", "plan_interval", "attempt_count", "payment_intent", "paid"))
+    assert got("x1") == (LB.no_description, LB.no_plan_active, LB.no_plan_interval, 0, LB.no_payment_intent, False)
+    assert got("x2") == (None, LB.no_plan_active, LB.no_plan_interval, None, None, None)
+
+
+@pytest.mark.parametrize("bad", [(500, "<html>busy</html>"), (404, json.dumps({"error": "no"})), (200, '[{"_id": "t1", "client"'), (200, json.dumps({"error": "x" * 200}))])
+def test_crm_failures_leave_the_report(spark, tmp_path, bad):
+    land, out = _landing(tmp_path), str(tmp_path / "crm")
+    extra = {"source": "crm_task_details", "page_no": 2, "http_status": bad[0], "total": None, "last_page": 2, "body": bad[1]}
+    again = json.dumps([{"_id": "t1", "client": {"company": {"nip": 987654321}}}])
+    _rewrite(land, [*_rows_of(land), extra, {**extra, "page_no": 3, "http_status": 200, "body": again}])
+    assert run_report(spark, JobConfig(land, out), PARAMS) == 5  # one row a task, though t1 has two details
+    assert sorted(r["tax_id"] for r in _report(spark, out).collect() if r["package"] == LB.crm_package) == ["0987654321", "PL-1"]
+    project = [{**r, "body": "<html>"} if r["source"] == "crm_project" else r for r in _rows_of(land)]
+    _rewrite(land, project)
+    with pytest.warns(UserWarning):
+        assert run_report(spark, JobConfig(land, out), PARAMS) == 3
+
+
+def test_a_failing_run_leaves_the_previous_report(spark, tmp_path):
+    out = str(tmp_path / "k5")
+    good = spark.range(5).select(F.col("id"), F.lit("x").alias("v"))
+    assert write_report(good, f"{out}/report", f"{out}/report_meta", dt.date(2025, 8, 1)) == 5
+    bad = spark.range(9).select(F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"), F.lit("y").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        write_report(bad, f"{out}/report", f"{out}/report_meta", dt.date(2025, 8, 2))
+    assert _report(spark, out).count() == 5
+    assert write_report(good.limit(2), f"{out}/report", f"{out}/report_meta", dt.date(2025, 8, 3)) == 2
+    assert _report(spark, out).count() == 2
+
+
+def test_modes_headings_and_quality_tables(spark, tmp_path):
+    land = _landing(tmp_path)
+    for mode, n, columns in (("subscriptions", 3, 15), ("no-crm", 3, 18), ("checked", 3, 18), ("invoices", 5, 14)):
+        out = str(tmp_path / mode)
+        assert run_report(spark, JobConfig(land, out, mode=mode), PARAMS) == n
+        assert len(_report(spark, out).columns) == columns
+    quality = str(tmp_path / "checked" / "quality")
+    keys = {(r["source"], r["field"]): r["missing"] for r in spark.read.parquet(f"{quality}/required_keys").collect()}
+    assert keys["usersubs", "id"] == 0 and len(keys) == 10
+    assert {r["source"]: r["duplicates"] for r in spark.read.parquet(f"{quality}/duplicate_ids").collect()} == {"usersubs": 0, "plans": 0}
+    assert {r["source"]: r["received"] for r in spark.read.parquet(f"{quality}/completeness").collect()} == {"usersubs": 4, "plans": 3}
+    out = str(tmp_path / "headed")
+    run_report(spark, JobConfig(land, out, headings=True, tax_id10=True), PARAMS)
+    assert _report(spark, out).columns == [*REPORT_HEADINGS.values(), "tax_id10"]
+    with pytest.raises(ValueError, match="mode"):
+        run_report(spark, JobConfig(land, out, mode="other"), PARAMS)
+
+
+def test_landed_bodies_are_read_once_and_invoice_bound_is_pushed(spark, tmp_path):
+    out = str(tmp_path / "once")
     land = _landing(tmp_path)
-    run_report(spark, JobConfig(land, base), PARAMS)
-    run_report(spark, JobConfig(land, typed, typed_records=True), PARAMS)
-    key = lambda r: tuple(str(v) for v in r)
-    assert sorted(map(key, spark.read.parquet(f"{base}/report").collect())) == \
-        sorted(map(key, spark.read.parquet(f"{typed}/report").collect()))
-    inv = read_invoices(spark, f"{typed}/records", PARAMS).select("id")
-    plan = re.sub(r"#\d+L?", "", inv._sc._jvm.PythonSQLUtils.explainString(inv._jdf.queryExecution(), "simple"))
-    assert "PartitionFilters: [isnotnull(created_month), (created_month >= " in plan
-    assert "GreaterThanOrEqual(created," in plan
-    assert inv.count() == 5
+    run_report(spark, JobConfig(land, out), PARAMS)
+    import shutil
+    kept = str(tmp_path / "gone")
+    shutil.move(land, kept)  # after the landing pass nothing needs the bodies: the records suffice
+    from subledger.sources.records import read_invoices
+    records, index = (spark.read.parquet(f"{out}/landed/{x}") for x in ("records", "pages"))
+    invoices = read_invoices(records, PARAMS, index=index)
+    assert invoices.count() == 5
+    plan = invoices._sc._jvm.PythonSQLUtils.explainString(invoices._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(created," in plan and "body" not in plan
+
+
+def test_second_fetch_run_replaces_the_first(spark, tmp_path):
+    land, out = _landing(tmp_path), str(tmp_path / "two")
+    rows = _rows_of(land)
+    _rewrite(land, [{**r, "run_id": "1", "attempt": 0} for r in rows] + [{**r, "run_id": "2", "attempt": 0} for r in rows])
+    assert run_report(spark, JobConfig(land, out, on_gap="fail"), PARAMS) == 5
+
+
+def test_now_is_local_and_one(spark, tmp_path):
+    from subledger.operators.lifecycle import lifecycle_status
+    params = ReportParams(local_timezone="Pacific/Kiritimati")  # 14 hours ahead of the session's zone
+    row = spark.range(1).select(F.date_format(F.convert_timezone(F.lit("UTC"), F.lit("Pacific/Kiritimati"), F.localtimestamp()) - F.make_dt_interval(hours=F.lit(1)),
+                                              "yyyy-MM-dd HH:mm:ss").alias("e")).select(lifecycle_status(F.lit(1), "e", params).alias("s"),
+                                              lifecycle_status(F.lit(1), "e", ReportParams()).alias("u")).first()
+    assert row["s"] == LB.lifecycle_cancelled and row["u"] == LB.lifecycle_cancelled_active

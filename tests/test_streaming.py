@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from subledger.schemas import PLAN
+from subledger.sinks.writers import read_report
 from subledger.sources.landing import read_landing, scan_pages
 from subledger.streaming import ingest_pages
 
@@ -57,5 +58,5 @@ def test_ingested_landing_feeds_the_job(spark, tmp_path):
     a, b = str(tmp_path / "from_raw"), str(tmp_path / "from_stream")
     assert run_report(spark, JobConfig(raw, a), PARAMS) == \
         run_report(spark, JobConfig(land, b, landing_format="parquet"), PARAMS)
-    rows = lambda p: sorted(str(tuple(r)) for r in spark.read.parquet(f"{p}/report").collect())
+    rows = lambda p: sorted(str(tuple(r)) for r in read_report(spark, f"{p}/report", f"{p}/report_meta").collect())
     assert rows(a) == rows(b)
