@@ -33,5 +33,9 @@ def ingest_pages(spark: SparkSession, inbox: str, landing_path: str,
     query = (reader.load(inbox).writeStream.format("parquet")
              .option("path", landing_path).option("checkpointLocation", checkpoint)
              .partitionBy("source").outputMode("append").trigger(availableNow=True).start())
-    query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    landed: dict[int, int] = {}  # by batch: Spark keeps only the latest progress entries
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        landed.update((p["batchId"], int(p.get("numInputRows", 0))) for p in query.recentProgress)
+    return sum(landed.values())
