@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 
-#: One position in so many is kept to start a select from.
-SAMPLE = 32
+#: Words of 64 bits in a block of the select directories.
+BLOCK = 4
 
 _U = np.uint64
 _LOW = _U(0x0101010101010101)
 _HIGH = _U(0x8080808080808080)
+_ALL = 0xFFFFFFFFFFFFFFFF
 
 
 def _select_table() -> np.ndarray:
@@ -37,15 +38,16 @@ def _select_in_word(words: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     """Arrays of a sorted uint64 sequence below ``universe``: its head (count, low bits, last
-    high part), low parts packed bit by bit, high parts in unary, and samples of both selects."""
+    high part), low parts packed bit by bit, high parts in unary, and the ones and zeros before each block of those."""
     n = len(values)
     bits = max(0, (universe // n).bit_length() - 1) if n else 0
     highs = (values >> _U(bits)).astype(np.int64)
     top = int(highs[-1]) if n else 0
-    unary = np.zeros(-(-(n + top + 2) // 64) * 64, bool)
-    ones = highs + np.arange(n)
-    unary[ones] = True
-    zeros = np.flatnonzero(~unary[:n + top + 1])
+    unary = np.zeros(-(-(n + top + 2) // (64 * BLOCK)) * 64 * BLOCK, bool)
+    unary[highs + np.arange(n)] = True
+    ones = np.cumsum(unary.reshape(-1, 64 * BLOCK).sum(axis=1))
+    ones = np.append(0, ones[:-1]).astype(np.uint32 if len(unary) < 1 << 32 else _U)
+    zeros = (np.arange(len(ones)) * 64 * BLOCK - ones.astype(np.int64)).astype(ones.dtype)
     low = []
     for at in range(0, n if bits else 0, 1 << 14):  # whole bytes: a multiple of eight values
         part = values[at:at + (1 << 14)]
@@ -53,7 +55,7 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     packed = np.concatenate([*low, np.zeros(16, np.uint8)])
     packed = np.concatenate([packed, np.zeros(-len(packed) % 8, np.uint8)])
     return {"head": np.array([n, bits, top], np.int64), "low": packed.view(_U), "high": np.packbits(unary, bitorder="little").view(_U),
-            "ones": ones[::SAMPLE].astype(np.uint32 if len(unary) < 1 << 32 else _U), "zeros": zeros[::SAMPLE].astype(np.uint32 if len(unary) < 1 << 32 else _U)}
+            "ones": ones, "zeros": zeros}
 
 
 class EliasFano:
@@ -61,13 +63,13 @@ class EliasFano:
         self.n, self.bits, self.top = map(int, arrays["head"])
         self.low, self.high, self.ones, self.zeros = (arrays[k] for k in ("low", "high", "ones", "zeros"))
 
-    def _select(self, rank: np.ndarray, flip: int, samples: np.ndarray) -> np.ndarray:
-        """Position of the one (or zero, for flip) of each rank."""
+    def _select(self, rank: np.ndarray, flip: int, before: np.ndarray) -> np.ndarray:
+        """Position of the one (or zero, for flip) of each rank: its block by the directory, then at most BLOCK words."""
         flip = _U(flip)
-        start = samples[rank // SAMPLE].astype(np.int64)
-        left = (rank % SAMPLE).astype(_U)
-        word = start >> 6
-        bits = (self.high[word] ^ flip) & (~_U(0) << (start & 63).astype(_U))
+        block = np.searchsorted(before, rank.astype(before.dtype), "right") - 1
+        left = rank.astype(_U) - before[block].astype(_U)
+        word = block * BLOCK
+        bits = self.high[word] ^ flip
         count = np.bitwise_count(bits).astype(_U)
         open_ = np.flatnonzero(left >= count)
         while len(open_):
@@ -78,6 +80,20 @@ class EliasFano:
             open_ = open_[left[open_] >= count[open_]]
         return (word << 6) + _select_in_word(bits, left).astype(np.int64)
 
+    def _after(self, position: np.ndarray, rank: np.ndarray, flip: int, before: np.ndarray) -> np.ndarray:
+        """Position of the one (or zero) of each rank, given that of the rank before: most lie in the
+        same word or the next; the others are selected."""
+        start = position + 1
+        word = start >> 6
+        bits = (self.high[word] ^ _U(flip)) & (_U(_ALL) << (start & 63).astype(_U))
+        open_ = np.flatnonzero(bits == 0)
+        word[open_] += 1
+        bits[open_] = self.high[np.minimum(word[open_], len(self.high) - 1)] ^ _U(flip)
+        out = (word << 6) + np.bitwise_count((bits & (~bits + _U(1))) - _U(1))
+        if len(far := open_[bits[open_] == 0]):
+            out[far] = self._select(rank[far], flip, before)
+        return out
+
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(at), _U)
@@ -92,6 +108,13 @@ class EliasFano:
         highs = (self._select(at, 0, self.ones) - at).astype(_U)
         return (highs << _U(self.bits)) | self._low(at)
 
+    def access_two(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at these places and at the next ones."""
+        one = self._select(at, 0, self.ones)
+        two = self._after(one, at + 1, 0, self.ones)
+        bits = _U(self.bits)
+        return ((one - at).astype(_U) << bits) | self._low(at), ((two - at - 1).astype(_U) << bits) | self._low(at + 1)
+
     def find(self, values: np.ndarray, first: np.ndarray | None = None, stop: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Place of each value's successor, within first to stop if given, and whether it equals the value.
 
@@ -107,10 +130,11 @@ class EliasFano:
         x = values[inside]
         high = (x >> _U(self.bits)).astype(np.int64)
         low = x & ((_U(1) << _U(self.bits)) - _U(1))
-        begin = np.zeros(len(x), np.int64)
+        zero = np.full(len(x), -1, np.int64)  # the zero before the bucket
         later = np.flatnonzero(high > 0)
-        begin[later] = self._select(high[later] - 1, ~0 & 0xFFFFFFFFFFFFFFFF, self.zeros) - (high[later] - 1)
-        end = self._select(high, ~0 & 0xFFFFFFFFFFFFFFFF, self.zeros) - high
+        zero[later] = self._select(high[later] - 1, _ALL, self.zeros)
+        begin = zero - high + 1
+        end = self._after(zero, high, _ALL, self.zeros) - high
         if first is not None:
             begin = np.maximum(begin, first[inside])
         if stop is not None:

@@ -2,11 +2,15 @@
 
 Level 1 holds the vocabulary: words' 64-bit hashes in order, so that a word's
 place is its id, and exact counts. Level n holds contexts of n - 1 ids: an
-Elias-Fano sequence of context keys, monotone pointers to each context's range
-of successors, the successors as one Elias-Fano sequence relative to their
-context's rank, and by one byte each the quantised discounted probability of
-every successor and the quantised back-off mass of every context. A lookup
-finds the context, follows its pointers, and searches the successor there.
+Elias-Fano sequence of context keys (mixed one to one, so that the contexts of
+a frequent word do not crowd), monotone pointers to each context's range of
+successors, the successors as one Elias-Fano sequence, and by one byte each the
+quantised discounted probability of every successor and the quantised back-off
+mass of every context. A lookup finds the context, follows its pointers, and
+searches the successor there. Successors are numbered relative to their
+context: in a range of s successors from place b on, word w is b * V + w * s.
+This rises through the level, and as ids spread evenly (they follow hashes),
+so do these numbers: buckets stay small however many successors a context has.
 
 Probabilities are Witten-Bell: of a context seen C times with T different
 successors, a successor seen c times has c / (C + T), and T / (C + T) goes to
@@ -27,6 +31,7 @@ unknown, N and V are 0. Only doc_id and text are read.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import mmap
 from collections import Counter
@@ -40,7 +45,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import byte_rows, checkpointed, crc_fold, new_shared_path, table
+from subledger.llm.common import byte_rows, crc_fold, new_shared_path, table
 from subledger.llm.elias_fano import EliasFano, encode
 
 ORDER = 3
@@ -134,6 +139,9 @@ class Trie:
     bases: list[int]  # first id of each of them
     shards: int  # of each higher level
 
+    def key_bits(self, level: int) -> int:
+        return max(2, (self.words ** (level - 1)).bit_length())
+
     def lookup(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts of words."""
         hashes = np.array([word_hash(w) for w in words], _U)
@@ -152,19 +160,19 @@ class Trie:
         """Interpolate: p of the shorter context becomes p after these contexts (keys)."""
         out = p.copy()
         part = _shard_of(contexts, self.shards)
-        order = np.argsort(part, kind="stable")
+        order = np.argsort(part.astype(np.uint16) if self.shards <= 1 << 16 else part, kind="stable")  # a radix sort for few shards
         cuts = np.flatnonzero(np.diff(part[order])) + 1
         for own in np.split(order, cuts) if len(order) else []:
             if (held := _level(self.uri, level, int(part[own[0]]))) is None:
                 continue
             keys, pointers, successors, chance, mass, chances, masses = held
-            rank, equal = keys.find(contexts[own])
+            rank, equal = keys.find(_mixed(contexts[own], self.key_bits(level)))
             own, rank = own[equal], rank[equal]
             if not len(own):
                 continue
-            begin, stop = pointers.access(rank).astype(np.int64), pointers.access(rank + 1).astype(np.int64)
+            begin, stop = (x.astype(np.int64) for x in pointers.access_two(rank))
             known = words[own] >= 0
-            relative = rank.astype(_U) * _U(self.words) + np.maximum(words[own], 0).astype(_U)
+            relative = begin.astype(_U) * _U(self.words) + np.maximum(words[own], 0).astype(_U) * (stop - begin).astype(_U)
             place, there = successors.find(relative, begin, stop)
             there &= known
             value = np.zeros(len(own))
@@ -193,23 +201,36 @@ def _shard_of(contexts: np.ndarray, shards: int) -> np.ndarray:
     return (((mixed ^ (mixed >> _U(29))) * _U(0xBF58476D1CE4E5B9) >> _U(33)) % _U(shards)).astype(np.int64)
 
 
+def _mixed(contexts: np.ndarray, bits: int) -> np.ndarray:
+    """A one-to-one mixing of keys of so many bits."""
+    mask, half = _U((1 << bits) - 1), _U(bits // 2 + 1)
+    for factor in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9):
+        contexts = (contexts * _U(factor)) & mask
+        contexts = contexts ^ (contexts >> half)
+    return contexts
+
+
 class Reader:
     """Turns texts into ids and counts, remembering words it has met."""
 
     def __init__(self, trie: Trie) -> None:
         self.trie, self.known = trie, {}
+        self.ids, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of each text; all tokens' ids and counts."""
         docs = [tokens(t) for t in texts]
-        new = list({w for d in docs for w in d if w not in self.known})
+        words = set().union(*docs)
+        new = list(words.difference(self.known))
         if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list({w for d in docs for w in d})
+            self.__init__(self.trie)
+            new = list(words)
         ids, counts = self.trie.lookup(new)
-        self.known.update(zip(new, zip(ids.tolist(), counts.tolist(), strict=True), strict=True))
-        flat = np.array([self.known[w] for d in docs for w in d], np.int64).reshape(-1, 2)
-        return np.array([len(d) for d in docs], np.int64), flat[:, 0], flat[:, 1]
+        self.known.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
+        self.ids, self.counts = np.append(self.ids, ids), np.append(self.counts, counts)
+        sizes = np.array([len(d) for d in docs], np.int64)
+        own = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(docs)), np.int64, int(sizes.sum()))
+        return sizes, self.ids[own], self.counts[own]
 
 
 def _places(sizes: np.ndarray) -> np.ndarray:
@@ -349,16 +370,17 @@ def unpack(part: bytes) -> list[np.ndarray]:
     return out
 
 
-def merge(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The n-grams of a shard in order, each once, with their counts."""
+def merge(parts: list[bytes], key_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams of a shard in order of mixed context and word, each once, with their counts."""
     contexts, words, counts = (np.concatenate(x) for x in zip(*map(unpack, parts), strict=True))
+    contexts = _mixed(contexts, key_bits)
     order = np.lexsort((words, contexts))
     contexts, words, counts = contexts[order], words[order], counts[order]
     starts = np.flatnonzero(np.append(True, (np.diff(contexts) != 0) | (np.diff(words) != 0)))
     return contexts[starts], words[starts], np.add.reduceat(counts, starts)
 
 
-def level_arrays(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, vocabulary: int) -> tuple[dict[str, np.ndarray], dict]:
+def level_arrays(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, vocabulary: int, key_bits: int) -> tuple[dict[str, np.ndarray], dict]:
     """A level's shard from its merged n-grams."""
     starts = np.flatnonzero(np.append(True, np.diff(contexts) != 0))
     sizes = np.diff(starts, append=len(contexts))
@@ -366,9 +388,10 @@ def level_arrays(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, vo
     rank = np.repeat(np.arange(len(starts)), sizes)
     chance, q_chance = quantise(counts / (totals + sizes)[rank])
     mass, q_mass = quantise(sizes / (totals + sizes))
-    arrays = _prefixed("keys", encode(contexts[starts], int(contexts[-1]) + 1))
+    arrays = _prefixed("keys", encode(contexts[starts], 1 << key_bits))
     arrays |= _prefixed("pointers", encode(np.append(starts, len(contexts)).astype(_U), len(contexts) + 1))
-    arrays |= _prefixed("successors", encode(rank.astype(_U) * _U(vocabulary) + words, len(starts) * vocabulary))
+    relative = starts[rank].astype(_U) * _U(vocabulary) + words * sizes[rank].astype(_U)
+    arrays |= _prefixed("successors", encode(relative, len(contexts) * vocabulary))
     for name, unused in (("keys", "ones"), ("successors", "ones"), ("pointers", "zeros")):  # keys and successors are searched, pointers read
         arrays[f"{name}.{unused}"] = np.zeros(0, np.uint32)
     return arrays | {"chance": chance, "mass": mass}, {"chance": q_chance, "mass": q_mass}
@@ -379,7 +402,8 @@ def build(docs: DataFrame, order: int = ORDER, shard: int = SHARD) -> Trie:
     uri = new_shared_path(docs.sparkSession, "trie")
     uri = uri if "://" in uri or uri.startswith("file:") else f"file://{uri}"
     uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
-    counted = checkpointed(_count_words(docs))
+    _count_words(docs).write.parquet(f"{uri}/counts")  # read twice: the totals, then the vocabulary
+    counted = docs.sparkSession.read.parquet(f"{uri}/counts")
     words, total = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     bits, bases = _write_vocabulary(counted, uri, words, shard)
     if words ** (order - 1) >= 1 << 63:
@@ -393,9 +417,9 @@ def build(docs: DataFrame, order: int = ORDER, shard: int = SHARD) -> Trie:
         blobs = [b for b in part.column("part").to_pylist() if b]
         n = 0
         if blobs:
-            contexts, words, counts = merge(blobs)
+            contexts, words, counts = merge(blobs, trie.key_bits(level))
             n = len(contexts)
-            write_level(trie.uri, f"{level}-{shard}", *level_arrays(contexts, words, counts, trie.words))
+            write_level(trie.uri, f"{level}-{shard}", *level_arrays(contexts, words, counts, trie.words, trie.key_bits(level)))
         return pa.table({"n": pa.array([n], pa.int64())})
 
     _count_ngrams(docs, trie, order).groupBy("level", "shard").applyInArrow(write, "n long").agg(F.sum("n")).first()
