@@ -41,17 +41,18 @@ def invoice_join_key(billing_col: str = "billing_id", id_col: str = "client_sub_
     return F.when(is_blank(billing_col), salted).otherwise(F.col(billing_col))
 
 
-def _first_where(cond: Column) -> Column:
+def _first_where(cond: Column, invoice_id: Column) -> Column:
     """Status of the first invoice meeting ``cond`` in the total arrival order
     (lowest ``seq``, then highest id); a struct, so a NULL status differs from no invoice."""
-    return F.max(F.when(cond, F.struct((-F.col("seq")).alias("o"), F.col("id"), F.col("status"))))
+    return F.max(F.when(cond, F.struct((-F.col("seq")).alias("o"), invoice_id.alias("id"), F.col("status"))))
 
 
 def invoice_aggregates(invoices: DataFrame, params: ReportParams) -> DataFrame:
     """One row per billing subscription id with every lookup the report needs.
 
-    ``invoices`` needs ``id STRING, subscription STRING, created DATE, status STRING,
-    seq`` (``seq`` = arrival order of the billing source, lower first).
+    ``invoices`` needs ``subscription STRING, created DATE, status STRING, seq``
+    (``seq`` = arrival order of the billing source, lower first) and, unless
+    ``seq`` is unique, ``id``.
     """
     d = F.col("created")
     paid = F.col("status") == F.lit(INVOICE_PAID)
@@ -63,11 +64,12 @@ def invoice_aggregates(invoices: DataFrame, params: ReportParams) -> DataFrame:
     ly0 = params.last_yearly_start()
     L = date_literal
     key = F.col("subscription")
+    own_id = F.col("id") if "id" in invoices.columns else F.lit("")
     return (invoices
             .filter(key.isNotNull() & (key != "") & ~key.startswith(_BLANK_KEY_PREFIX))
             .groupBy("subscription")
-            .agg(_first_where((d >= L(cm0)) & (d < L(cm1))).alias("first_m"),
-                 _first_where(d.between(L(cy0), L(cy1))).alias("first_y"),
+            .agg(_first_where((d >= L(cm0)) & (d < L(cm1)), own_id).alias("first_m"),
+                 _first_where(d.between(L(cy0), L(cy1)), own_id).alias("first_y"),
                  F.max(F.when(paid & d.between(L(wm0), L(wm1)), F.lit(True))).alias("paid2_m"),
                  F.max(F.when(paid & d.between(L(wy0), L(wy1)), F.lit(True))).alias("paid2_y"),
                  F.max(F.when(paid & d.between(L(lm0), L(lm1)), d)).alias("last_m"),

@@ -29,7 +29,7 @@ def test_page_split_does_not_change_scan(spark, ids, cuts):
     for b in bounds + [len(recs)]:
         pages.append(recs[start:b])
         start = b
-    rows = [("s", n, 200, len(recs), len(pages), json.dumps(p)) for n, p in enumerate(pages, start=1)]
+    rows = [("s", n, 200, len(recs), len(pages), json.dumps(p), None, None) for n, p in enumerate(pages, start=1)]
     random.Random(len(ids)).shuffle(rows)  # landing row order is irrelevant
     got = scan_pages(spark.createDataFrame(rows, LANDING_PAGE), "s", REC).orderBy("seq").collect()
     assert [(r["id"], r["v"]) for r in got] == [(r["id"], r["v"]) for r in recs]
