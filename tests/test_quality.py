@@ -7,7 +7,7 @@ from subledger.schemas import LANDING_PAGE, USER_SUBSCRIPTION
 
 
 def _pages(spark, total):
-    return spark.createDataFrame([("s", 1, 200, total, 1, "[]")], LANDING_PAGE)
+    return spark.createDataFrame([("s", 1, 200, total, 1, "[]", None, None)], LANDING_PAGE)
 
 
 def test_completeness_threshold(spark):

@@ -146,14 +146,14 @@ def test_crm_task_dedupe(spark):
 
 
 def test_empty_report_overwrites_to_empty_table(spark, tmp_path):
-    from subledger.sinks.writers import write_report
+    from subledger.sinks.writers import current_run, read_report, write_report
     from subledger.schemas import REPORT_COLUMNS
     out = str(tmp_path / "r")
     full = spark.createDataFrame([(1,)], "client_sub_id bigint")
     assert write_report(full, out, out + "_meta", dt.date(2025, 8, 15)) == 1
     empty = full.filter("client_sub_id < 0")
     assert write_report(empty, out, out + "_meta", dt.date(2025, 8, 16)) == 0
-    assert spark.read.parquet(out).count() == 0
-    meta = spark.read.parquet(out + "_meta").collect()[0]
+    assert read_report(spark, out, out + "_meta").count() == 0
+    meta = spark.read.parquet(f"{out}_meta/run={current_run(spark, out + '_meta')}").collect()[0]
     assert (meta["row_count"], str(meta["as_of_date"])) == (0, "2025-08-16")
     assert len(REPORT_COLUMNS) == 19
