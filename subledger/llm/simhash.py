@@ -28,7 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subledger.llm.common import byte_rows, checkpointed, table
@@ -60,15 +60,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * set_bits > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row's whole text."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id and fp (the fingerprint as a signed long) of every row's whole text, and the string columns of ``also``."""
     def run(batches):
         for batch in batches:
             for at, raw in byte_rows(batch):
                 found = np.array([fingerprint(t, shingle) for t in raw], np.uint64).view(np.int64)
-                yield pa.record_batch([batch.column("doc_id").slice(at, len(raw)), pa.array(found, pa.int64())], ["doc_id", "fp"])
+                own = [batch.column(c).slice(at, len(raw)) for c in ("doc_id", *also)]
+                yield pa.record_batch([own[0], pa.array(found, pa.int64()), *own[1:]], ["doc_id", "fp", *also])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", *also).mapInArrow(run, ", ".join(["doc_id long", "fp long", *(f"{c} string" for c in also)]))
 
 
 def _embedding_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -202,11 +203,16 @@ def connect(edges: DataFrame) -> DataFrame:
     return now
 
 
+def rooted_nodes(prints: DataFrame, first: Column, most: int = MAX_BITS) -> DataFrame:
+    """Every distinct fp, the least ``first`` of its rows, and its component's root."""
+    nodes = checkpointed(prints.groupBy("fp").agg(F.min(first).alias("first")))
+    roots = connect(links(grid(nodes, most), most))
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def components(prints: DataFrame, most: int = MAX_BITS) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable) of rows doc_id, fp."""
-    nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = connect(links(grid(nodes, most), most))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = rooted_nodes(prints, F.col("doc_id"), most)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return prints.join(rooted.select("fp", "root").join(smallest, "root").drop("root"), "fp").select("doc_id", "fp", "component_id")
 
@@ -218,13 +224,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BIT
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, of which each component keeps that with its
-    smallest doc_id; of rows that repeat the key, the first by hash of the text. Rows without a key stay."""
-    found = components(checkpointed(fingerprints(docs, shingle)), most)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    rows = docs.join(kept, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), rank.alias("_rank"))
-    return rows.where("_rank = 1").select("_row.*").unionByName(docs.where("doc_id IS NULL"))
+    """One row of ``docs``, with all its columns, of each component: that with the smallest doc_id (rows
+    without a key come last), then by hash of key and text.
+
+    Rows are told apart by that hash, so unlike texts under one key stay. Of rows that repeat key and
+    text, each task hands on one before the shuffle.
+    """
+    own = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"), 256)  # a null text leaves out the colon
+    prints = checkpointed(fingerprints(docs.select("doc_id", "text", own.alias("own")), shingle, ("own",)))
+    rooted = rooted_nodes(prints, F.struct(F.col("doc_id").isNull(), "doc_id", "own"), most)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.own").alias("_own"))
+    rank = F.row_number().over(Window.partitionBy("_own").orderBy("_own"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), own.alias("_own")).withColumn("_rank", rank)
+    return rows.where("_rank = 1").join(kept, "_own", "left_semi").select("_row.*")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,3 +110,16 @@ def test_edges(edge_docs, no_docs, edge_rows):
     firsts = {c for (i, _), c in zip(prints, brute_components(prints)) if i is not None}
     assert kept.columns == edge_docs.columns
     assert sorted(i for i in ids if i is not None) == sorted(i for i in firsts if i is not None) and ids.count(None) == 2
+
+
+def test_one_row_of_each_component_is_kept(make_docs):
+    a, b, c, e = (prose(k, 90) for k in (11, 12, 13, 14))
+    rows = [(1, a), (1, b), (1, b), (2, b), (2, a), (None, a), (None, c), (None, c.upper()), (None, c), (4, e), (3, e), (None, e)]
+    assert len({brute_fingerprint(t) for _, t in rows}) == 4
+    got = [(r["doc_id"], r["text"].lower()) for r in simhash.keep_one(make_docs([(*r, "en", "s") for r in rows]).repartition(3)).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (1, b), (3, e), (None, c)], key=str)
+
+
+def test_a_key_that_repeats_is_cut_before_the_shuffle(make_docs):
+    plan = simhash.keep_one(make_docs([(1, "a b c", "en", "s")] * 9))._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and plan.count("Partial") >= 1
