@@ -4,7 +4,7 @@ Indicators of hashed byte n-grams, of n-grams of the words' distances to their
 last occurrence (which show repetition whatever the words are) and of the
 text's length and share of repeated words are scaled by the classes' log-count ratios; a linear hinge-loss model is fitted on them by dual coordinate
 descent, in one task over a bounded sample (at most ``PER_CLASS`` labelled
-rows of each class, chosen by a hash of their keys; a row of it is one bit a
+rows of each class, chosen by a hash of their keys among those whose text is there; a row of it is one bit a
 feature, so the sample's bytes are bounded too). A fifth of the sample is
 left out of the fit and turns margins into probabilities. Every row's whole
 text is scored with the broadcast weights (one number a feature).
@@ -154,10 +154,11 @@ def train(rows: list[np.ndarray], labels: list[int], folds: list[int]) -> Model:
     return model
 
 
-def training_sample(labels: DataFrame, label: str, per_class: int = PER_CLASS) -> DataFrame:
-    """doc_id and label of at most ``per_class`` keys of each class, by a hash of the key."""
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLASS) -> DataFrame:
+    """doc_id and label of at most ``per_class`` keys of each class that ``docs`` has, by a hash of the key."""
     agreed = labels.select("doc_id", F.col(label).cast("int").alias("label")).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_most"))
     agreed = agreed.where("label = _most AND label IN (0, 1) AND doc_id IS NOT NULL").drop("_most")
+    agreed = agreed.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [agreed.where(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     return chosen[0].unionByName(chosen[1])
@@ -169,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     The sample's keys (at most two classes of ``per_class`` rows) are broadcast;
     a repeated key trains with its smallest text by hash, so that one hot key cannot fill the sample.
     """
-    sample = training_sample(labels, label, per_class)
+    sample = training_sample(docs, labels, label, per_class)
 
     def mark(batches):
         marker = Marker()

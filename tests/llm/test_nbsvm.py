@@ -61,3 +61,11 @@ def test_edges(spark, edge_docs, no_docs, edge_rows):
     assert nbsvm.classify(no_docs, model).count() == 0 and nbsvm.keep(no_docs, model).count() == 0
     kept = nbsvm.keep(edge_docs, model)
     assert kept.columns == edge_docs.columns and kept.count() == sum(r["predicted"] for r in rows)
+
+
+def test_keys_without_documents_do_not_use_up_the_sample(spark, make_docs):
+    docs = make_docs([(k, prose(k, 60) if k < 10 else "buy now " * 40, "en", "s") for k in range(20)])
+    labels = spark.createDataFrame([(k, int(k < 10)) for k in range(20)] + [(1000 + k, k % 2) for k in range(400)], "doc_id long, quality int")
+    assert {tuple(r) for r in nbsvm.training_sample(docs, labels, "quality", 10).collect()} == {(k, int(k < 10)) for k in range(20)}
+    model = nbsvm.fit(docs, labels, per_class=10)
+    assert {r["doc_id"]: r["predicted"] for r in nbsvm.classify(docs, model).collect()} == {k: int(k < 10) for k in range(20)}
