@@ -104,7 +104,8 @@ class Index:
     common: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     @classmethod
-    def build(cls, items: list[tuple[int, bytes]]) -> Index:
+    def build(cls, items: list[tuple[int, bytes]], threshold: float = THRESHOLD) -> Index:
+        """An index that finds every section at ``threshold`` or above."""
         index, sections = cls(), []
         for item, text in items:
             words = words_of(text)
@@ -131,10 +132,10 @@ class Index:
         for t, pairs in lists.items():
             index.terms[t] = len(index.postings)
             index.postings.append(Postings([k for k, _ in pairs], [w for _, w in pairs]))
-        index._bound(df)
+        index._bound(df, threshold)
         return index
 
-    def _bound(self, df: Counter) -> None:
+    def _bound(self, df: Counter, threshold: float) -> None:
         """Most frequent terms are common as long as they make up at most half the threshold of every section."""
         share = np.zeros(-(-len(self.item_of) // BLOCK) * BLOCK)
         by_df: dict[int, list[int]] = {}
@@ -145,7 +146,7 @@ class Index:
             more = share.copy()
             for k in by_df[n]:
                 more[self.postings[k].sections] += self.postings[k].weights
-            if more.max() > THRESHOLD / 2:
+            if more.max() > threshold / 2:
                 break
             share = more
             common.update(by_df[n])
@@ -261,7 +262,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     """One row for each row of ``docs`` and benchmark item verified in it."""
     spark, out = docs.sparkSession, None
     for block in item_blocks(items):
-        shared = spark.sparkContext.broadcast(Index.build(block))
+        shared = spark.sparkContext.broadcast(Index.build(block, threshold))
 
         def run(batches, shared=shared):
             for batch in batches:
@@ -280,7 +281,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` in which no item is verified, with all their columns; texts are not shuffled."""
     for block in item_blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(Index.build(block))
+        shared = docs.sparkSession.sparkContext.broadcast(Index.build(block, threshold))
 
         def run(batches, shared=shared):
             for batch in batches:

@@ -63,3 +63,12 @@ def test_edges(edge_docs, no_docs, spark):
     assert got == [(6, 4), (6, 4), (7, 4)]
     assert d.contaminated(no_docs, items).count() == 0
     assert d.contaminated(edge_docs, items.where("1 = 0")).count() == 0 and d.clean(edge_docs, items.where("1 = 0")).count() == edge_docs.count()
+
+
+def test_a_low_threshold_is_reached_by_common_terms_alone(make_docs, spark):
+    questions = ["one two three four five six", "seven eight nine ten eleven twelve"]
+    items = spark.createDataFrame([(k, f"{questions[k % 2]}? {' '.join(f'rare{k}x{n}' for n in range(6))}.") for k in range(40)], "item_id long, text string")
+    docs = make_docs([(1, f"{prose(1, 20)} {questions[0]}", "en", "s"), (2, prose(2, 30), "en", "s")])
+    assert {(r["doc_id"], r["item_id"]) for r in d.contaminated(docs, items, 0.1).collect()} == {(1, k) for k in range(0, 40, 2)}
+    assert [r["doc_id"] for r in d.clean(docs, items, 0.1).collect()] == [2]
+    assert d.contaminated(docs, items).count() == 0
