@@ -14,7 +14,9 @@ left is scored. A passage whose rare terms cannot lift it to the threshold
 
 Retrieved items are verified on the document's words around the passage: the
 share of the question's and the answer's word windows found there. The answer
-is the item's last sentence, the question what stands before it.
+is the item's last sentence, the question what stands before it. A question
+too short to tell anything (under ``WINDOW + 2`` words) before an answer is
+verified by the windows of the whole item instead.
 
 Items come in blocks of bounded text, each indexed and broadcast by itself.
 
@@ -91,12 +93,12 @@ class Postings:
 
 @dataclass
 class Index:
-    """BM25 weights by term and section; ``parts`` has an item's question and answer windows."""
+    """BM25 weights by term and section; ``parts`` has an item's question and answer windows, those that verify it, and its size."""
 
     terms: dict[bytes, int] = field(default_factory=dict)
     postings: list[Postings] = field(default_factory=list)
     item_of: list[int] = field(default_factory=list)
-    parts: dict[int, tuple[set, set, int]] = field(default_factory=dict)
+    parts: dict[int, tuple[set, set, set, int]] = field(default_factory=dict)
     #: By rarer term, its blocks and their maxima: those of term t are first[t] to first[t + 1]. By block, what common terms can add.
     first: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     blocks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -112,7 +114,8 @@ class Index:
             question, answer = question_and_answer(text)
             if not words:
                 continue
-            index.parts[item] = (windows(question), windows(answer), len(words))
+            asked = windows(question)
+            index.parts[item] = (asked, windows(answer), windows(words) if answer and len(question) < WINDOW + 2 else asked, len(words))
             pieces = math.ceil(len(words) / SECTION)
             size = math.ceil(len(words) / pieces)
             for at in range(0, len(words), size):
@@ -239,10 +242,10 @@ class Index:
             for section, score in self.search(terms, blocks, threshold).items():
                 near[self.item_of[section]] = max(near.get(self.item_of[section], 0.0), score)
             for item, score in near.items():
-                question, answer, size = self.parts[item]
+                question, answer, telling, size = self.parts[item]
                 around = docs[doc][max(0, start - size):start + 2 * SECTION + size]
                 q, a = overlap(question, around), overlap(answer, around)
-                if q >= QUESTION or (a >= ANSWER and q >= QUESTION / 2):
+                if (q if telling is question else overlap(telling, around)) >= QUESTION or (a >= ANSWER and q >= QUESTION / 2):
                     best[doc, item] = max(best.get((doc, item), (-1.0, 0.0, 0.0, 0)), (score, q, a, -start))
         for (doc, item), (score, q, a, start) in sorted(best.items()):
             yield doc, item, min(1.0, score), q, a, -start

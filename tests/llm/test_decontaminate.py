@@ -72,3 +72,13 @@ def test_a_low_threshold_is_reached_by_common_terms_alone(make_docs, spark):
     assert {(r["doc_id"], r["item_id"]) for r in d.contaminated(docs, items, 0.1).collect()} == {(1, k) for k in range(0, 40, 2)}
     assert [r["doc_id"] for r in d.clean(docs, items, 0.1).collect()] == [2]
     assert d.contaminated(docs, items).count() == 0
+
+
+def test_a_short_question_alone_verifies_nothing(make_docs, spark):
+    answer = [f"answer{k}" for k in range(22)]
+    items = spark.createDataFrame([(1, f"Why? {' '.join(answer)}."), (2, "Why not? Because."), (3, prose(3, 40))], "item_id long, text string")
+    mixed = " ".join(answer[::2] + answer[::-2])
+    docs = make_docs([(1, f"{prose(1, 9)} why {mixed}", "en", "s"), (2, f"{prose(2, 9)} why {' '.join(answer)} {prose(4, 9)}", "en", "s"),
+                      (3, f"{prose(5, 9)} why {' '.join(answer[:18])} {prose(6, 9)}", "en", "s"), (4, f"{prose(7, 9)} Why not? Because.", "en", "s")])
+    assert {(r["doc_id"], r["item_id"]) for r in d.contaminated(docs, items).collect()} == {(2, 1), (3, 1), (4, 2)}
+    assert [r["doc_id"] for r in d.clean(docs, items).collect()] == [1]
