@@ -18,7 +18,10 @@ is the item's last sentence, the question what stands before it. A question
 too short to tell anything (under ``WINDOW + 2`` words) before an answer is
 verified by the windows of the whole item instead.
 
-Items come in blocks of bounded text, each indexed and broadcast by itself.
+Items come in blocks of bounded text. Their sections and words are counted
+over all items by Spark, so that weights and scores do not depend on the
+blocks; a task a block writes its index to the shared folder, from where
+scoring tasks read it.
 
 Defined results: null or empty texts and items match nothing; equal scores all
 count; repeated documents each give their rows, repeated items count as one
@@ -29,7 +32,9 @@ doc_id and text, and item_id and text, are read.
 from __future__ import annotations
 
 import bisect
+import functools
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -37,10 +42,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import byte_rows, table
+from subledger.llm.common import byte_rows, checkpointed, new_shared_path, table
 
 SECTION = 32
 THRESHOLD = 0.45
@@ -50,7 +56,7 @@ WINDOW = 3
 QUESTION, ANSWER = 0.5, 0.8
 #: Sections of a block, and cells (passages by blocks) that are bounded at a time.
 BLOCK, CELLS = 4, 1 << 22
-#: Characters of item text that one broadcast index holds, at most (and one item more).
+#: Characters of item text that one index holds, at most (and one item more).
 ITEM_CHARS = 32 << 20
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
@@ -71,6 +77,12 @@ def question_and_answer(text: bytes) -> tuple[list[bytes], list[bytes]]:
     return (question, answer) if question else (answer, [])
 
 
+def sections_of(words: list[bytes]) -> list[Counter]:
+    """An item's words in sections of equal size, the last perhaps shorter."""
+    size = math.ceil(len(words) / max(1, math.ceil(len(words) / SECTION)))
+    return [Counter(words[at:at + size]) for at in range(0, len(words), size)] if words else []
+
+
 def windows(words: list[bytes]) -> set[tuple[bytes, ...]]:
     n = min(WINDOW, len(words))
     return set(zip(*(words[k:] for k in range(n)), strict=False)) if n else set()
@@ -106,8 +118,9 @@ class Index:
     common: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     @classmethod
-    def build(cls, items: list[tuple[int, bytes]], threshold: float = THRESHOLD) -> Index:
-        """An index that finds every section at ``threshold`` or above."""
+    def build(cls, items: list[tuple[int, bytes]], threshold: float = THRESHOLD, of_all: tuple[dict[bytes, int], int, float] | None = None) -> Index:
+        """An index that finds every section at ``threshold`` or above. ``of_all``: by term the sections that
+        hold it, the number of sections and their mean size, where these items are not all items."""
         index, sections = cls(), []
         for item, text in items:
             words = words_of(text)
@@ -116,19 +129,16 @@ class Index:
                 continue
             asked = windows(question)
             index.parts[item] = (asked, windows(answer), windows(words) if answer and len(question) < WINDOW + 2 else asked, len(words))
-            pieces = math.ceil(len(words) / SECTION)
-            size = math.ceil(len(words) / pieces)
-            for at in range(0, len(words), size):
-                sections.append(Counter(words[at:at + size]))
-                index.item_of.append(item)
+            own = sections_of(words)
+            sections += own
+            index.item_of += [item] * len(own)
         if not sections:
             return index
-        df = Counter(t for s in sections for t in s)
-        mean = sum(s.total() for s in sections) / len(sections)
-        lists: dict[bytes, list[tuple[int, float]]] = {t: [] for t in sorted(df)}
+        df, n_sections, mean = of_all or (Counter(t for s in sections for t in s), len(sections), sum(s.total() for s in sections) / len(sections))
+        lists: dict[bytes, list[tuple[int, float]]] = {t: [] for t in sorted({t for s in sections for t in s})}
         for k, section in enumerate(sections):
             norm = K1 * (1 - B + B * section.total() / mean)
-            raw = {t: math.log1p((len(sections) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm) for t, n in section.items()}
+            raw = {t: math.log1p((n_sections - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm) for t, n in section.items()}
             whole = sum(raw.values())
             for t, weight in raw.items():
                 lists[t].append((k, weight / whole))
@@ -138,7 +148,7 @@ class Index:
         index._bound(df, threshold)
         return index
 
-    def _bound(self, df: Counter, threshold: float) -> None:
+    def _bound(self, df: dict[bytes, int], threshold: float) -> None:
         """Most frequent terms are common as long as they make up at most half the threshold of every section."""
         share = np.zeros(-(-len(self.item_of) // BLOCK) * BLOCK)
         by_df: dict[int, list[int]] = {}
@@ -251,46 +261,94 @@ class Index:
             yield doc, item, min(1.0, score), q, a, -start
 
 
-def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
-    """The items in blocks of bounded text: as many hash classes of ids as their size asks for."""
+def item_blocks(items: DataFrame, threshold: float = THRESHOLD) -> list[str]:
+    """Index files of the items in blocks of bounded text: as many hash classes of ids as their size asks for."""
     known = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").groupBy("item_id").agg(F.min("text").alias("text"))
     chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = chars // ITEM_CHARS + 1
-    for k in range(blocks):
-        own = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        yield sorted((r["item_id"], r["text"].encode()) for r in own.toLocalIterator())
+    known = known.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(chars // ITEM_CHARS + 1)))
+
+    def count(batches):
+        for batch in batches:
+            of_block = batch.column("block").to_pylist()
+            for at, raw in byte_rows(batch, most=1 << 20):
+                held: Counter = Counter()  # by block and term, the sections with it; by block and no term, all sections
+                words: Counter = Counter()
+                for block, text in zip(of_block[at:at + len(raw)], raw, strict=True):
+                    own = sections_of(words_of(text))
+                    held.update((block, t) for section in own for t in section)
+                    held[block, None] += len(own)
+                    words[block, None] += sum(section.total() for section in own)
+                blocks, terms = zip(*held, strict=True)
+                yield pa.record_batch([pa.array(blocks, pa.int64()), pa.array(terms, pa.binary()), pa.array(held.values(), pa.int64()), pa.array([words[k] for k in held], pa.int64())],
+                                      ["block", "term", "sections", "words"])
+
+    counted = known.select("block", "text").mapInArrow(count, "block long, term binary, sections long, words long")
+    counted = checkpointed(counted.groupBy("block", "term").agg(F.sum("sections").alias("sections"), F.sum("words").alias("words")))
+    n_sections, n_words = counted.where("term IS NULL").agg(F.sum("sections"), F.sum("words")).first()
+    if not n_sections:
+        return []
+    terms = counted.where("term IS NOT NULL")
+    terms = terms.select("block", "term").join(terms.groupBy("term").agg(F.sum("sections").alias("df")), "term")
+    uri = new_shared_path(items.sparkSession, "items")
+    uri = uri if "://" in uri or uri.startswith("file:") else f"file://{uri}"
+    uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+    def write(key, part, own):
+        texts = part.column("text").cast(pa.binary()).to_pylist()
+        df = dict(zip(own.column("term").to_pylist(), own.column("df").to_pylist(), strict=True))
+        index = Index.build(sorted(zip(part.column("item_id").to_pylist(), texts, strict=True)), threshold, (df, n_sections, n_words / n_sections))
+        if index.postings:
+            write_index(uri, f"{key[0].as_py()}", index)
+        return pa.table({"block": pa.array([key[0].as_py()] if index.postings else [], pa.int64())})
+
+    built = known.groupBy("block").cogroup(terms.groupBy("block")).applyInArrow(write, "block long").collect()  # a row a block
+    return [f"{uri}/{k}" for k in sorted(r["block"] for r in built)]
+
+
+def write_index(uri: str, name: str, index: Index) -> None:
+    fs, folder = pyarrow.fs.FileSystem.from_uri(uri)
+    fs.create_dir(folder, recursive=True)
+    own = f"{folder}/.{name}-{np.random.SeedSequence().entropy:x}"
+    with fs.open_output_stream(own) as out:
+        pickle.dump(index, out, protocol=pickle.HIGHEST_PROTOCOL)
+    fs.move(own, f"{folder}/{name}")
+
+
+@functools.lru_cache(maxsize=1)
+def open_index(uri: str) -> Index:
+    fs, path = pyarrow.fs.FileSystem.from_uri(uri)
+    with fs.open_input_file(path) as f:
+        return pickle.loads(f.read_buffer())
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each row of ``docs`` and benchmark item verified in it."""
-    spark, out = docs.sparkSession, None
-    for block in item_blocks(items):
-        shared = spark.sparkContext.broadcast(Index.build(block, threshold))
-
-        def run(batches, shared=shared):
+    out = None
+    for block in item_blocks(items, threshold):
+        def run(batches, block=block):
+            index = open_index(block)
             for batch in batches:
                 keys = batch.column("doc_id").to_pylist()
                 for at, raw in byte_rows(batch, most=1 << 20):
-                    rows = [(keys[at + k], *hit) for k, *hit in shared.value.matches(raw, threshold)]
+                    rows = [(keys[at + k], *hit) for k, *hit in index.matches(raw, threshold)]
                     columns = list(zip(*rows, strict=True)) or [[]] * 6
                     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"])
 
         found = docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
         out = found if out is None else out.unionByName(found)
-    return out
+    return docs.sparkSession.createDataFrame([], SCHEMA) if out is None else out
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` in which no item is verified, with all their columns; texts are not shuffled."""
-    for block in item_blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(Index.build(block, threshold))
-
-        def run(batches, shared=shared):
+    for block in item_blocks(items, threshold):
+        def run(batches, block=block):
+            index = open_index(block)
             for batch in batches:
                 free = np.ones(len(batch), bool)
                 for at, raw in byte_rows(batch, most=1 << 20):
-                    free[[at + k for k, *_ in shared.value.matches(raw, threshold)]] = False
+                    free[[at + k for k, *_ in index.matches(raw, threshold)]] = False
                 yield batch.filter(pa.array(free))
 
         docs = docs.mapInArrow(run, docs.schema)

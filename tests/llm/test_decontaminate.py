@@ -82,3 +82,16 @@ def test_a_short_question_alone_verifies_nothing(make_docs, spark):
                       (3, f"{prose(5, 9)} why {' '.join(answer[:18])} {prose(6, 9)}", "en", "s"), (4, f"{prose(7, 9)} Why not? Because.", "en", "s")])
     assert {(r["doc_id"], r["item_id"]) for r in d.contaminated(docs, items).collect()} == {(2, 1), (3, 1), (4, 2)}
     assert [r["doc_id"] for r in d.clean(docs, items).collect()] == [1]
+
+
+def test_blocks_change_no_score(make_docs, spark, monkeypatch):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    altered = [(k, " ".join(w if n % 9 or n < 9 else "other" for n, w in enumerate(t.split()))) for k, t in ITEMS]
+    docs = make_docs([(k, f"{prose(4000 + k, 20)} {t} {prose(5000 + k, 20)}", "en", "s") for k, t in altered])
+
+    def rows():
+        return sorted((r["doc_id"], r["item_id"], round(r["score"], 9), r["question_overlap"], r["answer_overlap"], r["first_word"]) for r in d.contaminated(docs, items).collect())
+
+    whole = rows()
+    monkeypatch.setattr(d, "ITEM_CHARS", 1500)
+    assert rows() == whole and any(r[2] < 1 for r in whole)
