@@ -7,6 +7,10 @@ from subledger.llm.decontaminate import op10_decontaminate
 from subledger.llm.langid import op7_language_id
 from subledger.llm.licenses import op1_license_scan
 from subledger.llm.lm import op3_lm_score
+from subledger.llm.maxscore import ORACLE as MAXSCORE_SQL
+from subledger.llm.maxscore import op11_maxscore
+from subledger.llm.merkle import ORACLE as MERKLE_SQL
+from subledger.llm.merkle import op12_merkle
 from subledger.llm.nbsvm import op4_quality_classifier
 from subledger.llm.preferences import ORACLE as PREFERENCES_SQL
 from subledger.llm.preferences import op9_chat_preferences
@@ -26,9 +30,13 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_chat_preferences": op9_chat_preferences,
     "op10_decontaminate": op10_decontaminate,
+    "op11_maxscore": op11_maxscore,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": QUALITY_RULES_SQL,
     "op9_chat_preferences": PREFERENCES_SQL,
+    "op11_maxscore": MAXSCORE_SQL,
+    "op12_merkle": MERKLE_SQL,
 }
