@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from subledger.llm.bpe import op6_bpe
+from subledger.llm.collocations import ORACLE as COLLOCATIONS_SQL
+from subledger.llm.collocations import op13_collocations
 from subledger.llm.decontaminate import op10_decontaminate
 from subledger.llm.langid import op7_language_id
 from subledger.llm.licenses import op1_license_scan
@@ -32,6 +34,7 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
     "op11_maxscore": op11_maxscore,
     "op12_merkle": op12_merkle,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -39,4 +42,5 @@ ORACLES: dict[str, str] = {
     "op9_chat_preferences": PREFERENCES_SQL,
     "op11_maxscore": MAXSCORE_SQL,
     "op12_merkle": MERKLE_SQL,
+    "op13_collocations": COLLOCATIONS_SQL,
 }
