@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from subledger.llm.common import byte_rows, checkpointed, table
 
 LONGEST, THRESHOLD, TOP = 5, 100, 2000
+#: A summary's counters, in multiples of what the guarantee asks for: more let fewer infrequent n-grams through.
+ROOM = 4
 #: Bytes of text taken at a time, and n-grams held before they are dealt out.
 RUN, HELD = 1 << 21, 1 << 21
 #: Bytes of text a hash partition is made for; bits of a Bloom filter at most.
@@ -300,7 +302,7 @@ def survivors(docs: DataFrame, orders: range, threshold: int, parts: int, gate:
                 if hashes is None:  # masses come first
                     total += mass
                     continue
-                summary = summary or Summary(total // threshold + 1)
+                summary = summary or Summary(ROOM * total // threshold + 1)
                 h.append(np.frombuffer(hashes, "<u8"))
                 c.append(np.frombuffer(counts, "u1" if len(counts) * 8 == len(hashes) else "<i8").astype(np.int64))
                 held += len(h[-1])
@@ -320,24 +322,97 @@ def _hashes(h: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(h.view(np.int64), pa.int64())], ["h"])
 
 
-def exact(docs: DataFrame, orders: range, known: Sieve, gate: Sieve | None = None) -> DataFrame:
-    """lang, words (0: the language's whole count), phrase, h, n: exact counts of the n-grams that ``known`` lets through."""
-    def count(batches):
-        held: dict[tuple, int] = {}
-        names = ["lang", "words", "phrase", "h", "n"]
+class _Exact:
+    """Counts of n-grams told apart by two hashes, with their phrases; sorted by the hashes."""
 
-        def out():
-            cols = list(zip(*[(*k, v) for k, v in held.items()], strict=True)) or [[]] * 5
-            held.clear()
-            return pa.record_batch([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array([x.decode("utf-8", "replace") for x in cols[2]], pa.string()),
-                                    pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())], names)
+    def __init__(self) -> None:
+        self.h, self.s, self.n = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.int64)  # places in the lists
+        self.langs: list[str] = []
+        self.words: list[int] = []
+        self.phrases: list[bytes] = []
+
+    def add(self, h: np.ndarray, s: np.ndarray, n: np.ndarray, name) -> None:
+        """Distinct h, s with counts; ``name(i)`` gives the language, words and phrase of the i-th."""
+        found = np.searchsorted(self.h, h)
+        same = found < len(self.h)
+        same[same] = (self.h[found[same]] == h[same]) & (self.s[found[same]] == s[same])
+        self.n[found[same]] += n[same]
+        new = np.flatnonzero(~same)
+        if not len(new):
+            return
+        first = len(self.phrases)
+        for lang, words, phrase in map(name, new.tolist()):
+            self.langs.append(lang)
+            self.words.append(words)
+            self.phrases.append(phrase)
+        h, s, n = (np.concatenate(x) for x in ((self.h, h[new]), (self.s, s[new]), (self.n, n[new])))
+        at = np.append(self.at, np.arange(first, len(self.phrases)))
+        order = np.argsort(h, kind="stable")
+        self.h, self.s, self.n, self.at = h[order], s[order], n[order], at[order]
+
+    def packed(self, parts: int) -> Iterator[pa.RecordBatch]:
+        """A row for each hash partition that has n-grams."""
+        part = (self.h % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(cuts)).tolist():
+            mine = order[cuts[p]:cuts[p + 1]]
+            at = self.at[mine].tolist()
+            yield pa.record_batch([
+                pa.array([p], pa.int32()), *(pa.array([x[mine].tobytes()], pa.binary()) for x in (self.h, self.s, self.n)),
+                pa.array([[self.langs[i] for i in at]], pa.list_(pa.string())), pa.array([[self.words[i] for i in at]], pa.list_(pa.int32())),
+                pa.array([[self.phrases[i].decode("utf-8", "replace") for i in at]], pa.list_(pa.string()))], _PACKED)
+
+
+_PACKED = ["part", "h", "s", "n", "langs", "words", "phrases"]
+
+
+def _sums(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    """Sums over the packed rows of each partition (in order of part), of the n-grams that reach the threshold."""
+    part, held = None, []
+
+    def merged() -> list:
+        h, s, n = (np.concatenate([x[k] for x in held]) for k in range(3))
+        named = [pa.concat_arrays([x[k] for x in held]) for k in range(3, 6)]
+        order = np.lexsort((s, h))
+        h, s, n = h[order], s[order], n[order]
+        first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])))
+        return [h[first], s[first], np.add.reduceat(n, first), *(x.take(pa.array(order[first])) for x in named)]
+
+    def out() -> pa.RecordBatch:
+        h, _, n, langs, words, phrases = merged()
+        live = pa.array(np.flatnonzero((n >= threshold) | (words.to_numpy() == 0)))
+        return pa.record_batch([x.take(live) for x in (langs, words, phrases, pa.array(h.view(np.int64)), pa.array(n))], ["lang", "words", "phrase", "h", "n"])
 
+    for batch in batches:
+        for k in range(len(batch)):
+            p = batch.column(0)[k].as_py()
+            if p != part and held:
+                yield out()
+                held = []
+            part = p
+            held.append([*(np.frombuffer(batch.column(j)[k].as_py(), t) for j, t in ((1, "<u8"), (2, "<u8"), (3, "<i8"))), *(batch.column(j)[k].values for j in (4, 5, 6))])
+            if len(held) > 1 and sum(len(x[0]) for x in held[1:]) > max(1 << 18, len(held[0][0])):
+                held = [merged()]
+    if held:
+        yield out()
+
+
+def exact(docs: DataFrame, orders: range, threshold: int, parts: int, known: Sieve, gate: Sieve | None = None) -> DataFrame:
+    """lang, words (0: the language's whole count), phrase, h, n: exact counts of the n-grams that ``known`` lets through, from the threshold on."""
+    def count(batches):
+        held = _Exact()
         for run, langs in runs(batches):
             other = None
             if orders[0] == 1:
-                for o, c in zip(*np.unique(run.owner[run.carried:], return_counts=True), strict=True):
-                    key = (langs[o], 0, b"", 0)
-                    held[key] = held.get(key, 0) + int(c)
+                owners, counts = np.unique(run.owner[run.carried:], return_counts=True)
+                totals: dict[str, int] = {}
+                for o, c in zip(owners.tolist(), counts.tolist(), strict=True):
+                    totals[langs[o]] = totals.get(langs[o], 0) + c
+                names = sorted(totals, key=_lang_hash)
+                keys = np.array([_lang_hash(x) for x in names], np.uint64)
+                held.add(_mixed(keys), keys, np.array([totals[x] for x in names], np.int64), lambda i, names=names: (names[i], 0, b""))
             for n, at, h in _gated(run, orders, gate):
                 passed = known.has(h)
                 at, h = at[passed], h[passed]
@@ -347,19 +422,19 @@ def exact(docs: DataFrame, orders: range, known: Sieve, gate: Sieve | None = Non
                     other = dict((k, (a, x)) for k, a, x in run.grams(run.words(_BASES[1]), _BASES[1], orders[-1]))
                 places, second = other[n]
                 second = second[np.searchsorted(places, at)]
-                order = np.lexsort((second, h))
+                order = np.argsort(h, kind="stable")
+                if ((h[order][1:] == h[order][:-1]) & (second[order][1:] != second[order][:-1])).any():  # one hash, unlike n-grams
+                    order = np.lexsort((second, h))
                 at, h, second = at[order], h[order], second[order]
                 first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (second[1:] != second[:-1])))
-                counts = np.diff(np.append(first, len(h)))
-                for a, x, c in zip(at[first].tolist(), h[first].view(np.int64).tolist(), counts.tolist(), strict=True):
-                    key = (langs[run.owner[a]], n, run.phrase(a, n), x)
-                    held[key] = held.get(key, 0) + c
-            if len(held) > 1 << 18:
-                yield out()
-        yield out()
+                at = at[first]
+                held.add(h[first], second[first], np.diff(np.append(first, len(h))),
+                         lambda i, at=at, n=n, run=run, langs=langs: (langs[run.owner[at[i]]], n, run.phrase(int(at[i]), n)))
+        yield from held.packed(parts)
 
-    found = docs.select("lang", "text").mapInArrow(count, "lang string, words int, phrase string, h long, n long")
-    return found.groupBy("lang", "words", "phrase", "h").agg(F.sum("n").alias("n"))
+    kinds = "part int, h binary, s binary, n binary, langs array<string>, words array<int>, phrases array<string>"
+    dealt = docs.select("lang", "text").mapInArrow(count, kinds).repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(lambda batches: _sums(batches, threshold), "lang string, words int, phrase string, h long, n long")
 
 
 def frequent(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST) -> DataFrame:
@@ -372,7 +447,7 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST
         if not orders:
             continue
         kept = checkpointed(survivors(docs, orders, threshold, parts, gate))
-        found = checkpointed(exact(docs, orders, sieve(kept), gate).where((F.col("n") >= threshold) | (F.col("words") == 0)))
+        found = checkpointed(exact(docs, orders, threshold, parts, sieve(kept), gate))
         out = found if out is None else out.unionByName(found)
         gate = sieve(found.where("words = 2"))
     return out.select("lang", "words", "phrase", "n")
