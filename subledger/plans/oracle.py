@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from subledger.plans.catalog import CRM_PROJECT_ID, NEWEST_N, P
 from subledger.sinks.writers import INVOICE_HEADINGS, REPORT_HEADINGS
-from subledger.sources.proxies import CRM_PAGE_KEYS, FAILED_PAGE, PAGE_KEYS, REPEATED_PAGE
+from subledger.sources.proxies import CRM_PAGE_KEYS, PAGE_KEYS, REPEATED_PAGE
 
 
 def _q(s: str) -> str:
@@ -241,8 +241,10 @@ US_SCAN = f"""us_scan AS (
   SELECT CAST((SELECT max(id) // {PAGE_KEYS} + 1 FROM usubs) + 1 AS INTEGER), pos, id, subscription_id,
     status, billing_id, user_id FROM us_recs WHERE page_no = {REPEATED_PAGE})"""
 
-PL_SCAN = f"pl_scan AS (SELECT * FROM pl_recs WHERE page_no < {FAILED_PAGE})"
-PL_ALL = f"pl_scan AS (SELECT * FROM pl_recs WHERE page_no <> {FAILED_PAGE})"
+# One page of plans failed, at nine tenths of the pages (the second at least).
+PL_FAILED = "(SELECT greatest(2, max(page_no) * 9 // 10) FROM pl_recs)"
+PL_SCAN = f"pl_scan AS (SELECT * FROM pl_recs WHERE page_no < {PL_FAILED})"
+PL_ALL = f"pl_scan AS (SELECT * FROM pl_recs WHERE page_no <> {PL_FAILED})"
 
 
 def _required(src: str, fields: list[tuple[str, str]]) -> str:
@@ -425,11 +427,12 @@ SELECT 'odd' AS source, page_no, CAST(CASE page_no WHEN 2 THEN 1 ELSE 0 END AS I
   CASE WHEN page_no = 7 THEN 'empty' WHEN page_no IN (8, 9) THEN 'invalid' ELSE 'ok' END AS outcome,
   CAST(CASE WHEN page_no IN (7, 8, 9) THEN 0 ELSE n END AS INTEGER) AS n_records, page_no < 5 AS in_prefix
 FROM pg WHERE page_no <> 5"""
-    # Pages hold ten consecutive supplier keys from 0: page 1 is empty, page 8 failed, one page past the announced one is allowed.
+    # Pages hold ten consecutive supplier keys from 0: page 1 is empty, the page at nine tenths failed, one page past the announced one is allowed.
     o["crm_task_pages"] = """
 SELECT CAST(s_suppkey // 10 AS INTEGER) AS page_no,
   CAST(row_number() OVER (PARTITION BY s_suppkey // 10 ORDER BY s_suppkey) - 1 AS INTEGER) AS pos, 't' || CAST(s_suppkey AS VARCHAR) AS _id
-FROM supplier WHERE s_suppkey // 10 < 8 AND s_suppkey // 10 <> 1"""
+FROM supplier
+WHERE s_suppkey // 10 < (SELECT greatest(2, max(s_suppkey // 10) * 9 // 10) FROM supplier) AND s_suppkey // 10 <> 1"""
     return o
 
 

@@ -33,10 +33,8 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame
     return spark.read.format(fmt).schema(LANDING_PAGE).load(path)
 
 
-def parse_pages(landing: DataFrame, single: tuple[str, ...] = SINGLE_DOCUMENT) -> DataFrame:
-    """The page columns, ``pos`` and ``doc`` (VARIANT): a row per record, or one row with
-    NULL ``pos`` for a page without records. Each body is parsed once. The pages of the
-    sources in ``single`` hold one document instead of an array."""
+def _page_columns(landing: DataFrame, single: tuple[str, ...]) -> DataFrame:
+    """The page columns and ``_docs`` (the body's records, NULL unless the page is ok)."""
     optional = lambda c, default: F.coalesce(F.col(c), F.lit(default)) if c in landing.columns else F.lit(default)
     body = F.try_parse_json("body")
     alone = F.col("source").isin(*single) & F.schema_of_variant(body).startswith("OBJECT")
@@ -45,10 +43,15 @@ def parse_pages(landing: DataFrame, single: tuple[str, ...] = SINGLE_DOCUMENT) -
                            optional("attempt", 0).alias("attempt"), F.col("body").isNull().alias("_none"), docs.alias("_docs"))
     outcome = (F.when(F.col("_none") | ~F.col("http_status").eqNullSafe(F.lit(200)), "failed")
                .when(F.col("_docs").isNull(), "invalid").when(F.size("_docs") == 0, "empty").otherwise("ok"))
-    pages = pages.withColumn("outcome", outcome)
-    records = F.when(F.col("outcome") == "ok", F.col("_docs"))
-    return pages.withColumn("_docs", records).select(
-        *PAGE_COLUMNS[:-1], F.coalesce(F.size("_docs"), F.lit(0)).alias("n_records"), F.posexplode_outer("_docs").alias("pos", "doc"))
+    pages = pages.withColumn("outcome", outcome).withColumn("_docs", F.when(F.col("outcome") == "ok", F.col("_docs")))
+    return pages.select(*PAGE_COLUMNS[:-1], F.coalesce(F.size("_docs"), F.lit(0)).alias("n_records"), "_docs")
+
+
+def parse_pages(landing: DataFrame, single: tuple[str, ...] = SINGLE_DOCUMENT) -> DataFrame:
+    """The page columns, ``pos`` and ``doc`` (VARIANT): a row per record, or one row with
+    NULL ``pos`` for a page without records. Each body is parsed once. The pages of the
+    sources in ``single`` hold one document instead of an array."""
+    return _page_columns(landing, single).select(*PAGE_COLUMNS, F.posexplode_outer("_docs").alias("pos", "doc"))
 
 
 def page_index(parsed: DataFrame) -> DataFrame:
@@ -56,6 +59,12 @@ def page_index(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.coalesce(F.col("pos"), F.lit(0)) == 0).select(*PAGE_COLUMNS)
 
 
+def landed_index(landing: DataFrame, single: tuple[str, ...] = SINGLE_DOCUMENT) -> DataFrame:
+    """``page_index`` straight from the landed pages, as a projection: what asks for page columns
+    alone (the newest run, superseded attempts) parses no body."""
+    return _page_columns(landing, single).select(*PAGE_COLUMNS)
+
+
 def _current(parsed: DataFrame, source: str, index: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """A source's rows and page index (from a written index, if given), of its latest run."""
     own = parsed.filter(F.col("source") == source)
@@ -98,14 +107,9 @@ def kept_rows(parsed: DataFrame, source: str, prefix_rule: bool = True, max_page
     return own
 
 
-def typed(doc: Column, schema: T.StructType, path: str = "$") -> Column:
-    """A VARIANT object's fields by ``schema``; a field that is absent or of another type is NULL."""
-    fields = []
-    for f in schema.fields:
-        at = f"{path}.{f.name}"
-        value = typed(doc, f.dataType, at) if isinstance(f.dataType, T.StructType) else F.try_variant_get(doc, at, f.dataType.simpleString())
-        fields.append(value.alias(f.name))
-    return F.struct(*fields)
+def typed(doc: Column, schema: T.StructType) -> Column:
+    """A VARIANT object's fields by ``schema`` in one walk; a field that is absent or of another type is NULL."""
+    return F.try_variant_get(doc, "$", schema.simpleString())
 
 
 def scan_records(parsed: DataFrame, source: str, record_schema: T.StructType | None = None, **rules) -> DataFrame:
@@ -125,13 +129,15 @@ def scan_pages(landing: DataFrame, source: str, record_schema: T.StructType, pre
 
     ``max_pages`` reproduces a page cap (pages past it were never fetched).
     """
-    return scan_records(parse_pages(landing.filter(F.col("source") == source)), source, record_schema, prefix_rule=prefix_rule,
-                        max_pages=max_pages, first_page=first_page, stop_on_empty=stop_on_empty)
+    own = landing.filter(F.col("source") == source)
+    return scan_records(parse_pages(own), source, record_schema, prefix_rule=prefix_rule, max_pages=max_pages,
+                        first_page=first_page, stop_on_empty=stop_on_empty, index=landed_index(own))
 
 
 def scan_pages_variant(landing: DataFrame, source: str, prefix_rule: bool = True) -> DataFrame:
     """S1 without a schema: each record as VARIANT (``doc``), keeping missing vs null keys."""
-    return scan_records(parse_pages(landing.filter(F.col("source") == source)), source, prefix_rule=prefix_rule)
+    own = landing.filter(F.col("source") == source)
+    return scan_records(parse_pages(own), source, prefix_rule=prefix_rule, index=landed_index(own))
 
 
 def newest_n(records: DataFrame, n: int, key: str = "id") -> DataFrame:
@@ -156,7 +162,8 @@ def scan_task_pages(landing: DataFrame, source: str, record_schema: T.StructType
     client does); a failed, invalid or absent page stops the listing, an empty
     one does not. A page delivered twice yields its tasks twice (dedupe downstream, D13).
     """
-    return scan_task_records(parse_pages(landing.filter(F.col("source") == source)), source, record_schema)
+    own = landing.filter(F.col("source") == source)
+    return scan_task_records(parse_pages(own), source, record_schema, index=landed_index(own))
 
 
 def page_status(parsed: DataFrame, source: str) -> DataFrame:

@@ -22,7 +22,8 @@ from subledger.params import UTC, ReportParams
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 PAGE_KEYS = 100          # records of one landing page cover 100 consecutive keys
-FAILED_PAGE = 3          # page of the 'plans' source answered with HTTP 500
+#: The 'plans' page answered with HTTP 500 and the CRM listing's page answered 503: at nine tenths of the pages, 2 at least.
+FAILED_TENTHS = 9
 REPEATED_PAGE = 2        # page of the 'usersubs' source delivered twice
 CRM_PAGE_KEYS = 10
 
@@ -234,7 +235,11 @@ def invoices_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- landing pages --------------------------------------------------------------
-def _pages(records: DataFrame, source: str, key: str, failed_page: int | None = None,
+def _failed_page(last_page: Column) -> Column:
+    return F.greatest((last_page * FAILED_TENTHS / 10).cast("int"), F.lit(2))
+
+
+def _pages(records: DataFrame, source: str, key: str, fails: bool = False,
            repeated_page: int | None = None) -> DataFrame:
     """Cut records into pages of PAGE_KEYS consecutive keys, body = JSON array text.
 
@@ -251,8 +256,8 @@ def _pages(records: DataFrame, source: str, key: str, failed_page: int | None =
         F.count(F.lit(1)).alias("total"),
         ((F.max(key) / PAGE_KEYS).cast("bigint").cast("int") + 1).alias("last_page"))).scalar()
     status = F.lit(200)
-    if failed_page is not None:
-        status = F.when(F.col("page_no") == failed_page, F.lit(500)).otherwise(F.lit(200))
+    if fails:
+        status = F.when(F.col("page_no") == _failed_page(stats.getField("last_page")), F.lit(500)).otherwise(F.lit(200))
     out = pages.select(
         F.lit(source).alias("source"), F.col("page_no"), status.alias("http_status"),
         stats.getField("total").alias("total"),
@@ -271,12 +276,12 @@ def landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     'usersubs': orders as user-subscription records, every page answered, one
     page delivered a second time after the last (an API that repeats a page).
-    'plans': customers as plan records, page FAILED_PAGE answered with HTTP 500.
+    'plans': customers as plan records, a page at nine tenths answered with HTTP 500.
     """
     us = usersubs(spark, sf_dir)
     pl = plans(spark, sf_dir)
     return (_pages(us, "usersubs", "id", repeated_page=REPEATED_PAGE)
-            .unionByName(_pages(pl, "plans", "id", failed_page=FAILED_PAGE)))
+            .unionByName(_pages(pl, "plans", "id", fails=True)))
 
 
 # Pages of the 'odd' source, by number: retried, never landed, padded but empty, cut off, an error object
@@ -353,19 +358,19 @@ def crm_task_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.filter(k % 13 != 0).select(F.concat(F.lit("t"), _s(k)).alias("_id"), body.alias("body"))
 
 
-CRM_EMPTY_PAGE, CRM_FAILED_PAGE = 1, 8
+CRM_EMPTY_PAGE = 1
 
 
 @_view
 def crm_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One task listing over all tasks, pages from 0: page CRM_EMPTY_PAGE is an empty array
-    (the listing goes on), CRM_FAILED_PAGE answered 503 (the listing ends), and a page beyond
+    (the listing goes on), a page at nine tenths answered 503 (the listing ends), and a page beyond
     the announced count plus one is never asked for."""
     t = crm_tasks(spark, sf_dir).withColumn("_at", F.substring("_id", 2, 20).cast("bigint"))
     pages = _paged(t.select("_id", "_at", "page_no"), "crm_tasks/all", F.col("page_no"), F.col("_at"), helpers=("_at", "page_no"))
-    n = F.col("page_no")
-    return (pages.withColumn("http_status", F.when(n == CRM_FAILED_PAGE, F.lit(503)).otherwise(F.lit(200)))
-            .withColumn("body", F.when(n == CRM_EMPTY_PAGE, F.lit(" [ ] ")).when(n != CRM_FAILED_PAGE, F.col("body"))))
+    n, failed = F.col("page_no"), F.col("page_no") == _failed_page(F.col("last_page"))
+    return (pages.withColumn("http_status", F.when(failed, F.lit(503)).otherwise(F.lit(200)))
+            .withColumn("body", F.when(n == CRM_EMPTY_PAGE, F.lit(" [ ] ")).when(~failed, F.col("body"))))
 
 
 # ---- a complete, clean landing table (for the end-to-end job) --------------------
@@ -384,9 +389,13 @@ def _paged(records: DataFrame, source: Column | str, page_of: Column, sort_key:
              .groupBy("source", "page_no")
              .agg(F.to_json(F.array_sort(F.collect_list("kr")).getField("r")).alias("body"),
                   F.count(F.lit(1)).alias("n")))
-    stats = pages.groupBy("source").agg(F.sum("n").alias("total"), F.max("page_no").alias("last_page"))
-    return (pages.join(stats, "source")
-            .select("source", "page_no", F.lit(200).alias("http_status"), "total", "last_page", "body"))
+    columns = [F.sum("n").alias("total"), F.max("page_no").alias("last_page")]
+    if isinstance(source, str):  # one source: its statistics are one row
+        stats = pages.select("n", "page_no").agg(*columns).select(F.struct("total", "last_page")).scalar()
+        pages = pages.withColumn("total", stats.getField("total")).withColumn("last_page", stats.getField("last_page"))
+    else:
+        pages = pages.join(pages.groupBy("source").agg(*columns), "source")
+    return pages.select("source", "page_no", F.lit(200).alias("http_status"), "total", "last_page", "body")
 
 
 def complete_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
