@@ -38,7 +38,7 @@ LONGEST, THRESHOLD, TOP = 5, 100, 2000
 #: A summary's counters, in multiples of what the guarantee asks for: more let fewer infrequent n-grams through.
 ROOM = 4
 #: Bytes of text taken at a time, and n-grams held before they are dealt out.
-RUN, HELD = 1 << 21, 1 << 21
+RUN, HELD = 1 << 20, 1 << 21
 #: Bytes of text a hash partition is made for; bits of a Bloom filter at most.
 PART_BYTES, FILTER_BITS = 1 << 24, 1 << 27
 
