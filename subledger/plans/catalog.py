@@ -34,6 +34,8 @@ from subledger.params import (
 from subledger.plans import reports
 from subledger.schemas import CRM_TASK, PLAN, USER_SUBSCRIPTION
 from subledger.sinks.writers import INVOICE_HEADINGS, REPORT_HEADINGS, format_for_export, report_meta
+from subledger.session import keep_small
+from subledger.sources import cursor
 from subledger.sources import landing as landing_src
 from subledger.sources import proxies as px
 
@@ -332,6 +334,30 @@ def window_across_years(spark, d):
     return reports.report_no_crm(us, pl, inv, p).select("client_sub_id", "billing_id", "package_type", "paid_last_2_months")
 
 
+# ---- iterative: building them runs jobs ---------------------------------------------
+def _cursor_chains(spark, d):
+    parsed = cursor.parse_cursor_pages(px.cursor_pages(spark, d))
+    return parsed, cursor.chains(parsed, keep_small)
+
+
+def cursor_pages(spark, d):
+    """The place and state of every landed cursor page."""
+    _, ranked = _cursor_chains(spark, d)
+    return ranked.select("source", F.nullif("cursor", F.lit(cursor.FIRST)).alias("starting_after"), "attempt", "outcome", "n_records", "last_id", "rank", "state")
+
+
+def cursor_scan(spark, d):
+    """Invoices in arrival order, from pages that only cursors order."""
+    parsed, ranked = _cursor_chains(spark, d)
+    rows = cursor.scan_cursor_pages(parsed, ranked)
+    return rows.select("source", "rank", "pos", F.try_variant_get("doc", "$.id", "string").alias("id"), F.try_variant_get("doc", "$.created", "bigint").alias("created"))
+
+
+ITERATIVE: dict[str, Query] = {
+    "cursor_pages": cursor_pages,
+    "cursor_scan": cursor_scan,
+}
+
 QUERIES: dict[str, Query] = {
     "subscription_report": subscription_report,
     "report_base": report_base,

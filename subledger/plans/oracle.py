@@ -433,9 +433,50 @@ SELECT CAST(s_suppkey // 10 AS INTEGER) AS page_no,
   CAST(row_number() OVER (PARTITION BY s_suppkey // 10 ORDER BY s_suppkey) - 1 AS INTEGER) AS pos, 't' || CAST(s_suppkey AS VARCHAR) AS _id
 FROM supplier
 WHERE s_suppkey // 10 < (SELECT greatest(2, max(s_suppkey // 10) * 9 // 10) FROM supplier) AND s_suppkey // 10 <> 1"""
+    o["cursor_pages"] = CURSOR + """
+SELECT source, starting_after, attempt, outcome, n_records, last_id, rank, state FROM base_states
+UNION ALL
+SELECT source, starting_after, 0, 'failed', 0, NULL, NULL, 'superseded' FROM base_states WHERE n % 7 = 3
+UNION ALL
+SELECT source, starting_after, attempt, 'ok', 1, concat_ws('_', 'zz', c, n), NULL, 'forked' FROM base_states WHERE n % 5 = 4 AND outcome = 'ok'
+UNION ALL
+SELECT source, concat_ws('_', a, c, n), 0, 'ok', 1, concat_ws('_', b, c, n), NULL, 'cyclic'
+FROM base_states, (VALUES ('cya', 'cyb'), ('cyb', 'cya')) AS ring(a, b) WHERE c = 0 AND n % 11 = 6"""
+    o["cursor_scan"] = CURSOR + """
+SELECT source, rank, pos, id, created FROM recs JOIN base_states USING (c, n) WHERE rank IS NOT NULL"""
     return o
 
 
+#: Invoices in three chains of pages (by order number modulo 3, 100 orders a page); pages are numbered here only.
+CURSOR = """
+WITH RECURSIVE recs AS (
+  SELECT l_orderkey % 3 AS c, l_orderkey // 300 AS n, 'in_' || l_orderkey || '_' || l_linenumber AS id,
+    CAST(datediff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) * 86400 + (l_linenumber - 1) * 10800 AS created,
+    CAST(row_number() OVER (PARTITION BY l_orderkey % 3, l_orderkey // 300 ORDER BY l_orderkey, l_linenumber, l_shipdate) - 1 AS INTEGER) AS pos
+  FROM lineitem),
+edge AS (SELECT greatest(1, max(n) * 9 // 10) AS e FROM recs),
+raw AS (
+  SELECT c, n, count(*) AS size, arg_max(id, pos) AS last,
+    NOT (c = 1 AND n = (SELECT e FROM edge)) AS ok, NOT (c = 2 AND n = (SELECT e FROM edge)) AND NOT (c = 1 AND n = (SELECT e FROM edge)) AS more
+  FROM recs GROUP BY c, n),
+base AS (SELECT r.*, p.n IS NOT NULL AS before, p.ok AS before_ok, p.more AS before_more, p.last AS before_last FROM raw r LEFT JOIN raw p ON p.c = r.c AND p.n = r.n - 1),
+chain(c, n, rank) AS (
+  SELECT c, n, CAST(0 AS BIGINT) FROM base WHERE n = 0 AND ok
+  UNION ALL
+  SELECT b.c, b.n, k.rank + 1 FROM chain k JOIN base b ON b.c = k.c AND b.n = k.n + 1 WHERE b.before_more AND b.ok),
+lost(c, n, state) AS (
+  SELECT c, n, CASE WHEN before AND before_ok THEN 'after_end' ELSE 'broken' END FROM base WHERE n > 0 AND NOT coalesce(before_more, FALSE)
+  UNION ALL
+  SELECT b.c, b.n, l.state FROM lost l JOIN base b ON b.c = l.c AND b.n = l.n + 1 WHERE b.before_more),
+base_states AS (
+  SELECT b.c, b.n, 'inv' || b.c AS source, CASE WHEN b.n > 0 THEN coalesce(before_last, concat_ws('_', 'gap', b.c, b.n)) END AS starting_after,
+    CAST(CASE WHEN b.n % 7 = 3 THEN 1 ELSE 0 END AS INTEGER) AS attempt, CASE WHEN ok THEN 'ok' ELSE 'failed' END AS outcome,
+    CAST(CASE WHEN ok THEN size ELSE 0 END AS INTEGER) AS n_records, CASE WHEN ok THEN last END AS last_id, k.rank,
+    CASE WHEN k.rank IS NOT NULL THEN 'ok' ELSE coalesce(l.state, 'end') END AS state
+  FROM base b LEFT JOIN chain k USING (c, n) LEFT JOIN lost l USING (c, n))
+"""
+
+
 def _headed(sql: str, headings: dict[str, str]) -> str:
     return "SELECT " + ", ".join(f'{c} AS "{h}"' for c, h in headings.items()) + f" FROM ({sql})"
 

@@ -87,3 +87,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         spark.sparkContext.setCheckpointDir(fallback)
         spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+def keep_small(df):
+    """A narrow intermediate table made durable: a checkpoint in the shared folder. A session without one
+    must name it (``checkpoint_dir``), as files in an executor's own folder would go with it."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise ValueError("no shared folder: set spark.checkpoint.dir, or call checkpoint_dir(spark, folder)")
+        context.setCheckpointDir(named)
+    return df.checkpoint(eager=True)

@@ -308,6 +308,47 @@ def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.withColumn("run_id", F.lit("2025-02")).unionByName(good.withColumn("run_id", F.lit("2025-01")))
 
 
+# ---- cursor pages ---------------------------------------------------------------
+CURSOR_CHAINS, CURSOR_KEYS = 3, 100
+
+
+@_view
+def cursor_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices as pages that only cursors order: three sources, by the order's number modulo 3, pages of 100 of its orders.
+
+    At nine tenths of the pages (n), source 1 has one that failed and source 2 one that says it
+    is the last. Page n was tried twice where n % 7 = 3, has a rival for its cursor where
+    n % 5 = 4 (not beside the failed one), and source 0 has two pages in a ring where
+    n % 11 = 6. First pages were landed by an older run too.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    k, n, c = F.col("l_orderkey"), F.col("n"), F.col("c")
+    inv = F.concat(F.lit("in_"), _s(k), F.lit("_"), _s("l_linenumber"))
+    rec = F.struct(inv.alias("id"), created_epoch(F.col("l_linenumber"), F.col("l_shipdate")).alias("created"))
+    page = (k / (CURSOR_CHAINS * CURSOR_KEYS)).cast("bigint")
+    recs = F.array_sort(F.collect_list(F.struct(k.alias("k"), F.col("l_linenumber").alias("l"), rec.alias("r")))).getField("r")
+    base = li.groupBy((k % CURSOR_CHAINS).alias("c"), page.alias("n")).agg(recs.alias("data"))
+    at = (F.floor(li.select((F.max(page) * 9 / 10)).scalar())).cast("bigint")
+    failed = (c == 1) & (n == F.greatest(at, F.lit(1)))
+    ended = (c == 2) & (n == F.greatest(at, F.lit(1)))
+    ends = base.select(c.alias("_c"), (n + 1).alias("_n"), F.try_element_at("data", F.lit(-1)).getField("id").alias("_last"))
+    base = base.join(ends, (c == F.col("_c")) & (n == F.col("_n")), "left")
+    cursor = F.when(n > 0, F.coalesce("_last", F.concat_ws("_", F.lit("gap"), c, n)))
+    body = lambda data, more: F.to_json(F.struct(data.alias("data"), more.alias("has_more")))
+    tried = F.when(n % 7 == 3, 1).otherwise(0)
+    one = lambda name: F.array(F.struct(F.concat_ws("_", F.lit(name), c, n).alias("id"), F.lit(0).cast("bigint").alias("created")))
+    row = lambda cur, status, text, attempt, run="2025-02": F.struct(
+        cur.alias("starting_after"), status.alias("http_status"), text.alias("body"), attempt.alias("attempt"), F.lit(run).alias("run_id"))
+    rows = F.array_compact(F.array(
+        row(cursor, F.when(failed, 500).otherwise(200), F.when(~failed, body(F.col("data"), ~ended)), tried),
+        F.when(n % 7 == 3, row(cursor, F.lit(503), F.lit("<html>busy</html>"), F.lit(0))),
+        F.when((n % 5 == 4) & ~failed, row(cursor, F.lit(200), body(one("zz"), F.lit(True)), tried)),
+        F.when((n % 11 == 6) & (c == 0), row(F.concat_ws("_", F.lit("cya"), c, n), F.lit(200), body(one("cyb"), F.lit(True)), F.lit(0))),
+        F.when((n % 11 == 6) & (c == 0), row(F.concat_ws("_", F.lit("cyb"), c, n), F.lit(200), body(one("cya"), F.lit(True)), F.lit(0))),
+        F.when(n == 0, row(cursor, F.lit(200), body(one("old"), F.lit(True)), F.lit(0), "2025-01"))))
+    return base.select(F.concat(F.lit("inv"), _s(c)).alias("source"), F.explode(rows).alias("_row")).select("source", "_row.*")
+
+
 # ---- CRM ----------------------------------------------------------------------
 @_view
 def crm_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
