@@ -19,7 +19,8 @@ from subledger.functions.dates import parse_ts_lenient, parse_ts_strict
 from subledger.functions.tax_id import normalize_tax_id, tax_id10, tax_id_number
 from subledger.functions.text import full_name, relabel
 from subledger.operators import crm as crm_ops
-from subledger.operators.flatten import flatten_struct
+from subledger.operators import quarantine, reconcile
+from subledger.operators.flatten import flatten_struct, flatten_variant, observed_schema
 from subledger.operators.joins import join_plans, retain, retention_predicates
 from subledger.operators.lifecycle import lifecycle_status
 from subledger.operators.line_items import (
@@ -33,6 +34,7 @@ from subledger.params import (
 )
 from subledger.plans import reports
 from subledger.schemas import CRM_TASK, PLAN, USER_SUBSCRIPTION
+from subledger.sinks.region import overwrite_region
 from subledger.sinks.writers import INVOICE_HEADINGS, REPORT_HEADINGS, format_for_export, report_meta
 from subledger.session import keep_small
 from subledger.sources import cursor
@@ -334,6 +336,29 @@ def window_across_years(spark, d):
     return reports.report_no_crm(us, pl, inv, p).select("client_sub_id", "billing_id", "package_type", "paid_last_2_months")
 
 
+# ---- quarantine, runs -----------------------------------------------------------------
+def _screened(spark, d):
+    shift = P().clock_shift_hours
+    us = px.usersubs(spark, d).select(F.col("id").alias("client_sub_id"), "created_at", "ends_at", "canceled_at")
+    return quarantine.screened(us, {c: quarantine.timestamp(shift) for c in ("created_at", "ends_at", "canceled_at")})
+
+
+def ts_accepted(spark, d):
+    """The subscriptions all of whose dates could be parsed."""
+    return quarantine.accepted(_screened(spark, d))
+
+
+def ts_quarantine(spark, d):
+    """The dates that could not be parsed, with their records."""
+    return quarantine.rejected(_screened(spark, d), ["client_sub_id"])
+
+
+def run_differences(spark, d):
+    """Q2, A4: what a later run of the user subscriptions added, dropped, changed or repeated."""
+    old = px.usersubs(spark, d).select("id", "subscription_id", "status", "ends_at")
+    return reconcile.differences(old, px.next_run(spark, d), ["id"])
+
+
 # ---- iterative: building them runs jobs ---------------------------------------------
 def _cursor_chains(spark, d):
     parsed = cursor.parse_cursor_pages(px.cursor_pages(spark, d))
@@ -353,7 +378,24 @@ def cursor_scan(spark, d):
     return rows.select("source", "rank", "pos", F.try_variant_get("doc", "$.id", "string").alias("id"), F.try_variant_get("doc", "$.created", "bigint").alias("created"))
 
 
+def flatten_observed(spark, d):
+    """User subscriptions flattened by whichever keys their records have."""
+    docs = landing_src.scan_pages_variant(px.late_key_pages(spark, d), "usersubs")
+    return flatten_variant(docs, observed_schema(docs), sep="_", keep=("page_no", "pos"), json=True)
+
+
+def region_overwrite(spark, d):
+    """K1: the report written into columns C to F of a sheet, whose other cells stay."""
+    us, pl, _ = _sources(spark, d)
+    report = reports.report_base(us, pl, P()).select("client_sub_id", "status", "package_type", "billing_id")
+    region = {"C": "client_sub_id", "D": "status", "E": "package_type", "F": "billing_id"}
+    report = report.withColumn("client_sub_id", F.col("client_sub_id").cast("string")).withColumn("_id", F.col("client_sub_id").cast("bigint"))
+    return overwrite_region(px.grid(spark, d), report, region, [F.col("_id"), F.col("status"), F.col("package_type"), F.col("billing_id")], keep_small)
+
+
 ITERATIVE: dict[str, Query] = {
+    "flatten_observed": flatten_observed,
+    "region_overwrite": region_overwrite,
     "cursor_pages": cursor_pages,
     "cursor_scan": cursor_scan,
 }
@@ -401,4 +443,7 @@ QUERIES: dict[str, Query] = {
     "report_headed": report_headed,
     "invoice_headed": invoice_headed,
     "window_across_years": window_across_years,
+    "ts_accepted": ts_accepted,
+    "ts_quarantine": ts_quarantine,
+    "run_differences": run_differences,
 }

@@ -433,6 +433,36 @@ SELECT CAST(s_suppkey // 10 AS INTEGER) AS page_no,
   CAST(row_number() OVER (PARTITION BY s_suppkey // 10 ORDER BY s_suppkey) - 1 AS INTEGER) AS pos, 't' || CAST(s_suppkey AS VARCHAR) AS _id
 FROM supplier
 WHERE s_suppkey // 10 < (SELECT greatest(2, max(s_suppkey // 10) * 9 // 10) FROM supplier) AND s_suppkey // 10 <> 1"""
+    o["ts_accepted"] = shift_rows + """
+SELECT id AS client_sub_id, purchased_at AS created_at, expires_at AS ends_at, cancelled_raw AS canceled_at
+FROM usubs WHERE id % 29 <> 0 OR id % 3 = 0"""
+    o["ts_quarantine"] = shift_rows + """
+SELECT id AS client_sub_id, 'ends_at' AS "column", ends_at_raw AS raw FROM usubs WHERE id % 29 = 0 AND id % 3 <> 0"""
+    o["run_differences"] = shift_rows + """
+SELECT id, CASE WHEN id % 97 = 0 THEN 'deleted' WHEN id % 89 = 0 AND status <> 'paused' THEN 'changed' ELSE 'repeated' END AS state,
+  CAST(1 AS BIGINT) AS old_rows, CAST(CASE WHEN id % 97 = 0 THEN 0 WHEN id % 83 = 0 THEN 2 ELSE 1 END AS BIGINT) AS new_rows
+FROM usubs WHERE id % 97 = 0 OR id % 89 = 0 OR id % 83 = 0
+UNION ALL
+SELECT id + 1000000000000, 'inserted', 0, 1 FROM usubs WHERE id % 101 = 0"""
+    o["flatten_observed"] = with_ctes(PLANS, USUBS, US_RECS, US_SCAN) + f"""
+SELECT s.page_no, s.pos, f.*,
+  CASE WHEN late THEN 'LATE' END AS coupon_code, CAST(CASE WHEN late THEN 15 END AS BIGINT) AS coupon_percent, CASE WHEN late THEN '["a",1]' END AS tags,
+  CASE WHEN s.page_no = 1 AND s.pos = 0 THEN '1' WHEN late THEN '"text"' END AS odd, CAST(NULL AS VARCHAR) AS gone
+FROM (SELECT *, pos = 0 AND page_no = (SELECT max(id) // {PAGE_KEYS} + 1 FROM usubs) AS late FROM us_scan) s
+JOIN ({o["flatten_struct"]}) f ON f.id = s.id"""
+    o["region_overwrite"] = with_ctes(PLANS, USUBS, RB) + """, rows_ AS (
+  SELECT row_number() OVER (ORDER BY client_sub_id NULLS FIRST, status NULLS FIRST, package_type NULLS FIRST, billing_id NULLS FIRST) + 1 AS "at",
+    client_sub_id, status, package_type, billing_id FROM rb),
+grid AS (
+  SELECT o_orderkey AS row_no, CASE WHEN o_orderkey % 3 = 0 THEN 'A-' || o_orderkey END AS "A", 'C-' || o_orderkey AS "C", 'D-' || o_orderkey AS "D",
+    'E-' || o_orderkey AS "E", CASE WHEN o_orderkey % 3 = 0 THEN 'G-' || o_orderkey END AS "G"
+  FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey = 1)
+SELECT CAST(coalesce(row_no, "at") AS BIGINT) AS row_no, "A", "G",
+  CASE WHEN "at" IS NOT NULL THEN CAST(client_sub_id AS VARCHAR) WHEN row_no < 2 THEN "C" END AS "C",
+  CASE WHEN "at" IS NOT NULL THEN status WHEN row_no < 2 THEN "D" END AS "D",
+  CASE WHEN "at" IS NOT NULL THEN package_type WHEN row_no < 2 THEN "E" END AS "E",
+  CASE WHEN "at" IS NOT NULL THEN billing_id END AS "F"
+FROM grid FULL JOIN rows_ ON "at" = row_no"""
     o["cursor_pages"] = CURSOR + """
 SELECT source, starting_after, attempt, outcome, n_records, last_id, rank, state FROM base_states
 UNION ALL

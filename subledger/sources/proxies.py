@@ -308,6 +308,40 @@ def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.withColumn("run_id", F.lit("2025-02")).unionByName(good.withColumn("run_id", F.lit("2025-01")))
 
 
+@_view
+def late_key_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 'usersubs' pages, with keys that one record alone has: the first of page 1 a number ``odd``, the first
+    of the last page of new keys ``coupon`` (an object), ``tags`` (an array) and ``odd`` (a text), and a null ``gone``."""
+    pages = landing_pages(spark, sf_dir).filter(F.col("source") == "usersubs")
+    n, body = F.col("page_no"), F.col("body")
+    late = '{"coupon":{"code":"LATE","percent":15},"tags":["a",1],"odd":"text","gone":null,'
+    return pages.withColumn("body", F.when(n == F.col("last_page"), F.concat(F.lit("[" + late), F.substr(body, F.lit(3))))
+                            .when(n == 1, F.concat(F.lit('[{"odd":1,'), F.substr(body, F.lit(3)))).otherwise(body))
+
+
+# ---- grids and runs ---------------------------------------------------------------
+@_view
+def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet as an earlier run left it: notes in A and G, its report in C to E; every 7th row is absent, row 1 holds headings."""
+    k = F.col("o_orderkey")
+    cell = lambda name: F.concat(F.lit(f"{name}-"), _s(k))
+    return table(spark, sf_dir, "orders").filter((k % 7 != 0) | (k == 1)).select(
+        k.cast("bigint").alias("row_no"), *[(F.when(k % 3 == 0, cell(c)) if c in "AG" else cell(c)).alias(c) for c in "ACDEG"])
+
+
+@_view
+def next_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later run of the user subscriptions (id, subscription_id, status, ends_at): by id, every 97th is
+    gone, every 89th has another status, every 83rd comes twice, and every 101st has a new record beside it."""
+    us = usersubs(spark, sf_dir).select("id", "subscription_id", "status", "ends_at")
+    k = F.col("id")
+    row = lambda key, status: F.struct(key.alias("id"), F.col("subscription_id"), status.alias("status"), F.col("ends_at"))
+    same = row(k, F.when(k % 89 == 0, F.lit("paused")).otherwise(F.col("status")))
+    rows = F.array_compact(F.array(F.when(k % 97 != 0, same), F.when((k % 97 != 0) & (k % 83 == 0), same),
+                                   F.when(k % 101 == 0, row(k + 1_000_000_000_000, F.col("status")))))
+    return us.select(F.explode(rows).alias("_r")).select("_r.*")
+
+
 # ---- cursor pages ---------------------------------------------------------------
 CURSOR_CHAINS, CURSOR_KEYS = 3, 100
 
