@@ -89,16 +89,17 @@ def freedom_of(label: str) -> float:
     return FREEDOM[max(fits, key=len)] if fits else UNKNOWN_FREEDOM
 
 
-def postfix(text: str) -> tuple[list[str], bool]:
-    """Shunting-yard over the expression a text begins with: its postfix form and whether it is well formed.
+def postfix(text: str, at: int = 0, end: int | None = None) -> tuple[list[str], bool]:
+    """Shunting-yard over the expression that begins at a place in a text: its postfix form and whether it is well formed.
 
     The expression ends at the line's end or before the first token that
     cannot continue it. ``with`` binds closest, then ``and``, then ``or``.
     """
     out: list[str] = []
     held: list[str] = []
-    at, want_operand, good = 0, True, True
-    while found := _TOKEN.match(text, at):
+    end = len(text) if end is None else end
+    want_operand, good = True, True
+    while found := _TOKEN.match(text, at, end):
         mark, word = found.groups()
         operator = word.lower() if word and word.lower() in _RANK else None
         if mark == "(" and want_operand:
@@ -123,11 +124,11 @@ def postfix(text: str) -> tuple[list[str], bool]:
     return out, good
 
 
-def evaluate(expression: str) -> tuple[list[str], float | None]:
-    """Labels of an expression and its freedom: ``or`` lets the reader choose the
+def evaluate(text: str, at: int = 0, end: int | None = None) -> tuple[list[str], float | None]:
+    """Labels of the expression at a place in a text and its freedom: ``or`` lets the reader choose the
     freest side, ``and`` binds to the strictest, an exception after ``with``
     goes halfway to no condition. None if it is not well formed."""
-    steps, good = postfix(expression)
+    steps, good = postfix(text, at, end)
     exceptions = {i - 1 for i, x in enumerate(steps) if x.lower() == "with"}
     labels = [label_of(x) for i, x in enumerate(steps) if x.lower() not in _RANK and i not in exceptions]
     if not good:
@@ -159,26 +160,43 @@ def _automata():
     return words, tags
 
 
+def _inside(hits: list[tuple]) -> set[tuple[int, int]]:
+    """Spans that lie in a longer labelled span: one sweep by start, the longest of a start first."""
+    found, reach = set(), -1
+    for start, end, label, _, _ in sorted(hits, key=lambda x: (x[0], -x[1])):
+        if end <= reach:
+            found.add((start, end))
+        if label:
+            reach = max(reach, end)
+    return found
+
+
 def scan(raw: bytes | None) -> tuple:
     """The result row (without key) of one text."""
     words, tags = _automata()
     tokens = (raw or b"").translate(_WORD_BYTES).split()
     line = f" {b' '.join(tokens).decode('latin-1')} "
     hits = [(end + 1 - size, end + 1, label, weight, base) for end, (size, label, weight, base) in words.iter(line)]
-    starts = [line.count(" ", 0, start) for start, _, _, _, base in hits if base]
+    starts, seen, words_before = [], 0, 0
+    for start in sorted(start for start, _, _, _, base in hits if base):
+        words_before += line.count(" ", seen, start)
+        starts.append(words_before)
+        seen = start
+    covered = _inside(hits)
     base_labels = {label for _, _, label, _, base in hits if base}
     sure: dict[str, float] = {label: BASE_WEIGHT for label in base_labels}
     for start, end, label, weight, base in hits:
-        inside = any(s <= start and end <= e and (s, e) != (start, end) for s, e, other, _, _ in hits if other)
-        if label and not base and not inside:
+        if label and not base and (start, end) not in covered:
             sure[label] = max(sure.get(label, 0.0), weight)
-    n_tags = n_bad = 0
+    n_tags = n_bad = line_end = 0
     freedoms = []
     if any(label is None for _, _, label, _, _ in hits):
         text = raw.decode("utf-8", "replace")
         lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
         for end, _ in tags.iter(lowered):
-            labels, freedom = evaluate(text[end + 1:].split("\n", 1)[0])
+            line_end = text.find("\n", end + 1) if end + 1 > line_end else line_end
+            line_end = len(text) if line_end < 0 else line_end
+            labels, freedom = evaluate(text, end + 1, line_end)
             n_tags += 1
             n_bad += freedom is None
             freedoms += [freedom] * (freedom is not None)

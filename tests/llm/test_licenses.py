@@ -46,3 +46,33 @@ def test_edges(edge_docs, no_docs, edge_rows):
     assert len(rows) == len(edge_rows) and scan_licenses(no_docs).count() == 0
     by = {(r["doc_id"], r["n_words"]) for r in rows}
     assert by == {(r[0], base(r[1])[0]) for r in edge_rows}
+
+
+def test_many_notices_and_tags_take_linear_time():
+    import time
+
+    unit = b"Gnu General Public License, version 3 under the MIT license. SPDX-License-Identifier: MIT OR Apache-2.0 mit license "
+    spent = []
+    for n in (2000, 16000):
+        began = time.process_time()
+        row = scan(unit * n)
+        spent.append(time.process_time() - began)
+        assert row[1] == n and row[7] == n and row[5] == "apache-2,gpl-3,mit"
+    assert spent[1] < 24 * max(spent[0], 0.02) and spent[1] < 20
+
+
+def test_covered_notices_equal_brute_force():
+    from subledger.llm.licenses import _inside
+
+    import random
+    rng = random.Random(4)
+    for _ in range(300):
+        spans = sorted({(a, a + rng.randint(1, 9)) for a in (rng.randint(0, 20) for _ in range(rng.randint(0, 12)))})
+        hits = [(a, b, rng.choice([None, "x", "y"]), 0.5, False) for a, b in spans]
+        want = {(a, b) for a, b, *_ in hits if any(s <= a and b <= e and (s, e) != (a, b) for s, e, label, *_ in hits if label)}
+        assert _inside(hits) == want
+
+
+def test_expression_ends_with_its_line():
+    assert scan(b"SPDX-License-Identifier: MIT\nOR GPL-3.0")[5] == "mit"
+    assert scan(b"x SPDX-License-Identifier: MIT SPDX-License-Identifier: ISC\nSPDX-License-Identifier:\n")[7:9] == (3, 1)
