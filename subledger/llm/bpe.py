@@ -3,7 +3,11 @@
 Texts go through tiktoken in Arrow batches. A long text is first cut where
 the split pattern must end a match anyway: between a letter or digit and a
 space. No match spans such a place, and white space keeps what follows it,
-so the pieces' ids joined are the whole text's ids.
+so the pieces' ids joined are the whole text's ids. A long run of white space
+is cut out: it is one match up to its last character, which goes to what
+follows, and all of it at the text's end. Its match is merged as one piece
+without the pattern, whose search for it would need a stack as deep as the
+run is long. Runs of other kinds need no such stack.
 
 Defined results: a null or empty text has no ids; repeated rows give repeated
 results; an empty table gives an empty result; only the key and text columns
@@ -15,6 +19,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +30,10 @@ from subledger.llm.common import table
 #: Texts longer than this many characters are cut at safe places.
 LONG_TEXT = 1 << 16
 
+#: Runs of the pattern's white space that are longer than this are cut out of long texts.
+LONG_BLANK = 1 << 12
+_BLANKS = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -59,7 +68,18 @@ def encode(text: str | None, rank_file: str, pattern: str) -> list[int]:
         return []
     if len(text) <= LONG_TEXT:
         return bpe.encode_ordinary(text)
-    return [i for piece in safe_pieces(text) for i in bpe.encode_ordinary(piece)]
+    ids: list[int] = []
+    start = 0
+    for run in re.finditer(f"{_BLANKS}{{{LONG_BLANK},}}", text):
+        at, end = run.span()
+        end -= end < len(text)
+        for piece in safe_pieces(text[start:at]):
+            ids += bpe.encode_ordinary(piece)
+        ids += bpe._encode_single_piece(text[at:end])
+        start = end
+    for piece in safe_pieces(text[start:]):
+        ids += bpe.encode_ordinary(piece)
+    return ids
 
 
 def decode(ids: list[int], rank_file: str, pattern: str) -> bytes:
