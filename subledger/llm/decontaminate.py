@@ -14,7 +14,9 @@ left is scored. A passage whose rare terms cannot lift it to the threshold
 
 Retrieved items are verified on the document's words around the passage: the
 share of the question's and the answer's word windows found there. The answer
-is the item's last sentence, the question what stands before it. A question
+is the item's last sentence, the question what stands before it. Both are asked
+for: half the question and half the answer, or most of the answer and a quarter
+of the question; an item without an answer needs its question alone. A question
 too short to tell anything (under ``WINDOW + 2`` words) before an answer is
 verified by the windows of the whole item instead.
 
@@ -24,9 +26,10 @@ blocks; a task a block writes its index to the shared folder, from where
 scoring tasks read it.
 
 Defined results: null or empty texts and items match nothing; equal scores all
-count; repeated documents each give their rows, repeated items count as one
-(the smallest text of an id); an empty table gives an empty result; only
-doc_id and text, and item_id and text, are read.
+count; repeated documents each give their rows, rows that repeat an item's id
+and text count as one. Unlike texts of one id, and items without an id (reported
+with a null item_id), are items of their own; an empty table gives an empty
+result; only doc_id and text, and item_id and text, are read.
 """
 
 from __future__ import annotations
@@ -54,6 +57,8 @@ K1, B = 1.2, 0.75
 WINDOW = 3
 #: Shares of the question's and the answer's windows that verify a match.
 QUESTION, ANSWER = 0.5, 0.8
+#: The share of the answer's windows that must stand beside the question.
+ANSWER_BESIDE = 0.5
 #: Sections of a block, and cells (passages by blocks) that are bounded at a time.
 BLOCK, CELLS = 4, 1 << 22
 #: Characters of item text that one index holds, at most (and one item more).
@@ -105,8 +110,10 @@ class Postings:
 
 @dataclass
 class Index:
-    """BM25 weights by term and section; ``parts`` has an item's question and answer windows, those that verify it, and its size."""
+    """BM25 weights by term and section; ``ids`` has the items' ids and ``parts`` an item's question and answer
+    windows, those that verify it, and its size, both by the item's place."""
 
+    ids: list[int | None] = field(default_factory=list)
     terms: dict[bytes, int] = field(default_factory=dict)
     postings: list[Postings] = field(default_factory=list)
     item_of: list[int] = field(default_factory=list)
@@ -118,11 +125,11 @@ class Index:
     common: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     @classmethod
-    def build(cls, items: list[tuple[int, bytes]], threshold: float = THRESHOLD, of_all: tuple[dict[bytes, int], int, float] | None = None) -> Index:
+    def build(cls, items: list[tuple[int | None, bytes]], threshold: float = THRESHOLD, of_all: tuple[dict[bytes, int], int, float] | None = None) -> Index:
         """An index that finds every section at ``threshold`` or above. ``of_all``: by term the sections that
         hold it, the number of sections and their mean size, where these items are not all items."""
-        index, sections = cls(), []
-        for item, text in items:
+        index, sections = cls([item for item, _ in items]), []
+        for item, (_, text) in enumerate(items):
             words = words_of(text)
             question, answer = question_and_answer(text)
             if not words:
@@ -227,7 +234,7 @@ class Index:
                 cursors = [c for c in cursors if c[0] >= 0]
         return found
 
-    def matches(self, texts: list[bytes | None], threshold: float = THRESHOLD) -> Iterator[tuple[int, int, float, float, float, int]]:
+    def matches(self, texts: list[bytes | None], threshold: float = THRESHOLD) -> Iterator[tuple[int, int | None, float, float, float, int]]:
         """Place of the text, item, best score, question and answer overlap and the passage's first word, for each verified item."""
         if not self.postings:
             return
@@ -255,17 +262,18 @@ class Index:
                 question, answer, telling, size = self.parts[item]
                 around = docs[doc][max(0, start - size):start + 2 * SECTION + size]
                 q, a = overlap(question, around), overlap(answer, around)
-                if (q if telling is question else overlap(telling, around)) >= QUESTION or (a >= ANSWER and q >= QUESTION / 2):
+                asked = q if telling is question else overlap(telling, around)
+                if asked >= QUESTION and (a >= ANSWER_BESIDE or not answer) or (a >= ANSWER and q >= QUESTION / 2):
                     best[doc, item] = max(best.get((doc, item), (-1.0, 0.0, 0.0, 0)), (score, q, a, -start))
         for (doc, item), (score, q, a, start) in sorted(best.items()):
-            yield doc, item, min(1.0, score), q, a, -start
+            yield doc, self.ids[item], min(1.0, score), q, a, -start
 
 
 def item_blocks(items: DataFrame, threshold: float = THRESHOLD) -> list[str]:
-    """Index files of the items in blocks of bounded text: as many hash classes of ids as their size asks for."""
-    known = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").groupBy("item_id").agg(F.min("text").alias("text"))
+    """Index files of the items in blocks of bounded text: as many hash classes as their size asks for."""
+    known = items.select("item_id", "text").where("text IS NOT NULL").distinct()
     chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
-    known = known.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(chars // ITEM_CHARS + 1)))
+    known = known.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(chars // ITEM_CHARS + 1)))
 
     def count(batches):
         for batch in batches:
@@ -296,7 +304,7 @@ def item_blocks(items: DataFrame, threshold: float = THRESHOLD) -> list[str]:
     def write(key, part, own):
         texts = part.column("text").cast(pa.binary()).to_pylist()
         df = dict(zip(own.column("term").to_pylist(), own.column("df").to_pylist(), strict=True))
-        index = Index.build(sorted(zip(part.column("item_id").to_pylist(), texts, strict=True)), threshold, (df, n_sections, n_words / n_sections))
+        index = Index.build(sorted(zip(part.column("item_id").to_pylist(), texts, strict=True), key=lambda x: (x[0] is None, x[0] or 0, x[1])), threshold, (df, n_sections, n_words / n_sections))
         if index.postings:
             write_index(uri, f"{key[0].as_py()}", index)
         return pa.table({"block": pa.array([key[0].as_py()] if index.postings else [], pa.int64())})

@@ -66,8 +66,8 @@ def test_edges(edge_docs, no_docs, spark):
 
 
 def test_a_low_threshold_is_reached_by_common_terms_alone(make_docs, spark):
-    questions = ["one two three four five six", "seven eight nine ten eleven twelve"]
-    items = spark.createDataFrame([(k, f"{questions[k % 2]}? {' '.join(f'rare{k}x{n}' for n in range(6))}.") for k in range(40)], "item_id long, text string")
+    questions = ["one two three four five six seven eight nine ten", "uno dos tres cuatro cinco seis siete ocho nueve diez"]
+    items = spark.createDataFrame([(k, f"{questions[k % 2]} {' '.join(f'rare{k}x{n}' for n in range(4))}") for k in range(40)], "item_id long, text string")
     docs = make_docs([(1, f"{prose(1, 20)} {questions[0]}", "en", "s"), (2, prose(2, 30), "en", "s")])
     assert {(r["doc_id"], r["item_id"]) for r in d.contaminated(docs, items, 0.1).collect()} == {(1, k) for k in range(0, 40, 2)}
     assert [r["doc_id"] for r in d.clean(docs, items, 0.1).collect()] == [2]
@@ -95,3 +95,16 @@ def test_blocks_change_no_score(make_docs, spark, monkeypatch):
     whole = rows()
     monkeypatch.setattr(d, "ITEM_CHARS", 1500)
     assert rows() == whole and any(r[2] < 1 for r in whole)
+
+
+def test_no_item_is_lost_and_the_answer_is_asked_for(make_docs, spark):
+    one, other, nameless = ((prose(k, 30), prose(k + 1, 14)) for k in (7000, 7010, 7020))
+    items = spark.createDataFrame([(7, f"{one[0]}. {one[1]}."), (7, f"{other[0]}. {other[1]}."), (7, f"{other[0]}. {other[1]}."), (None, f"{nameless[0]}. {nameless[1]}.")],
+                                  "item_id long, text string")
+    docs = make_docs([
+        (1, f"{prose(1, 30)} {one[0]} {one[1]} {prose(2, 30)}", "en", "s"), (2, f"{other[0]} {other[1]}", "en", "s"), (3, f"{nameless[0]}. {nameless[1]}", "en", "s"),
+        (4, f"{one[0]} {prose(7050, 14)}", "en", "s"),  # the question with another answer
+        (5, f"{one[0]} {' '.join(one[1].split()[:9])} {prose(8, 9)}", "en", "s"), (6, prose(7060, 60), "en", "s"), (None, f"{other[0]} {other[1]}", "en", "s")])
+    got = sorted(((r["doc_id"], r["item_id"]) for r in d.contaminated(docs, items).collect()), key=str)
+    assert got == [(1, 7), (2, 7), (3, None), (5, 7), (None, 7)]
+    assert sorted(r["doc_id"] for r in d.clean(docs, items).collect()) == [4, 6]
