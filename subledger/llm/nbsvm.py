@@ -9,7 +9,7 @@ feature, so the sample's bytes are bounded too). A fifth of the sample is
 left out of the fit and turns margins into probabilities. Every row's whole
 text is scored with the broadcast weights (one number a feature).
 
-Defined results: null texts score as empty ones, by the bias alone; a key
+Defined results: null texts score as empty ones, by the bias and an empty text's two shape features; a key
 whose labels disagree, or are null, teaches nothing; with no label of one
 class every row gets the other's score (0.5 with no labels at all); repeated
 rows give repeated results; an empty table gives an empty result; only doc_id
