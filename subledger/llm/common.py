@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +62,58 @@ def byte_rows(batch: pa.RecordBatch, text: str = "text", most: int = 8 << 20) ->
 def bind(value: Column, use) -> Column:
     """``use`` of a value that is computed once (a lambda's variable), however often ``use`` reads it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Bytes that words are hashed in at a time, and the factors of the two word polynomials.
+HASHED = 1 << 20
+_FACTORS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+
+
+def mixed_bits(h: np.ndarray) -> np.ndarray:
+    """A one-to-one mixing of 64-bit numbers."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+@functools.cache
+def _powers(factor: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a factor modulo 2**64, and of its inverse."""
+    both = []
+    for f in (factor, pow(factor, -1, 1 << 64)):
+        p = np.full(size, f, np.uint64)
+        p[0] = 1
+        both.append(np.multiply.accumulate(p))
+    return tuple(both)
+
+
+def word_hashes(raw: bytes, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the words of a text, by two polynomials of their bytes; ``blank`` tells by byte what parts words.
+
+    Sums over the bytes give all polynomials at once. Slices end where a word
+    does, so only a word longer than ``HASHED`` bytes takes more memory.
+    """
+    codes = np.frombuffer(raw, np.uint8)
+    starts, hashes, at = [], [], 0
+    while at < len(codes):
+        stop = min(len(codes), at + HASHED)
+        while stop < len(codes) and not blank[codes[stop]]:
+            more = np.flatnonzero(blank[codes[stop:stop + 4096]])
+            stop = min(len(codes), stop + (int(more[0]) if len(more) else 4096))
+        own = codes[at:stop]
+        inside = np.zeros(len(own) + 2, np.int8)
+        inside[1:-1] = ~blank[own]
+        steps = np.diff(inside)
+        begin, end = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+        wide = own.astype(np.uint64) + np.uint64(1)
+        found = None
+        for factor in _FACTORS:
+            up, down = _powers(factor, max(2 * HASHED, 1 << len(own).bit_length()))
+            sums = np.zeros(len(own) + 1, np.uint64)
+            np.cumsum(wide * up[:len(own)], out=sums[1:])
+            own_hash = mixed_bits((sums[end] - sums[begin]) * down[begin])
+            found = own_hash if found is None else mixed_bits(found + own_hash * np.uint64(0x9E3779B97F4A7C15))
+        starts.append(begin + at)
+        hashes.append(found)
+        at = stop
+    return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.zeros(0, np.int64), np.zeros(0, np.uint64))

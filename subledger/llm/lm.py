@@ -25,16 +25,17 @@ same bytes again). Scoring tasks map the shards' files into memory.
 Defined results: a null or empty text is the end token alone; repeated rows
 are learned and scored each; a null key counts as empty text for the fold; an
 empty table gives an empty result, and with nothing learned all tokens are
-unknown, N and V are 0. Only doc_id and text are read.
+unknown, N and V are 0. Only doc_id and text are read. Words are told apart by
+64-bit hashes: two words that share one would count as one word (among a
+billion distinct words, some 0.03 such pairs are to be expected). From about
+three billion distinct words on, contexts of two are known by 63 mixed bits too.
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import mmap
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,7 +46,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import byte_rows, crc_fold, new_shared_path, table
+from subledger.llm.common import byte_rows, crc_fold, mixed_bits, new_shared_path, table, word_hashes
 from subledger.llm.elias_fano import EliasFano, encode
 
 ORDER = 3
@@ -53,21 +54,29 @@ ORDER = 3
 SHARD = 1 << 21
 #: Tokens that a counting task gathers before it hands their n-grams on (their local numbers fit 20 bits).
 RUN = 1 << 20
-#: Words whose ids a task remembers.
-CACHE = 1 << 20
-END = b""  # no word is empty
-
+#: Bytes of text read at a time.
+READ = 4 << 20
+#: Distinct words that a counting task gathers.
+HELD_WORDS = 1 << 18
+#: Shards that a task holds where the shared folder cannot be mapped.
+HELD_SHARDS = 16
 _U = np.uint64
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    return [*(text or b"").lower().split(), END]
-
+_BLANK = np.array([chr(b) in " \t\n\v\f\r" for b in range(256)])
+_END_HASH = _U(0x6A09E667F3BCC909)
 
-def word_hash(word: bytes) -> int:
-    import xxhash
 
-    return xxhash.xxh64_intdigest(word, 0)
+def token_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of each text (its words, then the end), and all tokens' hashes."""
+    lower = [(t or b"").lower() for t in texts]
+    ends = np.cumsum(np.fromiter(map(len, lower), np.int64, len(lower)) + 1)
+    starts, hashes = word_hashes(b"\n".join(lower), _BLANK)
+    owner = np.searchsorted(ends, starts, "right")
+    sizes = np.bincount(owner, minlength=len(texts)) + 1
+    out = np.full(len(starts) + len(texts), _END_HASH)
+    out[np.arange(len(starts)) + owner] = hashes
+    return sizes, out
 
 
 # Level files: a JSON head line and then the arrays, aligned to 8 bytes.
@@ -91,7 +100,17 @@ def write_level(uri: str, name: str, arrays: dict[str, np.ndarray], facts: dict)
     fs.move(own, f"{folder}/{name}")
 
 
-@functools.lru_cache(maxsize=4096)
+def _held(read):
+    """Remember mapped shards, which take no memory of the task's own, and few of those that had to be read."""
+    mapped, few = functools.lru_cache(maxsize=4096)(read), functools.lru_cache(maxsize=HELD_SHARDS)(read)
+
+    @functools.wraps(read)
+    def get(uri: str, *which):
+        return (mapped if uri.startswith("file:") else few)(uri, *which)
+
+    return get
+
+
 def open_level(uri: str, name: str) -> tuple[dict[str, np.ndarray], dict] | None:
     """A level file's arrays, mapped into memory (read, if the shared folder cannot be mapped), and facts; None if it has none."""
     fs, folder = pyarrow.fs.FileSystem.from_uri(uri)
@@ -140,13 +159,18 @@ class Trie:
     shards: int  # of each higher level
 
     def key_bits(self, level: int) -> int:
-        return max(2, (self.words ** (level - 1)).bit_length())
-
-    def lookup(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1: unknown) and counts of words."""
-        hashes = np.array([word_hash(w) for w in words], _U)
-        ids, counts = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
-        part = (hashes >> _U(64 - self.vocabulary_bits)).astype(np.int64) if self.vocabulary_bits else np.zeros(len(words), np.int64)
+        return max(2, min(63, (self.words ** (level - 1)).bit_length()))
+
+    def joined(self, level: int, key: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """A context's key with one more id: a number to base V, or 63 mixed bits where such numbers would not fit."""
+        if self.words ** (level - 1) < 1 << 63:
+            return key * _U(max(1, self.words)) + ids.astype(_U)
+        return mixed_bits(key * _U(0x9E3779B97F4A7C15) + ids.astype(_U) + _U(1)) >> _U(1)
+
+    def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (-1: unknown) and counts of words, by their hashes."""
+        ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        part = (hashes >> _U(64 - self.vocabulary_bits)).astype(np.int64) if self.vocabulary_bits else np.zeros(len(hashes), np.int64)
         for k in np.unique(part).tolist():
             own = np.flatnonzero(part == k)
             if (held := _vocabulary(self.uri, k)) is None:
@@ -159,35 +183,51 @@ class Trie:
     def step(self, level: int, contexts: np.ndarray, words: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Interpolate: p of the shorter context becomes p after these contexts (keys)."""
         out = p.copy()
-        part = _shard_of(contexts, self.shards)
-        order = np.argsort(part.astype(np.uint16) if self.shards <= 1 << 16 else part, kind="stable")  # a radix sort for few shards
-        cuts = np.flatnonzero(np.diff(part[order])) + 1
-        for own in np.split(order, cuts) if len(order) else []:
-            if (held := _level(self.uri, level, int(part[own[0]]))) is None:
+        mixed = _mixed(contexts, self.key_bits(level))
+        order = np.argsort(mixed)  # neighbours in the level, and equal contexts, come together
+        part = _shard_of(contexts, self.shards)[order]
+        by = np.argsort(part.astype(np.uint16) if self.shards <= 1 << 16 else part, kind="stable")  # a radix sort for few shards
+        order, part = order[by], part[by]
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(order)]
+        for at, end in zip(cuts[:-1], cuts[1:], strict=True) if len(order) else ():
+            own = order[at:end]
+            if (held := _level(self.uri, level, int(part[at]))) is None:
                 continue
             keys, pointers, successors, chance, mass, chances, masses = held
-            rank, equal = keys.find(_mixed(contexts[own], self.key_bits(level)))
-            own, rank = own[equal], rank[equal]
+            asked = mixed[own]
+            first = np.append(True, asked[1:] != asked[:-1])  # each context once
+            rank, equal = keys.find(asked[first])
+            begin, stop = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+            begin[equal], stop[equal] = (x.astype(np.int64) for x in pointers.access_two(rank[equal]))
+            which = np.cumsum(first) - 1
+            found = equal[which]
+            own, which = own[found], which[found]
             if not len(own):
                 continue
-            begin, stop = (x.astype(np.int64) for x in pointers.access_two(rank))
+            begin, stop, rank = begin[which], stop[which], rank[which]
             known = words[own] >= 0
             relative = begin.astype(_U) * _U(self.words) + np.maximum(words[own], 0).astype(_U) * (stop - begin).astype(_U)
-            place, there = successors.find(relative, begin, stop)
-            there &= known
-            value = np.zeros(len(own))
-            value[there] = chances[chance[place[there]]]
+            by = np.argsort(relative)  # each context and word once, in the level's order
+            sorted_ = relative[by]
+            first = np.append(True, sorted_[1:] != sorted_[:-1])
+            one = by[first]
+            place, there = successors.find(relative[one], begin[one], stop[one])
+            found = np.zeros(len(one))
+            found[there] = chances[chance[place[there]]]
+            value = np.empty(len(own))
+            value[by] = found[np.cumsum(first) - 1]
+            value[~known] = 0.0
             out[own] = value + masses[mass[rank]] * p[own]
         return out
 
 
-@functools.lru_cache(maxsize=4096)
+@_held
 def _vocabulary(uri: str, shard: int) -> tuple[EliasFano, np.ndarray] | None:
     found = open_level(uri, f"1-{shard}")
     return found and (_sequence("words", found[0]), found[0]["counts"])
 
 
-@functools.lru_cache(maxsize=4096)
+@_held
 def _level(uri: str, level: int, shard: int):
     found = open_level(uri, f"{level}-{shard}")
     if found is None:
@@ -211,26 +251,17 @@ def _mixed(contexts: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Reader:
-    """Turns texts into ids and counts, remembering words it has met."""
+    """Turns texts into ids and counts; each distinct word of a run of texts is looked up once."""
 
     def __init__(self, trie: Trie) -> None:
-        self.trie, self.known = trie, {}
-        self.ids, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.trie = trie
 
     def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of each text; all tokens' ids and counts."""
-        docs = [tokens(t) for t in texts]
-        words = set().union(*docs)
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > CACHE:
-            self.__init__(self.trie)
-            new = list(words)
-        ids, counts = self.trie.lookup(new)
-        self.known.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
-        self.ids, self.counts = np.append(self.ids, ids), np.append(self.counts, counts)
-        sizes = np.array([len(d) for d in docs], np.int64)
-        own = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(docs)), np.int64, int(sizes.sum()))
-        return sizes, self.ids[own], self.counts[own]
+        sizes, hashes = token_hashes(texts)
+        words, own = np.unique(hashes, return_inverse=True)
+        ids, counts = self.trie.lookup(words)
+        return sizes, ids[own], counts[own]
 
 
 def _places(sizes: np.ndarray) -> np.ndarray:
@@ -238,11 +269,11 @@ def _places(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def _keys(level: int, ids: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
+def _keys(trie: Trie, level: int, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The key of the context of level - 1 ids before each place ``at``."""
     key = np.zeros(len(at), _U)
     for back in range(level - 1, 0, -1):
-        key = key * _U(max(1, words)) + ids[at - back].astype(_U)
+        key = trie.joined(level, key, ids[at - back])
     return key
 
 
@@ -251,21 +282,22 @@ def _keys(level: int, ids: np.ndarray, at: np.ndarray, words: int) -> np.ndarray
 
 def _count_words(docs: DataFrame) -> DataFrame:
     """h (hash as a long whose order is the unsigned order) and n of all tokens."""
-    def flush(counts: Counter) -> pa.RecordBatch:
-        hashes = (np.array([word_hash(w) for w in counts], _U) ^ _U(1 << 63)).view(np.int64)
-        return pa.record_batch([pa.array(hashes), pa.array(list(counts.values()), pa.int64())], ["h", "n"])
-
     def run(batches):
-        counts: Counter = Counter()
+        h, n = np.zeros(0, _U), np.zeros(0, np.int64)
+
+        def out():
+            return pa.record_batch([pa.array((h ^ _U(1 << 63)).view(np.int64)), pa.array(n, pa.int64())], ["h", "n"])
+
         for batch in batches:
-            for _, raw in byte_rows(batch, most=2 << 20):
-                for text in raw:
-                    counts.update(tokens(text))
-                if len(counts) > CACHE // 4:
-                    yield flush(counts)
-                    counts = Counter()
-        if counts:
-            yield flush(counts)
+            for _, raw in byte_rows(batch, most=READ):
+                words, counts = np.unique(token_hashes(raw)[1], return_counts=True)
+                h, own = np.unique(np.append(h, words), return_inverse=True)
+                n = np.bincount(own, np.append(n, counts), len(h)).astype(np.int64)
+                if len(h) > HELD_WORDS:
+                    yield out()
+                    h, n = h[:0], n[:0]
+        if len(h):
+            yield out()
 
     return docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -305,7 +337,7 @@ def _count_ngrams(docs: DataFrame, trie: Trie, order: int) -> DataFrame:
         pieces = [own[((grams >> _U(21 * k)) & _U((1 << 21) - 1)).astype(np.int64)] for k in range(level)]  # the last word first
         contexts = np.zeros(len(grams), _U)
         for piece in pieces[:0:-1]:
-            contexts = contexts * _U(trie.words) + piece.astype(_U)
+            contexts = trie.joined(level, contexts, piece)
         shard = _shard_of(contexts, trie.shards)
         by = np.argsort(shard, kind="stable")
         ends = np.append(np.flatnonzero(np.diff(shard[by])) + 1, len(by))
@@ -327,7 +359,7 @@ def _count_ngrams(docs: DataFrame, trie: Trie, order: int) -> DataFrame:
             return batch_of([p for level in range(2, order + 1) for p in parts(level, ids, places)] or [(2, 0, b"")])
 
         for batch in batches:
-            for _, raw in byte_rows(batch, most=2 << 20):
+            for _, raw in byte_rows(batch, most=READ):
                 sizes, ids, _ = reader.read(raw)
                 places = _places(sizes)
                 # A run cut inside a text goes on with the order - 1 ids before the cut, at places too low to count again.
@@ -370,14 +402,31 @@ def unpack(part: bytes) -> list[np.ndarray]:
     return out
 
 
-def merge(parts: list[bytes], key_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The n-grams of a shard in order of mixed context and word, each once, with their counts."""
-    contexts, words, counts = (np.concatenate(x) for x in zip(*map(unpack, parts), strict=True))
-    contexts = _mixed(contexts, key_bits)
-    order = np.lexsort((words, contexts))
-    contexts, words, counts = contexts[order], words[order], counts[order]
-    starts = np.flatnonzero(np.append(True, (np.diff(contexts) != 0) | (np.diff(words) != 0)))
-    return contexts[starts], words[starts], np.add.reduceat(counts, starts)
+def merge(parts: Iterator[bytes], key_bits: int, held: int = 1 << 22) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams of a shard in order of mixed context and word, each once, with their counts.
+
+    Parts are added up as they come: besides the shard's distinct n-grams, about as many (``held`` at least) are in memory.
+    """
+    def added(runs: list) -> list[np.ndarray]:
+        contexts, words, counts = (np.concatenate(x) for x in zip(*runs, strict=True))
+        order = np.argsort(contexts)
+        ranks = np.cumsum(np.append(False, contexts[order][1:] != contexts[order][:-1]).astype(_U))
+        span = int(words.max()) + 1
+        if int(ranks[-1]) * span + span >= 1 << 64:  # too wide for one number
+            order = np.lexsort((words, contexts))
+        else:
+            order = order[np.argsort(ranks * _U(span) + words[order])]
+        contexts, words, counts = contexts[order], words[order], counts[order]
+        starts = np.flatnonzero(np.append(True, (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])))
+        return [contexts[starts], words[starts], np.add.reduceat(counts, starts)]
+
+    runs: list = []
+    for part in parts:
+        contexts, words, counts = unpack(part)
+        runs.append([_mixed(contexts, key_bits), words, counts])
+        if len(runs) > 1 and sum(len(r[0]) for r in runs[1:]) > max(held, len(runs[0][0])):
+            runs = [added(runs)]
+    return tuple(added(runs))
 
 
 def level_arrays(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, vocabulary: int, key_bits: int) -> tuple[dict[str, np.ndarray], dict]:
@@ -406,18 +455,16 @@ def build(docs: DataFrame, order: int = ORDER, shard: int = SHARD) -> Trie:
     counted = docs.sparkSession.read.parquet(f"{uri}/counts")
     words, total = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     bits, bases = _write_vocabulary(counted, uri, words, shard)
-    if words ** (order - 1) >= 1 << 63:
-        raise ValueError(f"{words} words are too many for keys of order {order}")
     trie = Trie(uri, total, words, bits, bases, max(1, -(-total // shard)))
     if not total:
         return trie
 
     def write(key, part):
         level, shard = (k.as_py() for k in key)
-        blobs = [b for b in part.column("part").to_pylist() if b]
+        blobs = part.column("part")
         n = 0
-        if blobs:
-            contexts, words, counts = merge(blobs, trie.key_bits(level))
+        if any(len(b.as_buffer() or b"") for b in blobs):
+            contexts, words, counts = merge((b.as_py() for b in blobs if len(b.as_buffer() or b"")), trie.key_bits(level))
             n = len(contexts)
             write_level(trie.uri, f"{level}-{shard}", *level_arrays(contexts, words, counts, trie.words, trie.key_bits(level)))
         return pa.table({"n": pa.array([n], pa.int64())})
@@ -436,7 +483,7 @@ def score(docs: DataFrame, trie: Trie, order: int = ORDER) -> DataFrame:
     def run(batches):
         reader = Reader(trie)
         for batch in batches:
-            for at, raw in byte_rows(batch, most=2 << 20):
+            for at, raw in byte_rows(batch, most=READ):
                 sizes, ids, counts = reader.read(raw)
                 places = _places(sizes)
                 unigram = (counts + 1) / (trie.total + trie.words + 1)
@@ -447,7 +494,7 @@ def score(docs: DataFrame, trie: Trie, order: int = ORDER) -> DataFrame:
                         old_enough[back:] &= ids[:-back] >= 0
                     own = np.flatnonzero(old_enough)
                     if len(own):
-                        p[own] = trie.step(level, _keys(level, ids, own, trie.words), ids[own], p[own])
+                        p[own] = trie.step(level, _keys(trie, level, ids, own), ids[own], p[own])
                 starts = np.cumsum(sizes) - sizes
                 columns = [sizes, np.add.reduceat((ids >= 0).astype(np.int64), starts), np.full(len(sizes), trie.total),
                            np.add.reduceat(np.log10(unigram), starts), np.add.reduceat(np.log10(p), starts)]

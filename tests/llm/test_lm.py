@@ -117,3 +117,37 @@ def test_nothing_learned(edge_docs, no_docs):
     rows = lm.score(edge_docs, trie).collect()
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 and r["score"] == 0 for r in rows)
     assert lm.score(no_docs, trie).count() == 0
+
+
+def test_words_are_hashed_in_slices_as_whole(monkeypatch):
+    from subledger.llm import common
+
+    texts = [None, b"", b" \t\n", b"One two\x0bTHREE\x1c one", "Über ñandú 東京".encode(), b"x" * 5000, prose(3, 400).encode(), b"end "]
+    whole = lm.token_hashes(texts)
+    assert whole[0].tolist() == [len((t or b"").split()) + 1 for t in texts]
+    words = [w for t in texts for w in [*(t or b"").lower().split(), None]]
+    assert len(set(whole[1].tolist())) == len(set(words)) and len({*zip(words, whole[1].tolist())}) == len(set(words))
+    monkeypatch.setattr(common, "HASHED", 64)
+    assert (lm.token_hashes(texts)[1] == whole[1]).all()
+
+
+def test_parts_are_added_up_as_they_come():
+    rng, want = np.random.default_rng(6), Counter()
+    parts = []
+    for _ in range(30):
+        grams = Counter(zip(rng.integers(0, 5, 200).tolist(), rng.integers(0, 400, 200).tolist()))  # hot contexts
+        want.update(grams)
+        rows = sorted(grams.items())
+        parts.append(lm.pack(np.array([c for (c, _), _ in rows], np.uint64), np.array([w for (_, w), _ in rows]), np.array([n for _, n in rows])))
+    contexts, words, counts = lm.merge(iter(parts), 8, held=300)
+    mixed = {int(m): c for c, m in enumerate(lm._mixed(np.arange(5, dtype=np.uint64), 8))}
+    assert Counter({(mixed[int(c)], int(w)): int(n) for c, w, n in zip(contexts, words, counts)}) == want
+    assert sorted(zip(contexts.tolist(), words.tolist())) == list(zip(contexts.tolist(), words.tolist()))
+
+
+def test_no_cap_on_the_vocabulary():
+    big = lm.Trie("", 10, 4 * 10**9, 0, [0], 3)
+    ids = np.arange(10**5, dtype=np.int64) * 39999
+    keys = big.joined(3, big.joined(3, np.zeros(len(ids), np.uint64), ids), ids[::-1])
+    assert len(np.unique(keys)) == len(ids) and int(keys.max()) < 1 << big.key_bits(3) == 1 << 63
+    assert len(np.unique(lm._mixed(keys, big.key_bits(3)))) == len(ids)
