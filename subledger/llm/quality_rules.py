@@ -2,14 +2,17 @@
 
 Base rules drop short and repetitive texts. Each further rule rejects a text
 whose rate exceeds a cutoff, and the cutoffs are chosen on labelled holdouts
-(good texts, none of which any rule was fitted on: the grids are fixed
-beforehand). In each stratum (language), a cutoff is admitted if the exact
-binomial test rejects "this rule drops more than RISK / rules of the good
-texts" at level ALPHA / (strata * rules); grids are tested from lenient to
-strict, and as counts can only rise along a grid, the strictest admitted
-cutoff is the end of that fixed sequence. So with probability 1 - ALPHA, in
-every stratum at once, all rules together drop at most RISK of the good texts.
-A stratum with too few labels gets no cutoffs, only the base rules.
+(good texts, none of which any rule was fitted on: the steps are fixed
+beforehand). A step sets all rules' cutoffs at once, from lenient to strict. In
+each stratum (language), the steps are tested in this fixed sequence: a step is
+admitted if the exact binomial test rejects "the cutoffs drop more than RISK of
+the good texts" at level ALPHA / strata, and every step before it was. Counts
+can only rise along the steps, so the strictest admitted step is the end of the
+sequence, and no further correction is due within a stratum. So with
+probability 1 - ALPHA, in every stratum at once, the cutoffs together drop at
+most RISK of the good texts. What the base rules drop is not part of this: they
+are no choice of the method. A stratum with too few labels (some 85 good ones,
+if no cutoff drops any) gets no cutoffs, only the base rules.
 
 Defined results: a null or empty text has no words and fails the base rules;
 languages that are null or not two or three lower-case letters form one
@@ -20,6 +23,7 @@ counts as a holdout; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +33,8 @@ from subledger.llm.common import bind, checkpointed, table
 
 RISK, ALPHA = 0.05, 0.05
 
-#: Rules and their cutoffs, from lenient to strict: a text fails if its rate is above.
+#: Rules and their cutoffs, from lenient to strict: a text fails if its rate is above. A step takes of each
+#: rule the cutoff at its share of the way.
 GRIDS = {
     "symbol_rate": (0.5, 0.3, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04, 0.03, 0.02),
     "dup_line_rate": (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2),
@@ -38,6 +43,8 @@ GRIDS = {
     "chars_per_word": (60.0, 40.0, 30.0, 25.0, 20.0, 16.0, 14.0, 12.0),
 }
 
+STEPS = [{rule: grid[step * len(grid) // 10] for rule, grid in GRIDS.items()} for step in range(10)]
+
 SPACE, SYMBOLS, CAPITALS = " \\t-\\r", "#*$%&|<>", "A-Z"
 
 
@@ -121,15 +128,16 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, alpha: float = ALPHA) -> DataFrame:
-    """stratum and, by rule, the strictest admitted cutoff (null: none)."""
+    """stratum and, by rule, the cutoff of the strictest admitted step; strata without one are absent."""
     agreed = labels.groupBy("doc_id").agg(F.min("quality").alias("good"), F.max("quality").alias("_most")).where("good = 1 AND _most = 1").select("doc_id")
     held = measured.join(agreed, "doc_id", "left_semi")
-    fails = {(rule, i): F.count_if(F.col(rule) > cut).alias(f"{rule}_{i}") for rule, grid in GRIDS.items() for i, cut in enumerate(grid)}
-    counts = checkpointed(held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *fails.values()))
-    share, level = risk / len(GRIDS), alpha / (max(1, counts.count()) * len(GRIDS))
-    tests = [F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cut"), F.col(f"{rule}_{i}").alias("k")) for rule, grid in GRIDS.items() for i, cut in enumerate(grid)]
-    admitted = counts.select("stratum", "n", F.inline(F.array(*tests))).where(binomial_tail(F.col("k"), F.col("n"), share) <= level)
-    return admitted.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"max_{rule}") for rule in GRIDS])
+    dropped = [F.count_if(functools.reduce(Column.__or__, [F.col(rule) > cut for rule, cut in step.items()])).alias(f"k{i}") for i, step in enumerate(STEPS)]
+    counts = checkpointed(held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *dropped))
+    level = alpha / max(1, counts.count())
+    tests = [F.struct(F.lit(i).alias("step"), F.col(f"k{i}").alias("k")) for i in range(len(STEPS))]
+    admitted = counts.select("stratum", "n", F.inline(F.array(*tests))).where(binomial_tail(F.col("k"), F.col("n"), risk) <= level)
+    ends = admitted.groupBy("stratum").agg(F.max("step").alias("step"))
+    return ends.select("stratum", *[F.get(F.array(*[F.lit(step[rule]) for step in STEPS]), F.col("step")).alias(f"max_{rule}") for rule in GRIDS])
 
 
 def _failed(rate) -> Column:
@@ -166,11 +174,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    pick = []
-    for rule, grid in GRIDS.items():
-        pick += [f"({k}, '{rule}', CAST({cut} AS DOUBLE))" for k, cut in enumerate(grid)]
+    pick = [f"({k}, '{rule}', CAST({cut} AS DOUBLE))" for k, step in enumerate(STEPS) for rule, cut in step.items()]
     rates = ", ".join(GRIDS)
-    share, rules = RISK / len(GRIDS), len(GRIDS)
     return f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
@@ -199,12 +204,13 @@ f AS (
 long AS (UNPIVOT (SELECT rid, doc_id, stratum, {rates} FROM f) ON {rates} INTO NAME rule VALUE rate),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1 AND max(quality) = 1),
 grid(step, rule, cut) AS (VALUES {", ".join(pick)}),
-k AS (SELECT stratum, rule, cut, count(*) AS n, count(*) FILTER (rate > cut) AS k
-      FROM long JOIN grid USING (rule) WHERE doc_id IN (SELECT doc_id FROM good) GROUP BY ALL),
+each AS (SELECT rid, stratum, step, bool_or(rate > cut) AS dropped FROM long JOIN grid USING (rule) WHERE doc_id IN (SELECT doc_id FROM good) GROUP BY ALL),
+k AS (SELECT stratum, step, count(*) AS n, count(*) FILTER (dropped) AS k FROM each GROUP BY ALL),
 p AS (SELECT *, (SELECT count(DISTINCT stratum) FROM k) AS strata,
-        CASE WHEN k >= n * {share} THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
-          exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share})))) END AS tail FROM k),
-cuts AS (SELECT stratum, rule, min(cut) AS cut FROM p WHERE tail <= {ALPHA} / (strata * {rules}) GROUP BY ALL),
+        CASE WHEN k >= n * {RISK} THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+          exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) END AS tail FROM k),
+ends AS (SELECT stratum, max(step) AS step FROM p WHERE tail <= {ALPHA} / strata GROUP BY ALL),
+cuts AS (SELECT stratum, rule, cut FROM ends JOIN grid USING (step)),
 bad AS (SELECT rid, list(rule) AS failed FROM long JOIN cuts USING (stratum, rule) WHERE rate > cut GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed IS NULL AS kept, stratum,
   coalesce(array_to_string(list_filter([{", ".join(f"'{r}'" for r in GRIDS)}], lambda x: list_contains(failed, x)), ','), '') AS failed_rules

@@ -38,16 +38,37 @@ def test_binomial_tail_is_exact(spark, p):
         assert math.isclose(r["t"], float(exact), rel_tol=1e-9, abs_tol=1e-300)
 
 
-def test_cutoffs_are_the_strictest_admitted(spark):
-    rates = [k / 1000 for k in range(1000)]
-    measured = spark.createDataFrame([(i, "en", r / 10, 0.0, r / 2, 0.0, 5.0) for i, r in enumerate(rates)], "doc_id long, stratum string, symbol_rate double, dup_line_rate double, repeat_rate double, upper_rate double, chars_per_word double")
-    labels = spark.createDataFrame([(i, 1) for i in range(1000)], "doc_id long, quality int")
-    row = q.cutoffs(measured, labels).first()
-    level = q.ALPHA / len(q.GRIDS)
-    for rule, grid in q.GRIDS.items():
-        values = [r[rule] for r in measured.collect()]
-        fits = [c for c in grid if (k := sum(v > c for v in values)) < 10 and sum(math.comb(1000, i) * 0.01**i * 0.99 ** (1000 - i) for i in range(k + 1)) <= level]
-        assert row[f"max_{rule}"] == (min(fits) if fits else None)
+MEASURED = "doc_id long, stratum string, symbol_rate double, dup_line_rate double, repeat_rate double, upper_rate double, chars_per_word double"
+
+
+def strictest(rows, level):
+    """The strictest step of the fixed sequence, by exact arithmetic."""
+    end = None
+    for i, step in enumerate(q.STEPS):
+        k = sum(any(r[rule] > cut for rule, cut in step.items()) for r in rows)
+        if k >= len(rows) * q.RISK or sum(math.comb(len(rows), j) * q.RISK**j * (1 - q.RISK) ** (len(rows) - j) for j in range(k + 1)) > level:
+            break
+        end = i
+    return end
+
+
+@pytest.mark.parametrize("n", [60, 84, 100, 1000])
+def test_cutoffs_are_the_strictest_admitted(spark, n):
+    rows = [(i, lang, k / n / 2.4, 0.0, k / n / 2, 0.0, 5.0) for lang, at in (("en", 0), ("de", n)) for k, i in enumerate(range(at, at + n))]
+    measured = spark.createDataFrame([r for r in rows if r[1] == "en"] + [(*r[:2], 0.0, 0.0, 0.0, 0.0, 5.0) for r in rows if r[1] == "de"], MEASURED)
+    labels = spark.createDataFrame([(i, 1) for i in range(2 * n)], "doc_id long, quality int")
+    got = {r["stratum"]: r for r in q.cutoffs(measured, labels).collect()}
+    for lang in ("en", "de"):
+        end = strictest([r for r in measured.collect() if r["stratum"] == lang], q.ALPHA / 2)
+        assert (lang in got) == (end is not None)
+        if end is not None:
+            assert all(got[lang][f"max_{rule}"] == cut for rule, cut in q.STEPS[end].items())
+    assert ("de" in got) == (n >= 84)
+
+
+def test_steps_only_get_stricter():
+    assert all(later[rule] <= step[rule] for step, later in zip(q.STEPS, q.STEPS[1:]) for rule in q.GRIDS)
+    assert q.STEPS[0] == {r: g[0] for r, g in q.GRIDS.items()} and q.STEPS[-1] == {r: g[-1] for r, g in q.GRIDS.items()}
 
 
 def test_too_few_labels_give_no_cutoffs(edge_docs, spark):
@@ -73,6 +94,30 @@ def test_native_plan(edge_docs, spark):
         assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_sql_agrees_where_cutoffs_reject(make_docs, spark):
+    """Languages with many good labels, so that steps are admitted and rows fail them."""
+    import random
+    rng = random.Random(8)
+    rows = []
+    for i in range(900):
+        words = [rng.choice("abcdefghijklmnopqrst") * rng.randint(1, 9) for _ in range(70)]
+        if i % 40 == 0:
+            words = [w.upper() for w in words]
+        if i % 33 == 0:
+            words[::2] = ["#$%"] * 35
+        rows.append((i, " ".join(words[:35]) + "\n" + " ".join(words[35:]) + "\nsame line\nsame line" * (i % 50 == 0), "en" if i % 3 else "de", "s"))
+    docs, labels = make_docs(rows), spark.createDataFrame([(i, int(i % 40 != 0 and i % 33 != 0)) for i in range(0, 900, 2)], "doc_id long, quality int")
+    got = q.judge(docs, labels)
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "lang").toArrow())
+    con.register("labels", labels.toArrow())
+    want = con.sql(q.ORACLE)
+    mine = [r.asDict() for r in got.collect()]
+    assert sorted(map(str, mine)) == sorted(str(dict(zip(want.columns, r))) for r in want.fetchall())
+    failed = [r["failed_rules"] for r in mine if r["failed_rules"]]
+    assert len(failed) > 20 and len(set(failed)) > 1
+
+
 def test_sql_agrees(spark):
     con = duckdb.connect()
     for name in ("documents", "labels"):
