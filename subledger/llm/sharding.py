@@ -1,12 +1,13 @@
 """Sharding by a consistent-hash ring with virtual nodes and bounded loads.
 
-Keys hash to one of ``CELLS`` cells of the ring; rows of a cell are cut into
-pieces of at most a thousandth of a shard's share (or one larger row). The
-bytes of the pieces, at most ``CELLS + shards * PIECES`` numbers however
-large the table is, are placed on the driver: large pieces first, each goes
-to the shard of the first virtual node clockwise whose shard has room for it
-below (1 + epsilon) times the mean load. A full shard's keys thus continue
-clockwise, and a new shard takes little besides what it needs.
+Keys hash to one of ``CELLS`` cells of the ring; a cell of more than a
+thousandth of a shard's share is cut into pieces of about that size, by a hash
+of the row, so that no sort holds a hot key whole. The bytes of the pieces, at
+most ``CELLS + shards * PIECES`` numbers however large the table is, are placed
+on the driver: large pieces first, each goes to the shard of the first virtual
+node clockwise whose shard has room for it below (1 + epsilon) times the mean
+load. A full shard's keys thus continue clockwise, and a new shard takes little
+besides what it needs.
 
 Defined results: a null text has size 1 and the checksum of empty text; a null
 key is replaced by that checksum; repeated rows are rows of their own, and a
@@ -64,28 +65,29 @@ def place(pieces: list[tuple[int, int, int]], shards: int, vnodes: int = VNODES,
 def shard_rows(df: DataFrame, shards: int, vnodes: int = VNODES, epsilon: float = EPSILON) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot (gapless from 0 in a shard) of every row.
 
-    One shuffle of narrow rows by cell; the checkpoint keeps the ranks that
-    the placement was made for.
+    Narrow rows are checkpointed once, with a salt that gives each row its piece and its
+    place in it whenever they are computed; one shuffle ranks them by piece.
     """
     crc = F.coalesce(F.crc32("text"), F.lit(0).cast("long"))
     narrow = df.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"), crc.alias("text_crc32"),
-        F.xxhash64(F.coalesce(F.col("doc_id"), crc)).alias("_hash"))
-    narrow = narrow.withColumn("_cell", F.shiftrightunsigned("_hash", 64 - CELL_BITS).cast("int"))
-    running = Window.partitionBy("_cell").orderBy("_hash", "doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = checkpointed(narrow.withColumn("_rank", F.count(F.lit(1)).over(running)).withColumn("_sum", F.sum("size").over(running)).drop("_hash"))
-    total = ranked.agg(F.sum("size")).first()[0] or 0
+        F.xxhash64(F.coalesce(F.col("doc_id"), crc)).alias("_hash"), F.monotonically_increasing_id().alias("_salt"))
+    narrow = checkpointed(narrow.withColumn("_cell", F.shiftrightunsigned("_hash", 64 - CELL_BITS).cast("int")))
+    total = narrow.agg(F.sum("size")).first()[0] or 0
     limit = max(1, total // (shards * PIECES))
-    cut = ranked.withColumn("_piece", F.floor((F.col("_sum") - F.col("size")) / limit))
-    sizes = cut.groupBy("_cell", "_piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"), F.min("_rank").alias("first"))
+    large = narrow.groupBy("_cell").agg(F.ceil(F.sum("size") / limit).alias("_pieces")).where("_pieces > 1")
+    cut = narrow.join(F.broadcast(large), "_cell", "left")  # at most CELLS rows
+    cut = cut.withColumn("_piece", F.pmod(F.xxhash64("_salt"), F.coalesce("_pieces", F.lit(1))))
+    sizes = cut.groupBy("_cell", "_piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     found = sizes.toPandas().sort_values(["_cell", "_piece"], ignore_index=True)
     found["shard"] = place(list(zip(found["_cell"].tolist(), found["_piece"].tolist(), found["bytes"].tolist(), strict=True)), shards, vnodes, epsilon)
-    found["base"] = found.groupby("shard")["rows"].cumsum() - found["rows"] - found["first"]
+    found["base"] = found.groupby("shard")["rows"].cumsum() - found["rows"]
     spark = df.sparkSession
     where = spark.createDataFrame(
         found[["_cell", "_piece", "shard", "base"]] if len(found) else [],
         "_cell int, _piece long, shard int, base long")
-    placed = cut.join(F.broadcast(where), ["_cell", "_piece"])  # at most CELLS + shards * PIECES + rows over the limit
+    rank = F.row_number().over(Window.partitionBy("_cell", "_piece").orderBy("_hash", "doc_id", "text_crc32", "size", "_salt"))
+    placed = cut.withColumn("_rank", rank - 1).join(F.broadcast(where), ["_cell", "_piece"])  # at most CELLS + shards * PIECES rows
     return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("_rank")).alias("slot"))
 
 

@@ -1,5 +1,7 @@
 import zlib
 
+from llm_helpers import prose
+from subledger.llm import sharding
 from subledger.llm.sharding import CELLS, place, shard_rows
 
 
@@ -46,3 +48,19 @@ def test_near_equal_bytes_and_a_hot_key(make_docs):
     laws(rows, 8)
     load = [sum(r["size"] for r in rows if r["shard"] == k) for k in range(8)]
     assert max(load) < 1.01 * sum(load) / 8 and min(load) > 0.95 * sum(load) / 8
+
+
+def test_no_sort_holds_a_hot_key_whole(make_docs):
+    rows = [(7, prose(k, 20 + k % 9), "en", "s") for k in range(600)] + [(None, "same keyless text", "en", "s")] * 300 + [(k, prose(k, 30), "en", "s") for k in range(1000, 1900)]
+    docs = make_docs(rows)
+    plan = sharding.shard_rows(docs, 4)
+    got = plan.collect()
+    assert sorted((str(r["doc_id"]), r["size"]) for r in got) == sorted((str(r[0]), len(r[1].encode()) + 1) for r in rows)
+    for shard in range(4):
+        mine = sorted(r["slot"] for r in got if r["shard"] == shard)
+        assert mine == list(range(len(mine)))
+    loads = [sum(r["size"] for r in got if r["shard"] == s) for s in range(4)]
+    assert max(loads) <= 1.02 * sum(loads) / 4
+    assert len({r["shard"] for r in got if r["doc_id"] == 7}) > 1  # a hot key is spread
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "_piece" in text[text.index("Window"):][:400]
