@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from subledger.llm.common import byte_rows, checkpointed, table
 
 SHINGLE, MAX_BITS = 3, 3
-BLOCKS, BIG_CELL = 8, 20_000
+BLOCKS, BIG_CELL = 8, 256
 #: Shingles whose bits are counted at a time.
 RUN = 1 << 15
 

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 import xxhash
@@ -123,3 +125,39 @@ def test_one_row_of_each_component_is_kept(make_docs):
 def test_a_key_that_repeats_is_cut_before_the_shuffle(make_docs):
     plan = simhash.keep_one(make_docs([(1, "a b c", "en", "s")] * 9))._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan and plan.count("Partial") >= 1
+
+
+def test_a_dense_cell_takes_little_more_than_linear_time():
+    import time
+
+    rng, spent = np.random.default_rng(3), []
+    for n in (5000, 40000):
+        fps = np.unique(rng.integers(0, 1 << 63, n).astype(np.int64))  # unlinked, in one cell
+        began = time.process_time()
+        assert sum(len(o) for _, o in simhash.forest(fps, 3)) < 50
+        spent.append(time.process_time() - began)
+    assert spent[1] < 30 * max(spent[0], 0.1)
+
+
+@pytest.mark.parametrize("big", [2, 30, 256])
+def test_divided_cells_lose_no_link(monkeypatch, big):
+    monkeypatch.setattr(simhash, "BIG_CELL", big)
+    rng = random.Random(big)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    fps = {b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 4))) for b in base for _ in range(25)}
+    own = np.array(sorted(fps), np.uint64).view(np.int64)
+    parent = {f: f for f in own.tolist()}
+
+    def root(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for one, others in simhash.forest(own, 3):
+        for o in others.tolist():
+            assert bin((one ^ o) & (1 << 64) - 1).count("1") <= 3
+            parent[root(o)] = root(one)
+    for a in own.tolist():
+        for b in own.tolist():
+            if bin((a ^ b) & (1 << 64) - 1).count("1") <= 3:
+                assert root(a) == root(b)
