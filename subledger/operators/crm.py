@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subledger.functions.membership import bloom_filter
 from subledger.functions.tax_id import EDGE_SPACE, crm_tax_id
 from subledger.params import ReportParams
 from subledger.schemas import CRM_PROJECT, REPORT_COLUMNS
@@ -49,13 +50,15 @@ def tasks_with_details(tasks: DataFrame, details: DataFrame, status_ids: DataFra
 
     Tasks whose detail is missing, was answered with an error or does not parse
     are dropped. A detail landed more than once counts once: its latest
-    (largest ``seq``, if there is one) readable document.
+    (largest ``seq``, if there is one) readable document. Details that no listed
+    task can have (by a Bloom filter of the listed ids) are neither parsed nor shuffled.
     """
     latest = F.col("seq") if "seq" in details.columns else F.lit(0)
-    docs = (details.select("_id", F.col("body"), latest.alias("_at"))
+    listed = listed_tasks(tasks, status_ids, dedupe)
+    docs = (details.filter(bloom_filter(listed.select("_id"), "_id")("_id")).select("_id", F.col("body"), latest.alias("_at"))
             .where(F.try_parse_json("body").isNotNull())
             .groupBy("_id").agg(F.max(F.struct("_at", "body")).getField("body").alias("body")))
-    return listed_tasks(tasks, status_ids, dedupe).join(
+    return listed.join(
         docs.select("_id", F.try_parse_json("body").alias("detail")), "_id", "inner")
 
 

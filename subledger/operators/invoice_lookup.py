@@ -87,11 +87,17 @@ def with_invoice_columns(report: DataFrame, invoices: DataFrame, params: ReportP
     No invoices at all -> '' in all three columns for every row (an EXISTS
     subquery, so the plan stays lazy).
     """
+    return with_lookup_state(report, invoice_aggregates(invoices, params), invoices.exists(), params, billing_col, type_col, id_col)
+
+
+def with_lookup_state(report: DataFrame, state: DataFrame, has_invoices: Column, params: ReportParams, billing_col: str = "billing_id",
+                      type_col: str = "package_type", id_col: str = "client_sub_id") -> DataFrame:
+    """The three columns from a state of the lookups (``invoice_aggregates``, or a kept one) instead of the invoices."""
     lb = params.labels
     blank = is_blank(billing_col)
     keyed = report.withColumn("_inv_key", invoice_join_key(billing_col, id_col))
     keyed = keyed.withColumn("_inv_hash", F.xxhash64("_inv_key"))
-    agg = invoice_aggregates(invoices, params).withColumn("_sub_hash", F.xxhash64("subscription"))
+    agg = state.withColumn("_sub_hash", F.xxhash64("subscription"))
     j = keyed.join(agg, (keyed["_inv_key"] == agg["subscription"]) & (keyed["_inv_hash"] == agg["_sub_hash"]), "left")
 
     typ = F.col(type_col)
@@ -109,7 +115,6 @@ def with_invoice_columns(report: DataFrame, invoices: DataFrame, params: ReportP
                  .otherwise(F.col("last_any")))
     last = F.when(blank, empty).otherwise(month_name(last_date, lb.month_names))
 
-    has_invoices = invoices.exists()
     guard = lambda c: F.when(has_invoices, c).otherwise(empty)
     return j.select(*[F.col(f"`{c}`") for c in report.columns],
                     guard(chosen).alias("status_chosen_month"),

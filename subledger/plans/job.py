@@ -99,9 +99,10 @@ def _crm_tax_ids(records: DataFrame, index: DataFrame, params: ReportParams, pat
     return records.sparkSession.read.parquet(path)
 
 
-def load_inputs(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> Inputs:
+def load_inputs(spark: SparkSession, cfg: JobConfig, params: ReportParams, run: str | None = None) -> Inputs:
     land = read_landing(spark, cfg.landing_path, cfg.landing_format)
-    records, index = land_records(land, f"{cfg.output_path}/landed")
+    landed = f"{cfg.output_path}/landed/run={run or new_run()}"  # a run's own: no other run writes or reads it
+    records, index = land_records(land, landed)
     rules = {"max_pages": cfg.max_pages, "index": index}
     gaps = None
     for source in ("plans", "usersubs", "invoices"):
@@ -114,7 +115,7 @@ def load_inputs(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> In
     crm = None
     if cfg.mode == "report" and cfg.with_crm and params.crm_target_status:
         try:  # Q4: the CRM branch is optional; its failure never stops the report
-            crm = _crm_tax_ids(records, index, params, f"{cfg.output_path}/landed/crm_tax_ids")
+            crm = _crm_tax_ids(records, index, params, f"{landed}/crm_tax_ids")
         except Exception as exc:  # noqa: BLE001
             warnings.warn(f"CRM branch skipped: {exc}", stacklevel=2)
     plans = scan_records(records, "plans", PLAN, **rules).drop("page_no", "pos", "seq")
@@ -143,8 +144,8 @@ def run_report(spark: SparkSession, cfg: JobConfig, params: ReportParams) -> int
     if params.as_of is None:  # one "now", on the local wall clock, for the stamp and the lifecycle status
         now = dt.datetime.now(zoneinfo.ZoneInfo(params.local_timezone)).replace(tzinfo=None)
         params = dataclasses.replace(params, as_of=now)
-    inp = load_inputs(spark, cfg, params)
     out, run = cfg.output_path, new_run()
+    inp = load_inputs(spark, cfg, params, run)
     if cfg.validate or cfg.mode == "checked":
         write_quality(inp, f"{out}/quality", cfg.max_pages)
     if cfg.mode == "subscriptions":

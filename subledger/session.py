@@ -8,6 +8,7 @@ value the cluster already chose for ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,10 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the record table's VARIANT is written with its leaves as Parquet columns, and read by leaf
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
 }
 
 
@@ -90,12 +95,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
 
 
 def keep_small(df):
-    """A narrow intermediate table made durable: a checkpoint in the shared folder. A session without one
-    must name it (``checkpoint_dir``), as files in an executor's own folder would go with it."""
-    context = df.sparkSession.sparkContext
+    """A narrow intermediate table made durable: a checkpoint in the shared folder the cluster names.
+
+    Where none is named, a local session (tests) gets a folder of its own; on a cluster that is
+    an error, as files in one machine's folder would go with it.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            raise ValueError("no shared folder: set spark.checkpoint.dir, or call checkpoint_dir(spark, folder)")
-        context.setCheckpointDir(named)
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("no shared folder: set spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="subledger-shared-"))
     return df.checkpoint(eager=True)

@@ -119,13 +119,19 @@ def typed(doc: Column, schema: T.StructType, path: str = "$") -> Column:
 
 def scan_records(parsed: DataFrame, source: str, record_schema: T.StructType | None = None, **rules) -> DataFrame:
     """S1 (+S2) over parsed pages: ``page_no``, ``pos``, ``seq`` (arrival order: page, then
-    position) and the record's fields, or the record itself as ``doc`` without a schema."""
+    position) and the record's fields, or the record itself as ``doc`` without a schema.
+
+    Fields are taken before the paging rules' joins, so that over a written record table
+    only these leaves of the VARIANT are read.
+    """
+    if record_schema is not None:
+        parsed = parsed.withColumn("_rec", typed(F.col("doc"), record_schema)).drop("doc")
     rows = kept_rows(parsed, source, **rules).filter(F.col("pos").isNotNull())
     seq = F.shiftleft(F.col("page_no").cast("bigint"), 32) + F.col("pos")
     if record_schema is None:
         extra = [c for c in ("created",) if c in rows.columns]
         return rows.select("page_no", "pos", seq.alias("seq"), "doc", *extra)
-    return rows.select("page_no", "pos", seq.alias("seq"), typed(F.col("doc"), record_schema).alias("rec")).select("page_no", "pos", "seq", "rec.*")
+    return rows.select("page_no", "pos", seq.alias("seq"), "_rec.*")
 
 
 def scan_pages(landing: DataFrame, source: str, record_schema: T.StructType, prefix_rule: bool = True,

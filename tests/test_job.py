@@ -267,11 +267,24 @@ def test_landed_bodies_are_read_once_and_invoice_bound_is_pushed(spark, tmp_path
     kept = str(tmp_path / "gone")
     shutil.move(land, kept)  # after the landing pass nothing needs the bodies: the records suffice
     from subledger.sources.records import read_invoices
-    records, index = (spark.read.parquet(f"{out}/landed/{x}") for x in ("records", "pages"))
+    import glob
+    (run,) = glob.glob(f"{out}/landed/run=*")
+    records, index = (spark.read.parquet(f"{run}/{x}") for x in ("records", "pages"))
     invoices = read_invoices(records, PARAMS, index=index)
     assert invoices.count() == 5
     plan = invoices._sc._jvm.PythonSQLUtils.explainString(invoices._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(created," in plan and "body" not in plan
+    from subledger.schemas import USER_SUBSCRIPTION
+    from subledger.sources.landing import scan_records
+    ids = scan_records(records, "usersubs", USER_SUBSCRIPTION, index=index).select("id", "status")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = ids._sc._jvm.PythonSQLUtils.explainString(ids._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    import re
+    docs = [x for x in re.findall(r"ReadSchema: .*", plan) if "doc" in x]
+    assert docs and all("doc:struct<0:" in x and "variant" not in x for x in docs), docs  # leaves of the written VARIANT, not all of it
 
 
 def test_second_fetch_run_replaces_the_first(spark, tmp_path):
