@@ -23,10 +23,12 @@ def crc_fold(key: Column, folds: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names; a temporary one only where none is set and the session is local (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("no shared folder: set spark.checkpoint.dir")
     made = tempfile.mkdtemp(prefix="subledger-shared-")
     spark.sparkContext.setCheckpointDir(made)
     return f"file://{made}"
