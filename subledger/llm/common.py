@@ -66,9 +66,9 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-#: Bytes that words are hashed in at a time, and the factors of the two word polynomials.
+#: Bytes that words are hashed in at a time, and the factor of the word polynomial.
 HASHED = 1 << 20
-_FACTORS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+_FACTOR = 0x9E3779B97F4A7C15
 
 
 def mixed_bits(h: np.ndarray) -> np.ndarray:
@@ -90,9 +90,9 @@ def _powers(factor: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(raw: bytes, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and 64-bit hashes of the words of a text, by two polynomials of their bytes; ``blank`` tells by byte what parts words.
+    """Starts and 64-bit hashes of the words of a text, mixed from a polynomial of their bytes; ``blank`` tells by byte what parts words.
 
-    Sums over the bytes give all polynomials at once. Slices end where a word
+    Running sums over the bytes give all words' polynomials at once. Slices end where a word
     does, so only a word longer than ``HASHED`` bytes takes more memory.
     """
     codes = np.frombuffer(raw, np.uint8)
@@ -107,15 +107,13 @@ def word_hashes(raw: bytes, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         inside[1:-1] = ~blank[own]
         steps = np.diff(inside)
         begin, end = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
-        wide = own.astype(np.uint64) + np.uint64(1)
-        found = None
-        for factor in _FACTORS:
-            up, down = _powers(factor, max(2 * HASHED, 1 << len(own).bit_length()))
-            sums = np.zeros(len(own) + 1, np.uint64)
-            np.cumsum(wide * up[:len(own)], out=sums[1:])
-            own_hash = mixed_bits((sums[end] - sums[begin]) * down[begin])
-            found = own_hash if found is None else mixed_bits(found + own_hash * np.uint64(0x9E3779B97F4A7C15))
+        up, down = _powers(_FACTOR, max(2 * HASHED, 1 << len(own).bit_length()))
+        sums = np.zeros(len(own) + 1, np.uint64)
+        terms = own.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= up[:len(own)]
+        np.cumsum(terms, out=sums[1:])
         starts.append(begin + at)
-        hashes.append(found)
+        hashes.append(mixed_bits((sums[end] - sums[begin]) * down[begin]))
         at = stop
     return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.zeros(0, np.int64), np.zeros(0, np.uint64))

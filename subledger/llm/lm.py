@@ -27,7 +27,8 @@ are learned and scored each; a null key counts as empty text for the fold; an
 empty table gives an empty result, and with nothing learned all tokens are
 unknown, N and V are 0. Only doc_id and text are read. Words are told apart by
 64-bit hashes: two words that share one would count as one word (among a
-billion distinct words, some 0.03 such pairs are to be expected). From about
+billion distinct words, some 0.03 such pairs are to be expected; made-up words of
+over a thousand bytes can be built to share one). From about
 three billion distinct words on, contexts of two are known by 63 mixed bits too.
 """
 
@@ -325,11 +326,10 @@ def _write_vocabulary(counted: DataFrame, uri: str, words: int, shard: int) -> t
 
 def _count_ngrams(docs: DataFrame, trie: Trie, order: int) -> DataFrame:
     """level, shard and a compressed part (contexts, words, counts of one run), for all n-grams of 2 to ``order`` ids."""
-    def parts(level: int, ids: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    def parts(level: int, own: np.ndarray, local: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
         at = np.flatnonzero(places >= level - 1)
         if not len(at):
             return
-        own, local = np.unique(ids, return_inverse=True)
         packed = np.zeros(len(at), _U)
         for back in range(level - 1, -1, -1):
             packed = packed << _U(21) | local[at - back].astype(_U)
@@ -356,7 +356,8 @@ def _count_ngrams(docs: DataFrame, trie: Trie, order: int) -> DataFrame:
 
         def flush():
             ids, places = (np.concatenate(x) for x in zip(*held, strict=True))
-            return batch_of([p for level in range(2, order + 1) for p in parts(level, ids, places)] or [(2, 0, b"")])
+            own, local = np.unique(ids, return_inverse=True)
+            return batch_of([p for level in range(2, order + 1) for p in parts(level, own, local, places)] or [(2, 0, b"")])
 
         for batch in batches:
             for _, raw in byte_rows(batch, most=READ):
