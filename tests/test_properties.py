@@ -110,16 +110,16 @@ def test_report_tax_id_matches_model(spark, vals):
 _MISSING = object()
 
 
-def _crm_tax_model(nip):
-    """P13 in plain Python over a decoded JSON value."""
-    if nip is _MISSING:
-        nip = ""
-    if isinstance(nip, (int, float)) and nip > 0:
-        s = str(int(nip))
-        return s.zfill(10) if len(s) < 10 else s
-    if isinstance(nip, str) and nip:
-        return nip
-    return ""
+def _crm_tax_model(value):
+    """P13 as the survey states it: a positive number is its whole part in ten digits or more, a text stays
+    as it is, and whatever else stands there, or nothing at all, gives an empty text."""
+    match value:
+        case str():
+            return value
+        case int() | float() if value > 0:
+            return f"{int(value):010d}"
+        case _:
+            return ""
 
 
 nip_values = st.one_of(
