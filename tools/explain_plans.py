@@ -1,9 +1,8 @@
 """Print the physical plans of registered queries as Spark plans them for large inputs.
 
 Static broadcast by size estimate is turned off and AQE is off, so the plan
-shows the shuffles a large run would do (the plan catalogue is still
-broadcast: its size is proven by a bounded count). The parallelism guard's
-REPARTITION_BY_NUM exchanges only appear on single-split test files.
+shows the shuffles a large run would do. Plans of more than LONG lines are
+left out unless their queries are named.
 Usage: python tools/explain_plans.py [sf_dir] [query ...] > PLANS.md
 """
 
@@ -19,6 +18,9 @@ from subledger.plans.catalog import QUERIES  # noqa: E402
 from subledger.session import build_session  # noqa: E402
 
 
+LONG = 90
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
@@ -38,6 +40,9 @@ def main() -> None:
             line = re.sub(r"#\d+L?", "", line)
             line = re.sub(r"\[([^\]]{100})[^\]]*\]", r"[\1…]", line)
             lines.append(line[:220])
+        if len(lines) > LONG and not sys.argv[2:]:
+            print(f"## {name}\n\n{len(lines)} lines: `python tools/explain_plans.py {sf} {name}`\n")
+            continue
         print(f"## {name}\n\n```\n" + "\n".join(lines) + "\n```\n")
     spark.stop()
 
