@@ -48,13 +48,16 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     ones = np.cumsum(unary.reshape(-1, 64 * BLOCK).sum(axis=1))
     ones = np.append(0, ones[:-1]).astype(np.uint32 if len(unary) < 1 << 32 else _U)
     zeros = (np.arange(len(ones)) * 64 * BLOCK - ones.astype(np.int64)).astype(ones.dtype)
-    low = []
-    for at in range(0, n if bits else 0, 1 << 14):  # whole bytes: a multiple of eight values
-        part = values[at:at + (1 << 14)]
-        low.append(np.packbits(((part[:, None] >> np.arange(bits, dtype=_U)) & _U(1)).astype(bool), axis=None, bitorder="little"))
-    packed = np.concatenate([*low, np.zeros(16, np.uint8)])
-    packed = np.concatenate([packed, np.zeros(-len(packed) % 8, np.uint8)])
-    return {"head": np.array([n, bits, top], np.int64), "low": packed.view(_U), "high": np.packbits(unary, bitorder="little").view(_U),
+    low = np.zeros(-(-(-(-n * bits // 8) + 16) // 8), _U)
+    if n and bits:  # a word's values are its sum, as no bit is in two of them; its last one may go on in the next word
+        part = values & _U((1 << bits) - 1)
+        word, off = np.divmod(np.arange(n) * bits, 64)
+        off = off.astype(_U)
+        begins = np.flatnonzero(np.diff(word, prepend=-1))
+        low[word[begins]] = np.add.reduceat(part << off, begins)
+        over = np.flatnonzero(off > _U(64 - bits))
+        low[word[over] + 1] |= part[over] >> (_U(64) - off[over])
+    return {"head": np.array([n, bits, top], np.int64), "low": low, "high": np.packbits(unary, bitorder="little").view(_U),
             "ones": ones, "zeros": zeros}
 
 

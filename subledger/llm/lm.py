@@ -80,6 +80,31 @@ def token_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return sizes, out
 
 
+def order_of(values: np.ndarray) -> np.ndarray:
+    """An order that sorts values: they are sorted as one number with their places behind them, without the
+    lowest bits where both do not fit; if values that differ in those alone come out of order, the long way."""
+    place = max(0, len(values) - 1).bit_length()
+    dropped = max(0, int(values.max()).bit_length() + place - 64) if len(values) else 0
+    packed = values >> _U(dropped) << _U(place) | np.arange(len(values), dtype=_U)
+    packed.sort()
+    order = (packed & _U((1 << place) - 1)).astype(np.int64)
+    if dropped:
+        found = values[order]
+        if (found[1:] < found[:-1]).any():
+            return np.argsort(values, kind="stable")
+    return order
+
+
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and each value's number among them."""
+    order = order_of(values)
+    in_order = values[order]
+    first = np.append(True, in_order[1:] != in_order[:-1])[:len(values)]
+    number = np.empty(len(values), np.int64)
+    number[order] = np.cumsum(first) - 1
+    return in_order[first], number
+
+
 # Level files: a JSON head line and then the arrays, aligned to 8 bytes.
 
 
@@ -185,9 +210,9 @@ class Trie:
         """Interpolate: p of the shorter context becomes p after these contexts (keys)."""
         out = p.copy()
         mixed = _mixed(contexts, self.key_bits(level))
-        order = np.argsort(mixed)  # neighbours in the level, and equal contexts, come together
+        order = order_of(mixed)  # neighbours in the level, and equal contexts, come together
         part = _shard_of(contexts, self.shards)[order]
-        by = np.argsort(part.astype(np.uint16) if self.shards <= 1 << 16 else part, kind="stable")  # a radix sort for few shards
+        by = _by_shard(part, self.shards)
         order, part = order[by], part[by]
         cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(order)]
         for at, end in zip(cuts[:-1], cuts[1:], strict=True) if len(order) else ():
@@ -208,7 +233,7 @@ class Trie:
             begin, stop, rank = begin[which], stop[which], rank[which]
             known = words[own] >= 0
             relative = begin.astype(_U) * _U(self.words) + np.maximum(words[own], 0).astype(_U) * (stop - begin).astype(_U)
-            by = np.argsort(relative)  # each context and word once, in the level's order
+            by = order_of(relative)  # each context and word once, in the level's order
             sorted_ = relative[by]
             first = np.append(True, sorted_[1:] != sorted_[:-1])
             one = by[first]
@@ -242,6 +267,11 @@ def _shard_of(contexts: np.ndarray, shards: int) -> np.ndarray:
     return (((mixed ^ (mixed >> _U(29))) * _U(0xBF58476D1CE4E5B9) >> _U(33)) % _U(shards)).astype(np.int64)
 
 
+def _by_shard(part: np.ndarray, shards: int) -> np.ndarray:
+    """A stable order by shard: a radix sort for few of them."""
+    return np.argsort(part.astype(np.uint16) if shards <= 1 << 16 else part, kind="stable")
+
+
 def _mixed(contexts: np.ndarray, bits: int) -> np.ndarray:
     """A one-to-one mixing of keys of so many bits."""
     mask, half = _U((1 << bits) - 1), _U(bits // 2 + 1)
@@ -260,7 +290,7 @@ class Reader:
     def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of each text; all tokens' ids and counts."""
         sizes, hashes = token_hashes(texts)
-        words, own = np.unique(hashes, return_inverse=True)
+        words, own = numbered(hashes)
         ids, counts = self.trie.lookup(words)
         return sizes, ids[own], counts[own]
 
@@ -292,7 +322,7 @@ def _count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for _, raw in byte_rows(batch, most=READ):
                 words, counts = np.unique(token_hashes(raw)[1], return_counts=True)
-                h, own = np.unique(np.append(h, words), return_inverse=True)
+                h, own = numbered(np.append(h, words))
                 n = np.bincount(own, np.append(n, counts), len(h)).astype(np.int64)
                 if len(h) > HELD_WORDS:
                     yield out()
@@ -339,7 +369,7 @@ def _count_ngrams(docs: DataFrame, trie: Trie, order: int) -> DataFrame:
         for piece in pieces[:0:-1]:
             contexts = trie.joined(level, contexts, piece)
         shard = _shard_of(contexts, trie.shards)
-        by = np.argsort(shard, kind="stable")
+        by = _by_shard(shard, trie.shards)
         ends = np.append(np.flatnonzero(np.diff(shard[by])) + 1, len(by))
         for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
             rows = by[a:b]
@@ -356,7 +386,8 @@ def _count_ngrams(docs: DataFrame, trie: Trie, order: int) -> DataFrame:
 
         def flush():
             ids, places = (np.concatenate(x) for x in zip(*held, strict=True))
-            own, local = np.unique(ids, return_inverse=True)
+            own, local = numbered(ids.view(_U))
+            own = own.view(np.int64)
             return batch_of([p for level in range(2, order + 1) for p in parts(level, own, local, places)] or [(2, 0, b"")])
 
         for batch in batches:
@@ -410,13 +441,14 @@ def merge(parts: Iterator[bytes], key_bits: int, held: int = 1 << 22) -> tuple[n
     """
     def added(runs: list) -> list[np.ndarray]:
         contexts, words, counts = (np.concatenate(x) for x in zip(*runs, strict=True))
-        order = np.argsort(contexts)
-        ranks = np.cumsum(np.append(False, contexts[order][1:] != contexts[order][:-1]).astype(_U))
+        order = order_of(contexts)
+        in_order = contexts[order]
+        ranks = np.cumsum(np.append(False, in_order[1:] != in_order[:-1]).astype(_U))
         span = int(words.max()) + 1
         if int(ranks[-1]) * span + span >= 1 << 64:  # too wide for one number
             order = np.lexsort((words, contexts))
         else:
-            order = order[np.argsort(ranks * _U(span) + words[order])]
+            order = order[order_of(ranks * _U(span) + words[order])]
         contexts, words, counts = contexts[order], words[order], counts[order]
         starts = np.flatnonzero(np.append(True, (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])))
         return [contexts[starts], words[starts], np.add.reduceat(counts, starts)]

@@ -151,3 +151,24 @@ def test_no_cap_on_the_vocabulary():
     keys = big.joined(3, big.joined(3, np.zeros(len(ids), np.uint64), ids), ids[::-1])
     assert len(np.unique(keys)) == len(ids) and int(keys.max()) < 1 << big.key_bits(3) == 1 << 63
     assert len(np.unique(lm._mixed(keys, big.key_bits(3)))) == len(ids)
+
+
+def test_order_and_numbers_of_any_values():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 5, 3000):
+        for top in (0, 1, 1000, 1 << 50, (1 << 64) - 1):
+            values = rng.integers(0, top, n, dtype=np.uint64, endpoint=True)
+            order = lm.order_of(values)
+            assert sorted(order.tolist()) == list(range(n)) and values[order].tolist() == sorted(values.tolist())
+            for got, want in zip(lm.numbered(values), np.unique(values, return_inverse=True), strict=True):
+                assert got.tolist() == want.tolist()
+    close = np.array([(1 << 63) + 5, (1 << 63) + 4, (1 << 63) + 5, 3], np.uint64)  # they differ in dropped bits alone
+    assert lm.order_of(close).tolist() == [3, 1, 0, 2]
+
+
+def test_low_parts_of_any_width():
+    rng = np.random.default_rng(6)
+    for universe in (2, 1 << 9, 1 << 20, 1 << 41, 1 << 63, 1 << 64):
+        for n in (1, 2, 65, 2000):
+            values = np.sort(rng.integers(0, universe - 1, n, dtype=np.uint64, endpoint=True))
+            assert EliasFano(encode(values, universe)).access(np.arange(n)).tolist() == values.tolist()
