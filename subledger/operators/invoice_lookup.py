@@ -93,30 +93,36 @@ def with_invoice_columns(report: DataFrame, invoices: DataFrame, params: ReportP
 def with_lookup_state(report: DataFrame, state: DataFrame, has_invoices: Column, params: ReportParams, billing_col: str = "billing_id",
                       type_col: str = "package_type", id_col: str = "client_sub_id") -> DataFrame:
     """The three columns from a state of the lookups (``invoice_aggregates``, or a kept one) instead of the invoices."""
-    lb = params.labels
-    blank = is_blank(billing_col)
     keyed = report.withColumn("_inv_key", invoice_join_key(billing_col, id_col))
     keyed = keyed.withColumn("_inv_hash", F.xxhash64("_inv_key"))
     agg = state.withColumn("_sub_hash", F.xxhash64("subscription"))
     j = keyed.join(agg, (keyed["_inv_key"] == agg["subscription"]) & (keyed["_inv_hash"] == agg["_sub_hash"]), "left")
+    return lookup_columns(j, report.columns, has_invoices, params, billing_col, type_col)
+
 
+def lookup_columns(joined: DataFrame, columns: list[str], has_invoices: Column, params: ReportParams, billing_col: str = "billing_id",
+                   type_col: str = "package_type", prefix: str = "") -> DataFrame:
+    """The report's ``columns`` and the three derived ones, of report rows joined to their lookup state (its columns named with ``prefix``)."""
+    lb = params.labels
+    blank = is_blank(billing_col)
+    S = lambda name: F.col(prefix + name)
     typ = F.col(type_col)
     monthly, yearly = typ == F.lit(lb.interval_month), typ == F.lit(lb.interval_year)
     cannot, empty = F.lit(lb.cannot_determine), F.lit("")
     chosen = (F.when(blank, cannot)
-              .when(monthly & F.col("first_m").isNotNull(), F.col("first_m.status"))
-              .when(yearly & F.col("first_y").isNotNull(), F.col("first_y.status"))
+              .when(monthly & S("first_m").isNotNull(), S("first_m.status"))
+              .when(yearly & S("first_y").isNotNull(), S("first_y.status"))
               .otherwise(empty))
     paid2 = (F.when(blank, cannot)
-             .when(monthly & F.coalesce(F.col("paid2_m"), F.lit(False)), F.lit(lb.paid_flag))
-             .when(yearly & F.coalesce(F.col("paid2_y"), F.lit(False)), F.lit(lb.paid_flag))
+             .when(monthly & F.coalesce(S("paid2_m"), F.lit(False)), F.lit(lb.paid_flag))
+             .when(yearly & F.coalesce(S("paid2_y"), F.lit(False)), F.lit(lb.paid_flag))
              .otherwise(empty))
-    last_date = (F.when(monthly, F.col("last_m")).when(yearly, F.col("last_y"))
-                 .otherwise(F.col("last_any")))
+    last_date = (F.when(monthly, S("last_m")).when(yearly, S("last_y"))
+                 .otherwise(S("last_any")))
     last = F.when(blank, empty).otherwise(month_name(last_date, lb.month_names))
 
     guard = lambda c: F.when(has_invoices, c).otherwise(empty)
-    return j.select(*[F.col(f"`{c}`") for c in report.columns],
+    return joined.select(*[F.col(f"`{c}`") for c in columns],
                     guard(chosen).alias("status_chosen_month"),
                     guard(paid2).alias("paid_last_2_months"),
                     guard(last).alias("last_invoice_month"))

@@ -9,6 +9,7 @@ over the whole tables. The matching DuckDB SQL lives in
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,12 @@ from subledger.functions.dates import parse_ts_lenient, parse_ts_strict
 from subledger.functions.tax_id import normalize_tax_id, tax_id10, tax_id_number
 from subledger.functions.text import full_name, relabel
 from subledger.operators import crm as crm_ops
-from subledger.operators import quarantine, reconcile
+from subledger.operators import colocated, quarantine, reconcile
 from subledger.operators.flatten import flatten_struct, flatten_variant, observed_schema
 from subledger.operators.joins import join_plans, retain, retention_predicates
 from subledger.operators.lifecycle import lifecycle_status
 from subledger.operators.line_items import (
-    first_line_item_variant, invoice_fact, invoice_fact_variant, invoices_since,
+    first_line_item_variant, invoice_fact, invoice_fact_variant, invoice_table, invoices_since,
 )
 from subledger.operators.quality import (
     completeness, duplicate_ids, required_fields, required_keys, stage_counts,
@@ -36,7 +37,7 @@ from subledger.plans import reports
 from subledger.schemas import CRM_TASK, PLAN, USER_SUBSCRIPTION
 from subledger.sinks.region import overwrite_region
 from subledger.sinks.writers import INVOICE_HEADINGS, REPORT_HEADINGS, format_for_export, report_meta
-from subledger.session import keep_small
+from subledger.session import keep_small, shared_folder
 from subledger.sources import cursor
 from subledger.sources import landing as landing_src
 from subledger.sources import proxies as px
@@ -393,7 +394,17 @@ def region_overwrite(spark, d):
     return overwrite_region(px.grid(spark, d), report, region, [F.col("_id"), F.col("status"), F.col("package_type"), F.col("billing_id")], keep_small)
 
 
+def colocated_lookups(spark, d):
+    """The three invoice columns from a run's co-located tables, joined bucket beside bucket."""
+    us, pl, inv = _sources(spark, d)
+    path = f"{shared_folder(spark)}/colocated-{uuid.uuid4().hex}"
+    base = reports.report_base(us, pl, P()).select("client_sub_id", "billing_id", "package_type")
+    run = colocated.publish(base, invoice_table(inv, P(), keep_helpers=True), P(), path)
+    return colocated.lookups(*colocated.read(spark, path, run), P())
+
+
 ITERATIVE: dict[str, Query] = {
+    "colocated_lookups": colocated_lookups,
     "flatten_observed": flatten_observed,
     "region_overwrite": region_overwrite,
     "cursor_pages": cursor_pages,

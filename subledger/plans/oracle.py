@@ -324,6 +324,8 @@ FROM usubs"""
     for name in ("status_chosen_month", "paid_last_2_months", "last_invoice_month"):
         o[{"status_chosen_month": "chosen_month_status"}.get(name, name)] = (
             f"SELECT client_sub_id, billing_id, package_type, {name} FROM ({report18()})")
+    o["colocated_lookups"] = ("SELECT client_sub_id, billing_id, package_type, status_chosen_month, paid_last_2_months, last_invoice_month "
+                              f"FROM ({report18()})")
     o["lifecycle_status"] = (with_ctes(PLANS, USUBS, RB)
                              + f"SELECT client_sub_id, expires_at, {lifecycle_expr(p)} AS lifecycle_status FROM rb")
     o["first_line_item"] = f"""

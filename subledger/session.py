@@ -94,17 +94,21 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     return fallback
 
 
-def keep_small(df):
-    """A narrow intermediate table made durable: a checkpoint in the shared folder the cluster names.
+def shared_folder(spark):
+    """The shared folder the cluster names; where none is named, a local session (tests) gets a folder of its own.
 
-    Where none is named, a local session (tests) gets a folder of its own; on a cluster that is
-    an error, as files in one machine's folder would go with it.
+    On a cluster that is an error, as files in one machine's folder would go with it.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not context.master.startswith("local"):
             raise ValueError("no shared folder: set spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="subledger-shared-"))
+    return context.getCheckpointDir()
+
+
+def keep_small(df):
+    """A narrow intermediate table made durable: a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
