@@ -49,3 +49,19 @@ def test_edges(edge_docs, no_docs, edge_rows):
     nothing = langid.fit(no_docs)
     assert nothing.langs == [] and {r["lang_pred"] for r in langid.identify(edge_docs, nothing).collect()} == {"und"}
     assert langid.identify(no_docs, model).count() == 0
+
+
+def test_more_languages_than_a_matrix_holds(spark):
+    """Blocks of languages give the labels and scores of one matrix, ties to the first language included."""
+    rows = [(k, prose(k % 7, 30), f"l{k % 7}") for k in range(70)] + [(k, prose(3, 30), "l3 too") for k in range(70, 80)]  # l3 and its twin tie
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    whole, blocks = langid.fit(docs), langid.fit(docs, block=3)
+    assert isinstance(whole, langid.Model) and (blocks.count, len(whole.langs)) == (3, 8)
+    assert [blocks.read(k).langs for k in range(3)] == [whole.langs[:3], whole.langs[3:6], whole.langs[6:]]
+    asked = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(100, None), (101, "12 !"), (102, "")], "doc_id long, text string"))
+    one, many = ({r["doc_id"]: r for r in langid.identify(asked, m).collect()} for m in (whole, blocks))
+    assert len(one) == 83 and {k: r["lang_pred"] for k, r in one.items()} == {k: r["lang_pred"] for k, r in many.items()}
+    assert max(abs(one[k]["score"] - many[k]["score"]) for k in one) < 1e-6
+    assert one[100]["lang_pred"] == "und" and many[100]["score"] == 0.0
+    counts = {tuple(r) for r in langid.count_ngrams(docs, 1).collect()}
+    assert counts == {tuple(r) for r in langid.count_ngrams(docs).collect()}
