@@ -37,7 +37,7 @@ from subledger.plans import reports
 from subledger.schemas import CRM_TASK, PLAN, USER_SUBSCRIPTION
 from subledger.sinks.region import overwrite_region
 from subledger.sinks.writers import INVOICE_HEADINGS, REPORT_HEADINGS, format_for_export, report_meta
-from subledger.session import keep_small, shared_folder
+from subledger.session import keep_small, keep_written, shared_folder
 from subledger.sources import cursor
 from subledger.sources import landing as landing_src
 from subledger.sources import proxies as px
@@ -362,8 +362,8 @@ def run_differences(spark, d):
 
 # ---- iterative: building them runs jobs ---------------------------------------------
 def _cursor_chains(spark, d):
-    parsed = cursor.parse_cursor_pages(px.cursor_pages(spark, d))
-    return parsed, cursor.chains(parsed, keep_small)
+    parsed = cursor.parse_cursor_pages(px.cursor_pages(spark, d), keep_written)
+    return parsed, cursor.chains(parsed, keep_written)
 
 
 def cursor_pages(spark, d):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -112,3 +113,13 @@ def keep_small(df):
     """A narrow intermediate table made durable: a checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def keep_written(df):
+    """A narrow intermediate table written to the shared folder and read back, for tables made from one another in rounds.
+
+    A checkpoint keeps its plan's estimated size, and an estimate over joins is a product; a written table has its files' size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,13 +39,15 @@ PAGE = ("source", "cursor", "attempt", "outcome", "has_more", "n_records", "firs
 FIRST = "\u0000"
 
 
-def parse_cursor_pages(landing: DataFrame) -> DataFrame:
+def parse_cursor_pages(landing: DataFrame, keep: Keep | None = None) -> DataFrame:
     """The page columns of ``PAGE`` and ``docs`` (array of VARIANT) of each landed page of its source's latest run.
 
     ``landing``: source, starting_after, http_status, body and, if there are any, run_id and attempt.
+    ``keep`` makes the latest runs durable (a row a source), so that later reads of the pages do not look for them again.
     """
     optional = lambda c, default: F.coalesce(F.col(c), F.lit(default)) if c in landing.columns else F.lit(default)
     newest = landing.groupBy(F.col("source").alias("_source")).agg(F.max(optional("run_id", "")).alias("_run"))
+    newest = keep(newest) if keep else newest
     rows = landing.withColumn("_own", optional("run_id", "")).join(newest, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_run")))
     body = rows.select("source", F.coalesce(F.col("starting_after"), F.lit(FIRST)).alias("cursor"), optional("attempt", 0).alias("attempt"),
                        (F.col("body").isNull() | ~F.col("http_status").eqNullSafe(F.lit(200))).alias("_failed"), F.try_parse_json("body").alias("_body"))
@@ -74,27 +76,32 @@ def _join(left: DataFrame, right: DataFrame, at: str, how: str = "inner") -> Dat
 def chains(pages: DataFrame, keep: Keep) -> DataFrame:
     """Every distinct page with ``rank`` (NULL outside the chain) and ``state``.
 
-    ``pages``: the columns of ``PAGE``. ``keep`` makes a small table durable (a checkpoint
-    or a written table): each round reads the one before it several times.
+    ``pages``: the columns of ``PAGE``. ``keep`` makes a small table durable: each round
+    reads the one before it several times. Over many pages it must be a written table
+    (``keep_written``): a checkpoint carries its plan's estimated size along, which every
+    round's join squares, until the estimate alone has more digits than the driver has memory.
     """
     pages = keep(pages.select(*PAGE).distinct())
     own = keep(_winners(pages))
-    on = own.filter((F.col("outcome") == "ok") & F.col("has_more")).select("source", "cursor", F.col("last_id").alias("next"))
-    known = own.select(F.col("source").alias("s"), F.col("cursor").alias("c"))
-    jumps = keep(_join(on, known, "next"))
-    reached = keep(own.filter(F.col("cursor") == FIRST).select("source", "cursor", F.lit(0).cast("long").alias("rank")))
+    known = own.select(F.col("source").alias("s"), F.col("cursor").alias("c"), F.col("cursor").alias("_known"))
+    on = own.select("source", "cursor", F.when((F.col("outcome") == "ok") & F.col("has_more"), F.col("last_id")).alias("_to"),
+                    F.when(F.col("cursor") == FIRST, F.lit(0).cast("long")).alias("rank"))
+    # every page, the landed page ``step`` pages after it, and its rank once it is reached
+    at = keep(_join(on, known, "_to", "left").select("source", "cursor", F.col("_known").alias("next"), "rank"))
+    reached = at.filter(F.col("rank").isNotNull())
     count, step = reached.count(), 1
     while count:
-        leap = jumps.select(F.col("source").alias("s"), F.col("cursor").alias("c"), F.col("next"))
-        more = _join(reached, leap, "cursor").select("source", F.col("next").alias("cursor"), (F.col("rank") + step).alias("rank"))
-        now = keep(reached.unionByName(more).groupBy("source", "cursor").agg(F.min("rank").alias("rank")))
-        before, count = count, now.count()
-        reached = now
+        leap = at.select(F.col("source").alias("s"), F.col("cursor").alias("c"), F.col("next").alias("_next"))
+        far = _join(at, leap, "next", "left").select("source", "cursor", F.col("_next").alias("next"), "rank")
+        more = reached.filter(F.col("next").isNotNull()).select(
+            "source", F.col("next").alias("cursor"), F.lit(None).cast("string").alias("next"), (F.col("rank") + step).alias("rank"))
+        at = keep(far.unionByName(more).groupBy("source", "cursor").agg(F.max("next").alias("next"), F.min("rank").alias("rank")))
+        reached = at.filter(F.col("rank").isNotNull())
+        before, count = count, reached.count()
         if count == before:
             break
-        jumps = keep(_join(jumps.withColumnRenamed("next", "mid"), leap, "mid").select("source", "cursor", "next"))
         step *= 2
-    return _with_states(pages, own, reached, keep)
+    return _with_states(pages, own, reached.select("source", "cursor", "rank"), keep)
 
 
 def _with_states(pages: DataFrame, own: DataFrame, reached: DataFrame, keep: Keep) -> DataFrame:

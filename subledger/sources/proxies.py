@@ -360,27 +360,32 @@ def cursor_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     inv = F.concat(F.lit("in_"), _s(k), F.lit("_"), _s("l_linenumber"))
     rec = F.struct(inv.alias("id"), created_epoch(F.col("l_linenumber"), F.col("l_shipdate")).alias("created"))
     page = (k / (CURSOR_CHAINS * CURSOR_KEYS)).cast("bigint")
-    recs = F.array_sort(F.collect_list(F.struct(k.alias("k"), F.col("l_linenumber").alias("l"), rec.alias("r")))).getField("r")
-    base = li.groupBy((k % CURSOR_CHAINS).alias("c"), page.alias("n")).agg(recs.alias("data"))
+    place = F.struct(k.alias("k"), F.col("l_linenumber").alias("l"), rec.alias("r"))
+    base = li.groupBy((k % CURSOR_CHAINS).alias("c"), page.alias("n")).agg(F.array_sort(F.collect_list(place)).getField("r").alias("data"))
     at = (F.floor(li.select((F.max(page) * 9 / 10)).scalar())).cast("bigint")
     failed = (c == 1) & (n == F.greatest(at, F.lit(1)))
     ended = (c == 2) & (n == F.greatest(at, F.lit(1)))
-    ends = base.select(c.alias("_c"), (n + 1).alias("_n"), F.try_element_at("data", F.lit(-1)).getField("id").alias("_last"))
+    # the id that the page before ends with, without its other records
+    ends = li.groupBy((k % CURSOR_CHAINS).alias("_c"), (page + 1).alias("_n")).agg(F.max(place).getField("r").getField("id").alias("_last"))
     base = base.join(ends, (c == F.col("_c")) & (n == F.col("_n")), "left")
     cursor = F.when(n > 0, F.coalesce("_last", F.concat_ws("_", F.lit("gap"), c, n)))
     body = lambda data, more: F.to_json(F.struct(data.alias("data"), more.alias("has_more")))
     tried = F.when(n % 7 == 3, 1).otherwise(0)
-    one = lambda name: F.array(F.struct(F.concat_ws("_", F.lit(name), c, n).alias("id"), F.lit(0).cast("bigint").alias("created")))
-    row = lambda cur, status, text, attempt, run="2025-02": F.struct(
-        cur.alias("starting_after"), status.alias("http_status"), text.alias("body"), attempt.alias("attempt"), F.lit(run).alias("run_id"))
+    row = lambda kind, cur, status, attempt, run="2025-02": F.struct(
+        F.lit(kind).alias("kind"), cur.alias("starting_after"), status.alias("http_status"), attempt.alias("attempt"), F.lit(run).alias("run_id"))
     rows = F.array_compact(F.array(
-        row(cursor, F.when(failed, 500).otherwise(200), F.when(~failed, body(F.col("data"), ~ended)), tried),
-        F.when(n % 7 == 3, row(cursor, F.lit(503), F.lit("<html>busy</html>"), F.lit(0))),
-        F.when((n % 5 == 4) & ~failed, row(cursor, F.lit(200), body(one("zz"), F.lit(True)), tried)),
-        F.when((n % 11 == 6) & (c == 0), row(F.concat_ws("_", F.lit("cya"), c, n), F.lit(200), body(one("cyb"), F.lit(True)), F.lit(0))),
-        F.when((n % 11 == 6) & (c == 0), row(F.concat_ws("_", F.lit("cyb"), c, n), F.lit(200), body(one("cya"), F.lit(True)), F.lit(0))),
-        F.when(n == 0, row(cursor, F.lit(200), body(one("old"), F.lit(True)), F.lit(0), "2025-01"))))
-    return base.select(F.concat(F.lit("inv"), _s(c)).alias("source"), F.explode(rows).alias("_row")).select("source", "_row.*")
+        row("page", cursor, F.when(failed, 500).otherwise(200), tried),
+        F.when(n % 7 == 3, row("busy", cursor, F.lit(503), F.lit(0))),
+        F.when((n % 5 == 4) & ~failed, row("zz", cursor, F.lit(200), tried)),
+        F.when((n % 11 == 6) & (c == 0), row("cyb", F.concat_ws("_", F.lit("cya"), c, n), F.lit(200), F.lit(0))),
+        F.when((n % 11 == 6) & (c == 0), row("cya", F.concat_ws("_", F.lit("cyb"), c, n), F.lit(200), F.lit(0))),
+        F.when(n == 0, row("old", cursor, F.lit(200), F.lit(0), "2025-01"))))
+    kind = F.col("_row.kind")
+    # bodies are written after the rows are told apart, so that a reader of other columns writes none
+    text = F.when(kind == "page", F.when(~failed, body(F.col("data"), ~ended))).when(kind == "busy", "<html>busy</html>").otherwise(
+        body(F.array(F.struct(F.concat_ws("_", kind, c, n).alias("id"), F.lit(0).cast("bigint").alias("created"))), F.lit(True)))
+    return base.select("c", "n", "data", F.explode(rows).alias("_row")).select(
+        F.concat(F.lit("inv"), _s(c)).alias("source"), "_row.starting_after", "_row.http_status", text.alias("body"), "_row.attempt", "_row.run_id")
 
 
 # ---- CRM ----------------------------------------------------------------------

@@ -5,8 +5,9 @@ import random
 
 import pytest
 
-from subledger.session import keep_small
-from subledger.sources import cursor
+from subledger.plans import catalog
+from subledger.session import keep_small, keep_written
+from subledger.sources import cursor, proxies
 
 SCHEMA = "source string, starting_after string, http_status int, body string, run_id string, attempt int"
 
@@ -84,3 +85,22 @@ def test_hot_cursor(spark):
     _, chain = ranked(spark, rows)
     got = [(r["rank"], r["state"]) for r in chain.collect()]
     assert got.count((None, "forked")) == 59 and got.count((None, "broken")) + got.count((None, "after_end")) == 59 and sorted(r for r, _ in got if r is not None) == [0, 1, 2]
+
+
+def estimated_bits(df):
+    """Length of the planner's estimated size."""
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length()
+
+
+@pytest.mark.parametrize("query, rows", [("cursor_pages", 70), ("cursor_scan", 65)])
+def test_estimated_sizes_stay_numbers_a_driver_can_hold(spark, monkeypatch, query, rows):
+    pages = [page(f"x{k - 1}" if k else None, [f"x{k}"], k < 64) for k in range(65)] + [page(f"y{k}", [f"y{k + 1}"]) for k in range(5)]
+    monkeypatch.setattr(proxies, "cursor_pages", lambda spark, d: spark.createDataFrame(pages, SCHEMA))
+    df = getattr(catalog, query)(spark, "")
+    assert estimated_bits(df) < 1000 and df.count() == rows  # an estimate squared in each round had 341154 digits here
+
+
+def test_written_rounds_match_checkpoints(spark):
+    rows = [page(f"x{k - 1}" if k else None, [f"x{k}"], k < 20) for k in range(21)] + [page("x5", ["zz"]), page("c1", ["c2"]), page("c2", ["c1"]), page("q", [], status=500)]
+    parsed = cursor.parse_cursor_pages(spark.createDataFrame(rows, SCHEMA), keep_written)
+    assert states(cursor.chains(parsed, keep_written)) == states(ranked(spark, rows)[1])
