@@ -361,8 +361,10 @@ def run_differences(spark, d):
 
 
 # ---- iterative: building them runs jobs ---------------------------------------------
-def _cursor_chains(spark, d):
+def _cursor_chains(spark, d, *columns):
+    """The pages' ``columns``, written where there are any, and the ranked pages; bodies are parsed once."""
     parsed = cursor.parse_cursor_pages(px.cursor_pages(spark, d), keep_written)
+    parsed = keep_written(parsed.select(*columns)) if columns else parsed
     return parsed, cursor.chains(parsed, keep_written)
 
 
@@ -374,7 +376,7 @@ def cursor_pages(spark, d):
 
 def cursor_scan(spark, d):
     """Invoices in arrival order, from pages that only cursors order."""
-    parsed, ranked = _cursor_chains(spark, d)
+    parsed, ranked = _cursor_chains(spark, d, *cursor.PAGE, "docs")
     rows = cursor.scan_cursor_pages(parsed, ranked)
     return rows.select("source", "rank", "pos", F.try_variant_get("doc", "$.id", "string").alias("id"), F.try_variant_get("doc", "$.created", "bigint").alias("created"))
 

@@ -4,9 +4,9 @@ A landed page tells the cursor it was asked for (``starting_after``, NULL for
 the first) and its body ``{"data": [...], "has_more": ...}``; there are no page
 numbers. The page after a page is the one whose cursor is the id of its last
 record. ``chains`` finds each page's place by list ranking: every page has a
-pointer to the page after it, pointers jump twice as far in every round, and the
-pages reached from a source's first page double with them, so a chain of n pages
-takes log2(n) rounds of joins and is never walked page by page.
+pointer to the page after it, pointers jump four times as far in every round, and the
+pages reached from a source's first page grow with them, so a chain of n pages takes
+log4(n) rounds of three joins each (a jump of four) and is never walked page by page.
 
 States of a page:
 
@@ -26,7 +26,6 @@ as often as they were landed (as in S5, to be removed downstream), so that no bo
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -37,6 +36,10 @@ Keep = Callable[[DataFrame], DataFrame]
 PAGE = ("source", "cursor", "attempt", "outcome", "has_more", "n_records", "first_id", "last_id")
 #: The key of a source's first page: no id has a NUL before it.
 FIRST = "\u0000"
+#: Jumps a round: its pointers reach so many times as far as those of the round before.
+JUMPS = 4
+#: Up to so many sources, the bodies meet the latest runs where they are; else both are dealt by source.
+FEW_SOURCES = 10_000
 
 
 def parse_cursor_pages(landing: DataFrame, keep: Keep | None = None) -> DataFrame:
@@ -47,7 +50,9 @@ def parse_cursor_pages(landing: DataFrame, keep: Keep | None = None) -> DataFram
     """
     optional = lambda c, default: F.coalesce(F.col(c), F.lit(default)) if c in landing.columns else F.lit(default)
     newest = landing.groupBy(F.col("source").alias("_source")).agg(F.max(optional("run_id", "")).alias("_run"))
-    newest = keep(newest) if keep else newest
+    if keep:
+        newest = keep(newest)
+        newest = F.broadcast(newest) if newest.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES else newest
     rows = landing.withColumn("_own", optional("run_id", "")).join(newest, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_run")))
     body = rows.select("source", F.coalesce(F.col("starting_after"), F.lit(FIRST)).alias("cursor"), optional("attempt", 0).alias("attempt"),
                        (F.col("body").isNull() | ~F.col("http_status").eqNullSafe(F.lit(200))).alias("_failed"), F.try_parse_json("body").alias("_body"))
@@ -89,18 +94,22 @@ def chains(pages: DataFrame, keep: Keep) -> DataFrame:
     # every page, the landed page ``step`` pages after it, and its rank once it is reached
     at = keep(_join(on, known, "_to", "left").select("source", "cursor", F.col("_known").alias("next"), "rank"))
     reached = at.filter(F.col("rank").isNotNull())
-    count, step = reached.count(), 1
-    while count:
+    tally = F.count(F.lit(1)), F.count("next")  # reached pages, and those of them with a page to jump to
+    (count, onward), before, step = reached.agg(*tally).first(), 0, 1
+    while onward and count > before:
         leap = at.select(F.col("source").alias("s"), F.col("cursor").alias("c"), F.col("next").alias("_next"))
-        far = _join(at, leap, "next", "left").select("source", "cursor", F.col("_next").alias("next"), "rank")
-        more = reached.filter(F.col("next").isNotNull()).select(
-            "source", F.col("next").alias("cursor"), F.lit(None).cast("string").alias("next"), (F.col("rank") + step).alias("rank"))
-        at = keep(far.unionByName(more).groupBy("source", "cursor").agg(F.max("next").alias("next"), F.min("rank").alias("rank")))
+        far = at.withColumnRenamed("next", "_1")
+        for i in range(1, JUMPS):
+            far = _join(far, leap, f"_{i}", "left").withColumnRenamed("_next", f"_{i + 1}")
+        # a page with its pointer over all jumps and, where it is reached, the pages at its jumps with their ranks
+        row = lambda c, to, rank: F.struct(F.col(c).alias("cursor"), to.cast("string").alias("next"), rank.alias("rank"))
+        rows = [row("cursor", F.col(f"_{JUMPS}"), F.col("rank"))]
+        rows += [F.when(F.col("rank").isNotNull() & F.col(f"_{i}").isNotNull(), row(f"_{i}", F.lit(None), F.col("rank") + i * step)) for i in range(1, JUMPS)]
+        far = far.select("source", F.explode(F.array_compact(F.array(*rows))).alias("_row")).select("source", "_row.*")
+        at = keep(far.groupBy("source", "cursor").agg(F.max("next").alias("next"), F.min("rank").alias("rank")))
         reached = at.filter(F.col("rank").isNotNull())
-        before, count = count, reached.count()
-        if count == before:
-            break
-        step *= 2
+        before, (count, onward) = count, reached.agg(*tally).first()
+        step *= JUMPS
     return _with_states(pages, own, reached.select("source", "cursor", "rank"), keep)
 
 
@@ -123,7 +132,7 @@ def _with_states(pages: DataFrame, own: DataFrame, reached: DataFrame, keep: Kee
 
 
 def _lost_states(lost: DataFrame, own: DataFrame, keep: Keep) -> DataFrame:
-    """The state of the pages that no chain reaches, from the page before the first page before them (pointers back, doubling)."""
+    """The state of the pages that no chain reaches, from the page before the first page before them (pointers back, ``JUMPS`` a round)."""
     before = own.filter(F.col("outcome") == "ok").groupBy("source", "last_id").agg(
         F.min(F.struct(F.col("has_more").alias("m"), F.col("cursor").alias("c"))).alias("_p"))
     before = before.select(F.col("source").alias("s"), F.col("last_id").alias("c"), F.col("_p.c").alias("prev"), F.col("_p.m").alias("more"))
@@ -133,13 +142,14 @@ def _lost_states(lost: DataFrame, own: DataFrame, keep: Keep) -> DataFrame:
     # settled: nothing ends at its cursor; what does says that it was the last; or that is in a chain or led elsewhere
     state = F.when(F.col("prev").isNull(), "broken").when(~F.col("more") | F.col("_in").isNull(), "after_end")
     now = keep(first.select("source", "cursor", F.when(state.isNull(), F.col("prev")).alias("prev"), state.alias("state")))
-    rounds = math.ceil(math.log2(max(1, now.count()))) + 1
-    for _ in range(rounds):
-        if not now.filter(F.col("state").isNull()).limit(1).count():
-            break
+    open_, before = now.filter(F.col("state").isNull()).count(), None
+    while open_ and open_ != before:  # a round that settles none leaves rings alone: of pages before them, the nearest are settled first
         over = now.select(F.col("source").alias("s"), F.col("cursor").alias("c"), F.col("prev").alias("_p"), F.col("state").alias("_s"))
-        now = keep(_join(now, over, "prev", "left").select(
-            "source", "cursor", F.when(F.coalesce("state", "_s").isNull(), F.col("_p")).alias("prev"), F.coalesce("state", "_s").alias("state")))
+        for _ in range(1, JUMPS):
+            state = F.coalesce("state", "_s")
+            now = _join(now, over, "prev", "left").select("source", "cursor", F.when(state.isNull(), F.col("_p")).alias("prev"), state.alias("state"))
+        now = keep(now)
+        open_, before = now.filter(F.col("state").isNull()).count(), open_
     return now.select("source", "cursor", F.coalesce("state", F.lit("cyclic")).alias("state"))
 
 
@@ -147,5 +157,6 @@ def scan_cursor_pages(parsed: DataFrame, ranked: DataFrame) -> DataFrame:
     """The chains' records in arrival order: source, rank, pos, seq, doc. ``parsed``: ``parse_cursor_pages``; ``ranked``: ``chains`` of it."""
     live = ranked.filter(F.col("rank").isNotNull()).select(F.struct(*PAGE).alias("_page"), "rank", F.col("source").alias("s"), F.col("cursor").alias("c"))
     rows = _join(parsed.withColumn("_own", F.struct(*PAGE)), live, "cursor").filter(F.col("_own").eqNullSafe(F.col("_page")))
-    rows = rows.select("source", "rank", F.posexplode("docs").alias("pos", "doc"))
+    # the outer form, as for the plain one Spark adds a filter on the array that parses each body again, several times
+    rows = rows.select("source", "rank", F.posexplode_outer("docs").alias("pos", "doc")).filter(F.col("pos").isNotNull())
     return rows.select("source", "rank", "pos", (F.shiftleft("rank", 32) + F.col("pos")).alias("seq"), "doc")

@@ -361,12 +361,14 @@ def cursor_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = F.struct(inv.alias("id"), created_epoch(F.col("l_linenumber"), F.col("l_shipdate")).alias("created"))
     page = (k / (CURSOR_CHAINS * CURSOR_KEYS)).cast("bigint")
     place = F.struct(k.alias("k"), F.col("l_linenumber").alias("l"), rec.alias("r"))
-    base = li.groupBy((k % CURSOR_CHAINS).alias("c"), page.alias("n")).agg(F.array_sort(F.collect_list(place)).getField("r").alias("data"))
+    base = li.groupBy((k % CURSOR_CHAINS).alias("c"), page.alias("n")).agg(F.sort_array(F.collect_list(place)).getField("r").alias("data"))
     at = (F.floor(li.select((F.max(page) * 9 / 10)).scalar())).cast("bigint")
     failed = (c == 1) & (n == F.greatest(at, F.lit(1)))
     ended = (c == 2) & (n == F.greatest(at, F.lit(1)))
-    # the id that the page before ends with, without its other records
-    ends = li.groupBy((k % CURSOR_CHAINS).alias("_c"), (page + 1).alias("_n")).agg(F.max(place).getField("r").getField("id").alias("_last"))
+    # the id that the page before ends with, without its other records: of numbers alone, which are added up without a sort
+    lines = li.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("l_linenumber"))
+    ends = lines.groupBy((k % CURSOR_CHAINS).alias("_c"), (page + 1).alias("_n")).agg(F.max(k).alias("l_orderkey"), F.max_by("l_linenumber", k).alias("l_linenumber"))
+    ends = ends.select("_c", "_n", inv.alias("_last"))
     base = base.join(ends, (c == F.col("_c")) & (n == F.col("_n")), "left")
     cursor = F.when(n > 0, F.coalesce("_last", F.concat_ws("_", F.lit("gap"), c, n)))
     body = lambda data, more: F.to_json(F.struct(data.alias("data"), more.alias("has_more")))

@@ -104,3 +104,46 @@ def test_written_rounds_match_checkpoints(spark):
     rows = [page(f"x{k - 1}" if k else None, [f"x{k}"], k < 20) for k in range(21)] + [page("x5", ["zz"]), page("c1", ["c2"]), page("c2", ["c1"]), page("q", [], status=500)]
     parsed = cursor.parse_cursor_pages(spark.createDataFrame(rows, SCHEMA), keep_written)
     assert states(cursor.chains(parsed, keep_written)) == states(ranked(spark, rows)[1])
+
+
+def test_jumps_of_four(spark):
+    rows, lengths = [], (1, 4, 5, 16, 17, 70)  # a source of each length
+    for n in lengths:
+        put = lambda after, ids, more=True: rows.append(page(after, ids, more, source=f"s{n}"))  # noqa: B023, E731
+        for k in range(n):
+            put(f"x{k - 1}" if k else None, [f"x{k}"], k < n - 1)
+            put(f"l{k - 1}", [f"l{k}"])
+            put(f"r{(k or n) - 1}", [f"r{k}"])
+            put(f"y{k - 1}" if k else f"x{n - 1}", [f"y{k}"])
+    got = states(ranked(spark, rows)[1])
+    assert len(got) == 4 * sum(lengths)
+    for (source, _, last, _), found in got.items():
+        want = {"x": (int(last[1:]), "ok"), "l": (None, "broken"), "r": (None, "cyclic"), "y": (None, "after_end")}[last[0]]
+        assert found == want, (source, last)
+
+
+def test_few_rounds_and_none_over_rings(spark):
+    seen = []
+    rows = [page(f"x{k - 1}" if k else None, [f"x{k}"], k < 63) for k in range(64)] + [page(f"r{(k or 64) - 1}", [f"r{k}"]) for k in range(64)]
+    chain = cursor.chains(cursor.parse_cursor_pages(spark.createDataFrame(rows, SCHEMA)), lambda df: seen.append(df) or keep_small(df))
+    got = [(r["rank"], r["state"]) for r in chain.collect()]
+    assert got.count((None, "cyclic")) == 64 and max(r for r, _ in got if r is not None) == 63
+    assert len(seen) <= 3 + 4 + 2 + 1  # jumps of two take more
+
+
+def test_bodies_are_parsed_once(spark, monkeypatch):
+    pages = [page(None, ["a1", "a2"]), page("a2", ["a3"], more=False)]
+    landed = spark.createDataFrame(pages, SCHEMA)
+    rows = cursor.scan_cursor_pages(*ranked(spark, pages))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    monkeypatch.setattr(proxies, "cursor_pages", lambda spark, d: landed)
+    df = catalog.cursor_scan(spark, "")
+    assert "parseJson" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["rank"], r["pos"], r["id"]) for r in df.collect()) == [(0, 0, "a1"), (0, 1, "a2"), (1, 0, "a3")]
+
+
+def test_many_sources_meet_their_runs_by_join(spark, monkeypatch):
+    monkeypatch.setattr(cursor, "FEW_SOURCES", 2)
+    rows = [page(None, [f"a{k}"], more=False, source=f"s{k}", run=run) for k in range(5) for run in ("r1", "r2")]
+    parsed = cursor.parse_cursor_pages(spark.createDataFrame(rows, SCHEMA), keep_small)
+    assert sorted(r["last_id"] for r in parsed.collect()) == [f"a{k}" for k in range(5)]
